@@ -20,13 +20,12 @@ def _fingerprint(e: DataFrame):
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
-    """(id, label): label is the smallest id of the component; nodes without an edge are not listed.
+    """(id, label): label is the smallest id of the component; nodes without a partner are not listed.
 
     Alternating large-star / small-star contraction: the edge set never grows and the number of
     rounds is logarithmic in the component size. Every round ends in a reliable checkpoint.
     """
     raw = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
-    nodes = raw.select(F.explode(F.array("a", "b")).alias("id"))
     e = checkpoint(
         raw.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     )
@@ -50,9 +49,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         before = after
     else:
         raise RuntimeError("connected components did not settle; raise max_rounds")
-    return nodes.distinct().join(e.select(F.col("u").alias("id"), F.col("v").alias("label")), "id", "left").select(
-        "id", F.coalesce("label", "id").alias("label")
-    )
+    return e.select(F.col("u").alias("id"), F.col("v").alias("label")).unionByName(
+        e.select(F.col("v").alias("id"), F.col("v").alias("label")).distinct())
 
 
 def label_all(nodes: DataFrame, key: str, edges: DataFrame) -> DataFrame:
@@ -122,7 +120,7 @@ def cell_components(cells: DataFrame, by: Sequence[str] = (), diagonal: bool = T
     """
     offs = [(1, 0), (0, 1)] + ([(1, 1), (1, -1)] if diagonal else [])
     node = F.struct(*[F.col(c) for c in by], F.col(ix), F.col(iy))
-    c = cells.withColumn("_node", node)
+    c = checkpoint(cells.withColumn("_node", node))
     o = F.explode(F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in offs])).alias("o")
     left = c.select(*by, "_node", o, ix, iy).select(
         *by, F.col("_node").alias("src"), (F.col(ix) + F.col("o.dx")).alias(ix), (F.col(iy) + F.col("o.dy")).alias(iy))

@@ -22,13 +22,6 @@ def _offsets(df: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
     return totals.select(*keys, "_chunk", F.coalesce(F.sum("_total").over(w), F.lit(0)).alias("_base"))
 
 
-def _on(keys: Sequence[str], left: DataFrame, right: DataFrame) -> Column:
-    cond = F.lit(True)
-    for k in [*keys, "_chunk"]:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def dense_index(
     df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], chunk: Column, out: str = "idx"
 ) -> DataFrame:

@@ -1 +1,10 @@
-"""wayfold.queries"""
+"""Registered queries, one module per operator family."""
+
+import importlib
+import pkgutil
+
+
+def load_all() -> None:
+    for m in pkgutil.iter_modules(__path__):
+        if m.name.startswith("q_"):
+            importlib.import_module(f"{__name__}.{m.name}")
