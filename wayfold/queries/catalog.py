@@ -40,7 +40,7 @@ class Catalog:
             (C("l_partkey") * D(0.25)).alias("x"),
             ((C("l_orderkey") % 997) * D(0.25)).alias("y"),
             (C("l_quantity") / 10).alias("z"),
-            C("l_discount").alias("intensity"),
+            (C("l_discount") + C("l_extendedprice") / 10000000).alias("intensity"),
         )
 
     @cached_property
@@ -144,7 +144,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 VIEWS = {
     "points": """SELECT l_suppkey % 8 AS drive_id, l_orderkey // 100 AS frame_id, l_orderkey*10+l_linenumber AS pt_id,
- l_partkey*CAST(0.25 AS DOUBLE) AS x, (l_orderkey % 997)*CAST(0.25 AS DOUBLE) AS y, l_quantity/10 AS z, l_discount AS intensity FROM lineitem""",
+ l_partkey*CAST(0.25 AS DOUBLE) AS x, (l_orderkey % 997)*CAST(0.25 AS DOUBLE) AS y, l_quantity/10 AS z, l_discount+l_extendedprice/10000000 AS intensity FROM lineitem""",
     "sweeps": """SELECT user_id AS drive_id, event_id AS pt_id, event_id % 66 AS frame_id, value/10 AS x,
  CAST((event_id % 41) - 20 AS DOUBLE) AS y, (event_id % 7)*CAST(0.3 AS DOUBLE) - CAST(1.0 AS DOUBLE) AS z, value/600 AS intensity FROM events""",
     "poses": """SELECT user_id AS drive_id, frame_id, event_id, ts, frame_id*CAST(8 AS DOUBLE) AS x, value/5+100 AS y,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,6 +40,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so a lost executor costs no replay of the loop."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage by writing a table under the shared checkpoint folder and reading it back.
+
+    Unlike RDD checkpoints this computes the plan once, and a lost executor costs no replay.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/wayfold-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
