@@ -9,10 +9,10 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import pandas_udf
 
-XY = "array<struct<x:double,y:double>>"
+XY = T.ArrayType(T.StructType([T.StructField("x", T.DoubleType()), T.StructField("y", T.DoubleType())]))
 
 
 def xy(x, y) -> Column:
@@ -221,7 +221,7 @@ def min_rect(points: np.ndarray) -> tuple[float, float, float, float, float]:
     return float(max(du, dv)), float(min(du, dv)), float(0.0 if deg > 180 - 1e-9 else deg), float(cx), float(cy)
 
 
-RECT = "struct<rect_l:double,rect_w:double,angle:double,cx:double,cy:double>"
+RECT = T.StructType([T.StructField(n, T.DoubleType()) for n in ("rect_l", "rect_w", "angle", "cx", "cy")])
 
 
 def _verts(cell) -> np.ndarray:
@@ -264,7 +264,7 @@ def clip_area(a: np.ndarray, b: np.ndarray) -> float:
     return float(abs(np.sum(out[:, 0] * np.roll(out[:, 1], -1) - np.roll(out[:, 0], -1) * out[:, 1])) / 2)
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def convex_overlap_area(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([clip_area(_verts(p)[:-1], _verts(q)[:-1]) for p, q in zip(a, b)], dtype=float)
 

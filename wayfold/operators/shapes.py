@@ -13,12 +13,21 @@ from wayfold.operators.grid import floor_div
 
 
 def rasterise(shapes: DataFrame, key: str, ring: str, res: float, by: Sequence[str] = ()) -> DataFrame:
-    """Cells whose centre lies inside each ring: (by, key, ix, iy). Copies of a ring are rasterised once per row."""
+    """Cells whose centre lies inside each ring: (by, key, ix, iy).
+
+    Works by scan line: every cell row of a shape gets its sorted edge crossings, and the cells
+    between each pair of crossings follow as a range.
+    """
     b = shapes.select(*by, key, ring, E.bbox(F.col(ring)).alias("_b"))
-    seq = lambda lo, hi: F.explode(F.sequence(floor_div(F.col("_b")[lo], res), floor_div(F.col("_b")[hi], res)))
-    g = b.select("*", seq("minx", "maxx").alias("ix")).select("*", seq("miny", "maxy").alias("iy"))
-    mid = lambda c: (F.col(c) + 0.5) * F.lit(res)
-    return g.filter(E.in_ring(F.col(ring), mid("ix"), mid("iy"))).select(*by, key, "ix", "iy")
+    rows = F.explode(F.sequence(floor_div(F.col("_b.miny"), res), floor_div(F.col("_b.maxy"), res))).alias("iy")
+    y = (F.col("iy") + 0.5) * F.lit(res)
+    cross = E.pairs(F.col(ring), lambda a, b_: F.when((a["y"] > y) != (b_["y"] > y), (b_["x"] - a["x"]) * (y - a["y"]) / (b_["y"] - a["y"]) + a["x"]))
+    g = b.select("*", rows).select(*by, key, "iy", F.array_sort(F.array_compact(cross)).alias("_x")).filter(F.size("_x") >= 2)
+    first = lambda v: F.ceil(v / res - 0.5).cast("long")
+    spans = F.transform(F.sequence(F.lit(0), F.floor(F.size("_x") / 2).cast("int") - 1),
+                        lambda i: F.struct(first(F.get("_x", 2 * i)).alias("a"), (first(F.get("_x", 2 * i + 1)) - 1).alias("b")))
+    g = g.select(*by, key, "iy", F.explode(spans).alias("_s")).filter("_s.a <= _s.b")
+    return g.select(*by, key, F.explode(F.sequence("_s.a", "_s.b")).alias("ix"), "iy")
 
 
 def hull_of(points: DataFrame, by: Sequence[str], salts: int = 32) -> DataFrame:

@@ -121,16 +121,16 @@ def trip(c):
 
 
 def sample_sql(n, d):
-    return f"""{LINE}, sp AS (SELECT l.drive_id, UNNEST(range({n})) AS i, {d} AS d, len FROM ln l WHERE len>0), at AS (SELECT p.drive_id, p.i, x+(nx-x)*(p.i*p.d-s)/(ns-s) AS sx, y+(ny-y)*(p.i*p.d-s)/(ns-s) AS sy, row_number() OVER (PARTITION BY p.drive_id, p.i ORDER BY s DESC) AS r
+    return f"""{LINE}, sp AS (SELECT l.drive_id, UNNEST(range({n})) AS i, {d} AS d, len FROM ln l WHERE len>0), pts AS (SELECT p.drive_id, p.i, x+(nx-x)*(p.i*p.d-s)/(ns-s) AS sx, y+(ny-y)*(p.i*p.d-s)/(ns-s) AS sy, row_number() OVER (PARTITION BY p.drive_id, p.i ORDER BY s DESC) AS r
  FROM sp p JOIN sg ON sg.drive_id=p.drive_id AND ns>s AND p.i*p.d>=s-1e-9 AND (p.i*p.d<ns OR (p.i*p.d<=ns+1e-9)))"""
 
 
-@query("e12_line_samples", f"""WITH {sample_sql("greatest(2,CAST(ceil(len/25) AS BIGINT)+1)", "len/(greatest(2,CAST(ceil(len/25) AS BIGINT)+1)-1)")} SELECT drive_id, i, round(sx,5) AS x, round(sy,5) AS y FROM at WHERE r=1""")
+@query("e12_line_samples", f"""WITH {sample_sql("greatest(2,CAST(ceil(len/25) AS BIGINT)+1)", "len/(greatest(2,CAST(ceil(len/25) AS BIGINT)+1)-1)")} SELECT drive_id, i, round(sx,5) AS x, round(sy,5) AS y FROM pts WHERE r=1""")
 def _(c):
     return L.sample(trip(c), ["drive_id"], "idx", 25.0).select("drive_id", "i", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
 
 
-@query("e12_line_samples_whole_steps", f"""WITH {sample_sql("CAST(floor(len/25) AS BIGINT)+1", "CAST(25 AS DOUBLE)")} SELECT drive_id, i, round(sx,5) AS x, round(sy,5) AS y FROM at WHERE r=1""")
+@query("e12_line_samples_whole_steps", f"""WITH {sample_sql("CAST(floor(len/25) AS BIGINT)+1", "CAST(25 AS DOUBLE)")} SELECT drive_id, i, round(sx,5) AS x, round(sy,5) AS y FROM pts WHERE r=1""")
 def _(c):
     return L.sample(trip(c), ["drive_id"], "idx", 25.0, whole_steps=True).select("drive_id", "i", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
 
@@ -183,12 +183,11 @@ def _(c):
     return G.with_cell(p, 10.0).select("drive_id", "ix", "iy").distinct()
 
 
-@query("e21_road_clip", f"""WITH {CELLSET}, rd AS (SELECT DISTINCT CAST(floor(x/0.5) AS BIGINT)//4 AS ix, CAST(floor(y/0.5) AS BIGINT)//4 AS iy FROM points), r AS (SELECT cs.cand_id, avg(CASE WHEN rd.ix IS NULL THEN 0.0 ELSE 1.0 END) AS ratio FROM cs LEFT JOIN rd ON rd.ix=cs.ix//4 AND rd.iy=cs.iy//4 GROUP BY 1)
+@query("e21_road_clip", f"""WITH {CELLSET}, rd AS (SELECT DISTINCT CAST(floor(x/2.0) AS BIGINT) AS ix, CAST(floor(y/2.0) AS BIGINT) AS iy FROM points), r AS (SELECT cs.cand_id, avg(CASE WHEN rd.ix IS NULL THEN 0.0 ELSE 1.0 END) AS ratio FROM cs LEFT JOIN rd ON rd.ix=CAST(floor(cs.ix/4.0) AS BIGINT) AND rd.iy=CAST(floor(cs.iy/4.0) AS BIGINT) GROUP BY 1)
  SELECT cand_id, round(ratio,6) AS ratio FROM r WHERE ratio>=0.3117""")
 def _(c):
     cs = S.rasterise(c.candidates.withColumn("ring", RING), "cand_id", "ring", 0.5)
-    road = c.points.select(F.expr("cast(floor(x / 0.5D) as bigint) div 4").alias("jx"), F.expr("cast(floor(y / 0.5D) as bigint) div 4").alias("jy")).distinct().withColumn("r", F.lit(1.0))
-    # cells south of zero: floor division on both sides
+    road = c.points.select(G.floor_div(C("x"), 2.0).alias("jx"), G.floor_div(C("y"), 2.0).alias("jy")).distinct().withColumn("r", F.lit(1.0))
     j = cs.withColumn("jx", F.floor(C("ix") / 4)).withColumn("jy", F.floor(C("iy") / 4)).join(road, ["jx", "jy"], "left")
     return j.groupBy("cand_id").agg(F.avg(F.coalesce("r", F.lit(0.0))).alias("ratio")).filter("ratio >= 0.3117")
 
