@@ -207,42 +207,61 @@ def min_rect(points: np.ndarray) -> tuple[float, float, float, float, float]:
     h = hull(points)
     if len(h) < 2:
         return 0.0, 0.0, 0.0, float(h[0, 0]), float(h[0, 1])
-    e = np.diff(np.vstack([h, h[:1]]), axis=0)
-    best = None
-    for a in np.arctan2(e[:, 1], e[:, 0]):
-        c, s = np.cos(a), np.sin(a)
-        u, v = h[:, 0] * c + h[:, 1] * s, -h[:, 0] * s + h[:, 1] * c
-        du, dv = np.ptp(u), np.ptp(v)
-        if best is None or du * dv < best[0] - 1e-9:
-            mu, mv = (u.max() + u.min()) / 2, (v.max() + v.min()) / 2
-            best = (du * dv, du, dv, a, mu * c - mv * s, mu * s + mv * c)
-    _, du, dv, a, cx, cy = best
-    deg = np.degrees(a if du >= dv else a + np.pi / 2) % 180.0
-    return float(max(du, dv)), float(min(du, dv)), float(0.0 if deg > 180 - 1e-9 else deg), float(cx), float(cy)
+    e = np.roll(h, -1, axis=0) - h
+    a = np.arctan2(e[:, 1], e[:, 0])
+    c, s = np.cos(a), np.sin(a)
+    # every edge direction at once: one row per edge, one column per vertex
+    u = np.outer(c, h[:, 0]) + np.outer(s, h[:, 1])
+    v = np.outer(c, h[:, 1]) - np.outer(s, h[:, 0])
+    u0, u1, v0, v1 = u.min(1), u.max(1), v.min(1), v.max(1)
+    k = int(np.argmin(np.round((u1 - u0) * (v1 - v0), 9)))
+    du, dv, mu, mv = u1[k] - u0[k], v1[k] - v0[k], (u1[k] + u0[k]) / 2, (v1[k] + v0[k]) / 2
+    deg = np.degrees(a[k] if du >= dv else a[k] + np.pi / 2) % 180.0
+    return (float(max(du, dv)), float(min(du, dv)), float(0.0 if deg > 180 - 1e-9 else deg),
+            float(mu * c[k] - mv * s[k]), float(mu * s[k] + mv * c[k]))
 
 
 RECT = T.StructType([T.StructField(n, T.DoubleType()) for n in ("rect_l", "rect_w", "angle", "cx", "cy")])
 
 
-def _verts(cell) -> np.ndarray:
-    return np.array([(p["x"], p["y"]) for p in cell], dtype=float)
+def flat(v: Column) -> Column:
+    """Vertices as one array of doubles: Arrow hands it to NumPy without per-vertex objects."""
+    return F.flatten(F.transform(v, lambda p: F.array(p["x"], p["y"])))
+
+
+def _col(v) -> Column:
+    return F.col(v) if isinstance(v, str) else v
+
+
+def _xy_list(h: np.ndarray) -> list[dict]:
+    return [{"x": float(a), "y": float(b)} for a, b in h]
 
 
 @pandas_udf(RECT)
-def rotated_rect(v: pd.Series) -> pd.DataFrame:
-    rows = [min_rect(_verts(c)) if c is not None and len(c) else (None,) * 5 for c in v]
+def _rect_udf(v: pd.Series) -> pd.DataFrame:
+    rows = [min_rect(c.reshape(-1, 2)) if c is not None and len(c) else (None,) * 5 for c in v]
     return pd.DataFrame(rows, columns=["rect_l", "rect_w", "angle", "cx", "cy"])
 
 
+def rotated_rect(v) -> Column:
+    """Minimum rotated rectangle of the vertices."""
+    return _rect_udf(flat(_col(v)))
+
+
 @pandas_udf(XY)
-def convex_hull(v: pd.Series) -> pd.Series:
+def _hull_udf(v: pd.Series) -> pd.Series:
     def one(c):
-        h = hull(_verts(c))
-        return [{"x": float(a), "y": float(b)} for a, b in np.vstack([h, h[:1]])]
+        h = hull(c.reshape(-1, 2))
+        return _xy_list(np.vstack([h, h[:1]]))
 
     return v.map(lambda c: one(c) if c is not None and len(c) else None)
 
 
+def convex_hull(v) -> Column:
+    """Closed ring of the convex hull."""
+    return _hull_udf(flat(_col(v)))
+
+
 def clip_area(a: np.ndarray, b: np.ndarray) -> float:
     """Area of the intersection of two convex rings (half-plane clipping of a by every edge of b)."""
     orient = lambda r: r if np.sum(r[:, 0] * np.roll(r[:, 1], -1) - np.roll(r[:, 0], -1) * r[:, 1]) >= 0 else r[::-1]
@@ -265,8 +284,12 @@ def clip_area(a: np.ndarray, b: np.ndarray) -> float:
 
 
 @pandas_udf(T.DoubleType())
-def convex_overlap_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([clip_area(_verts(p)[:-1], _verts(q)[:-1]) for p, q in zip(a, b)], dtype=float)
+def _clip_udf(a: pd.Series, b: pd.Series) -> pd.Series:
+    return pd.Series([clip_area(p.reshape(-1, 2)[:-1], q.reshape(-1, 2)[:-1]) for p, q in zip(a, b)], dtype=float)
+
+
+def convex_overlap_area(a, b) -> Column:
+    return _clip_udf(flat(_col(a)), flat(_col(b)))
 
 
 def thin_line(v: np.ndarray, tol: float) -> np.ndarray:
@@ -291,5 +314,9 @@ def thin_line(v: np.ndarray, tol: float) -> np.ndarray:
 
 
 @pandas_udf(XY)
-def simplify(v: pd.Series, tol: pd.Series) -> pd.Series:
-    return pd.Series([[{"x": float(a), "y": float(b)} for a, b in thin_line(_verts(c), float(t))] for c, t in zip(v, tol)])
+def _thin_udf(v: pd.Series, tol: pd.Series) -> pd.Series:
+    return pd.Series([_xy_list(thin_line(c.reshape(-1, 2), float(t))) for c, t in zip(v, tol)])
+
+
+def simplify(v, tol: Column) -> Column:
+    return _thin_udf(flat(_col(v)), tol)

@@ -46,15 +46,16 @@ def cell_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mapping
     )
 
 
-def rank_auc(df: DataFrame, score: str, label: str, width: float) -> DataFrame:
-    """ROC-AUC with tie-averaged ranks (Mann-Whitney) from value counts; 0.5 if a class is empty."""
-    h = df.filter(F.col(score).isNotNull()).groupBy(F.col(score).alias("_s")).agg(
+def rank_auc(df: DataFrame, keys: Sequence[str], score: str, label: str, width: float) -> DataFrame:
+    """ROC-AUC per key with tie-averaged ranks (Mann-Whitney) from value counts; 0.5 if a class is empty."""
+    keys = list(keys)
+    h = df.filter(F.col(score).isNotNull()).groupBy(*keys, F.col(score).alias("_s")).agg(
         F.count(F.lit(1)).alias("_c"), F.sum(F.col(label).cast("long")).alias("_p"))
-    h = running_sum(h, [], ["_s"], F.floor(F.col("_s") / width), F.col("_c"), "_cum")
+    h = running_sum(h, keys, ["_s"], F.floor(F.col("_s") / width), F.col("_c"), "_cum")
     mean_rank = F.col("_cum") - (F.col("_c") - 1) / F.lit(2.0)
-    s = h.agg(F.sum("_p").alias("n_pos"), F.sum(F.col("_c") - F.col("_p")).alias("n_neg"), F.sum(mean_rank * F.col("_p")).alias("r"))
+    s = h.groupBy(*keys).agg(F.sum("_p").alias("n_pos"), F.sum(F.col("_c") - F.col("_p")).alias("n_neg"), F.sum(mean_rank * F.col("_p")).alias("r"))
     np_, nn = F.col("n_pos"), F.col("n_neg")
-    return s.select("n_pos", "n_neg", F.when((np_ == 0) | (nn == 0), 0.5).otherwise(
+    return s.select(*keys, "n_pos", "n_neg", F.when((np_ == 0) | (nn == 0), 0.5).otherwise(
         (F.col("r") - np_ * (np_ + 1) * 0.5) / (np_ * nn)).alias("auc"))
 
 

@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.functions import geometry as E
@@ -30,32 +28,23 @@ def rasterise(shapes: DataFrame, key: str, ring: str, res: float, by: Sequence[s
     return g.select(*by, key, F.explode(F.sequence("_s.a", "_s.b")).alias("ix"), "iy")
 
 
-def hull_of(points: DataFrame, by: Sequence[str], salts: int = 32) -> DataFrame:
-    """Convex hull ring per key in three steps: per Arrow batch, per (key, salt), per key.
+def hull_of(points: DataFrame, by: Sequence[str], bucket: int = 4096) -> DataFrame:
+    """Convex hull ring per key.
 
-    Every step keeps hull vertices only, so even a key with a third of all rows reaches the last
-    step as a few small arrays.
+    Only the lowest and highest point of every distinct x can be hull vertices, so the first cut is
+    a plain aggregate. Keys that still hold more than ``bucket`` points are split into salted
+    buckets whose hulls are merged, so no task sees a large group.
     """
     by = list(by)
-    flat = points.select(*by, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
-
-    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for key, g in pdf.groupby(by, sort=False, dropna=False):
-                h = E.hull(g[["x", "y"]].to_numpy())
-                d = pd.DataFrame(h, columns=["x", "y"])
-                for n, v in zip(by, key if isinstance(key, tuple) else (key,)):
-                    d[n] = v
-                out.append(d)
-            if out:
-                yield pd.concat(out)[by + ["x", "y"]]
-
-    part = flat.mapInPandas(shrink, flat.schema)
-    salt = F.pmod(F.xxhash64("x", "y"), F.lit(salts)).alias("_s")
-    mid = part.select("*", salt).groupBy(*by, "_s").agg(F.collect_list(E.xy(F.col("x"), F.col("y"))).alias("v"))
-    ring = mid.select(*by, E.convex_hull("v").alias("v")).groupBy(*by).agg(F.flatten(F.collect_list("v")).alias("v"))
-    return ring.select(*by, E.convex_hull("v").alias("hull"))
+    col = points.groupBy(*by, "x").agg(F.min("y").alias("_a"), F.max("y").alias("_b"))
+    cut = col.select(*by, "x", F.explode(F.array_distinct(F.array("_a", "_b"))).alias("y"))
+    size = cut.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    salt = F.pmod(F.xxhash64("x", "y"), F.ceil(F.col("_n") / bucket)).alias("_s")
+    vert = F.collect_list(E.xy(F.col("x"), F.col("y"))).alias("v")
+    mid = cut.join(size, by).select(*by, salt, "x", "y", (F.col("_n") > bucket).alias("_big")).groupBy(*by, "_s", "_big").agg(vert)
+    small = mid.filter("not _big").select(*by, "v")
+    big = mid.filter("_big").select(*by, E.convex_hull("v").alias("v")).groupBy(*by).agg(F.flatten(F.collect_list("v")).alias("v"))
+    return small.unionByName(big).select(*by, E.convex_hull("v").alias("hull"))
 
 
 def direction(points: DataFrame, by: Sequence[str]) -> DataFrame:
