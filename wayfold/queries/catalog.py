@@ -105,7 +105,7 @@ class Catalog:
             (C("o_orderkey") * D(0.5)).alias("x"), ((C("o_custkey") % 200) * D(1)).alias("y"),
             (C("o_orderkey") % 9 + D(2)).alias("rect_l"), (C("o_custkey") % 4 + D(1)).alias("rect_w"),
             ((C("o_orderkey") * 7 + C("o_custkey")) % 180 * D(1)).alias("angle"),
-            (C("o_totalprice") / 500000).alias("conf"), C("o_orderpriority").alias("class"), C("o_orderstatus").alias("model"),
+            (C("o_totalprice") / 500009).alias("conf"), C("o_orderpriority").alias("class"), C("o_orderstatus").alias("model"),
             ((C("o_custkey") % 10) / D(10)).alias("rectangularity"),
         )
 
@@ -124,9 +124,9 @@ class Catalog:
         """Measured geometry runs per (drive, arm, window) for gates and scores."""
         return self.orders.select(
             C("o_custkey").alias("drive_id"), C("o_orderpriority").alias("arm"), C("o_orderkey").alias("window_id"),
-            (C("o_totalprice") / 500000).alias("c_ratio"), (C("o_orderkey") % 100 / D(100)).alias("b_rough"),
+            (C("o_totalprice") / 500009).alias("c_ratio"), (C("o_orderkey") % 100 / D(100)).alias("b_rough"),
             (C("o_orderkey") % 11 * D(1)).alias("dangling_per_km"), (C("o_custkey") % 5 / D(50)).alias("conflict_rate"),
-            F.expr("o_orderkey % 7").alias("n_intersections"), (C("o_totalprice") / 100).alias("line_len"),
+            F.expr("o_orderkey % 7").alias("n_intersections"), (C("o_totalprice") / F.lit(99.7)).alias("line_len"),
         )
 
     @cached_property
@@ -164,13 +164,13 @@ VIEWS = {
  CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)""",
     "candidates": """SELECT o_orderkey AS cand_id, o_custkey % 8 AS drive_id, o_orderkey // 10 AS frame_id, o_orderkey*CAST(0.5 AS DOUBLE) AS x,
  (o_custkey % 200)*CAST(1 AS DOUBLE) AS y, (o_orderkey % 9)+CAST(2 AS DOUBLE) AS rect_l, (o_custkey % 4)+CAST(1 AS DOUBLE) AS rect_w,
- CAST((o_orderkey*7+o_custkey) % 180 AS DOUBLE) AS angle, o_totalprice/500000 AS conf, o_orderpriority AS class, o_orderstatus AS model,
+ CAST((o_orderkey*7+o_custkey) % 180 AS DOUBLE) AS angle, o_totalprice/500009 AS conf, o_orderpriority AS class, o_orderstatus AS model,
  (o_custkey % 10)/CAST(10 AS DOUBLE) AS rectangularity FROM orders""",
     "edges": """SELECT o_orderkey AS edge_id, o_orderkey AS from_node, CASE WHEN o_custkey % 3 = 0 THEN o_orderkey ELSE o_orderkey+1+o_custkey % 3 END AS to_node,
  o_totalprice/50000+5 AS length_m, o_custkey % 8 AS drive_id, o_orderpriority AS highway FROM orders""",
-    "runs": """SELECT o_custkey AS drive_id, o_orderpriority AS arm, o_orderkey AS window_id, o_totalprice/500000 AS c_ratio,
+    "runs": """SELECT o_custkey AS drive_id, o_orderpriority AS arm, o_orderkey AS window_id, o_totalprice/500009 AS c_ratio,
  (o_orderkey % 100)/CAST(100 AS DOUBLE) AS b_rough, (o_orderkey % 11)*CAST(1 AS DOUBLE) AS dangling_per_km, (o_custkey % 5)/CAST(50 AS DOUBLE) AS conflict_rate,
- o_orderkey % 7 AS n_intersections, o_totalprice/100 AS line_len FROM orders""",
+ o_orderkey % 7 AS n_intersections, o_totalprice/CAST(99.7 AS DOUBLE) AS line_len FROM orders""",
     "priors": """SELECT s_suppkey AS prior_id, s_suppkey*CAST(5 AS DOUBLE) AS minx, s_nationkey*CAST(8 AS DOUBLE) AS miny,
  s_suppkey*CAST(5 AS DOUBLE)+12+s_nationkey AS maxx, s_nationkey*CAST(8 AS DOUBLE)+40 AS maxy, s_acctbal AS quality FROM supplier""",
 }

@@ -10,7 +10,8 @@ from wayfold.queries.q_e_geometry import LINE, model_pairs
 from wayfold.queries.q_p_scalars import CX, CY, FX, HEIGHT, P_RECT, PIX, WIDTH, posed, rectified
 from wayfold.functions import transforms as T
 
-N = F.count(F.lit(1))
+def N():
+    return F.count(F.lit(1))
 
 
 @query("a01_extent_and_intensity", """SELECT drive_id, round(min(x),6) minx, round(max(x),6) maxx, round(min(y),6) miny, round(max(y),6) maxy, round(min(z),6) minz, round(max(z),6) maxz, round(min(intensity),6) i_min, round(avg(intensity),6) i_mean, round(max(intensity),6) i_max,
@@ -51,20 +52,20 @@ def _(c):
 
 @query("a06_instances_per_frame", """WITH f AS (SELECT class, frame_id, count(*) AS k FROM detections GROUP BY ALL) SELECT class, count(*) n, round(quantile_cont(k,0.5),6) p50, round(quantile_cont(k,0.9),6) p90, max(k) AS top FROM f GROUP BY 1""")
 def _(c):
-    f = c.detections.groupBy("class", "frame_id").agg(N.alias("k"))
+    f = c.detections.groupBy("class", "frame_id").agg(N().alias("k"))
     return exact_percentiles(f, ["class"], "k", {"p50": .5, "p90": .9}, 64.0).join(f.groupBy("class").agg(F.max("k").alias("top")), "class")
 
 
 @query("a07_weak_ratio_rollup", """SELECT drive_id, kind, count(*) n, count(*) FILTER (geom_ok=0) AS weak, round(count(*) FILTER (geom_ok=0)/CAST(count(*) AS DOUBLE),6) AS weak_ratio, count(*) FILTER (geom_ok=0 AND proj_method='plane') AS weak_plane FROM trace GROUP BY ROLLUP (drive_id, kind)""")
 def _(c):
     weak = C("geom_ok") == 0
-    return c.trace.rollup("drive_id", "kind").agg(N.alias("n"), F.count_if(weak).alias("weak"), (F.count_if(weak) / N).alias("weak_ratio"), F.count_if(weak & (C("proj_method") == "plane")).alias("weak_plane"))
+    return c.trace.rollup("drive_id", "kind").agg(N().alias("n"), F.count_if(weak).alias("weak"), (F.count_if(weak) / N()).alias("weak_ratio"), F.count_if(weak & (C("proj_method") == "plane")).alias("weak_plane"))
 
 
 @query("a08_frames_hit_histogram", """WITH t AS (SELECT drive_id, kind, count(DISTINCT frame_id//50) AS h FROM trace GROUP BY ALL) SELECT kind, CASE WHEN h<=1 THEN '1' WHEN h<=3 THEN '2-3' WHEN h<=7 THEN '4-7' WHEN h<=15 THEN '8-15' ELSE '16+' END AS bucket, count(*) n FROM t GROUP BY ALL""")
 def _(c):
-    t = c.trace.select("drive_id", "kind", F.expr("frame_id div 50").alias("f")).distinct().groupBy("drive_id", "kind").agg(N.alias("h"))
-    return t.groupBy("kind", A.frames_hit_bucket(C("h")).alias("bucket")).agg(N.alias("n"))
+    t = c.trace.select("drive_id", "kind", F.expr("frame_id div 50").alias("f")).distinct().groupBy("drive_id", "kind").agg(N().alias("h"))
+    return t.groupBy("kind", A.frames_hit_bucket(C("h")).alias("bucket")).agg(N().alias("n"))
 
 
 @query("a09_track_stability", """WITH o AS (SELECT drive_id AS track, event_id//7 AS f, min({'x': x, 'y': y}) AS p FROM poses GROUP BY ALL), g AS (SELECT track, f, p.x AS x, p.y AS y, f-lag(f) OVER w AS gap, sqrt(pow(p.x-lag(p.x) OVER w,2)+pow(p.y-lag(p.y) OVER w,2)) AS mv FROM o WINDOW w AS (PARTITION BY track ORDER BY f))
@@ -98,7 +99,7 @@ def fail_types(c):
  SELECT fail_type, count(*) n, round(count(*)/CAST((SELECT count(*) FROM ft) AS DOUBLE),6) ratio, round(quantile_cont(iou_bbox,0.5),6) iou_p50, string_agg(CAST(frame_id AS VARCHAR), ';' ORDER BY r) FILTER (r<=5) AS rep_frames FROM r GROUP BY 1""")
 def _(c):
     f = fail_types(c)
-    tot = f.agg(N.alias("t"))  # one row
+    tot = f.agg(N().alias("t"))  # one row
     rep = top_per_group(f, ["fail_type"], [C("iou_bbox"), F.desc("points_support"), C("frame_id")], 5)
     rep = rep.groupBy("fail_type").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "frame_id"))), lambda s: s["frame_id"].cast("string")), ";").alias("rep_frames"))
     q = exact_percentiles(f, ["fail_type"], "iou_bbox", {"iou_p50": .5}, 0.01)
@@ -110,7 +111,7 @@ def _(c):
 def _(c):
     a = C("n_intersections")
     cnt = lambda cond, n: F.count_if(cond).alias(n)
-    return c.runs.rollup("drive_id").agg(N.alias("n"), cnt(a == 0, "arms_0"), cnt(a == 1, "arms_1"), cnt(a == 2, "arms_2"), cnt(a >= 3, "arms_3p"), (F.count_if(a >= 3) / N).alias("ge3_ratio"), cnt(C("dangling_per_km") > 7, "weak"))
+    return c.runs.rollup("drive_id").agg(N().alias("n"), cnt(a == 0, "arms_0"), cnt(a == 1, "arms_1"), cnt(a == 2, "arms_2"), cnt(a >= 3, "arms_3p"), (F.count_if(a >= 3) / N()).alias("ge3_ratio"), cnt(C("dangling_per_km") > 7, "weak"))
 
 
 @query("a13_discrete_percentiles", """WITH s AS (SELECT drive_id, c_ratio, row_number() OVER (PARTITION BY drive_id ORDER BY c_ratio)-1 AS r, count(*) OVER (PARTITION BY drive_id) AS n FROM runs)
@@ -132,9 +133,9 @@ def _(c):
 @query("a15_dataset_coverage", """WITH t AS (SELECT user_id d, count(*) l, count(*) FILTER (event_type IN ('click','view')) i, count(*) FILTER (value>30) p FROM events GROUP BY 1)
  SELECT count(*) drive_count, CAST(sum(l) AS BIGINT) total_lidar, CAST(sum(i) AS BIGINT) total_img_any, CAST(sum(p) AS BIGINT) total_pose, round_even(sum(i)/CAST(sum(l) AS DOUBLE),4) image_coverage, round_even(sum(p)/CAST(sum(l) AS DOUBLE),4) pose_coverage, count(*) FILTER (p<28) AS low_pose_drives FROM t""")
 def _(c):
-    t = c.events.groupBy("user_id").agg(N.alias("l"), F.count_if(C("event_type").isin("click", "view")).alias("i"), F.count_if(C("value") > 30).alias("p"))
+    t = c.events.groupBy("user_id").agg(N().alias("l"), F.count_if(C("event_type").isin("click", "view")).alias("i"), F.count_if(C("value") > 30).alias("p"))
     s = lambda k: F.sum(k)
-    return t.agg(N.alias("drive_count"), s("l").alias("total_lidar"), s("i").alias("total_img_any"), s("p").alias("total_pose"),
+    return t.agg(N().alias("drive_count"), s("l").alias("total_lidar"), s("i").alias("total_img_any"), s("p").alias("total_pose"),
                  F.bround(s("i") / s("l"), 4).alias("image_coverage"), F.bround(s("p") / s("l"), 4).alias("pose_coverage"), F.count_if(C("p") < 28).alias("low_pose_drives"))
 
 
@@ -145,7 +146,7 @@ def _(c):
 
 @query("a16_counts_per_drive", """WITH n AS (SELECT drive_id, count(*) k FROM poses GROUP BY 1) SELECT min(k) AS lo, median(k) AS median, max(k) AS hi FROM n""")
 def _(c):
-    n = c.poses.groupBy("drive_id").agg(N.alias("k"))
+    n = c.poses.groupBy("drive_id").agg(N().alias("k"))
     q = exact_percentiles(n, [], "k", {"median": .5}, 64.0)
     return n.agg(F.min("k").alias("lo"), F.max("k").alias("hi")).crossJoin(F.broadcast(q.select("median")))
 
@@ -160,19 +161,19 @@ def _(c):
 @query("a18_highway_counts", "SELECT h AS highway, count(*) n FROM (SELECT UNNEST(CASE WHEN edge_id%3=0 THEN [lower(highway),'service'] ELSE [lower(highway)] END) AS h FROM edges) GROUP BY 1")
 def _(c):
     h = F.when(C("edge_id") % 3 == 0, F.array(F.lower("highway"), F.lit("service"))).otherwise(F.array(F.lower("highway")))
-    return c.edges.select(F.explode(h).alias("highway")).groupBy("highway").agg(N.alias("n"))
+    return c.edges.select(F.explode(h).alias("highway")).groupBy("highway").agg(N().alias("n"))
 
 
 @query("a19_top_reject_reasons", "WITH t AS (SELECT UNNEST(string_split(reject_reasons,',')) AS r FROM trace WHERE reject_reasons<>'') SELECT r AS reason, count(*) n FROM t GROUP BY 1 ORDER BY n DESC, r LIMIT 2")
 def _(c):
     t = c.trace.select(F.explode(R.tokens(C("reject_reasons"))).alias("reason"))
-    return t.groupBy("reason").agg(N.alias("n")).orderBy(F.desc("n"), "reason").limit(2)
+    return t.groupBy("reason").agg(N().alias("n")).orderBy(F.desc("n"), "reason").limit(2)
 
 
 @query("a20_drift_and_accumulation", """SELECT drive_id, round_even(count(*) FILTER (drift_flag=1)/CAST(count(*) AS DOUBLE),3) AS drift_ratio, round_even(count(*) FILTER (raw_has_crosswalk=1 AND proj_method='lidar' AND fit_source='accum')/CAST(greatest(count(*) FILTER (raw_has_crosswalk=1 AND proj_method='lidar'),1) AS DOUBLE),3) AS accum_ratio FROM trace GROUP BY 1""")
 def _(c):
     base = (C("raw_has_crosswalk") == 1) & (C("proj_method") == "lidar")
-    return c.trace.groupBy("drive_id").agg(F.bround(F.count_if(C("drift_flag") == 1) / N, 3).alias("drift_ratio"),
+    return c.trace.groupBy("drive_id").agg(F.bround(F.count_if(C("drift_flag") == 1) / N(), 3).alias("drift_ratio"),
         F.bround(F.count_if(base & (C("fit_source") == "accum")) / F.greatest(F.count_if(base), F.lit(1)), 3).alias("accum_ratio"))
 
 
@@ -256,7 +257,7 @@ def _(c):
     k = ["drive_id"]
     m = exact_percentiles(o, k, "dx", {"mx": .5}, 4.0).drop("n").join(exact_percentiles(o, k, "dy", {"my": .5}, 4.0).drop("n"), k)
     f = o.join(m, k).groupBy("drive_id", "frame_id").agg(F.max("mx").alias("mx"), F.max("my").alias("my"), F.sqrt(F.avg((C("dx") - C("mx")) ** 2 + (C("dy") - C("my")) ** 2)).alias("r"))
-    return f.groupBy(*k).agg(F.max("mx").alias("dx"), F.max("my").alias("dy"), F.avg("r").alias("rms"), N.alias("frames"))
+    return f.groupBy(*k).agg(F.max("mx").alias("dx"), F.max("my").alias("dy"), F.avg("r").alias("rms"), N().alias("frames"))
 
 
 PLANE = """pl AS (SELECT drive_id, frame_id, avg(x) mx, avg(y) my, avg(z) mz, var_pop(x) xx, var_pop(y) yy, covar_pop(x,y) xy, covar_pop(x,z) xz, covar_pop(y,z) yz FROM points GROUP BY 1,2),
@@ -308,7 +309,7 @@ def _(c):
 @query("a34_density_audit", """WITH t AS (SELECT o_custkey AS run, sum(o_totalprice) AS pts, count(*) FILTER (o_orderstatus='P') AS miss, count(*) AS n FROM orders GROUP BY 1), e AS (SELECT c_custkey AS run, c_acctbal*300 AS expected FROM customer WHERE c_acctbal>0)
  SELECT t.run, round(pts/expected,6) AS points_ratio, round(miss/CAST(n AS DOUBLE),6) AS missing_ratio, CASE WHEN miss/CAST(n AS DOUBLE)>0.1 THEN 'frames dropped' WHEN pts/expected<0.7 THEN 'points dropped' ELSE 'display thinning' END AS verdict FROM t LEFT JOIN e USING (run)""")
 def _(c):
-    t = c.orders.groupBy(C("o_custkey").alias("run")).agg(F.sum("o_totalprice").alias("pts"), (F.count_if(C("o_orderstatus") == "P") / N).alias("missing_ratio"))
+    t = c.orders.groupBy(C("o_custkey").alias("run")).agg(F.sum("o_totalprice").alias("pts"), (F.count_if(C("o_orderstatus") == "P") / N()).alias("missing_ratio"))
     e = c.customer.filter("c_acctbal > 0").select(C("c_custkey").alias("run"), (C("c_acctbal") * 300).alias("expected"))
     d = t.join(e, "run", "left").withColumn("points_ratio", C("pts") / C("expected"))
     v = R.first_reason([("frames dropped", C("missing_ratio") > 0.1), ("points dropped", C("points_ratio") < 0.7)], "display thinning")
@@ -332,7 +333,7 @@ def _(c):
 def _(c):
     o = c.trace.select("drive_id", F.expr("frame_id div 5").alias("f"), (C("frame_id") % 5 - 2).alias("off"), (F.round(C("iou_bbox") * 10000) + C("points_support")).alias("s"))
     b = o.groupBy("drive_id", "f").agg(F.max_by("off", F.struct("s", (-C("off")).alias("o"))).alias("off"))
-    h = b.groupBy("drive_id", "off").agg(N.alias("n"))
+    h = b.groupBy("drive_id", "off").agg(N().alias("n"))
     return h.groupBy("drive_id").agg(F.max_by("off", F.struct("n", (-C("off")).alias("o"))).alias("mode_offset"), F.sum("n").alias("frames"))
 
 
@@ -389,18 +390,18 @@ def _(c):
 def _(c):
     a, s = C("rect_l") * C("rect_w"), C("frame_id") % 9
     tier = F.when((a < 4) | (a > 36), "low").when(s >= 5, "high").when(s >= 3, "med").otherwise("low")
-    return c.candidates.groupBy("drive_id", tier.alias("tier")).agg(N.alias("n"), F.sum(a).alias("area"))
+    return c.candidates.groupBy("drive_id", tier.alias("tier")).agg(N().alias("n"), F.sum(a).alias("area"))
 
 
 @query("a42_distinct_class_ids", "SELECT l_suppkey%8 AS drive_id, count(DISTINCT l_partkey%37) AS n, list_sort(list(DISTINCT l_partkey%37)) AS ids FROM lineitem GROUP BY 1")
 def _(c):
     d = c.lineitem.select((C("l_suppkey") % 8).alias("drive_id"), (C("l_partkey") % 37).alias("id")).distinct()
-    return d.groupBy("drive_id").agg(N.alias("n"), F.array_sort(F.collect_list("id")).alias("ids"))
+    return d.groupBy("drive_id").agg(N().alias("n"), F.array_sort(F.collect_list("id")).alias("ids"))
 
 
 @query("v17_fusion_gates", """WITH b AS (SELECT drive_id, max(intensity) i, min(x) x0, max(x) x1, count(DISTINCT round_even(y,3)) u FROM points GROUP BY 1) SELECT drive_id, i>0.05 AS intensity_ok, x0<x1 AS bbox_ok, u>=100 AS banding_ok, CASE WHEN NOT i>0.05 THEN 'intensity' WHEN NOT x0<x1 THEN 'bbox' WHEN NOT u>=100 THEN 'banding' ELSE 'ok' END AS gate FROM b""")
 def _(c):
     b = c.points.groupBy("drive_id").agg(F.max("intensity").alias("i"), F.min("x").alias("x0"), F.max("x").alias("x1"))
-    u = c.points.select("drive_id", F.bround("y", 3).alias("v")).distinct().groupBy("drive_id").agg(N.alias("u"))
+    u = c.points.select("drive_id", F.bround("y", 3).alias("v")).distinct().groupBy("drive_id").agg(N().alias("u"))
     d = b.join(u, "drive_id").select("drive_id", (C("i") > 0.05).alias("intensity_ok"), (C("x0") < C("x1")).alias("bbox_ok"), (C("u") >= 100).alias("banding_ok"))
     return d.withColumn("gate", R.first_reason([("intensity", ~C("intensity_ok")), ("bbox", ~C("bbox_ok")), ("banding", ~C("banding_ok"))], "ok"))

@@ -6,9 +6,17 @@ from wayfold.functions import geometry as E, records as R
 from wayfold.operators import grid as G, joins as J, lines as L, shapes as S
 from wayfold.queries.catalog import C, query
 
-RING = E.rect_ring(C("x"), C("y"), C("rect_l"), C("rect_w"), C("angle"))
+
+def RING():
+    return E.rect_ring(C("x"), C("y"), C("rect_l"), C("rect_w"), C("angle"))
+
+
 IMG = (1408.0, 376.0)
-DET_BOX = E.make_box(C("x0"), C("y0"), C("x1"), C("y1"))
+
+def DET_BOX():
+    return E.make_box(C("x0"), C("y0"), C("x1"), C("y1"))
+
+
 # SQL: the four corners of a candidate rectangle
 CORNERS = """ang AS (SELECT *, cos(radians(angle)) AS ca, sin(radians(angle)) AS sa FROM candidates), vtx AS (SELECT cand_id, k, x+rect_l*u/2*ca-rect_w*v/2*sa AS vx, y+rect_l*u/2*sa+rect_w*v/2*ca AS vy
  FROM ang, (VALUES (1,-1,-1),(2,1,-1),(3,1,1),(4,-1,1)) AS q(k,u,v))"""
@@ -19,7 +27,7 @@ LINE = """vt AS (SELECT drive_id, frame_id, x, y, lead(x) OVER w AS nx, lead(y)
 
 @query("e01_bbox", f"WITH {CORNERS} SELECT cand_id, round(min(vx),6) AS minx, round(min(vy),6) AS miny, round(max(vx),6) AS maxx, round(max(vy),6) AS maxy, round((min(vx)+max(vx))/2,6)+0.0 AS cx, round((min(vy)+max(vy))/2,6)+0.0 AS cy FROM vtx GROUP BY 1")
 def _(c):
-    return c.candidates.select("cand_id", E.bbox(RING).alias("b")).select("cand_id", "b.*", E.bbox_center(C("b")).alias("m")).select(
+    return c.candidates.select("cand_id", E.bbox(RING()).alias("b")).select("cand_id", "b.*", E.bbox_center(C("b")).alias("m")).select(
         "cand_id", "minx", "miny", "maxx", "maxy", C("m.x").alias("cx"), C("m.y").alias("cy"))
 
 
@@ -28,15 +36,15 @@ def _(c):
  SELECT det_id, ex0, ey0, CASE WHEN ex1<=ex0 THEN ex0+1 ELSE ex1 END AS ex1, CASE WHEN ey1<=ey0 THEN ey0+1 ELSE ey1 END AS ey1,
  round(CASE WHEN sd<=80 THEN x0 ELSE greatest(0,cx-w*k/2) END,6) AS sx0, round(CASE WHEN sd<=80 THEN y0 ELSE greatest(0,cy-h*k/2) END,6) AS sy0, round(CASE WHEN sd<=80 THEN x1 ELSE least(1407,cx+w*k/2) END,6) AS sx1, round(CASE WHEN sd<=80 THEN y1 ELSE least(375,cy+h*k/2) END,6) AS sy1 FROM k""")
 def _(c):
-    d = c.detections.select("det_id", E.expand_box(DET_BOX, 15.0, *IMG).alias("e"), E.shrink_box(DET_BOX, 80.0, *IMG).alias("s"))
+    d = c.detections.select("det_id", E.expand_box(DET_BOX(), 15.0, *IMG).alias("e"), E.shrink_box(DET_BOX(), 80.0, *IMG).alias("s"))
     m = [("minx", "x0"), ("miny", "y0"), ("maxx", "x1"), ("maxy", "y1")]
     return d.select("det_id", *[C(f"{p}.{a}").alias(p + b) for p in "es" for a, b in m])
 
 
 def model_pairs(c):
     """Boxes of the same frame and class from model m0 against models m1 and m2."""
-    a = c.detections.filter("model = 'm0'").select("frame_id", "class", C("det_id").alias("id_a"), DET_BOX.alias("a"))
-    b = c.detections.filter("model <> 'm0'").select("frame_id", "class", C("det_id").alias("id_b"), DET_BOX.alias("b"))
+    a = c.detections.filter("model = 'm0'").select("frame_id", "class", C("det_id").alias("id_a"), DET_BOX().alias("a"))
+    b = c.detections.filter("model <> 'm0'").select("frame_id", "class", C("det_id").alias("id_b"), DET_BOX().alias("b"))
     return a.join(b, ["frame_id", "class"])
 
 
@@ -60,14 +68,14 @@ def _(c):
 @query("e04_area_perimeter_e05_circularity_e06_roughness", """SELECT cand_id, round(rect_l*rect_w,6) AS area, round(2*(rect_l+rect_w),6) AS perimeter, round(4*pi()*rect_l*rect_w/pow(2*(rect_l+rect_w),2),6) AS circularity,
  round(pow(2*(rect_l+rect_w),2)/(rect_l*rect_w),6) AS roughness, 5 AS vertices FROM candidates""")
 def _(c):
-    d = c.candidates.select("cand_id", RING.alias("r")).select("cand_id", E.area(C("r")).alias("area"), E.perimeter(C("r")).alias("perimeter"), F.size("r").alias("vertices"))
+    d = c.candidates.select("cand_id", RING().alias("r")).select("cand_id", E.area(C("r")).alias("area"), E.perimeter(C("r")).alias("perimeter"), F.size("r").alias("vertices"))
     a, p = C("area"), C("perimeter")
     return d.select("cand_id", a, p, E.circularity(a, p).alias("circularity"), E.roughness(a, p).alias("roughness"), "vertices")
 
 
 @query("e07_min_rotated_rect", "SELECT cand_id, round(greatest(rect_l,rect_w),5) AS rect_l, round(least(rect_l,rect_w),5) AS rect_w, round(x,5) AS cx, round(y,5)+0.0 AS cy, round(greatest(rect_l,rect_w)/least(rect_l,rect_w),5) AS aspect, 1.0::DOUBLE AS rectangularity FROM candidates")
 def _(c):
-    d = c.candidates.select("cand_id", RING.alias("r")).select("cand_id", E.area(C("r")).alias("a"), E.rotated_rect("r").alias("m"))
+    d = c.candidates.select("cand_id", RING().alias("r")).select("cand_id", E.area(C("r")).alias("a"), E.rotated_rect("r").alias("m"))
     l, w = C("m.rect_l"), C("m.rect_w")
     vals = {"rect_l": l, "rect_w": w, "cx": C("m.cx"), "cy": C("m.cy") + 0.0, "aspect": F.when(w > 0, l / F.greatest(w, F.lit(1e-6))).otherwise(0.0), "rectangularity": F.when(l * w > 0, C("a") / (l * w)).otherwise(0.0)}
     return d.select("cand_id", *[F.round(v, 5).alias(k) for k, v in vals.items()])
@@ -89,7 +97,7 @@ def _(c):
 
 def ringed(c):
     """Candidates with their ring and bounding box."""
-    d = c.candidates.withColumn("ring", RING).withColumn("b", E.bbox(C("ring")))
+    d = c.candidates.withColumn("ring", RING()).withColumn("b", E.bbox(C("ring")))
     return d.select("cand_id", "model", "class", "drive_id", "ring", C("x").alias("cx"), C("y").alias("cy"), "b.*")
 
 
@@ -152,7 +160,7 @@ def _(c):
 
 def cells_of(c, model, key):
     """0.5 m cells of one model's shapes; shapes with the same vertices are rasterised once."""
-    d = c.candidates.filter(C("model") == model).withColumn("ring", RING)
+    d = c.candidates.filter(C("model") == model).withColumn("ring", RING())
     return S.rasterise(d, "cand_id", "ring", 0.5).withColumnRenamed("cand_id", key)
 
 
@@ -186,7 +194,7 @@ def _(c):
 @query("e21_road_clip", f"""WITH {CELLSET}, rd AS (SELECT DISTINCT CAST(floor(x/2.0) AS BIGINT) AS ix, CAST(floor(y/2.0) AS BIGINT) AS iy FROM points), r AS (SELECT cs.cand_id, avg(CASE WHEN rd.ix IS NULL THEN 0.0 ELSE 1.0 END) AS ratio FROM cs LEFT JOIN rd ON rd.ix=CAST(floor(cs.ix/4.0) AS BIGINT) AND rd.iy=CAST(floor(cs.iy/4.0) AS BIGINT) GROUP BY 1)
  SELECT cand_id, round(ratio,6) AS ratio FROM r WHERE ratio>=0.3117""")
 def _(c):
-    cs = S.rasterise(c.candidates.withColumn("ring", RING), "cand_id", "ring", 0.5)
+    cs = S.rasterise(c.candidates.withColumn("ring", RING()), "cand_id", "ring", 0.5)
     road = c.points.select(G.floor_div(C("x"), 2.0).alias("jx"), G.floor_div(C("y"), 2.0).alias("jy")).distinct().withColumn("r", F.lit(1.0))
     j = cs.withColumn("jx", F.floor(C("ix") / 4)).withColumn("jy", F.floor(C("iy") / 4)).join(road, ["jx", "jy"], "left")
     return j.groupBy("cand_id").agg(F.avg(F.coalesce("r", F.lit(0.0))).alias("ratio")).filter("ratio >= 0.3117")
@@ -194,7 +202,7 @@ def _(c):
 
 @query("e22_ring_signature", "SELECT count(*) AS shapes, count(DISTINCT (x, y, rect_l, rect_w, angle)) AS signatures FROM candidates")
 def _(c):
-    s = c.candidates.select(E.ring_signature(RING).alias("s"))
+    s = c.candidates.select(E.ring_signature(RING()).alias("s"))
     return s.groupBy("s").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n").alias("shapes"), F.count(F.lit(1)).alias("signatures"))
 
 

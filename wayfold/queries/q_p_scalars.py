@@ -32,7 +32,11 @@ def pose12():
     return T.pose_matrix(*[C("p_" + k) for k in ("x", "y", "z", "roll", "pitch", "yaw")])
 
 
-XYZ = [C("x"), C("y"), C("z")]
+
+def XYZ():
+    return [C("x"), C("y"), C("z")]
+
+
 ID = ["drive_id", "frame_id", "pt_id"]
 
 
@@ -48,19 +52,19 @@ def _(c):
 
 @query("p02_full_pose", f"WITH {MAT} SELECT drive_id, frame_id, pt_id, round(a00*x+a01*y+a02*z+px,6) AS wx, round(a10*x+a11*y+a12*z+py,6) AS wy, round(a20*x+a21*y+a22*z+pz,6)+0.0 AS wz FROM rm")
 def _(c):
-    return posed(c).select(*ID, *named(T.apply(pose12(), *XYZ), ["wx", "wy", "wz"]))
+    return posed(c).select(*ID, *named(T.apply(pose12(), *XYZ()), ["wx", "wy", "wz"]))
 
 
 @query("p03_camera_chain", f"""WITH {MAT}, {CAMSQL}, vv AS (SELECT *, rz_+0.27::DOUBLE AS vx, -(rx_-0.05::DOUBLE) AS vy, -(ry_+0.08::DOUBLE) AS vz FROM rct)
  SELECT drive_id, frame_id, pt_id, round(a00*vx+a01*vy+a02*vz+px,6) AS wx, round(a10*vx+a11*vy+a12*vz+py,6) AS wy, round(a20*vx+a21*vy+a22*vz+pz,6)+0.0 AS wz FROM vv""")
 def _(c):
     chain = T.compose(T.compose(T.inverse_rigid(CAM), RECT), CAM)
-    return posed(c).select(*ID, *named(T.apply(T.compose(pose12(), chain), *XYZ), ["wx", "wy", "wz"]))
+    return posed(c).select(*ID, *named(T.apply(T.compose(pose12(), chain), *XYZ()), ["wx", "wy", "wz"]))
 
 
 @query("p04_similarity", f"SELECT drive_id, frame_id, pt_id, round(0.999982*(cos(radians(-0.53))*x-sin(radians(-0.53))*y)+455000,6) AS wx, round(0.999982*(sin(radians(-0.53))*x+cos(radians(-0.53))*y)+5428000,6) AS wy, round(z+116.5,6) AS wz FROM sweeps")
 def _(c):
-    return c.sweeps.select(*ID, *named(T.similarity(*XYZ, 455000.0, 5428000.0, 116.5, -0.53, 0.999982), ["wx", "wy", "wz"]))
+    return c.sweeps.select(*ID, *named(T.similarity(*XYZ(), 455000.0, 5428000.0, 116.5, -0.53, 0.999982), ["wx", "wy", "wz"]))
 
 
 @query("p05_world_inverse", f"""WITH {MAT}, w AS (SELECT *, x+px+3-px AS dx, y+py-2-py AS dy, z+1 AS dz FROM rm)
@@ -73,9 +77,9 @@ def _(c):
 @query("v19_transform_round_trip", "SELECT CAST(count(*) AS BIGINT) AS n, true AS ok FROM sweeps s JOIN poses p ON s.drive_id=p.drive_id AND s.frame_id=p.frame_id")
 def _(c):
     m = pose12()
-    d = posed(c).withColumn("w", F.array(*T.apply(m, *XYZ)))
+    d = posed(c).withColumn("w", F.array(*T.apply(m, *XYZ())))
     back = T.apply(T.inverse_rigid(m), F.get("w", 0), F.get("w", 1), F.get("w", 2))
-    err = F.greatest(*[F.abs(b - v) for b, v in zip(back, XYZ)])
+    err = F.greatest(*[F.abs(b - v) for b, v in zip(back, XYZ())])
     return d.agg(F.count(F.lit(1)).alias("n"), (F.max(err) <= 1e-6).alias("ok"))
 
 
@@ -104,7 +108,7 @@ PIX = f"{MAT}, {CAMSQL}"
 
 
 def rectified():
-    return T.apply(RECT, *T.apply(CAM, *XYZ))
+    return T.apply(RECT, *T.apply(CAM, *XYZ()))
 
 
 @query("p07_project_rect", f"""WITH {PIX}, q AS (SELECT *, rz_ > 1e-6 AS ok, CASE WHEN rz_ > 1e-6 THEN ({FX}*rx_+{CX}*rz_)/rz_ END AS u, CASE WHEN rz_ > 1e-6 THEN ({FX}*ry_+{CY}*rz_)/rz_ END AS v FROM rct)
@@ -124,7 +128,7 @@ def _(c):
  SELECT drive_id, frame_id, pt_id, mode, z3>1e-3 AS valid, round(CASE WHEN z3>1e-3 THEN {FX}*x3/z3+{CX} END,6)+0.0 AS u, round(CASE WHEN z3>1e-3 THEN {FX}*cy_/z3+{CY} END,6)+0.0 AS v FROM z""")
 def _(c):
     mode = F.when(C("pt_id") % 3 == 0, "p_rect").when(C("pt_id") % 3 == 1, "k_rrect").otherwise("k")
-    cam = T.apply(CAM, *XYZ)
+    cam = T.apply(CAM, *XYZ())
     a = T.project_rect(P_RECT, *cam, min_depth=1e-3)
     b = T.project_k(FX, FX, CX, CY, *T.apply(RECT, *cam), y_flip=False, min_depth=1e-3)
     d = T.project_k(FX, FX, CX, CY, *cam, y_flip=False, min_depth=1e-3)
@@ -152,13 +156,21 @@ def rays(c, u=None, v=None):
     return c.detections.join(poses, "det_id").select("det_id", "frame_id", "class", "score", *named([*d, *o], ["d0", "d1", "d2", "o0", "o1", "o2"]))
 
 
-O3, D3 = [C("o0"), C("o1"), C("o2")], [C("d0"), C("d1"), C("d2")]
+
+def O3():
+    return [C("o0"), C("o1"), C("o2")]
+
+
+def D3():
+    return [C("d0"), C("d1"), C("d2")]
+
+
 HIT = "CASE WHEN d2 < -1e-6 AND (-1.7-o2)/d2 > 0 THEN (-1.7-o2)/d2 END"
 
 
 @query("p09_pixel_to_ground", f"WITH {RAY} SELECT det_id, round(o0+{HIT}*d0,4) AS gx, round(o1+{HIT}*d1,4) AS gy FROM ry")
 def _(c):
-    x, y, _ = T.ray_to_plane(O3, D3, -1.7)
+    x, y, _ = T.ray_to_plane(O3(), D3(), -1.7)
     return rays(c).select("det_id", *[F.round(v, 4).alias(n) for v, n in ((x, "gx"), (y, "gy"))])
 
 
@@ -175,13 +187,13 @@ def step_sql(src, dst):
  SELECT det_id, state, round(o0+tf*d0,4) AS gx, round(o1+tf*d1,4) AS gy, round(o2+tf*d2,4)+0.0 AS gz FROM f""")
 def _(c):
     h = G.cell_percentiles(G.with_cell(c.points, 10.0), ["ix", "iy"], "z", {"m": 0.5}).filter("n >= 3").select("ix", "iy", (C("m") / 10 - 1.7).alias("h"))
-    t0 = T.ray_to_plane(O3, D3, -1.7)[2]
+    t0 = T.ray_to_plane(O3(), D3(), -1.7)[2]
     d = rays(c).withColumn("t0", t0).withColumn("t", C("t0")).withColumn("state", F.when(C("t0").isNull(), "miss").otherwise("go"))
     for _ in range(3):
         d = d.withColumn("ix", G.floor_div(C("o0") + C("t") * C("d0"), 10.0)).withColumn("iy", G.floor_div(C("o1") + C("t") * C("d1"), 10.0)).join(h, ["ix", "iy"], "left")
         tn = (C("h") - C("o2")) / C("d2")
         go = C("state") == "go"
-        d = d.select("det_id", *O3, *D3, "t0", F.when(go & C("h").isNotNull(), tn).otherwise(C("t")).alias("t"),
+        d = d.select("det_id", *O3(), *D3(), "t0", F.when(go & C("h").isNotNull(), tn).otherwise(C("t")).alias("t"),
                      F.when(go, F.when(C("h").isNull(), "plane").when(tn <= 0, "miss").otherwise("go")).otherwise(C("state")).alias("state"))
     tf = F.when(C("state") == "go", C("t")).when(C("state") == "plane", C("t0"))
     return d.select("det_id", "state", *[F.round(C(f"o{i}") + tf * C(f"d{i}"), 4).alias(n) for i, n in enumerate(("gx", "gy", "gz"))])
