@@ -21,7 +21,7 @@ def link_sql(nodes, key, cond, prefix=""):
  cc(id, label) USING KEY (id) AS (SELECT {key}, {key} FROM {nodes} UNION SELECT adj.d, min(cc.label) FROM cc JOIN adj ON adj.s=cc.id JOIN recurring.cc AS r ON r.id=adj.d WHERE cc.label < r.label GROUP BY adj.d)"""
 
 
-DIST15 = "a.drive_id=b.drive_id AND abs(a.x-b.x)<=15 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=15"
+DIST15 = "a.drive_id=b.drive_id AND a.x BETWEEN b.x-15 AND b.x+15 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=15"
 
 
 def clustered(c):
@@ -36,7 +36,7 @@ def _(c):
 BX = """bx AS (SELECT *, rect_l/2*abs(cos(radians(angle)))+rect_w/2*abs(sin(radians(angle))) AS hx, rect_l/2*abs(sin(radians(angle)))+rect_w/2*abs(cos(radians(angle))) AS hy FROM candidates),
  cb AS (SELECT *, x-hx AS x0, y-hy AS y0, x+hx AS x1, y+hy AS y1 FROM bx)"""
 PAIR_BOX = """greatest(least(a.x1,b.x1)-greatest(a.x0,b.x0),0)*greatest(least(a.y1,b.y1)-greatest(a.y0,b.y0),0)"""
-G2COND = f"""abs(a.x-b.x)<=12 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=12 AND least(abs(a.angle-b.angle)%180,180-abs(a.angle-b.angle)%180)<=40 AND ({PAIR_BOX} >= 0.2*((a.x1-a.x0)*(a.y1-a.y0)+(b.x1-b.x0)*(b.y1-b.y0)-{PAIR_BOX}) OR sqrt(pow(greatest(a.x0-b.x1,b.x0-a.x1,0),2)+pow(greatest(a.y0-b.y1,b.y0-a.y1,0),2))<=3.0)"""
+G2COND = f"""a.x BETWEEN b.x-12 AND b.x+12 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=12 AND least(abs(a.angle-b.angle)%180,180-abs(a.angle-b.angle)%180)<=40 AND ({PAIR_BOX} >= 0.2*((a.x1-a.x0)*(a.y1-a.y0)+(b.x1-b.x0)*(b.y1-b.y0)-{PAIR_BOX}) OR sqrt(pow(greatest(a.x0-b.x1,b.x0-a.x1,0),2)+pow(greatest(a.y0-b.y1,b.y0-a.y1,0),2))<=3.0)"""
 
 
 def boxed(c):
@@ -60,7 +60,7 @@ def _(c):
     return K.predicate_components(boxed(c), "cand_id", [], 12.0, near_test).select("cand_id", "label")
 
 
-STRIPE = "abs(a.x-b.x)<=9 AND least(abs(a.angle-b.angle)%180,180-abs(a.angle-b.angle)%180)<=25 AND sqrt(pow(greatest(a.x0-b.x1,b.x0-a.x1,0),2)+pow(greatest(a.y0-b.y1,b.y0-a.y1,0),2))<=1.5 AND abs(a.rect_l-b.rect_l)/greatest(a.rect_l,b.rect_l)<=0.6137"
+STRIPE = "a.x BETWEEN b.x-9 AND b.x+9 AND least(abs(a.angle-b.angle)%180,180-abs(a.angle-b.angle)%180)<=25 AND sqrt(pow(greatest(a.x0-b.x1,b.x0-a.x1,0),2)+pow(greatest(a.y0-b.y1,b.y0-a.y1,0),2))<=1.5 AND abs(a.rect_l-b.rect_l)/greatest(a.rect_l,b.rect_l)<=0.6137"
 
 
 def stripe_test(a, b):
@@ -73,7 +73,7 @@ def stripe_clusters(c):
     return K.predicate_components(boxed(c), "cand_id", ["drive_id"], 12.5, stripe_test)
 
 
-STRIPE_SQL = STRIPE.replace("abs(a.x-b.x)<=9", "abs(a.x-b.x)<=12.5")
+STRIPE_SQL = STRIPE.replace("b.x-9 AND b.x+9", "b.x-12.5 AND b.x+12.5")
 
 
 @query("g03_stripe_clusters", f"WITH RECURSIVE {BX}, {link_sql('cb', 'cand_id', 'a.drive_id=b.drive_id AND ' + STRIPE_SQL)} SELECT cand_id, label FROM cb JOIN cc ON cc.id=cand_id")
@@ -136,7 +136,7 @@ def _(c):
     return j.filter("frames >= 2")
 
 
-DB = """nb AS (SELECT a.cand_id, count(*) AS k FROM candidates a JOIN candidates b ON a.drive_id=b.drive_id AND abs(a.x-b.x)<=20 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=20 GROUP BY 1), core AS (SELECT c.* FROM candidates c JOIN nb USING (cand_id) WHERE k>=4)"""
+DB = """nb AS (SELECT a.cand_id, count(*) AS k FROM candidates a JOIN candidates b ON a.drive_id=b.drive_id AND a.x BETWEEN b.x-20 AND b.x+20 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=20 GROUP BY 1), core AS (SELECT c.* FROM candidates c JOIN nb USING (cand_id) WHERE k>=4)"""
 
 
 @query("g06_dbscan", f"""WITH RECURSIVE {DB}, {link_sql('core', 'cand_id', DIST15.replace('15', '20'))}, bd AS (SELECT c.cand_id, min(cc.label) AS label FROM candidates c ANTI JOIN core USING (cand_id) JOIN core k ON k.drive_id=c.drive_id AND abs(k.x-c.x)<=20 AND sqrt(pow(k.x-c.x,2)+pow(k.y-c.y,2))<=20 JOIN cc ON cc.id=k.cand_id GROUP BY 1)
@@ -161,7 +161,7 @@ def _(c):
 
 LINES = """ln AS (SELECT cand_id, drive_id, x, y, angle, rect_l, x-rect_l/2*cos(radians(angle)) ax, y-rect_l/2*sin(radians(angle)) ay, x+rect_l/2*cos(radians(angle)) bx, y+rect_l/2*sin(radians(angle)) by_ FROM candidates)"""
 ENDGAP = "least(sqrt(pow(a.ax-b.ax,2)+pow(a.ay-b.ay,2)), sqrt(pow(a.ax-b.bx,2)+pow(a.ay-b.by_,2)), sqrt(pow(a.bx-b.ax,2)+pow(a.by_-b.ay,2)), sqrt(pow(a.bx-b.bx,2)+pow(a.by_-b.by_,2)))"
-LCOND = f"a.drive_id=b.drive_id AND abs(a.x-b.x)<=14 AND least(abs(a.angle-b.angle)%180,180-abs(a.angle-b.angle)%180)<=30 AND (sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=6 OR {ENDGAP}<=4)"
+LCOND = f"a.drive_id=b.drive_id AND a.x BETWEEN b.x-14 AND b.x+14 AND least(abs(a.angle-b.angle)%180,180-abs(a.angle-b.angle)%180)<=30 AND (sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=6 OR {ENDGAP}<=4)"
 
 
 def center_lines(c):
@@ -269,7 +269,7 @@ def snapped(c):
 
 
 SNAPQ = f"""{NODEXY}, ep AS (SELECT edge_id, side, CASE side WHEN 0 THEN ax ELSE bx END AS x, CASE side WHEN 0 THEN ay ELSE by_ END AS y, edge_id*2+side AS end_id FROM en, (VALUES (0),(1)) AS q(side)),
- {link_sql('ep', 'end_id', 'abs(a.x-b.x)<=0.55 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=0.55')}, g AS (SELECT ep.*, label AS grp, row_number() OVER (PARTITION BY label ORDER BY end_id) AS r FROM ep JOIN cc ON cc.id=end_id),
+ {link_sql('ep', 'end_id', 'a.x BETWEEN b.x-0.55 AND b.x+0.55 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=0.55')}, g AS (SELECT ep.*, label AS grp, row_number() OVER (PARTITION BY label ORDER BY end_id) AS r FROM ep JOIN cc ON cc.id=end_id),
  f AS (SELECT grp, r, end_id, end_id AS node_id, [{{'i': end_id, 'x': x, 'y': y}}] AS ks FROM g WHERE r=1 UNION ALL SELECT g.grp, g.r, g.end_id, coalesce(h.i, g.end_id), CASE WHEN h.i IS NOT NULL THEN ks ELSE list_append(ks, {{'i': g.end_id, 'x': g.x, 'y': g.y}}) END FROM (SELECT g.*, ks, list_filter(ks, lambda k: sqrt(pow(k.x-g.x,2)+pow(k.y-g.y,2))<=0.55)[1] AS h FROM f JOIN g ON g.grp=f.grp AND g.r=f.r+1) g),
  np AS (SELECT edge_id, max(node_id) FILTER (side=0) AS from_node, max(node_id) FILTER (side=1) AS to_node FROM f JOIN ep USING (end_id) GROUP BY 1)"""
 
@@ -526,7 +526,7 @@ def _(c):
 FC = f"""fc AS (SELECT drive_id, frame_id, drive_id*1000000000+frame_id AS fid, avg(x) AS x, avg(y) AS y, max(rect_w) AS w, max(rect_l) AS l, {REJ} AS reject FROM candidates GROUP BY 1,2)"""
 
 
-@query("g35_final_entities", f"""WITH RECURSIVE {FC}, {link_sql('fc', 'fid', 'a.drive_id=b.drive_id AND abs(a.x-b.x)<=25 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=25')}, m AS (SELECT fc.*, label FROM fc JOIN cc ON cc.id=fid), s AS (SELECT label, count(*) FILTER (len(reject)=0) AS strict FROM m GROUP BY 1),
+@query("g35_final_entities", f"""WITH RECURSIVE {FC}, {link_sql('fc', 'fid', 'a.drive_id=b.drive_id AND a.x BETWEEN b.x-25 AND b.x+25 AND sqrt(pow(a.x-b.x,2)+pow(a.y-b.y,2))<=25')}, m AS (SELECT fc.*, label FROM fc JOIN cc ON cc.id=fid), s AS (SELECT label, count(*) FILTER (len(reject)=0) AS strict FROM m GROUP BY 1),
  u AS (SELECT m.*, strict FROM m JOIN s USING (label) WHERE strict=0 OR len(reject)=0), c0 AS (SELECT label, avg(x) mx, avg(y) my FROM u GROUP BY 1), j AS (SELECT u.*, sqrt(pow(x-mx,2)+pow(y-my,2)) AS d FROM u JOIN c0 USING (label))
  SELECT label, max(strict) AS strict_members, count(*) AS used, round(quantile_cont(d,0.9),6) AS jitter_p90, round(sqrt(pow(max(x)-min(x),2)+pow(max(y)-min(y),2)),6) AS span, round(median(w),6) AS med_w, list_filter([CASE WHEN max(strict)=0 THEN 'relaxed' END, CASE WHEN count(*)<2 THEN 'low_hit' END, CASE WHEN quantile_cont(d,0.9)>12.0137 THEN 'jitter' END], lambda v: v IS NOT NULL) AS reasons FROM j GROUP BY 1""")
 def _(c):

@@ -35,9 +35,10 @@ def near(table, cols, r):
 
 def cc_sql(mask, diagonal=True):
     """SQL: component label (smallest packed cell) of a mask with drive_id, ix, iy."""
-    adj = "abs(a.ix-b.ix)<=1 AND abs(a.iy-b.iy)<=1" if diagonal else "abs(a.ix-b.ix)+abs(a.iy-b.iy)<=1"
-    return f"""msk AS (SELECT *, (drive_id*100000000 + (ix+100)*10000 + iy+100) AS id FROM {mask}),
- adj AS (SELECT a.id AS s, b.id AS d FROM msk a JOIN msk b ON a.drive_id=b.drive_id AND {adj}),
+    moves = [(x, y) for x in (-1, 0, 1) for y in (-1, 0, 1) if (x or y) and (diagonal or not (x and y))]
+    o = ", ".join(f"({x},{y})" for x, y in moves)
+    return f"""msk AS (SELECT *, (drive_id*100000000 + (ix+100)*10000 + iy+100) AS id FROM {mask}), mv AS (SELECT m.drive_id, m.id, m.ix+dx AS jx, m.iy+dy AS jy FROM msk m, (VALUES {o}) AS q(dx, dy)),
+ adj AS (SELECT a.id AS s, b.id AS d FROM mv a JOIN msk b ON a.drive_id=b.drive_id AND b.ix=a.jx AND b.iy=a.jy),
  cc(id, label) USING KEY (id) AS (SELECT id, id FROM msk UNION
   SELECT adj.d, min(cc.label) FROM cc JOIN adj ON adj.s=cc.id JOIN recurring.cc AS r ON r.id=adj.d WHERE cc.label < r.label GROUP BY adj.d)"""
 
