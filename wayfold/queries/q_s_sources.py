@@ -146,14 +146,16 @@ def _(c):
 
 def stream(c):
     """The events table as a file stream."""
-    return c.spark.readStream.schema(c.events.schema).option("pathGlobFilter", "events.parquet").parquet(c.dir)
+    s = c.spark.readStream.schema(c.events.schema).option("pathGlobFilter", "events.parquet").parquet(c.dir)
+    return s.withColumn("ts", C("ts").cast("timestamp"))
 
 
 def drained(c, df, mode):
     ensure_checkpoint_dir(c.spark)
     path = f"{c.spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
     ST.run_to_table(df, path, mode)
-    return c.spark.read.schema(df.schema).parquet(path + "/table")
+    out = c.spark.read.schema(df.schema).parquet(path + "/table")
+    return out.select(*[C(f.name).cast("timestamp_ntz").alias(f.name) if f.dataType.typeName() == "timestamp" else C(f.name) for f in out.schema.fields])
 
 
 @query("t02_stream_window_qc", "SELECT time_bucket(INTERVAL '6 hours', ts, TIMESTAMP '1970-01-01') AS start, event_type, count(*) AS n, round(avg(value),6) AS mean, round(max(value),6) AS top FROM events GROUP BY 1,2")

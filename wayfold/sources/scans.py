@@ -17,13 +17,13 @@ def decode_sweeps(files: DataFrame, by: Sequence[str]) -> DataFrame:
 
     def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for row in pdf.itertuples(index=False):
-                raw = np.frombuffer(row.content[: len(row.content) // 16 * 16], dtype="<f4").reshape(-1, 4)
-                out = pd.DataFrame(raw.astype("float64"), columns=["x", "y", "z", "intensity"])
-                for b in by:
-                    out[b] = getattr(row, b)
-                out["pt_idx"] = np.arange(len(out), dtype="int64")
-                yield out[[*by, "pt_idx", "x", "y", "z", "intensity"]]
+            recs = [np.frombuffer(c[: len(c) // 16 * 16], dtype="<f4").reshape(-1, 4) for c in pdf["content"]]
+            n = [len(r) for r in recs]
+            out = pd.DataFrame(np.concatenate(recs).astype("float64") if recs else np.empty((0, 4)), columns=["x", "y", "z", "intensity"])
+            for b in by:
+                out[b] = np.repeat(pdf[b].to_numpy(), n)
+            out["pt_idx"] = np.concatenate([np.arange(k, dtype="int64") for k in n]) if n else np.empty(0, dtype="int64")
+            yield out[[*by, "pt_idx", "x", "y", "z", "intensity"]]
 
     src = files.select(*by, "content")
     keys = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in src.select(*by).schema.fields)
