@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from wayfold.operators.ordered import running_sum
+from wayfold.operators.ordered import running_sum, with_one_row
 
 
 def counted(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
@@ -23,7 +23,7 @@ def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mappin
     keys = list(keys)
     h = counted(df, keys, value, width)
     n = h.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    j = h.join(n, keys) if keys else h.crossJoin(F.broadcast(n))  # one row when there are no keys
+    j = h.join(n, keys) if keys else with_one_row(h, n)
     at = lambda r: F.max(F.when((F.col("_cum") > r) & (F.col("_cum") - F.col("_c") <= r), F.col(value)))
     aggs = [F.max("_n").alias("n")]
     for name, p in ps.items():
@@ -97,7 +97,7 @@ def rank_value(df: DataFrame, keys: Sequence[str], value: str, position: Column,
     keys = list(keys)
     h = counted(df, keys, value, width)
     n = h.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    j = (h.join(n, keys) if keys else h.crossJoin(F.broadcast(n))).withColumn("_r", position)
+    j = (h.join(n, keys) if keys else with_one_row(h, n)).withColumn("_r", position)
     hit = (F.col("_cum") > F.col("_r")) & (F.col("_cum") - F.col("_c") <= F.col("_r"))
     return j.groupBy(*keys).agg(F.max("_n").alias("n"), F.max(F.when(hit, F.col(value))).alias(out))
 

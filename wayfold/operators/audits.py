@@ -78,7 +78,7 @@ def fit_similarity(df: DataFrame, keep_share: float) -> DataFrame:
                         (F.col("mdy") - F.col("scale") * (s * F.col("msx") + c * F.col("msy"))).alias("ty"))
 
     def residual(d: DataFrame, m: DataFrame) -> DataFrame:
-        j = d.crossJoin(F.broadcast(m))  # the model is one row
+        j = O.with_one_row(d, m)
         c, s = F.cos("yaw"), F.sin("yaw")
         ex = F.col("scale") * (c * F.col("sx") - s * F.col("sy")) + F.col("tx") - F.col("dx")
         ey = F.col("scale") * (s * F.col("sx") + c * F.col("sy")) + F.col("ty") - F.col("dy")
@@ -87,11 +87,11 @@ def fit_similarity(df: DataFrame, keep_share: float) -> DataFrame:
     first = residual(df, fit(df))
     keep = F.greatest(F.lit(3), F.floor(F.col("_n") * F.lit(keep_share)).cast("int")) - 1
     cut = rank_value(first, [], "res", F.least(keep, F.col("_n") - 1), 0.01, "cut")
-    inl = first.crossJoin(F.broadcast(cut.select("cut"))).filter(F.col("res") <= F.col("cut")).drop("cut", "res")
+    inl = O.with_one_row(first, cut.select("cut")).filter(F.col("res") <= F.col("cut")).drop("cut", "res")
     model = fit(inl)
     again = residual(inl, model)
     rms = lambda d, n: d.agg(F.sqrt(F.avg(F.col("res") * F.col("res"))).alias(n), F.count(F.lit(1)).alias("n_" + n))
-    return model.crossJoin(rms(first, "rms_raw")).crossJoin(rms(again, "rms_inlier")).withColumn("yaw_deg", F.degrees("yaw")).drop("yaw")
+    return O.with_one_row(O.with_one_row(model, rms(first, "rms_raw")), rms(again, "rms_inlier")).withColumn("yaw_deg", F.degrees("yaw")).drop("yaw")
 
 
 def fit_plane(df: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -245,7 +245,7 @@ def subset_stats(df: DataFrame, subsets: Mapping[str, Column], metrics: Mapping[
     names = F.array_compact(F.array(*[F.when(c, F.lit(n)) for n, c in subsets.items()]))
     d = df.withColumn("subset", F.explode(names))
     total = df.agg(F.count(F.lit(1)).alias("total"))  # one row
-    out = d.groupBy("subset").agg(F.count(F.lit(1)).alias("n"), *[F.avg(m).alias(m + "_mean") for m in metrics]).crossJoin(F.broadcast(total))
+    out = O.with_one_row(d.groupBy("subset").agg(F.count(F.lit(1)).alias("n"), *[F.avg(m).alias(m + "_mean") for m in metrics]), total)
     out = out.withColumn("ratio", F.col("n") / F.col("total"))
     for m, (ps, width) in metrics.items():
         q = exact_percentiles(d, ["subset"], m, {f"{m}_p{int(round(p * 100))}": p for p in ps}, width).drop("n")

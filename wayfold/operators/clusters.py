@@ -6,8 +6,8 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfold.functions.records import first_reason
 from wayfold.operators import components as CC, greedy as GR
+from wayfold.operators.audits import distinct_steps
 from wayfold.operators.joins import within
 from wayfold.session import checkpoint
 
@@ -108,13 +108,15 @@ def entities(members: DataFrame, cluster: Sequence[str]) -> DataFrame:
     return a.join(prov, c)
 
 
-def arm_bins(angles: Column, period: float, width: float) -> Column:
-    """Number of angle groups in a sorted array: a gap over ``width`` starts a group, the ends wrap around."""
-    n = F.size(angles)
-    gaps = F.zip_with(F.slice(angles, 1, n - 1), F.slice(angles, 2, n - 1), lambda a, b: F.when(b - a > width, 1).otherwise(0))
-    k = 1 + F.aggregate(gaps, F.lit(0), lambda s, v: s + v)
-    wrap = (k > 1) & (F.get(angles, 0) + period - F.get(angles, n - 1) <= width)
-    return F.when(n == 0, 0).when(n == 1, 1).otherwise(k - F.when(wrap, 1).otherwise(0))
+def arm_count(df: DataFrame, by: Sequence[str], angle: str, period: float, width: float, out: str) -> DataFrame:
+    """Number of angle groups per key: a gap over ``width`` between neighbouring angles starts a group,
+    and the two ends join when they meet across the period."""
+    by = list(by)
+    s = distinct_steps(df, by, angle, 9, period / 64)
+    lim = df.groupBy(*by).agg(F.min(angle).alias("_lo"), F.max(angle).alias("_hi"))
+    k = s.groupBy(*by).agg((1 + F.count_if(F.col("step") > width)).alias("_k")).join(lim, by)
+    wrap = (F.col("_k") > 1) & (F.col("_lo") + period - F.col("_hi") <= width)
+    return k.select(*by, (F.col("_k") - F.when(wrap, 1).otherwise(0)).cast("int").alias(out))
 
 
 def disc_cells(seeds: DataFrame, key: Sequence[str], radius: Column, res: float, max_radius: float) -> DataFrame:
@@ -134,7 +136,3 @@ def largest_part(cells: DataFrame, key: Sequence[str], min_cells: int) -> DataFr
     best = n.groupBy(*key).agg(F.max("n").alias("n")).filter(F.col("n") >= min_cells)
     tie = n.join(best, [*key, "n"]).groupBy(*key).agg(F.min("label").alias("label"))
     return lab.join(tie, [*key, "label"]).drop("label")
-
-
-def decision(rules, otherwise: str) -> Column:
-    return first_reason(rules, otherwise)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wayfold.operators import components as CC, greedy as GR
 from wayfold.operators.joins import within
+from wayfold.operators.ordered import with_one_row
 
 
 def endpoints(lines: DataFrame) -> DataFrame:
@@ -121,6 +122,6 @@ def checks(nodes: DataFrame, edges: DataFrame, issues: DataFrame, actions: DataF
     loose = one(refs, F.count(F.lit(1)))
     row = lambda d, name, ok, detail: d.select(F.lit(name).alias("check"), ok.alias("ok"), detail.cast("long").alias("detail"))
     return (row(n_edges, "edge_ids_unique", F.col("n") == F.col("u"), F.col("n") - F.col("u"))
-            .unionByName(row(n_edges.crossJoin(total), "degree_sum", F.col("s") == 2 * F.col("n"), F.col("s")))  # one row each
+            .unionByName(row(with_one_row(n_edges, total), "degree_sum", F.col("s") == 2 * F.col("n"), F.col("s")))
             .unionByName(row(orphan, "edge_nodes_exist", F.col("v") == 0, F.col("v")))
             .unionByName(row(loose, "actions_reference_issues", F.col("v") == 0, F.col("v"))))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.functions.stats import cell_percentiles, exact_percentiles
 from wayfold.operators.components import cell_components
+from wayfold.operators.ordered import with_one_row
 
 CELL = ("ix", "iy")
 
@@ -140,7 +141,7 @@ def slope(cells: DataFrame, value: str, res: float, by: Sequence[str]) -> DataFr
     sent = sent.select(*by, (F.col("ix") + F.col("o.dx")).alias("ix"), (F.col("iy") + F.col("o.dy")).alias("iy"), F.col("o.m").alias("m"), "_v")
     g = sent.groupBy(*k).agg(*[F.max(F.when(F.col("m") == m, F.col("_v"))).alias("_" + m) for m, _, _ in moves]).filter(F.col("_me").isNotNull())
     b = cells.groupBy(*by).agg(*[f(c).alias(f"_{n}_{c}") for c in CELL for n, f in (("lo", F.min), ("hi", F.max))])
-    j = g.join(b, list(by)) if by else g.crossJoin(F.broadcast(b))
+    j = g.join(b, list(by)) if by else with_one_row(g, b)
     me = F.col("_me")
 
     def diff(c: str, lo: Column, hi: Column) -> Column:
@@ -230,7 +231,7 @@ def ratio_threshold(scores: DataFrame, value: str, lo: float, hi: float, by: Seq
     """Score threshold whose selected share lies in [lo, hi]: try the middle, then the violated bound."""
     mid = max(1e-6, min((lo + hi) * 0.5, 0.999))
     t = exact_percentiles(scores, by, value, {"t_mid": 1 - mid, "t_lo": 1 - lo, "t_hi": 1 - hi}, width)
-    j = scores.join(t, list(by)) if by else scores.crossJoin(F.broadcast(t))
+    j = scores.join(t, list(by)) if by else with_one_row(scores, t.drop("n"))
     share = lambda c: F.avg((F.col(value) >= F.col(c)).cast("double"))
     a = j.groupBy(*by).agg(*[F.max(c).alias(c) for c in ("t_mid", "t_lo", "t_hi")], *[share(c).alias("s" + c[1:]) for c in ("t_mid", "t_lo", "t_hi")])
     pick = lambda p: F.when(F.col("s_mid") < lo, F.col(p + "_lo")).when(F.col("s_mid") > hi, F.col(p + "_hi")).otherwise(F.col(p + "_mid"))

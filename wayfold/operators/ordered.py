@@ -15,6 +15,12 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 CHUNK = 4096
 
 
+def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """Add the columns of a one-row aggregate to every row, as a scalar subquery (no join at all)."""
+    s = one.select(F.struct(*one.columns).alias("_one")).scalar()
+    return df.withColumn("_one", s).select(*df.columns, *[F.col("_one")[c].alias(c) for c in one.columns])
+
+
 def _offsets(df: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
     """Exclusive prefix totals of the chunks: one row per (key, chunk), a tiny fraction of the rows."""
     w = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)

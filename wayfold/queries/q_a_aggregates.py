@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import geometry as E, records as R
 from wayfold.functions.stats import cohen_d, discrete_percentile, exact_percentiles, ordinal_auc, rank_auc, rank_value, top_per_group
-from wayfold.operators import audits as A, grid as G, joins as J, lines as L
+from wayfold.operators import audits as A, grid as G, joins as J, lines as L, ordered as O
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_e_geometry import LINE, model_pairs
 from wayfold.queries.q_p_scalars import CX, CY, FX, HEIGHT, P_RECT, PIX, WIDTH, posed, rectified
@@ -103,7 +103,7 @@ def _(c):
     rep = top_per_group(f, ["fail_type"], [C("iou_bbox"), F.desc("points_support"), C("frame_id")], 5)
     rep = rep.groupBy("fail_type").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", "frame_id"))), lambda s: s["frame_id"].cast("string")), ";").alias("rep_frames"))
     q = exact_percentiles(f, ["fail_type"], "iou_bbox", {"iou_p50": .5}, 0.01)
-    return q.crossJoin(F.broadcast(tot)).join(rep, "fail_type").select("fail_type", "n", (C("n") / C("t")).alias("ratio"), "iou_p50", "rep_frames")
+    return O.with_one_row(q, tot).join(rep, "fail_type").select("fail_type", "n", (C("n") / C("t")).alias("ratio"), "iou_p50", "rep_frames")
 
 
 @query("a12_intersection_rollup", """WITH i AS (SELECT drive_id, CASE WHEN n_intersections>=3 THEN '3+' ELSE CAST(n_intersections AS VARCHAR) END AS arms, dangling_per_km FROM runs)
@@ -148,7 +148,7 @@ def _(c):
 def _(c):
     n = c.poses.groupBy("drive_id").agg(N().alias("k"))
     q = exact_percentiles(n, [], "k", {"median": .5}, 64.0)
-    return n.agg(F.min("k").alias("lo"), F.max("k").alias("hi")).crossJoin(F.broadcast(q.select("median")))
+    return O.with_one_row(n.agg(F.min("k").alias("lo"), F.max("k").alias("hi")), q.select("median"))
 
 
 @query("a17_angle_stats", """WITH h AS (SELECT c.drive_id, abs(angle-degrees(yaw))%180 AS d FROM candidates c JOIN poses p ON p.drive_id=c.drive_id AND p.frame_id=c.frame_id), m AS (SELECT drive_id, abs(least(d,180-d)-90) AS a FROM h) SELECT drive_id, count(*) n, round(quantile_cont(a,0.5),6) p50, round(quantile_cont(a,0.9),6) p90 FROM m GROUP BY 1""")

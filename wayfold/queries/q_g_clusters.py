@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from wayfold.functions import geometry as E, records as R
 from wayfold.functions.stats import exact_percentiles, top_per_group
 from wayfold.operators import clusters as K, components as CC, graph as GR, greedy, grid as G, joins as J, lines as L, shapes as S
+from wayfold.operators.ordered import with_one_row
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_e_geometry import INSIDE, LINE, RING
 from wayfold.queries.q_r_grid import BASE, BY, RES, cc_sql, near
 from wayfold.queries.q_w_sequences import TURN, turns
+from wayfold.session import checkpoint
 
 
 def N():
@@ -176,11 +178,11 @@ def line_test(a, b):
     return (E.angle_diff_180(a("angle"), b("angle")) <= 30) & ((F.hypot(a("x") - b("x"), a("y") - b("y")) <= 6) | (gap <= 4))
 
 
-@query("g08_line_aggregation", f"WITH RECURSIVE {LINES}, {link_sql('ln', 'cand_id', LCOND)} SELECT label, count(*) AS lines, round(sum(rect_l),6) AS length, list_sort(list(cand_id)) AS members FROM ln JOIN cc ON cc.id=cand_id GROUP BY 1 HAVING sum(rect_l)>=8")
+@query("g08_line_aggregation", f"WITH RECURSIVE {LINES}, {link_sql('ln', 'cand_id', LCOND)} SELECT label, count(*) AS lines, round(sum(rect_l),6) AS length, max(cand_id) AS last_member FROM ln JOIN cc ON cc.id=cand_id GROUP BY 1 HAVING sum(rect_l)>=8")
 def _(c):
     # lines are at most 10 m long, so ends within 4 m put the middles within 14 m
     k = K.predicate_components(center_lines(c), "cand_id", ["drive_id"], 14.0, line_test)
-    return k.groupBy("label").agg(N().alias("lines"), F.sum("rect_l").alias("length"), F.array_sort(F.collect_list("cand_id")).alias("members")).filter("length >= 8")
+    return k.groupBy("label").agg(N().alias("lines"), F.sum("rect_l").alias("length"), F.max("cand_id").alias("last_member")).filter("length >= 8")
 
 
 ENT = f"""{link_sql('candidates', 'cand_id', DIST15)}, m AS (SELECT c.*, label FROM candidates c JOIN cc ON cc.id=c.cand_id), pv AS (SELECT label, string_agg(model||':'||k, ',' ORDER BY model) AS provider_hits FROM (SELECT label, model, CAST(count(*) AS VARCHAR) k FROM m GROUP BY 1,2) GROUP BY 1),
@@ -252,7 +254,7 @@ def _(c):
 @query("g12_no_duplicate_total", "SELECT count(*) AS points, count(*) AS written, true AS ok FROM points")
 def _(c):
     w = refined(c, 60.0).groupBy("drive_id", "part").agg(N().alias("n")).agg(F.sum("n").alias("written"))
-    return c.points.agg(N().alias("points")).crossJoin(w).withColumn("ok", C("points") == C("written"))  # one row each
+    return with_one_row(c.points.agg(N().alias("points")), w).withColumn("ok", C("points") == C("written"))
 
 
 NODEXY = "en AS (SELECT edge_id, drive_id, highway, length_m, from_node*2.0::DOUBLE+(edge_id%3)*0.2::DOUBLE ax, CAST((from_node*17)%50 AS DOUBLE) ay, to_node*2.0::DOUBLE bx, CAST((to_node*17)%50 AS DOUBLE)+(edge_id%4)*0.2::DOUBLE by_ FROM edges)"
@@ -393,8 +395,9 @@ def _(c):
     j = J.within(center_lines(c), seed, 40.0)
     first = (C("rx") - C("ax")) ** 2 + (C("ry") - C("ay")) ** 2 <= (C("rx") - C("bx")) ** 2 + (C("ry") - C("by_")) ** 2
     a = F.degrees(F.when(first, F.atan2(C("by_") - C("ay"), C("bx") - C("ax"))).otherwise(F.atan2(C("ay") - C("by_"), C("ax") - C("bx"))))
-    g = j.groupBy("prior_id").agg(F.array_sort(F.collect_list(C("angle") % 180)).alias("h"), F.array_sort(F.collect_list(F.when(a < 0, a + 360).otherwise(a))).alias("p"))
-    return g.select("prior_id", F.size("h").alias("crossing"), K.arm_bins(C("h"), 180.0, 10.0).alias("heading_arms"), K.arm_bins(C("p"), 360.0, 20.0).alias("approach_arms"))
+    d = checkpoint(j.select("prior_id", (C("angle") % 180).alias("h"), F.when(a < 0, a + 360).otherwise(a).alias("p")))
+    n = d.groupBy("prior_id").agg(N().cast("int").alias("crossing"))
+    return n.join(K.arm_count(d, ["prior_id"], "h", 180.0, 10.0, "heading_arms"), "prior_id").join(K.arm_count(d, ["prior_id"], "p", 360.0, 20.0, "approach_arms"), "prior_id")
 
 
 def road_mask(c):

@@ -8,6 +8,7 @@ from wayfold.functions import geometry as E, records as R, transforms as T
 from wayfold.functions.stats import exact_percentiles, top_per_group
 from wayfold.operators import grid as G
 from wayfold.operators.joins import attach_pose
+from wayfold.operators.ordered import with_one_row
 from wayfold.queries.catalog import C, query
 
 # pinhole and axes of the test camera (fixed values)
@@ -237,7 +238,7 @@ def _(c):
 @query("p14_grid_keys", """WITH b AS (SELECT min(x) x0, min(y) y0, max(y) y1 FROM points) SELECT CAST(floor((x-x0)/7.5) AS BIGINT) AS ix, CAST(floor((y-y0)/7.5) AS BIGINT) AS iy_up, CAST(floor((y1-y)/7.5) AS BIGINT) AS iy_down, count(*) AS n FROM points, b GROUP BY ALL""")
 def _(c):
     b = c.points.agg(F.min("x").alias("x0"), F.min("y").alias("y0"), F.max("y").alias("y1"))  # one row
-    p = c.points.crossJoin(F.broadcast(b))
+    p = with_one_row(c.points, b)
     return p.groupBy(G.floor_div(C("x") - C("x0"), 7.5).alias("ix"), G.floor_div(C("y") - C("y0"), 7.5).alias("iy_up"),
                      G.floor_div(C("y1") - C("y"), 7.5).alias("iy_down")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -245,7 +246,7 @@ def _(c):
 @query("p15_grid_key_truncated", """WITH b AS (SELECT min(x) x0, min(y) y0 FROM points) SELECT CAST(trunc((x-x0)/7.5) AS BIGINT) AS ix, CAST(trunc((y-y0)/7.5) AS BIGINT) AS iy, count(*) AS n FROM points, b GROUP BY ALL""")
 def _(c):
     b = c.points.agg(F.min("x").alias("x0"), F.min("y").alias("y0"))  # one row
-    return c.points.crossJoin(F.broadcast(b)).groupBy(((C("x") - C("x0")) / 7.5).cast("long").alias("ix"), ((C("y") - C("y0")) / 7.5).cast("long").alias("iy")).agg(F.count(F.lit(1)).alias("n"))
+    return with_one_row(c.points, b).groupBy(((C("x") - C("x0")) / 7.5).cast("long").alias("ix"), ((C("y") - C("y0")) / 7.5).cast("long").alias("iy")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("p16_grid_shape", """SELECT drive_id, round(min(x)-2,6) AS minx, round(min(y)-2,6) AS miny, round(max(x)+2,6) AS maxx, round(max(y)+2,6) AS maxy,

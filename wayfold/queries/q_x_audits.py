@@ -99,8 +99,8 @@ def _(c):
 @query("x05_additive_raster", f"WITH b AS (SELECT min(x) x0, max(y) y1, CAST(ceil((max(x)-min(x))/10.0) AS BIGINT) w, CAST(ceil((max(y)-min(y))/10.0) AS BIGINT) h FROM points) SELECT least(CAST(floor((x-x0)/10.0) AS BIGINT), w-1) AS ix, least(CAST(floor((y1-y)/10.0) AS BIGINT), h-1) AS iy, count(*) AS n, round(CASE WHEN count(*)>=40 THEN sum(intensity) ELSE 0 END,6) AS total FROM points, b GROUP BY 1,2")
 def _(c):
     n = lambda k: F.ceil((F.max(k) - F.min(k)) / 10.0).cast("long")
-    b = c.points.agg(F.min("x").alias("x0"), F.max("y").alias("y1"), n("x").alias("w"), n("y").alias("h"))  # one row
-    p = c.points.crossJoin(F.broadcast(b))
+    b = c.points.agg(F.min("x").alias("x0"), F.max("y").alias("y1"), n("x").alias("w"), n("y").alias("h"))
+    p = O.with_one_row(c.points, b)
     g = p.groupBy(F.least(G.floor_div(C("x") - C("x0"), 10.0), C("w") - 1).alias("ix"), F.least(G.floor_div(C("y1") - C("y"), 10.0), C("h") - 1).alias("iy"))
     return g.agg(N().alias("n"), F.sum("intensity").alias("s")).select("ix", "iy", "n", F.when(C("n") >= 40, C("s")).otherwise(0.0).alias("total"))
 
@@ -372,13 +372,13 @@ def _(c):
     return f.select("det_id", R.first_reason(rules, "none").alias("source"), F.when(C("g_local") >= 2, C("g_local")).when(C("g_plane") >= 2, C("g_plane")).when(C("tops") >= 2, C("tops")).otherwise(C("n")).alias("points"))
 
 
-@query("x37_snap_to_heading", """WITH h AS (SELECT c.cand_id, c.x, c.y, c.rect_l, c.rect_w, angle, (frame_id*3)%180 AS hd FROM candidates c), d AS (SELECT *, least(abs(angle-hd)%180,180-abs(angle-hd)%180) AS df FROM h) SELECT cand_id, round(df,6) AS diff, CASE WHEN df<=20 THEN CAST(hd AS DOUBLE) ELSE angle END AS angle, round(x+rect_l/2*cos(radians(CASE WHEN df<=20 THEN hd ELSE angle END))-rect_w/2*sin(radians(CASE WHEN df<=20 THEN hd ELSE angle END)),5)+0.0 AS corner_x FROM d""")
+@query("x37_snap_to_heading", """WITH h AS (SELECT c.cand_id, c.x, c.y, c.rect_l, c.rect_w, angle, (frame_id*3)%180 AS hd FROM candidates c), d AS (SELECT *, least(abs(angle-hd)%180,180-abs(angle-hd)%180) AS df FROM h) SELECT cand_id, round(df,6) AS diff, CASE WHEN df<=20 THEN CAST(hd AS DOUBLE) ELSE angle END AS angle, round(x+rect_l/2*abs(cos(radians(CASE WHEN df<=20 THEN hd ELSE angle END)))+rect_w/2*abs(sin(radians(CASE WHEN df<=20 THEN hd ELSE angle END))),5)+0.0 AS max_x FROM d""")
 def _(c):
     hd = (C("frame_id") * 3 % 180).cast("double")
     d = c.candidates.withColumn("hd", hd).withColumn("diff", E.angle_diff_180(C("angle"), C("hd")))
     d = d.withColumn("new", F.when(C("diff") <= 20, C("hd")).otherwise(C("angle")))
     ring = E.rotate_ring(E.rect_ring(C("x"), C("y"), C("rect_l"), C("rect_w"), C("angle")), C("x"), C("y"), C("new") - C("angle"))
-    return d.select("cand_id", "diff", C("new").alias("angle"), F.round(F.get(ring, 2)["x"], 5).alias("corner_x"))
+    return d.select("cand_id", "diff", C("new").alias("angle"), F.round(E.bbox(ring)["maxx"], 5).alias("max_x"))
 
 
 @query("x38_gated_support_levels", """WITH g AS (SELECT drive_id, frame_id, iou_bbox+0.01::DOUBLE*points_support AS sc, CASE WHEN geom_ok=1 AND proj_method='lidar' AND drift_flag=0 AND points_support>=10 AND iou_bbox>=0.10 THEN 0 WHEN geom_ok=1 AND proj_method='lidar' AND drift_flag=0 AND points_support>=5 AND iou_bbox>=0.05 THEN 1 WHEN geom_ok=1 AND drift_flag=0 AND iou_bbox>=0.02 THEN 2 END AS lv FROM trace), m AS (SELECT drive_id, min(lv) AS lv FROM g GROUP BY 1)
