@@ -142,8 +142,8 @@ def ransac_plane(points: DataFrame, by: Sequence[str], iters: int, tol: float, m
     hyp = t.groupBy(*by).agg(F.collect_list(F.struct("trial", "nx", "ny", "nz", "d")).alias("h"))
     dist = lambda h: F.abs(h["nx"] * F.col("x") + h["ny"] * F.col("y") + h["nz"] * F.col("z") + h["d"])
     votes = points.join(hyp, by).select(*by, F.explode(F.filter("h", lambda h: dist(h) < tol)).alias("h"))
-    score = votes.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("k"))
-    best = score.groupBy(*by).agg(F.max(F.struct("k", (-F.col("h.trial")).alias("o"), "h")).alias("m")).select(*by, F.col("m.h").alias("h"))
+    score = votes.groupBy(*by, "h").agg(F.count(F.lit(1)).alias("_k"))
+    best = score.groupBy(*by).agg(F.max(F.struct("_k", (-F.col("h.trial")).alias("o"), "h")).alias("m")).select(*by, F.col("m.h").alias("h"))
     inl = points.join(best, by).filter(dist(F.col("h")) < tol)
     plane = fit_plane(inl, by).filter("a is not null")
     good = points.join(plane, by).withColumn("_d", plane_distance())
@@ -154,14 +154,14 @@ def dominant_mode(df: DataFrame, by: Sequence[str], value: str, bin_m: float, mi
     """Centre of the fullest bin (bins start at the key's minimum) if its share is large enough, else a percentile."""
     by = list(by)
     lim = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("n"))
-    b = df.join(lim, by).groupBy(*by, F.floor((F.col(value) - F.col("_lo")) / bin_m).alias("_b")).agg(F.count(F.lit(1)).alias("k"))
-    top = b.groupBy(*by).agg(F.max(F.struct("k", (-F.col("_b")).alias("o"))).alias("m"))
+    b = df.join(lim, by).groupBy(*by, F.floor((F.col(value) - F.col("_lo")) / bin_m).alias("_b")).agg(F.count(F.lit(1)).alias("_k"))
+    top = b.groupBy(*by).agg(F.max(F.struct("_k", (-F.col("_b")).alias("o"))).alias("m"))
     v = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
     lowp = F.lit(max(pctl, 20.0) / 100)
     p = v.groupBy(*by).agg(F.percentile(value, F.lit(pctl / 100), F.col("_c")).alias("p"), F.percentile(value, lowp, F.col("_c")).alias("p20"))
     j = lim.join(top, by).join(p, by)
     flat = F.col("_hi") - F.col("_lo") < bin_m
-    share = F.when(flat, 0.0).otherwise(F.col("m.k") / F.col("n"))
+    share = F.when(flat, 0.0).otherwise(F.col("m._k") / F.col("n"))
     is_mode = ~flat & (share >= min_share)
     mid = F.col("_lo") + (-F.col("m.o") + 0.5) * bin_m
     return j.select(*by, F.when(is_mode, mid).when(flat | (F.col("n") >= 5000), F.col("p")).otherwise(F.col("p20")).alias("ground_z"),

@@ -389,7 +389,7 @@ def bins_sql(v, period, w):
     return f"CAST(CASE WHEN len({v})=1 THEN 1 ELSE {k}-CASE WHEN {k}>1 AND {v}[1]+{period}-{v}[len({v})]<={w} THEN 1 ELSE 0 END END AS INTEGER)"
 
 
-@query("g24_arm_count", f"WITH {LINES}, {ARM} SELECT prior_id, CAST(len(h) AS INTEGER) AS crossing, {bins_sql('h', 180, 10)} AS heading_arms, {bins_sql('p', 360, 20)} AS approach_arms FROM ar")
+@query("g24_arm_count", f"WITH {LINES}, {ARM} SELECT prior_id, CAST(len(h) AS INTEGER) AS crossing, {bins_sql('h', 180, 10.5)} AS heading_arms, {bins_sql('p', 360, 20.5)} AS approach_arms FROM ar")
 def _(c):
     seed = c.priors.select("prior_id", ((C("minx") + C("maxx")) / 2).alias("rx"), ((C("miny") + C("maxy")) / 2).alias("ry"))
     j = J.within(center_lines(c), seed, 40.0)
@@ -397,7 +397,7 @@ def _(c):
     a = F.degrees(F.when(first, F.atan2(C("by_") - C("ay"), C("bx") - C("ax"))).otherwise(F.atan2(C("ay") - C("by_"), C("ax") - C("bx"))))
     d = checkpoint(j.select("prior_id", (C("angle") % 180).alias("h"), F.when(a < 0, a + 360).otherwise(a).alias("p")))
     n = d.groupBy("prior_id").agg(N().cast("int").alias("crossing"))
-    return n.join(K.arm_count(d, ["prior_id"], "h", 180.0, 10.0, "heading_arms"), "prior_id").join(K.arm_count(d, ["prior_id"], "p", 360.0, 20.0, "approach_arms"), "prior_id")
+    return n.join(K.arm_count(d, ["prior_id"], "h", 180.0, 10.5, "heading_arms"), "prior_id").join(K.arm_count(d, ["prior_id"], "p", 360.0, 20.5, "approach_arms"), "prior_id")
 
 
 def road_mask(c):

@@ -378,7 +378,8 @@ def _(c):
     d = c.candidates.withColumn("hd", hd).withColumn("diff", E.angle_diff_180(C("angle"), C("hd")))
     d = d.withColumn("new", F.when(C("diff") <= 20, C("hd")).otherwise(C("angle")))
     ring = E.rotate_ring(E.rect_ring(C("x"), C("y"), C("rect_l"), C("rect_w"), C("angle")), C("x"), C("y"), C("new") - C("angle"))
-    return d.select("cand_id", "diff", C("new").alias("angle"), F.round(E.bbox(ring)["maxx"], 5).alias("max_x"))
+    d = d.withColumn("max_x", F.round(E.bbox(ring)["maxx"], 5))
+    return d.select("cand_id", "diff", C("new").alias("angle"), "max_x")
 
 
 @query("x38_gated_support_levels", """WITH g AS (SELECT drive_id, frame_id, iou_bbox+0.01::DOUBLE*points_support AS sc, CASE WHEN geom_ok=1 AND proj_method='lidar' AND drift_flag=0 AND points_support>=10 AND iou_bbox>=0.10 THEN 0 WHEN geom_ok=1 AND proj_method='lidar' AND drift_flag=0 AND points_support>=5 AND iou_bbox>=0.05 THEN 1 WHEN geom_ok=1 AND drift_flag=0 AND iou_bbox>=0.02 THEN 2 END AS lv FROM trace), m AS (SELECT drive_id, min(lv) AS lv FROM g GROUP BY 1)
