@@ -9,19 +9,20 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from wayfold.operators.ordered import running_sum, with_one_row
 
 
-def counted(df: DataFrame, keys: Sequence[str], value: str, width: float) -> DataFrame:
+def counted(df: DataFrame, keys: Sequence[str], value: str, width: float, weight: str | None = None) -> DataFrame:
     """Value-level histogram with its running count: (keys, value, _c, _cum) in two levels."""
-    h = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    h = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_c"))
     return running_sum(h, keys, [value], F.floor(F.col(value) / width), F.col("_c"), "_cum")
 
 
-def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mapping[str, float], width: float) -> DataFrame:
+def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mapping[str, float], width: float, weight: str | None = None) -> DataFrame:
     """Linear-interpolation percentiles from value counts; no group is ever buffered whole.
 
     ``width`` is the value step of one chunk of the running count (pick about range/1000).
     """
     keys = list(keys)
-    h = counted(df, keys, value, width)
+    h = counted(df, keys, value, width, weight)
     n = h.groupBy(*keys).agg(F.sum("_c").alias("_n"))
     j = h.join(n, keys) if keys else with_one_row(h, n)
     at = lambda r: F.max(F.when((F.col("_cum") > r) & (F.col("_cum") - F.col("_c") <= r), F.col(value)))
@@ -46,11 +47,12 @@ def cell_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mapping
     )
 
 
-def rank_auc(df: DataFrame, keys: Sequence[str], score: str, label: str, width: float) -> DataFrame:
+def rank_auc(df: DataFrame, keys: Sequence[str], score: str, label: str, width: float, weight: str | None = None) -> DataFrame:
     """ROC-AUC per key with tie-averaged ranks (Mann-Whitney) from value counts; 0.5 if a class is empty."""
     keys = list(keys)
+    w = F.col(weight) if weight else F.lit(1).cast("long")
     h = df.filter(F.col(score).isNotNull()).groupBy(*keys, F.col(score).alias("_s")).agg(
-        F.count(F.lit(1)).alias("_c"), F.sum(F.col(label).cast("long")).alias("_p"))
+        F.sum(w).alias("_c"), F.sum(w * F.col(label).cast("long")).alias("_p"))
     h = running_sum(h, keys, ["_s"], F.floor(F.col("_s") / width), F.col("_c"), "_cum")
     mean_rank = F.col("_cum") - (F.col("_c") - 1) / F.lit(2.0)
     s = h.groupBy(*keys).agg(F.sum("_p").alias("n_pos"), F.sum(F.col("_c") - F.col("_p")).alias("n_neg"), F.sum(mean_rank * F.col("_p")).alias("r"))

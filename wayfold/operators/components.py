@@ -9,41 +9,34 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from wayfold.session import checkpoint
-
-
-def _fingerprint(e: DataFrame):
-    r = e.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("h")).first()
-    return r["n"], r["h"]
+from wayfold.session import checkpoint, checkpoint_observed
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
     """(id, label): label is the smallest id of the component; nodes without a partner are not listed.
 
     Alternating large-star / small-star contraction: the edge set never grows and the number of
-    rounds is logarithmic in the component size. Every round ends in a reliable checkpoint.
+    rounds is logarithmic in the component size. Every round is written out once; its size and
+    fingerprint are observed during the write and decide when to stop.
     """
-    raw = edges.select(F.col(src).alias("a"), F.col(dst).alias("b"))
-    e = checkpoint(
-        raw.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
-    )
-    before = _fingerprint(e)
+    mark = {"n": F.count(F.lit(1)), "h": F.bit_xor(F.xxhash64("u", "v"))}
+    raw = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).filter("a <> b")
+    e, before = checkpoint_observed(raw.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), **mark)
     for _ in range(max_rounds):
-        both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("p"))
-        both = both.select(F.col("p.u").alias("u"), F.col("p.v").alias("v"))
+        if not before["n"]:
+            break
+        turn = F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("p")
+        both = e.select(turn).select("p.u", "p.v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (
-            both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .filter("u <> v").distinct()
-        )
+        # every node hands its larger neighbours to its smallest one (repeats are merged below)
+        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         star = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                  F.struct(F.col("u").alias("u"), F.col("m").alias("v"))))
         small = large.join(low2, "u").select(star.alias("p")).select("p.u", "p.v").filter("u <> v").distinct()
-        e = checkpoint(small)
-        after = _fingerprint(e)
+        e, after = checkpoint_observed(small, **mark)
         if after == before:
             break
         before = after

@@ -35,48 +35,38 @@ def within(left: DataFrame, right: DataFrame, dist: float, by: Sequence[str] = (
         F.col("dist") <= dist).drop("_gx", "_gy")
 
 
+LEVELS = 13
+
+
 def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequence[str] = (), cell: float = 16.0, prefix: str = "near_") -> DataFrame:
     """Nearest right row per left row (ties: smallest first field); keeps every left row.
 
-    The heavy left side is never copied, sorted or made distinct. Its occupied cells are few: for
-    each of them the distance from the cell centre to the nearest right row is found by a widening
-    cell join, which bounds the candidates of every point of that cell. The candidates travel as a
-    small array and the winner is picked by an expression.
+    The heavy left side is never copied, sorted or made distinct. Its occupied cells are few: each
+    of them finds the finest level of a grid pyramid (sizes 2*cell*4^l) whose 3x3 block holds a right
+    row. That bounds the distance by 2*sqrt(2) level cells, so all possible winners of the cell's
+    points lie in the 3x3 block one level up. The exact candidates travel as a small array and the
+    winner is picked by an expression. One lazy plan, no loop.
     """
     by = list(by)
     half = cell * 2 ** 0.5 / 2
     ref = right.select(*by, F.col("x").alias("rx"), F.col("y").alias("ry"), *[F.col(f).alias("_f_" + f) for f in fields])
     # copies of one coordinate: only the one with the smallest tie-break can win
     ref = checkpoint(ref.groupBy(*by, "rx", "ry").agg(F.min(F.struct(*["_f_" + f for f in fields])).alias("_f")))
-    cells = left.select(*by, _cell("x", cell).alias("_ix"), _cell("y", cell).alias("_iy")).distinct()
-    cells = cells.join(ref.select(*by).distinct(), by, "left_semi") if by else cells
+    size = lambda l: F.lit(2.0 * cell) * F.pow(F.lit(4.0), l)
+    at = lambda d, x, y: d.withColumn("_gx", _cell(F.col(x), size(F.col("_l")))).withColumn("_gy", _cell(F.col(y), size(F.col("_l"))))
+    every = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 2))).alias("_l")
     k = [*by, "_ix", "_iy"]
-    todo = checkpoint(cells.withColumn("x", (F.col("_ix") + 0.5) * cell).withColumn("y", (F.col("_iy") + 0.5) * cell))
-    levels: list[DataFrame] = []
-    reach = cell
-    if ref.isEmpty():
-        todo = todo.limit(0)
-    while not todo.isEmpty():
-        hit = within(todo, ref.select(*by, "rx", "ry"), reach, by).groupBy(*k).agg(F.min("dist").alias("_d"))
-        hit = checkpoint(hit)
-        levels.append(todo.join(hit, k).withColumn("_reach", F.lit(reach + 2 * half)))
-        todo = checkpoint(todo.join(hit, k, "left_anti"))
-        reach *= 4
-    parts = []
-    for lv in levels:
-        size = lv.first()
-        if size is None:
-            continue
-        pairs = within(lv, ref, size["_reach"], by).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9)
-        parts.append(pairs.groupBy(*k).agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c")))
-    j = left.withColumn("_ix", _cell("x", cell)).withColumn("_iy", _cell("y", cell))
-    if parts:
-        cand = parts[0]
-        for p in parts[1:]:
-            cand = cand.unionByName(p)
-        j = j.join(cand, k, "left")
-    else:
-        j = j.withColumn("_c", F.lit(None).cast(f"array<struct<rx:double,ry:double,_f:{ref.schema['_f'].dataType.simpleString()}>>"))
+    cells = left.select(*by, _cell("x", cell).alias("_ix"), _cell("y", cell).alias("_iy")).distinct()
+    cells = checkpoint(cells.withColumn("cx", (F.col("_ix") + 0.5) * cell).withColumn("cy", (F.col("_iy") + 0.5) * cell))
+    block = lambda d: d.select("*", _ring()).withColumn("_gx", F.col("_gx") + F.col("_o.dx")).withColumn("_gy", F.col("_gy") + F.col("_o.dy")).drop("_o")
+    filled = block(at(ref.select(*by, "rx", "ry", every), "rx", "ry").select(*by, "_l", "_gx", "_gy").distinct()).distinct()
+    found = at(cells.select("*", every), "cx", "cy").join(filled, [*by, "_l", "_gx", "_gy"]).groupBy(*k, "cx", "cy").agg((F.min("_l") + 1).alias("_l"))
+    # only the levels in use are built on the right side
+    pairs = block(at(found, "cx", "cy")).join(at(ref.select("*", F.explode(F.sequence(F.lit(1), F.lit(LEVELS - 1))).alias("_l")), "rx", "ry"), [*by, "_l", "_gx", "_gy"])
+    pairs = pairs.select(*k, "rx", "ry", "_f", F.hypot(F.col("rx") - F.col("cx"), F.col("ry") - F.col("cy")).alias("dist"))
+    near = pairs.groupBy(*k).agg(F.min("dist").alias("_d"))
+    cand = pairs.join(near, k).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9).groupBy(*k).agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c"))
+    j = left.withColumn("_ix", _cell("x", cell)).withColumn("_iy", _cell("y", cell)).join(cand, k, "left")
     d2 = lambda v: (v["rx"] - F.col("x")) * (v["rx"] - F.col("x")) + (v["ry"] - F.col("y")) * (v["ry"] - F.col("y"))
     j = j.withColumn("_b", F.array_min(F.transform("_c", lambda v: F.struct(d2(v).alias("d2"), v["_f"].alias("f")))))
     return j.select(*left.columns, F.sqrt("_b.d2").alias(prefix + "dist"), *[F.col(f"_b.f._f_{f}").alias(prefix + f) for f in fields])

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql.types import StructType
 
 
 def get_spark(app: str = "wayfold", cpus: int | str = "*", shuffle: int = 8) -> SparkSession:
@@ -44,8 +45,19 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
     Unlike RDD checkpoints this computes the plan once, and a lost executor costs no replay.
     """
+    return _write_table(df, df.schema)
+
+
+def checkpoint_observed(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``checkpoint`` that also returns aggregates gathered while writing (no extra job)."""
+    seen = Observation()
+    out = _write_table(df.observe(seen, *[c.alias(n) for n, c in metrics.items()]), df.schema)
+    return out, seen.get
+
+
+def _write_table(df: DataFrame, schema: StructType) -> DataFrame:
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/wayfold-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(schema).parquet(path)
