@@ -83,3 +83,24 @@ def op6(spark, sf_dir):
     from wayfold.llm.quality import quality_rules
 
     return quality_rules(table(spark, sf_dir, "documents"), with_text=False)
+
+
+# ---------------------------------------------------------------- 10
+
+OP10_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(coalesce({_LOW.format('text')}, ''), '{_WORD}') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 75 * (x.n + y.n - i)),
+c AS (SELECT doc_id AS a, doc_id AS r FROM d UNION SELECT e.b, c.r FROM c JOIN e ON e.a = c.a),
+g AS (SELECT a AS doc_id, min(r) AS component_id FROM c GROUP BY 1)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN g USING (doc_id)
+"""
+
+
+@query("op10_minhash_near_dedup", OP10_SQL)
+def op10(spark, sf_dir):
+    from wayfold.llm.neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
