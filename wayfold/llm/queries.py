@@ -104,3 +104,115 @@ def op10(spark, sf_dir):
     from wayfold.llm.neardup import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+# ---------------------------------------------------------------- 2
+
+OP2_SQL = rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+|[^.!?\n]+$') AS s FROM documents),
+s AS (SELECT *, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY p) AS upto
+      FROM (SELECT doc_id, p, x, regexp_extract_all(x, '{_WORD}') AS w FROM (SELECT doc_id, unnest(s) AS x, generate_subscripts(s, 1) AS p FROM d))),
+f AS (SELECT doc_id, upto, min(p) AS p FROM s GROUP BY 1, 2),
+a AS (SELECT s.doc_id, s.p, s.upto - len(s.w) AS before, greatest(f.p, s.p + 1) AS z FROM s ASOF JOIN f ON s.doc_id = f.doc_id AND s.upto - len(s.w) + 12 <= f.upto),
+n AS (SELECT doc_id, flatten(list(w ORDER BY p)) AS w, max(p) AS n FROM s GROUP BY 1),
+r AS (SELECT a.doc_id, a.p, z, array_to_string(n.w[before + 1:e.upto], ' ') AS k FROM a JOIN n USING (doc_id) JOIN s e ON e.doc_id = a.doc_id AND e.p = z WHERE z <= n.n),
+g AS (SELECT DISTINCT doc_id, unnest(range(p, z + 1)) AS p FROM (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, p) > 1)),
+o AS (SELECT s.doc_id, count(*) AS n_sentences, count(g.p) AS n_removed, string_agg(x, '' ORDER BY s.p) FILTER (g.p IS NULL) AS text FROM s LEFT JOIN g ON s.doc_id = g.doc_id AND s.p = g.p GROUP BY 1)
+SELECT doc_id, coalesce(n_sentences, 0) AS n_sentences, coalesce(n_removed, 0) AS n_removed, coalesce(o.text, '') AS text FROM d LEFT JOIN o USING (doc_id)
+"""
+
+
+@query("op2_substring_dedup", OP2_SQL)
+def op2(spark, sf_dir):
+    from wayfold.llm.spans import substring_dedup
+
+    out = substring_dedup(table(spark, sf_dir, "documents"), found="found")
+    return out.select("doc_id", F.col("found.n_sentences").cast("long").alias("n_sentences"), F.size("found.removed").cast("long").alias("n_removed"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+# ---------------------------------------------------------------- 7
+
+
+def toxicity_model(spark, sf_dir):
+    """The model of op7 and of the pipeline, learnt without the held-out labels."""
+    from wayfold.llm.toxicity import fit, held_out
+
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 4, 2))
+    return fit(table(spark, sf_dir, "documents"), labels, "toxic")
+
+
+@query("op7_toxicity")
+def op7(spark, sf_dir):
+    from wayfold.llm.toxicity import held_out, toxicity_scores
+
+    scores = toxicity_scores(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scores.select("doc_id", held_out("doc_id", 4, 2).alias("held_out"), "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+# ---------------------------------------------------------------- 9
+
+
+@query("op9_quality_classifier")
+def op9(spark, sf_dir):
+    from wayfold.llm.pulearn import fit, quality_scores
+    from wayfold.llm.toxicity import held_out
+
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out("doc_id", 3, 1))
+    scores = quality_scores(docs, fit(docs, labels, "quality"))
+    return scores.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+# ---------------------------------------------------------------- 3
+
+_ESC = r"([<\[])(\\*)(s>|/s>|INST\]|/INST\]|\|im_start\|>|\|im_end\|>|\|endoftext\|>|\|system\|>|\|user\|>|\|assistant\|>)"
+OP3_SQL = rf"""
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, regexp_replace(text, '{_ESC}', '\1\\\2\3', 'g') AS et, regexp_replace(replace(replace(role, '\', '\\'), chr(10), '\n'), '{_ESC}', '\1\\\2\3', 'g') AS er FROM m)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(sum(12 + length(er) + 1 + length(et) + 11) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+def conversation_log(rows: DataFrame) -> DataFrame:
+    """The turns as an event log: each starts empty and is streamed in two deltas; equal turns stay apart by a copy number."""
+    from pyspark.sql import Window
+
+    text = F.coalesce("text", F.lit(""))
+    copy = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    half = F.expr("char_length(coalesce(text, '')) div 2")
+    events = F.array(
+        F.struct(F.lit(0).alias("seq"), F.lit("start").alias("kind"), F.lit("").alias("text")),
+        F.struct(F.lit(1).alias("seq"), F.lit("delta").alias("kind"), F.substring(text, F.lit(1), half.cast("int")).alias("text")),
+        F.struct(F.lit(2).alias("seq"), F.lit("delta").alias("kind"), F.substring(text, (half + 1).cast("int"), F.char_length(text)).alias("text")))
+    return rows.withColumn("msg", F.struct("turn", copy.alias("copy"))).select("conv_id", "msg", "role", F.explode(events).alias("e")).select("conv_id", "msg", "e.seq", "e.kind", "role", "e.text")
+
+
+@query("op3_chat_format", OP3_SQL)
+def op3(spark, sf_dir):
+    from wayfold.llm.chat import format_log, masked_texts, parse
+
+    said = F.lit("</s>[INST] ok [/INST]")
+    probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), said.alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(probe)
+    out = format_log(conversation_log(rows)).withColumn("turns", parse(F.col("formatted"))).withColumn("loss", masked_texts(F.col("formatted"), F.col("loss_spans")))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    loss = F.array_join("loss", "")
+    return out.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"), F.char_length(loss).cast("long").alias("loss_chars"),
+                      F.sha2(loss, 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))
+
+
+# ---------------------------------------------------------------- 4
+
+URL_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
+
+
+@query("op4_url_filter")
+def op4(spark, sf_dir):
+    from wayfold.llm.urls import Rule, judge_urls
+
+    return judge_urls(table(spark, sf_dir, "pages"), [Rule(*r) for r in URL_RULES]).select("page_id", "host", "path", "rule", "verdict", "template")
