@@ -216,3 +216,37 @@ def op4(spark, sf_dir):
     from wayfold.llm.urls import Rule, judge_urls
 
     return judge_urls(table(spark, sf_dir, "pages"), [Rule(*r) for r in URL_RULES]).select("page_id", "host", "path", "rule", "verdict", "template")
+
+
+# ---------------------------------------------------------------- 1
+
+OP1_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, source, lang, CASE WHEN regexp_matches(text, '[Ll]icen[cs]e|[Cc]opyright') THEN 'legal' WHEN regexp_matches(text, '[A-Za-z0-9]@[A-Za-z0-9]|https?://') THEN 'contact'
+                             WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '!!') THEN 'emphatic' ELSE 'prose' END AS topic,
+                      CAST(coalesce(len(regexp_extract_all(text, '{_WORD}')), 0) AS BIGINT) AS n_tokens FROM documents),
+k AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS tokens FROM d GROUP BY ALL),
+t AS (SELECT sum(tokens) AS total FROM k),
+s AS (SELECT source, pow(sum(tokens), 0.7) / sum(pow(sum(tokens), 0.7)) OVER () * (SELECT total FROM t) AS aim FROM k GROUP BY 1),
+l AS (SELECT lang, pow(sum(tokens), 0.7) / sum(pow(sum(tokens), 0.7)) OVER () * (SELECT total FROM t) AS aim FROM k GROUP BY 1),
+o AS (SELECT topic, pow(sum(tokens), 0.7) / sum(pow(sum(tokens), 0.7)) OVER () * (SELECT total FROM t) AS aim FROM k GROUP BY 1),
+r AS (SELECT 0 AS it, source, lang, topic, tokens, tokens AS w FROM k
+      UNION ALL SELECT it + 1, source, lang, topic, tokens, w * o.aim / sum(w) OVER (PARTITION BY topic)
+      FROM (SELECT it, source, lang, topic, tokens, w * l.aim / sum(w) OVER (PARTITION BY lang) AS w
+            FROM (SELECT it, source, lang, topic, tokens, w * s.aim / sum(w) OVER (PARTITION BY source) AS w FROM r JOIN s USING (source) WHERE it < 60) JOIN l USING (lang)) JOIN o USING (topic)),
+q AS (SELECT source, lang, topic, tokens, CASE WHEN tokens > 0 THEN w / tokens ELSE 0 END AS rate FROM r WHERE it = 60),
+c AS (SELECT 0 AS it, CAST(0.8 AS DOUBLE) AS c
+      UNION ALL SELECT it + 1, greatest(c, (0.8 * (SELECT total FROM t) - coalesce(sum(tokens) FILTER (rate * c >= 1), 0)) / nullif(sum(tokens * rate) FILTER (rate * c < 1), 0))
+      FROM c, q WHERE it < 20 GROUP BY it, c),
+p AS (SELECT source, lang, topic, least(1.0, rate * (SELECT max(c) FROM c)) AS p FROM q)
+SELECT doc_id, d.source, d.lang, d.topic, n_tokens, round(p, 6) AS probability,
+       CAST(('0x' || substr(md5('mix:' || CAST(doc_id AS VARCHAR)), 1, 12)) AS BIGINT) / 281474976710656.0 < p AS sampled
+FROM d JOIN p ON d.source = p.source AND d.lang = p.lang AND d.topic = p.topic
+"""
+
+
+@query("op1_source_mixing", OP1_SQL)
+def op1(spark, sf_dir):
+    from wayfold.llm.mixing import mixed
+
+    out = mixed(table(spark, sf_dir, "documents"), found="mix")
+    return out.select("doc_id", "source", "lang", "mix.topic", F.col("mix.tokens").alias("n_tokens"), F.round("mix.probability", 6).alias("probability"), "mix.sampled")
