@@ -11,8 +11,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from wayfold.session import checkpoint, checkpoint_observed
 
-_ROWS = {"n": F.count(F.lit(1))}
-
 
 def _shortened(hooks: DataFrame) -> DataFrame:
     """Follow (id, root) pairs, roots smaller than ids, until every root is final."""
@@ -28,7 +26,7 @@ def _shortened(hooks: DataFrame) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """(id, root) for every end of an edge (``a``, ``b``) but the roots themselves; root: the smallest id reachable."""
-    left, seen = checkpoint_observed(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), **_ROWS)
+    left, seen = checkpoint_observed(edges.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), n=F.count(F.lit(1)))
     steps: list[DataFrame] = []
     while seen["n"]:
         ends = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("to")), F.struct(F.col("b").alias("id"), F.col("a").alias("to")))).alias("e")
@@ -39,7 +37,7 @@ def components(edges: DataFrame) -> DataFrame:
         one = left.join(hooks.select(F.col("id").alias("a"), F.col("root").alias("ra")), "a", "left")
         two = one.join(hooks.select(F.col("id").alias("b"), F.col("root").alias("rb")), "b", "left")
         a, b = F.coalesce("ra", "a"), F.coalesce("rb", "b")
-        left, seen = checkpoint_observed(two.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct(), **_ROWS)
+        left, seen = checkpoint_observed(two.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).where("a <> b").distinct(), n=F.count(F.lit(1)))
     if not steps:
         return left.select(F.col("a").alias("id"), F.col("b").alias("root"))
     out = steps[-1]
