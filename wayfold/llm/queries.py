@@ -250,3 +250,14 @@ def op1(spark, sf_dir):
 
     out = mixed(table(spark, sf_dir, "documents"), found="mix")
     return out.select("doc_id", "source", "lang", "mix.topic", F.col("mix.tokens").alias("n_tokens"), F.round("mix.probability", 6).alias("probability"), "mix.sampled")
+
+
+# ---------------------------------------------------------------- 8
+
+
+@query("op8_token_counts")
+def op8(spark, sf_dir):
+    from wayfold.llm.tokens import counted
+
+    rows = counted(table(spark, sf_dir, "documents"))
+    return rows.select(F.regexp_extract("path", "[^/]*$", 0).alias("shard"), F.col("doc").cast("long").alias("doc_no"), F.col("start").alias("first_token"), F.col("tokens").alias("n_tokens"))
