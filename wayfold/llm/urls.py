@@ -2,8 +2,8 @@
 
 Every path becomes a template. Segments that look like numbers, dates or ids turn into wildcards by their form; then,
 level by level, the segments below one parent turn into a wildcard if they are many and each has few pages. Sibling
-branches with the same templates below them are merged unless the share of bad labels of a branch differs from
-that of its siblings (two-sided test at ``Z``). A template is rejected if its smoothed share of bad labels reaches
+branches with the same templates below them are sorted by their share of bad labels and merged while the next one's
+share does not differ (two-proportion test at ``Z``); branches without labels merge only with each other. A template is rejected if its smoothed share of bad labels reaches
 ``REJECT`` and labels cover at least ``COVER`` of its pages; a template nobody labelled says nothing about its pages.
 
 Pages are summed up by (host, template) before anything else, so a host with a third of all pages is a few rows.
@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wayfold.session import checkpoint
 
@@ -109,18 +109,23 @@ def _variable(rows: DataFrame) -> DataFrame:
 
 
 def _similar(rows: DataFrame, level: int) -> DataFrame:
-    """One branch for siblings with equal templates below and no significant difference in labels; extends the prefix."""
+    """One branch, named after its first member, for siblings with equal templates below and like shares of bad labels; extends the prefix."""
     tail = F.xxhash64(F.slice("segments", level + 1, LEVELS + 1), F.size("segments"))
     # a merged branch may hold a tail several times
     branch = rows.where("seg IS NOT NULL").groupBy("host", "prefix", "seg", tail.alias("tail")).agg(*_sums)
     branch = branch.groupBy("host", "prefix", "seg").agg(F.bit_xor("tail").alias("shape"), *_sums)
-    group = checkpoint(branch.groupBy("host", "prefix", "shape").agg(F.count(F.lit(1)).alias("n"), F.sum("labelled").alias("gl"), F.sum("bad").alias("gb")).where("n > 1"))
-    share = F.col("gb") / F.greatest("gl", F.lit(1))
-    spread = F.sqrt(share * (1 - share) / F.greatest("labelled", F.lit(1)))
-    alike = (F.col("labelled") == 0) | (F.abs(F.col("bad") / F.greatest("labelled", F.lit(1)) - share) <= Z * spread)
-    merged = checkpoint(checkpoint(branch).join(group, ["host", "prefix", "shape"]).where(alike).groupBy("host", "prefix", "seg").agg(F.lit(True).alias("merged")))
+    rate = F.col("bad") / F.greatest("labelled", F.lit(1))
+    siblings = ["host", "prefix", "shape", (F.col("labelled") == 0)]
+    by_rate = Window.partitionBy(*siblings).orderBy(rate, "seg")
+    n, n0, bad0 = F.greatest("labelled", F.lit(1)), F.lag(F.greatest("labelled", F.lit(1))).over(by_rate), F.lag("bad").over(by_rate)
+    pooled = (F.col("bad") + bad0) / (n + n0)
+    apart = F.abs(rate - bad0 / n0) > Z * F.sqrt(pooled * (1 - pooled) * (1 / n + 1 / n0))
+    cut = checkpoint(branch).withColumn("cut", F.coalesce(apart, F.lit(False)).cast("int"))
+    group = Window.partitionBy(*siblings, "group")
+    named = cut.withColumn("group", F.sum("cut").over(by_rate)).withColumn("members", F.count(F.lit(1)).over(group)).withColumn("first", F.min("seg").over(group)).where("members > 1")
+    merged = checkpoint(named.select("host", "prefix", "seg", F.concat(F.lit("{"), "first", F.lit(",..}")).alias("merged")))
     out = rows.join(merged, ["host", "prefix", "seg"], "left")
-    name = F.when(F.coalesce("merged", F.lit(False)), "*").otherwise(F.col("seg"))
+    name = F.coalesce("merged", "seg")
     return out.withColumn("prefix", F.when(F.col("seg").isNull(), F.col("prefix")).otherwise(F.concat("prefix", F.lit("/"), name))).select("host", "segments", *_SUMS, "prefix")
 
 
