@@ -113,6 +113,31 @@ def test_nearest_far_and_near(spark):
     assert {r["id"]: r["near_rid"] for r in got} == want
 
 
+def test_overlapping_boxes_beyond_any_fixed_reach(spark):
+    """One path or the other: a group of 512 rows and one of 513 give the same selection."""
+    from wayfold.functions import geometry as E
+
+    for n in (512, 513):
+        rows = [(0, 0.9, 0.0, 0.0, 2000.0, 2000.0), (1, 0.8, 400.0, 0.0, 2400.0, 2000.0)] + [(k, 0.5, 5000.0 * k, 0.0, 5000.0 * k + 1, 1.0) for k in range(2, n)]
+        d = spark.createDataFrame(rows, "id long, s double, x0 double, y0 double, x1 double, y1 double").withColumn("g", F.lit(1)).withColumn("x", (C("x0") + C("x1")) / 2).withColumn("y", (C("y0") + C("y1")) / 2)
+        box = lambda f: E.make_box(f("x0"), f("y0"), f("x1"), f("y1"))
+        out = greedy.greedy_keep(d, "id", ["g"], [C("s"), -C("id")], F.greatest(C("x1") - C("x0"), C("y1") - C("y0")), lambda a, b: E.box_iou(box(a), box(b)) >= 0.5)
+        assert out.filter("kept").count() == n - 1 and out.filter("id = 1").first()["owner"] == 0
+
+
+def test_nearest_reaches_any_distance(spark):
+    left = spark.createDataFrame([(1, 0.0, 0.0)], "id long, x double, y double")
+    right = spark.createDataFrame([(7, 5_036_000.0, 3.0), (8, 6e6, 0.0)], "rid long, x double, y double")
+    assert joins.nearest(left, right, ["rid"], [], 0.01).collect()[0]["near_rid"] == 7
+
+
+def test_penalty_is_the_distance_outside_a_band(spark):
+    from wayfold.operators import gates
+
+    r = spark.createDataFrame([(v,) for v in (0.5, 0.55, 0.45, 0.3, 0.95, 0.99)], "x double").select(gates.band_penalty(C("x"), (0.55, 0.35), (0.90, 0.97)).alias("p")).collect()
+    assert [round(x["p"], 6) for x in r] == [0.25, 0.0, 0.5, 100.5, round(0.05 / 0.07, 6), 100.2]
+
+
 def test_nearest_without_targets_keeps_rows(spark):
     left = spark.createDataFrame([(1, 1.0, 2.0)], "id long, x double, y double")
     right = spark.createDataFrame([], "rid long, x double, y double")
@@ -279,8 +304,14 @@ def test_sinks_round_trip(spark, tmp_path):
     calls = []
     build = lambda: calls.append(1) or p
     for _ in range(2):
-        assert sinks.cached(spark, str(tmp_path / "c"), {"a": 1}, build).count() == 200
+        assert sinks.cached(spark, str(tmp_path / "c"), {"a": 1}, [], build).count() == 200
     assert len(calls) == 1
+    src = str(tmp_path / "src")
+    p.write.parquet(src)
+    fresh = lambda: sinks.cached(spark, str(tmp_path / "c"), {"b": 1}, [spark.read.parquet(src)], lambda: spark.read.parquet(src)).count()
+    assert fresh() == fresh() == 200
+    p.limit(50).write.mode("append").parquet(src)
+    assert fresh() == 250  # changed input, new table
     sinks.write_jsonl(p, str(tmp_path / "j"))
     assert scans.read_jsonl(spark, str(tmp_path / "j"), "drive_id int, pt_id long").filter("not bad").count() == 200
     sinks.write_trace(p, str(tmp_path / "t"))

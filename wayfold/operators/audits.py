@@ -150,21 +150,22 @@ def ransac_plane(points: DataFrame, by: Sequence[str], iters: int, tol: float, m
     return good.groupBy(*by).agg(F.max("a").alias("a"), F.max("b").alias("b"), F.max("c").alias("c"), F.count_if(F.col("_d") < tol).alias("inliers"), F.count(F.lit(1)).alias("n"))
 
 
-def dominant_mode(df: DataFrame, by: Sequence[str], value: str, bin_m: float, min_share: float, pctl: float) -> DataFrame:
-    """Centre of the fullest bin (bins start at the key's minimum) if its share is large enough, else a percentile."""
+def dominant_mode(df: DataFrame, by: Sequence[str], value: str, bin_m: float, min_share: float, flat_pctl: float, spread_pctl: float) -> DataFrame:
+    """Centre of the fullest bin (bins start at the key's minimum) if its share is large enough, else a percentile:
+    ``flat_pctl`` where all values fit in one bin, ``spread_pctl`` elsewhere. Both hold for keys of any size."""
     by = list(by)
     lim = df.groupBy(*by).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"), F.count(F.lit(1)).alias("n"))
     b = df.join(lim, by).groupBy(*by, F.floor((F.col(value) - F.col("_lo")) / bin_m).alias("_b")).agg(F.count(F.lit(1)).alias("_k"))
     top = b.groupBy(*by).agg(F.max(F.struct("_k", (-F.col("_b")).alias("o"))).alias("m"))
     v = df.groupBy(*by, value).agg(F.count(F.lit(1)).alias("_c"))
-    lowp = F.lit(max(pctl, 20.0) / 100)
-    p = v.groupBy(*by).agg(F.percentile(value, F.lit(pctl / 100), F.col("_c")).alias("p"), F.percentile(value, lowp, F.col("_c")).alias("p20"))
+    pct = lambda q: F.percentile(value, F.lit(q / 100), F.col("_c"))
+    p = v.groupBy(*by).agg(pct(flat_pctl).alias("_flat"), pct(spread_pctl).alias("_spread"))
     j = lim.join(top, by).join(p, by)
     flat = F.col("_hi") - F.col("_lo") < bin_m
     share = F.when(flat, 0.0).otherwise(F.col("m._k") / F.col("n"))
     is_mode = ~flat & (share >= min_share)
     mid = F.col("_lo") + (-F.col("m.o") + 0.5) * bin_m
-    return j.select(*by, F.when(is_mode, mid).when(flat | (F.col("n") >= 5000), F.col("p")).otherwise(F.col("p20")).alias("ground_z"),
+    return j.select(*by, F.when(is_mode, mid).when(flat, F.col("_flat")).otherwise(F.col("_spread")).alias("ground_z"),
                     F.when(is_mode, "mode").otherwise("pctl").alias("source"), share.alias("share"))
 
 

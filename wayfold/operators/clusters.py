@@ -119,9 +119,9 @@ def arm_count(df: DataFrame, by: Sequence[str], angle: str, period: float, width
     return k.select(*by, (F.col("_k") - F.when(wrap, 1).otherwise(0)).cast("int").alias(out))
 
 
-def disc_cells(seeds: DataFrame, key: Sequence[str], radius: Column, res: float, max_radius: float) -> DataFrame:
+def disc_cells(seeds: DataFrame, key: Sequence[str], radius: Column, res: float) -> DataFrame:
     """Cells whose centre is within ``radius`` of each seed: (key, ix, iy, cell_dist)."""
-    n = int(max_radius // res) + 1
+    n = F.floor(F.col("_r") / res).cast("long") + 1
     seq = lambda c: F.explode(F.sequence(F.floor(F.col(c) / res).cast("long") - n, F.floor(F.col(c) / res).cast("long") + n))
     d = seeds.withColumn("_r", radius).select("*", seq("x").alias("ix")).select("*", seq("y").alias("iy"))
     dist = F.hypot((F.col("ix") + 0.5) * res - F.col("x"), (F.col("iy") + 0.5) * res - F.col("y"))

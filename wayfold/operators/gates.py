@@ -14,16 +14,6 @@ def cba_gate(c: Column, b: Column, a: Column, c_min: float = C_MIN, b_max: float
     return first_reason([("C_below", c < c_min), ("B_above", b > b_max), ("A_above", a > a_max)], "ok")
 
 
-def coverage_cba(coverage: Column, use_osm: Column, use_sat: Column, osm_ok: Column, sat_ok: Column) -> dict[str, Column]:
-    """C, B, A and conflict of an arm from image coverage and the priors it may use."""
-    osm, sat = use_osm & osm_ok, use_sat & sat_ok
-    bonus = F.when(osm, 0.005).otherwise(0.0) + F.when(sat, 0.005).otherwise(0.0)
-    c = F.least(F.lit(0.99), coverage + bonus)
-    conflict = F.when(osm | sat, 0.03).otherwise(0.02)
-    prior = F.when(use_osm & use_sat, "BOTH").when(use_osm, "OSM").when(use_sat, "SAT").otherwise("NONE")
-    return {"C": F.bround(c, 4), "B": F.bround(0.22 + 0.18 * (1.0 - c) + 0.40 * conflict, 4), "A": F.bround(2.0 + 6.0 * (1.0 - c) + 10.0 * conflict, 3), "conflict": conflict, "prior_used": prior}
-
-
 def clamp(v: Column, lo: float, hi: float) -> Column:
     return F.least(F.greatest(v, F.lit(float(lo))), F.lit(float(hi)))
 
@@ -39,17 +29,15 @@ def trial_score(c: Column, b: Column, a: Column, conflict: Column) -> Column:
     return c - 0.25 * b - 0.01 * a - 0.5 * conflict
 
 
-def penalty_upper(x: Column, target: float, hard: float) -> Column:
-    """0 up to the target, then linear to 1, then 100 plus 10 per unit over the hard limit."""
-    return F.when(x <= target, 0.0).when(x >= hard, 100.0 + (x - hard) * 10.0).otherwise((x - target) / max(hard - target, 1e-6))
-
-
-def penalty_lower(x: Column, target: float, hard: float) -> Column:
-    return F.when(x >= target, 0.0).when(x <= hard, 100.0 + (hard - x) * 10.0).otherwise((target - x) / max(target - hard, 1e-6))
-
+def band_penalty(x: Column, low: tuple[float, float] | None = None, high: tuple[float, float] | None = None, steep: float = 10.0, jump: float = 100.0) -> Column:
+    """Distance of ``x`` outside a band, in units of the way from a bound's target to its hard limit.
 
-def penalty_range(x: Column, target: tuple[float, float], hard: tuple[float, float]) -> Column:
-    return F.when(x.between(*target), 0.0).when(x < target[0], penalty_lower(x, target[0], hard[0])).otherwise(penalty_upper(x, target[1], hard[1]))
+    ``low`` and ``high`` are (target, hard limit). From the hard limit on, ``jump`` plus ``steep`` per unit beyond it.
+    """
+    sides = [(F.lit(low[0]) - x, low[0] - low[1])] if low else []
+    sides += [(x - high[0], high[1] - high[0])] if high else []
+    cost = [F.when(gap <= 0, 0.0).when(gap < way, gap / way).otherwise(jump + steep * (gap - way)) for gap, way in sides]
+    return F.greatest(*cost) if len(cost) > 1 else cost[0]
 
 
 def delta_reasons(values: dict[str, tuple[Column, Column, float]]) -> Column:

@@ -15,12 +15,14 @@ Pair = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 SMALL = 512
 
 
-def greedy_keep(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[Column], reach: float, conflict: Pair) -> DataFrame:
+def greedy_keep(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[Column], reach: float | Column, conflict: Pair) -> DataFrame:
     """Walk the rows of each group by descending priority; keep a row unless a kept one conflicts with it.
 
     Returns df plus ``owner`` (the kept row that claimed it, best priority first) and ``kept``.
     Groups of at most ``SMALL`` rows (counted first) are walked inside one array expression; larger
-    groups go through ``greedy_rounds``, which never loads a group. Both give the same rows.
+    groups go through ``greedy_rounds``, which never loads a group. Both give the same rows as long as
+    no two conflicting rows are more than ``reach`` apart on an axis. A rule on distance knows its reach; for
+    boxes pass the side as a column, and the reach is the largest side in ``df``.
     """
     by = list(by)
     d = df.withColumn("_p", F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)]))
@@ -40,6 +42,8 @@ def greedy_keep(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[C
     out = out.withColumn("kept", F.col("owner") == F.col(key))
     if big.isEmpty():
         return out
+    if isinstance(reach, Column):
+        reach = float(df.agg(F.max(reach)).first()[0] or 1.0)
     return out.unionByName(greedy_rounds(df.join(big.select(*by), by, "left_semi"), key, by, priority, reach, conflict).select(*out.columns))
 
 

@@ -157,13 +157,9 @@ def surface_mask(stats: DataFrame, slopes: DataFrame, min_pts: int, rough_max: f
             .filter((F.col("cand_n") >= min_pts) & (F.col("z_std") <= rough_max) & (F.col("slope") <= slope_max)))
 
 
-def reference_surface(points: DataFrame, res: float, q_low: float, min_pts: int, by: Sequence[str], k: int = 64) -> DataFrame:
-    """Low quantile of the k lowest heights per cell; cells with fewer than ``min_pts`` points drop out."""
-    c = with_cell(points, res).select(*by, *CELL, "z")
-    low = c.withColumn("_r", F.row_number().over(W.partitionBy(*by, *CELL).orderBy("z"))).filter(F.col("_r") <= k)
-    ref = low.groupBy(*by, *CELL).agg(F.percentile("z", F.lit(q_low)).alias("z_ref"))
-    n = c.groupBy(*by, *CELL).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pts)
-    return ref.join(n, [*by, *CELL])
+def reference_surface(points: DataFrame, res: float, q_low: float, min_pts: int, by: Sequence[str]) -> DataFrame:
+    """Low quantile of the heights per cell; cells with fewer than ``min_pts`` points drop out."""
+    return cell_percentiles(with_cell(points, res), [*by, *CELL], "z", {"z_ref": q_low}).filter(F.col("n") >= min_pts)
 
 
 def smooth_and_fill(cells: DataFrame, value: str, r: int, by: Sequence[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,9 +36,6 @@ def within(left: DataFrame, right: DataFrame, dist: float, by: Sequence[str] = (
         F.col("dist") <= dist).drop("_gx", "_gy")
 
 
-LEVELS = 13
-
-
 def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequence[str] = (), cell: float = 16.0, prefix: str = "near_") -> DataFrame:
     """Nearest right row per left row (ties: smallest first field); keeps every left row.
 
@@ -45,7 +43,7 @@ def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequen
     of them finds the finest level of a grid pyramid (sizes 2*cell*4^l) whose 3x3 block holds a right
     row. That bounds the distance by 2*sqrt(2) level cells, so all possible winners of the cell's
     points lie in the 3x3 block one level up. The exact candidates travel as a small array and the
-    winner is picked by an expression. One lazy plan, no loop.
+    winner is picked by an expression. The pyramid is as high as the extent of both sides asks for.
     """
     by = list(by)
     half = cell * 2 ** 0.5 / 2
@@ -54,15 +52,19 @@ def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequen
     ref = checkpoint(ref.groupBy(*by, "rx", "ry").agg(F.min(F.struct(*["_f_" + f for f in fields])).alias("_f")))
     size = lambda l: F.lit(2.0 * cell) * F.pow(F.lit(4.0), l)
     at = lambda d, x, y: d.withColumn("_gx", _cell(F.col(x), size(F.col("_l")))).withColumn("_gy", _cell(F.col(y), size(F.col("_l"))))
-    every = F.explode(F.sequence(F.lit(0), F.lit(LEVELS - 2))).alias("_l")
     k = [*by, "_ix", "_iy"]
     cells = left.select(*by, _cell("x", cell).alias("_ix"), _cell("y", cell).alias("_iy")).distinct()
     cells = checkpoint(cells.withColumn("cx", (F.col("_ix") + 0.5) * cell).withColumn("cy", (F.col("_iy") + 0.5) * cell))
+    wide = [cells.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first(), ref.agg(F.min("rx"), F.max("rx"), F.min("ry"), F.max("ry")).first()]
+    ends = lambda i, pick: pick([w[i] for w in wide if w[i] is not None], default=0.0)
+    extent = max(ends(1, max) - ends(0, min), ends(3, max) - ends(2, min), cell)
+    top = max(0, math.ceil(math.log(extent / (2 * cell), 4)))
+    every = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_l")
     block = lambda d: d.select("*", _ring()).withColumn("_gx", F.col("_gx") + F.col("_o.dx")).withColumn("_gy", F.col("_gy") + F.col("_o.dy")).drop("_o")
     filled = block(at(ref.select(*by, "rx", "ry", every), "rx", "ry").select(*by, "_l", "_gx", "_gy").distinct()).distinct()
     found = at(cells.select("*", every), "cx", "cy").join(filled, [*by, "_l", "_gx", "_gy"]).groupBy(*k, "cx", "cy").agg((F.min("_l") + 1).alias("_l"))
     # only the levels in use are built on the right side
-    pairs = block(at(found, "cx", "cy")).join(at(ref.select("*", F.explode(F.sequence(F.lit(1), F.lit(LEVELS - 1))).alias("_l")), "rx", "ry"), [*by, "_l", "_gx", "_gy"])
+    pairs = block(at(found, "cx", "cy")).join(at(ref.select("*", F.explode(F.sequence(F.lit(1), F.lit(top + 1))).alias("_l")), "rx", "ry"), [*by, "_l", "_gx", "_gy"])
     pairs = pairs.select(*k, "rx", "ry", "_f", F.hypot(F.col("rx") - F.col("cx"), F.col("ry") - F.col("cy")).alias("dist"))
     near = pairs.groupBy(*k).agg(F.min("dist").alias("_d"))
     cand = pairs.join(near, k).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9).groupBy(*k).agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c"))

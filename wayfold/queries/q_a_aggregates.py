@@ -224,9 +224,9 @@ def _(c):
 
 @query("a24_dominant_mode", """WITH g AS (SELECT drive_id, frame_id, z FROM points), l AS (SELECT drive_id, frame_id, min(z) lo, max(z) hi, count(*) n FROM g GROUP BY 1,2), b AS (SELECT drive_id, frame_id, CAST(floor((z-lo)/0.4137) AS BIGINT) bn, count(*) k FROM g JOIN l USING (drive_id, frame_id) GROUP BY ALL),
  t AS (SELECT drive_id, frame_id, max(k) k, arg_max(bn, {'k': k, 'o': -bn}) bn FROM b GROUP BY 1,2), q AS (SELECT drive_id, frame_id, quantile_cont(z,0.1) p, quantile_cont(z,0.2) p20 FROM g GROUP BY 1,2), f AS (SELECT *, CASE WHEN hi-lo<0.4137 THEN 0 ELSE k/CAST(n AS DOUBLE) END AS sh FROM l JOIN t USING (drive_id, frame_id) JOIN q USING (drive_id, frame_id))
- SELECT drive_id, frame_id, round(CASE WHEN hi-lo>=0.4137 AND sh>=0.2 THEN lo+(bn+0.5)*0.4137 WHEN hi-lo<0.4137 OR n>=5000 THEN p ELSE p20 END,6) AS ground_z, CASE WHEN hi-lo>=0.4137 AND sh>=0.2 THEN 'mode' ELSE 'pctl' END AS source, round(sh,6) AS share FROM f""")
+ SELECT drive_id, frame_id, round(CASE WHEN hi-lo>=0.4137 AND sh>=0.2 THEN lo+(bn+0.5)*0.4137 WHEN hi-lo<0.4137 THEN p ELSE p20 END,6) AS ground_z, CASE WHEN hi-lo>=0.4137 AND sh>=0.2 THEN 'mode' ELSE 'pctl' END AS source, round(sh,6) AS share FROM f""")
 def _(c):
-    return A.dominant_mode(c.points, ["drive_id", "frame_id"], "z", 0.4137, 0.2, 10.0)
+    return A.dominant_mode(c.points, ["drive_id", "frame_id"], "z", 0.4137, 0.2, 10.0, 20.0)
 
 
 SIM = "pq AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE)*100 sx, CAST(embedding[2] AS DOUBLE)*100 sy, 3+1.2*(CAST(embedding[1] AS DOUBLE)*100*cos(0.3)-CAST(embedding[2] AS DOUBLE)*100*sin(0.3))+CAST(embedding[3] AS DOUBLE)*10 dx, -5+1.2*(CAST(embedding[1] AS DOUBLE)*100*sin(0.3)+CAST(embedding[2] AS DOUBLE)*100*cos(0.3))+CAST(embedding[4] AS DOUBLE)*10 dy FROM embeddings)"

@@ -412,7 +412,7 @@ LOCAL = """sd AS (SELECT prior_id, (minx+maxx)/2 AS px, (miny+maxy)/2 AS py FROM
 def local_cells(c):
     seed = c.priors.select("prior_id", ((C("minx") + C("maxx")) / 2).alias("x"), ((C("miny") + C("maxy")) / 2).alias("y"))
     road = G.with_cell(c.points.filter("z > 2.5"), 4.0).select("ix", "iy").distinct()
-    return K.disc_cells(seed, ["prior_id"], F.lit(20.0), 4.0, 20.0).join(road, ["ix", "iy"], "left_semi")
+    return K.disc_cells(seed, ["prior_id"], F.lit(20.0), 4.0).join(road, ["ix", "iy"], "left_semi")
 
 
 @query("g25_refine_intersection", f"""WITH RECURSIVE {LOCAL}, {cc_sql('lc', False).replace('100000000', '1000000000000').replace('10000 +', '1000000 +')}, z AS (SELECT drive_id, label, count(*) n FROM msk JOIN cc USING (id) GROUP BY 1,2), b AS (SELECT drive_id, max(n) n FROM z GROUP BY 1)
@@ -492,7 +492,7 @@ def _(c):
  {cc_sql('ds', False)}, z AS (SELECT drive_id, label, count(*)*25.0::DOUBLE AS a FROM msk JOIN cc USING (id) GROUP BY 1,2), r AS (SELECT *, row_number() OVER (PARTITION BY drive_id ORDER BY a DESC, label) AS r FROM z WHERE a>=700) SELECT drive_id, count(*) AS intersections, round(sum(a),6) AS area_m2 FROM r WHERE r<=5 GROUP BY 1""")
 def _(c):
     t = turns(c, 1.6).select("drive_id", "x", "y")
-    cells = K.disc_cells(t, ["drive_id"], F.lit(15.0), 5.0, 15.0).select("drive_id", "ix", "iy").distinct()
+    cells = K.disc_cells(t, ["drive_id"], F.lit(15.0), 5.0).select("drive_id", "ix", "iy").distinct()
     a = G.area_components(cells, 5.0, ["drive_id"], False).filter("area_m2 >= 700")
     k = top_per_group(a, ["drive_id"], [F.desc("area_m2"), C("label")], 5)
     return k.groupBy("drive_id").agg(N().alias("intersections"), F.sum("area_m2").alias("area_m2"))

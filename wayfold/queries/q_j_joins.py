@@ -66,13 +66,14 @@ BOXD = "sqrt(pow(greatest(minx-x,0,x-maxx),2)+pow(greatest(miny-y,0,y-maxy),2))"
 
 
 @query("j04_drive_by_containment_or_nearest", f"""WITH d AS (SELECT cand_id, prior_id, {BOXD} AS d, row_number() OVER (PARTITION BY cand_id ORDER BY {BOXD}, prior_id) AS r FROM candidates, priors WHERE x BETWEEN minx-60 AND maxx+60 AND y BETWEEN miny-60 AND maxy+60)
- SELECT cand_id, prior_id, round(d,6) AS dist FROM d WHERE r=1 AND d<=60""")
+ SELECT cand_id, prior_id, round(d,6) AS dist FROM (SELECT cand_id FROM candidates) LEFT JOIN (SELECT * FROM d WHERE r=1 AND d<=60) USING (cand_id)""")
 def _(c):
     wide = c.priors.select("prior_id", *[(C(k) - 60).alias(k) for k in ("minx", "miny")], *[(C(k) + 60).alias(k) for k in ("maxx", "maxy")])
     j = J.in_boxes(c.candidates.select("cand_id", "x", "y"), wide, 128.0)
     box = E.make_box(C("minx") + 60, C("miny") + 60, C("maxx") - 60, C("maxy") - 60)
     j = j.select("cand_id", F.struct(E.box_distance(box, C("x"), C("y")).alias("d"), "prior_id").alias("m"))
-    return j.groupBy("cand_id").agg(F.min("m").alias("m")).select("cand_id", "m.prior_id", C("m.d").alias("dist")).filter("dist <= 60")
+    near = j.groupBy("cand_id").agg(F.min("m").alias("m")).select("cand_id", "m.prior_id", C("m.d").alias("dist")).filter("dist <= 60")
+    return c.candidates.select("cand_id").join(near, "cand_id", "left")
 
 
 def box_pairs(c):

@@ -115,8 +115,7 @@ def _(c):
     return surface(c).select(*BY, "ix", "iy", "z_std", "slope")
 
 
-@query("r12_reference_surface", f"""WITH {CELLS}, k AS (SELECT *, row_number() OVER (PARTITION BY drive_id, ix, iy ORDER BY z) AS r, count(*) OVER (PARTITION BY drive_id, ix, iy) AS n FROM cells)
- SELECT drive_id, ix, iy, round(quantile_cont(z,0.05),6) AS z_ref, max(n) AS n FROM k WHERE r<=64 AND n>=3 GROUP BY drive_id, ix, iy""")
+@query("r12_reference_surface", f"""WITH {CELLS} SELECT drive_id, ix, iy, round(quantile_cont(z,0.05),6) AS z_ref, count(*) AS n FROM cells GROUP BY drive_id, ix, iy HAVING count(*)>=3""")
 def _(c):
     return G.reference_surface(c.points, RES, 0.05, 3, BY)
 
@@ -128,7 +127,7 @@ def _(c):
  fl AS (SELECT t.drive_id, t.ix, t.iy, median(w.z) AS z FROM t2 t ANTI JOIN sm USING (drive_id, ix, iy) JOIN sm w ON w.drive_id=t.drive_id AND w.ix BETWEEN t.ix-1 AND t.ix+1 AND w.iy BETWEEN t.iy-1 AND t.iy+1 GROUP BY ALL)
  SELECT drive_id, ix, iy, round(z,6) AS z_smooth, false AS filled FROM sm UNION ALL SELECT drive_id, ix, iy, round(z,6), true FROM fl""")
 def _(c):
-    return G.smooth_and_fill(G.reference_surface(c.points, RES, 0.05, 12, BY, k=1_000_000), "z_ref", 1, BY)
+    return G.smooth_and_fill(G.reference_surface(c.points, RES, 0.05, 12, BY), "z_ref", 1, BY)
 
 
 @query("r15_terrain_grid", f"WITH {CELLS} SELECT drive_id, ix, iy, count(*) AS n, round(median(z),6) AS z_median, round(stddev_pop(z),6) AS z_std FROM cells GROUP BY ALL HAVING count(*)>=4")

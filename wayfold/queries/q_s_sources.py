@@ -79,7 +79,7 @@ def _(c):
 def _(c):
     ensure_checkpoint_dir(c.spark)
     folder = c.spark.sparkContext.getCheckpointDir() + "/cache"
-    return sinks.cached(c.spark, folder, {"table": "drive_index", "root": c.dir, "max_frames": 0}, lambda: index(c)).select("drive_id", "lidar_count", "pose_match")
+    return sinks.cached(c.spark, folder, {"table": "drive_index", "root": c.dir, "max_frames": 0}, [c.events], lambda: index(c)).select("drive_id", "lidar_count", "pose_match")
 
 
 @query("s08_point_scan", "SELECT drive_id, count(*) AS n, round(min(z),6) AS z0, round(max(z),6) AS z1 FROM points WHERE x BETWEEN 50 AND 200 AND y BETWEEN 20 AND 120 GROUP BY 1")

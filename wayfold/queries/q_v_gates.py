@@ -23,17 +23,12 @@ def _(c):
     return c.runs.groupBy("drive_id").agg(F.bround(F.avg("c_ratio"), 4).alias("c"), F.bround(F.avg("b_rough") / km(F.avg("line_len")), 4).alias("b"), F.bround(F.sum("dangling_per_km") / km(F.sum("line_len")), 3).alias("a"))
 
 
-@query("v03_coverage_arms", """WITH cv AS (SELECT user_id AS drive_id, count(*) FILTER (event_type IN ('click','view','signup','purchase'))/CAST(count(*) AS DOUBLE) AS cov, max(value)>300 AS osm_ok, max(value)>200 AS sat_ok FROM events GROUP BY 1), ar(arm, uo, us) AS (VALUES ('Arm0',false,false),('Arm1',true,false),('Arm2',false,true),('Arm3',true,true)),
- j AS (SELECT *, least(0.99::DOUBLE, cov+CASE WHEN uo AND osm_ok THEN 0.005::DOUBLE ELSE 0 END+CASE WHEN us AND sat_ok THEN 0.005::DOUBLE ELSE 0 END) AS c, CASE WHEN (uo AND osm_ok) OR (us AND sat_ok) THEN 0.03::DOUBLE ELSE 0.02::DOUBLE END AS k FROM cv, ar)
- SELECT drive_id, arm, round_even(c,4) AS "C", round_even(0.22::DOUBLE+0.18::DOUBLE*(1.0::DOUBLE-c)+0.40::DOUBLE*k,4) AS "B", round_even(2.0::DOUBLE+6.0::DOUBLE*(1.0::DOUBLE-c)+10.0::DOUBLE*k,3) AS "A", k AS conflict, CASE WHEN uo AND us THEN 'BOTH' WHEN uo THEN 'OSM' WHEN us THEN 'SAT' ELSE 'NONE' END AS prior_used FROM j""")
+@query("v03_coverage_arms", """SELECT drive_id, arm, round_even(avg(c_ratio),4) AS "C", round_even(avg(b_rough),4) AS "B", round_even(avg(dangling_per_km),3) AS "A", round(avg(conflict_rate),6) AS conflict, count(*) AS windows,
+ CASE WHEN round_even(avg(c_ratio),4)<0.8 THEN 'C_below' WHEN round_even(avg(b_rough),4)>0.4 THEN 'B_above' WHEN round_even(avg(dangling_per_km),3)>7.0 THEN 'A_above' ELSE 'ok' END AS gate FROM runs GROUP BY 1,2""")
 def _(c):
-    cov = F.count_if(C("event_type").isin("click", "view", "signup", "purchase")) / N()
-    d = c.events.groupBy(C("user_id").alias("drive_id")).agg(cov.alias("cov"), (F.max("value") > 300).alias("osm_ok"), (F.max("value") > 200).alias("sat_ok"))
-    arm = lambda n, o, s: F.struct(F.lit(n).alias("arm"), F.lit(o).alias("uo"), F.lit(s).alias("us"))
-    # the four arms are literals, so every drive row simply fans out by four
-    d = d.select("*", F.explode(F.array(arm("Arm0", False, False), arm("Arm1", True, False), arm("Arm2", False, True), arm("Arm3", True, True))).alias("v")).select("*", "v.*")
-    m = V.coverage_cba(C("cov"), C("uo"), C("us"), C("osm_ok"), C("sat_ok"))
-    return d.select("drive_id", "arm", *[v.alias(k) for k, v in m.items()])
+    # measured per arm, not derived from the coverage
+    m = c.runs.groupBy("drive_id", "arm").agg(F.bround(F.avg("c_ratio"), 4).alias("C"), F.bround(F.avg("b_rough"), 4).alias("B"), F.bround(F.avg("dangling_per_km"), 3).alias("A"), F.avg("conflict_rate").alias("conflict"), N().alias("windows"))
+    return m.withColumn("gate", V.cba_gate(C("C"), C("B"), C("A")))
 
 
 @query("v04_geometry_params", """WITH p AS (SELECT p_partkey, (p_size%50)/CAST(50 AS DOUBLE) AS d, (p_partkey%20)/CAST(10 AS DOUBLE) AS sl, (p_size%7)*CAST(1 AS DOUBLE) AS ms, p_retailprice/31 AS se FROM part)
@@ -60,8 +55,9 @@ def pr(x, t, h):
  SELECT drive_id, round(3.0*{pr('cover', (0.55, 0.90), (0.35, 0.97))}+3.0*{pr('mark', (0.005, 0.06), (0.0, 0.12))}+2.0*{pr('pts', (0.002, 0.05), (0.0, 0.10))}+1.0*({pu('cw', 10.0, 25.0)}),6) AS road_penalty, round(4.0*({pl('cover', 0.70, 0.60)})+3.0*({pu('mark', 0.04, 0.18)}),6) AS aerial_penalty FROM s""")
 def _(c):
     s = c.runs.groupBy("drive_id").agg(F.avg("c_ratio").alias("cover"), (F.avg("b_rough") / 10).alias("mark"), F.avg("conflict_rate").alias("pts"), (F.max("n_intersections") * 3.0).alias("cw"))
-    road = 3.0 * V.penalty_range(C("cover"), (0.55, 0.90), (0.35, 0.97)) + 3.0 * V.penalty_range(C("mark"), (0.005, 0.06), (0.0, 0.12)) + 2.0 * V.penalty_range(C("pts"), (0.002, 0.05), (0.0, 0.10)) + V.penalty_upper(C("cw"), 10.0, 25.0)
-    return s.select("drive_id", road.alias("road_penalty"), (4.0 * V.penalty_lower(C("cover"), 0.70, 0.60) + 3.0 * V.penalty_upper(C("mark"), 0.04, 0.18)).alias("aerial_penalty"))
+    road = (3.0 * V.band_penalty(C("cover"), (0.55, 0.35), (0.90, 0.97)) + 3.0 * V.band_penalty(C("mark"), (0.005, 0.0), (0.06, 0.12))
+            + 2.0 * V.band_penalty(C("pts"), (0.002, 0.0), (0.05, 0.10)) + V.band_penalty(C("cw"), high=(10.0, 25.0)))
+    return s.select("drive_id", road.alias("road_penalty"), (4.0 * V.band_penalty(C("cover"), (0.70, 0.60)) + 3.0 * V.band_penalty(C("mark"), high=(0.04, 0.18))).alias("aerial_penalty"))
 
 
 @query("v08_regression_gate", """WITH cur AS (SELECT drive_id, CAST(max(n_intersections) AS DOUBLE) AS deg, CAST(count(*) AS DOUBLE) AS act FROM runs GROUP BY 1), b AS (SELECT c_custkey AS drive_id, CASE WHEN c_nationkey%5=0 THEN NULL ELSE c_nationkey%7 END AS bd, c_nationkey AS ba FROM customer)
@@ -166,10 +162,10 @@ def _(c):
                                                             F.bround(F.avg("c_ratio"), 4).alias("centerlines_in_polygon_ratio"), N().alias("windows"))
 
 
-@query("v21_ablation_table", """SELECT drive_id, round(avg(c_ratio) FILTER (arm='1-URGENT'),6) AS arm1, round(avg(c_ratio) FILTER (arm='2-HIGH'),6) AS arm2, round(avg(c_ratio) FILTER (arm='3-MEDIUM'),6) AS arm3, round(avg(c_ratio) FILTER (arm='5-LOW'),6) AS arm5 FROM runs GROUP BY 1""")
+@query("v21_ablation_table", """SELECT drive_id, round(avg(c_ratio) FILTER (arm='1-URGENT'),6) AS arm1, round(avg(c_ratio) FILTER (arm='2-HIGH'),6) AS arm2, round(avg(c_ratio) FILTER (arm='3-MEDIUM'),6) AS arm3, round(avg(c_ratio) FILTER (arm='4-NOT SPECIFIED'),6) AS arm4, round(avg(c_ratio) FILTER (arm='5-LOW'),6) AS arm5 FROM runs GROUP BY 1""")
 def _(c):
-    p = c.runs.groupBy("drive_id").pivot("arm", ["1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW"]).agg(F.avg("c_ratio"))
-    return p.select("drive_id", C("1-URGENT").alias("arm1"), C("2-HIGH").alias("arm2"), C("3-MEDIUM").alias("arm3"), C("5-LOW").alias("arm5"))
+    p = c.runs.groupBy("drive_id").pivot("arm", ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]).agg(F.avg("c_ratio"))
+    return p.select("drive_id", C("1-URGENT").alias("arm1"), C("2-HIGH").alias("arm2"), C("3-MEDIUM").alias("arm3"), C("4-NOT SPECIFIED").alias("arm4"), C("5-LOW").alias("arm5"))
 
 
 @query("u01_union_layers", "SELECT source, count(*) AS n, count(conf) AS with_conf, round(avg(score),6) AS score FROM (SELECT 'map' AS source, conf, NULL AS score FROM candidates UNION ALL SELECT 'image', NULL, score FROM detections) GROUP BY 1")

@@ -175,10 +175,10 @@ def _(c):
     return top.select("drive_id", F.explode(F.sequence(F.greatest(C("frame_id") - 4, F.lit(0)), C("frame_id") + 4)).alias("frame_id")).dropDuplicates(["drive_id", "frame_id"])
 
 
-@query("w12_windows_by_stride", "SELECT drive_id, frame_id//700 AS win, count(*) AS n, round(avg(iou_bbox),6) AS iou FROM trace WHERE frame_id//700 < 8 GROUP BY 1,2")
+@query("w12_windows_by_stride", "SELECT drive_id, frame_id//700 AS win, count(*) AS n, round(sum(iou_bbox),6) AS iou_sum FROM trace GROUP BY 1,2")
 def _(c):
-    w = c.trace.withColumn("win", F.expr("frame_id div 700")).filter("win < 8")
-    return w.groupBy("drive_id", "win").agg(N().alias("n"), F.avg("iou_bbox").alias("iou"))
+    w = c.trace.withColumn("win", F.expr("frame_id div 700"))
+    return w.groupBy("drive_id", "win").agg(N().alias("n"), F.sum("iou_bbox").alias("iou_sum"))
 
 
 @query("w13_list_chunks", "WITH i AS (SELECT drive_id, (row_number() OVER (PARTITION BY drive_id ORDER BY cand_id)-1)//64 AS part, cand_id FROM candidates) SELECT drive_id, part, count(*) AS n, min(cand_id) AS lo, max(cand_id) AS hi FROM i GROUP BY 1,2")
@@ -266,8 +266,8 @@ def iou_test(thr, k="k", b="o.b"):
 def nms(c, by, thr):
     d = c.detections.withColumn("x", (C("x0") + C("x1")) / 2).withColumn("y", (C("y0") + C("y1")) / 2)
     box = lambda f: E.make_box(f("x0"), f("y0"), f("x1"), f("y1"))
-    # 300 px: longer than any box side, so overlapping boxes have centres within reach
-    return GR.greedy_keep(d, "det_id", by, [C("score"), -C("det_id")], 300.0, lambda a, b: E.box_iou(box(a), box(b)) >= thr)
+    side = F.greatest(C("x1") - C("x0"), C("y1") - C("y0"))  # overlapping boxes have centres at most the larger side apart
+    return GR.greedy_keep(d, "det_id", by, [C("score"), -C("det_id")], side, lambda a, b: E.box_iou(box(a), box(b)) >= thr)
 
 
 @query("k04_nms", f"WITH RECURSIVE {greedy_sql('detections', ['frame_id', 'class'], 'det_id', 'score DESC, det_id', BOX4, iou_test(0.5))} SELECT f.frame_id, f.class, f.det_id, round(d.score,6) AS score FROM f JOIN detections d ON d.det_id=f.det_id WHERE owner=f.det_id")

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wayfold.operators import ordered as O
@@ -30,18 +31,32 @@ def write_parts(points: DataFrame, path: str, *keys: str) -> None:
     points.repartition(*[F.col(k) for k in keys], F.col("frame_id")).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
+def input_signature(df: DataFrame) -> str:
+    """Hash over path, length and modification time of every file that ``df`` reads."""
+    files = df.inputFiles()
+    if not files:
+        return ""
+    seen = df.sparkSession.read.format("binaryFile").load(files).select(F.xxhash64("path", "length", F.col("modificationTime").cast("string")).alias("h"))
+    r = seen.agg(F.count(F.lit(1)).alias("n"), F.bit_xor("h").alias("x"), F.sum(F.shiftright("h", 16)).alias("s")).first()
+    return f"{r['n']}:{r['x']}:{r['s']}"
+
+
 def cache_key(params: Mapping[str, object]) -> str:
     return hashlib.sha256(json.dumps(params, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
 
-def cached(spark: SparkSession, folder: str, params: Mapping[str, object], build: Callable[[], DataFrame]) -> DataFrame:
-    """Table keyed by its parameters and input signature: read it when complete, else build and write it."""
-    path = f"{folder.rstrip('/')}/{cache_key(params)}"
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
-        build().write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+def cached(spark: SparkSession, folder: str, params: Mapping[str, object], inputs: Sequence[DataFrame], build: Callable[[], DataFrame]) -> DataFrame:
+    """Table keyed by its parameters and the files of its inputs: read it when complete, else build and write it.
+
+    The key is written next to the table once the table is whole; only a table with its key counts.
+    """
+    path = f"{folder.rstrip('/')}/{cache_key({**params, '_inputs': [input_signature(i) for i in inputs]})}"
+    try:
+        spark.read.text(f"{path}/done").isEmpty()
+    except AnalysisException:
+        build().write.mode("overwrite").parquet(f"{path}/table")
+        spark.range(1).selectExpr("'done' AS value").write.mode("overwrite").text(f"{path}/done")
+    return spark.read.parquet(f"{path}/table")
 
 
 def write_jsonl(df: DataFrame, path: str) -> None:
