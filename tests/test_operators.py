@@ -197,6 +197,19 @@ def test_rasterise_concave_ring(spark):
     assert got == {(i, j) for i in range(6) for j in range(4)} - {(2, 2), (3, 2), (2, 3), (3, 3)}
 
 
+def test_simplified_lines_are_not_cut(spark):
+    """Whole lines, longer than any chunk, as the in-memory version gives them."""
+    rows, want = [], {}
+    for k in range(3):
+        v = np.array([(i * 1.0, 40 * math.sin(i / 37 + k) + rnd.random()) for i in range(1300 + k)])
+        rows += [(k, i * 2, float(a), float(b)) for i, (a, b) in enumerate(v)]
+        want[k] = [tuple(p) for p in E.thin_line(v, 3.0)]
+    rows.append((9, 0, 1.0, 1.0))
+    got = lines.simplified(spark.createDataFrame(rows, "k int, i long, x double, y double"), ["k"], "i", 3.0).collect()
+    assert {k: [(r["x"], r["y"]) for r in sorted(got, key=lambda r: r["i"]) if r["k"] == k] for k in range(3)} == want
+    assert sum(r["k"] == 9 for r in got) == 1
+
+
 def test_simplify_keeps_tolerance(spark):
     v = [{"x": float(i), "y": math.sin(i / 3)} for i in range(60)]
     df = spark.createDataFrame([(v,)], "v array<struct<x:double,y:double>>").select(E.simplify("v", F.lit(0.3)).alias("w"))

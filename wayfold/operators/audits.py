@@ -110,27 +110,18 @@ def plane_distance() -> Column:
     return F.abs(a * F.col("x") + b * F.col("y") + F.col("c") - F.col("z")) / F.sqrt(a * a + b * b + 1)
 
 
-def ransac_plane(points: DataFrame, by: Sequence[str], iters: int, tol: float, min_nz: float, pool: int = 256) -> DataFrame:
+def ransac_plane(points: DataFrame, by: Sequence[str], iters: int, tol: float, min_nz: float) -> DataFrame:
     """Best of ``iters`` planes through three random points per key, re-fitted on its inliers.
 
-    The draws come from a hash-ordered pool of at most ``pool`` points per key (only the hypotheses
-    are drawn from it); every hypothesis is then scored on all points with one broadcast-free join
-    and a partial aggregate, so a huge key is counted by many tasks.
+    Each draw is the point of the key with the least hash for that trial, a partial aggregate over all
+    points; every hypothesis is then scored on all points with one join and a partial aggregate, so a
+    huge key is drawn from and counted by many tasks.
     """
     by = list(by)
-    w = W.partitionBy(*by).orderBy(F.xxhash64("x", "y", "z"), "x", "y", "z")
-    pick = points.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= pool)
-    arr = pick.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("_r", "x", "y", "z"))).alias("p")).filter(F.size("p") >= 3)
-    trial = arr.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(iters - 1))))
-    n = F.size("p")
-    draw = lambda k: F.pmod(F.hash(F.col("trial"), F.lit(k)), n - k).cast("int")
-    i = draw(0)
-    j = (i + 1 + draw(1)) % n
-    third = draw(2)
-    lo, hi = F.least(i, j), F.greatest(i, j)
-    third = third + F.when(third >= lo, 1).otherwise(0)
-    third = third + F.when(third >= hi, 1).otherwise(0)
-    t = trial.select(*by, "trial", F.get("p", i).alias("A"), F.get("p", j).alias("B"), F.get("p", third).alias("D"))
+    drawn = lambda t, k: F.min(F.struct(F.xxhash64(F.lit(t), F.lit(k), "x", "y", "z").alias("h"), "x", "y", "z")).alias(f"_{t}_{k}")
+    picks = points.groupBy(*by).agg(*[drawn(t, k) for t in range(iters) for k in range(3)])
+    trial = F.array(*[F.struct(F.lit(t).alias("trial"), *[F.col(f"_{t}_{k}").alias(n) for k, n in enumerate("ABD")]) for t in range(iters)])
+    t = picks.select(*by, F.explode(trial).alias("_t")).select(*by, "_t.*")
     v = lambda q, c: F.col(f"{q}.{c}") - F.col(f"A.{c}")
     nx = v("B", "y") * v("D", "z") - v("B", "z") * v("D", "y")
     ny = v("B", "z") * v("D", "x") - v("B", "x") * v("D", "z")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.operators import ordered as O
 from wayfold.operators.joins import _cell
+from wayfold.session import checkpoint, checkpoint_observed
 
 
 def neighbours(v: DataFrame, by: Sequence[str], idx: str, cols: Sequence[str], k: int = 1) -> DataFrame:
@@ -115,3 +116,35 @@ def box_walls(boxes: DataFrame) -> DataFrame:
     side = lambda a, b, d, e: F.struct(c(a).alias("ax"), c(b).alias("ay"), c(d).alias("bx"), c(e).alias("by_"))
     return boxes.select(F.explode(F.array(side("minx", "miny", "maxx", "miny"), side("maxx", "miny", "maxx", "maxy"),
                                           side("maxx", "maxy", "minx", "maxy"), side("minx", "maxy", "minx", "miny"))).alias("w")).select("w.*")
+
+
+def simplified(vertices: DataFrame, by: Sequence[str], order: str, tol: float) -> DataFrame:
+    """Douglas-Peucker on whole lines of any length: the vertices (by, order, x, y) that stay.
+
+    All stretches of all lines are split at once. A round finds the vertex farthest from the chord of its stretch, a
+    partial aggregate, and drops stretches that lie within ``tol``; as many rounds as the deepest split needs.
+    ``order`` is unique within a line. Equal distances: the first vertex.
+    """
+    by = list(by)
+    base = checkpoint(vertices.select(*by, F.col(order).alias("_i"), "x", "y"))
+    ends = base.groupBy(*by).agg(F.min("_i").alias("_lo"), F.max("_i").alias("_hi"), F.min_by("x", "_i").alias("ax"), F.min_by("y", "_i").alias("ay"), F.max_by("x", "_i").alias("bx"), F.max_by("y", "_i").alias("by_"))
+    chords = checkpoint(ends)
+    kept = [base.join(chords.select(*by, "_lo", "_hi"), by).where("_i = _lo OR _i = _hi").select(*by, "_i", "x", "y")]
+    inner, seen = checkpoint_observed(base.join(chords.select(*by, "_lo", "_hi"), by).where("_i > _lo AND _i < _hi").select(*by, "_i", "x", "y", "_lo"), n=F.count(F.lit(1)))
+    while seen["n"]:
+        dx, dy, px, py = F.col("bx") - F.col("ax"), F.col("by_") - F.col("ay"), F.col("x") - F.col("ax"), F.col("y") - F.col("ay")
+        q = dx * dx + dy * dy
+        t = F.when(q > 0, F.least(F.lit(1.0), F.greatest(F.lit(0.0), (px * dx + py * dy) / F.when(q > 0, q)))).otherwise(F.lit(0.0))
+        far = inner.join(chords, [*by, "_lo"]).groupBy(*by, "_lo").agg(F.max(F.struct(F.hypot(px - t * dx, py - t * dy).alias("d"), (-F.col("_i")).alias("k"), "x", "y")).alias("m")).where(F.col("m.d") > tol)
+        split = checkpoint(far.select(*by, "_lo", (-F.col("m.k")).alias("_k"), F.col("m.x").alias("kx"), F.col("m.y").alias("ky")))
+        kept.append(split.select(*by, F.col("_k").alias("_i"), F.col("kx").alias("x"), F.col("ky").alias("y")))
+        at = inner.join(split.select(*by, "_lo", "_k"), [*by, "_lo"]).where("_i <> _k")
+        inner, seen = checkpoint_observed(at.select(*by, "_i", "x", "y", F.when(F.col("_i") < F.col("_k"), F.col("_lo")).otherwise(F.col("_k")).alias("_lo")), n=F.count(F.lit(1)))
+        half = F.explode(F.array(
+            F.struct("_lo", F.col("_k").alias("_hi"), "ax", "ay", F.col("kx").alias("bx"), F.col("ky").alias("by_")),
+            F.struct(F.col("_k").alias("_lo"), "_hi", F.col("kx").alias("ax"), F.col("ky").alias("ay"), "bx", "by_"))).alias("c")
+        chords = checkpoint(chords.join(split, [*by, "_lo"]).select(*by, half).select(*by, "c.*"))
+    out = kept[0]
+    for k in kept[1:]:
+        out = out.unionByName(k)
+    return out.withColumnRenamed("_i", order)

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from wayfold.functions import geometry as E, records as R
-from wayfold.operators import grid as G, joins as J, lines as L, shapes as S
+from wayfold.operators import grid as G, joins as J, lines as L, ordered as O, shapes as S
 from wayfold.queries.catalog import C, query
 
 
@@ -216,11 +216,11 @@ def _(c):
 
 @query("e24_simplify")
 def _(c):
-    chunk = c.poses.withColumn("part", F.expr("frame_id div 512"))
-    ln = chunk.groupBy("drive_id", "part").agg(F.array_sort(F.collect_list(F.struct("frame_id", "x", "y"))).alias("v"))
-    ln = ln.select("drive_id", "part", F.transform("v", lambda p: E.xy(p["x"], p["y"])).alias("v"))
-    s = ln.select("drive_id", "part", "v", E.simplify("v", F.lit(10.0)).alias("w"))
-    return s.select("drive_id", "part", F.size("v").alias("vertices"), F.size("w").alias("kept"), E.length(C("w")).alias("length"))
+    kept = L.simplified(c.poses.select("drive_id", "frame_id", "x", "y"), ["drive_id"], "frame_id", 10.0)
+    kept = O.dense_index(kept, ["drive_id"], ["frame_id"], F.floor(C("frame_id") / O.CHUNK), "idx")
+    count = F.count(F.lit(1))
+    ln = L.arc_length(kept, ["drive_id"], "idx").groupBy("drive_id").agg(count.alias("kept"), F.max("s").alias("length"))
+    return c.poses.groupBy("drive_id").agg(count.alias("vertices")).join(ln, "drive_id")
 
 
 @query("e25_ray_probe", """WITH w AS (SELECT prior_id, minx ax, miny ay, maxx bx, miny by_ FROM priors UNION ALL SELECT prior_id, maxx, miny, maxx, maxy FROM priors UNION ALL SELECT prior_id, maxx, maxy, minx, maxy FROM priors UNION ALL SELECT prior_id, minx, maxy, minx, miny FROM priors),

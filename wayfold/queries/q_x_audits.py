@@ -58,10 +58,8 @@ def _(c):
     f = c.trace.select("drive_id", F.expr("frame_id div 3").alias("f"))
     per = f.groupBy("drive_id", "f").agg(N().alias("k"))
     b = per.groupBy("drive_id").agg(F.min("f").alias("min_frame"), F.max("f").alias("max_frame"), N().alias("frames"), F.sum("k").alias("s"))
-    spine = b.select("drive_id", F.explode(F.sequence("min_frame", "max_frame")).alias("f"))
-    miss = spine.join(per, ["drive_id", "f"], "left_anti").groupBy("drive_id").agg(N().alias("missing"))
     span = C("max_frame") - C("min_frame") + 1
-    return b.join(miss, "drive_id", "left").select("drive_id", "min_frame", "max_frame", "frames", F.coalesce("missing", F.lit(0)).alias("missing"), (C("s") / C("frames") * span).alias("estimated_total"))
+    return b.select("drive_id", "min_frame", "max_frame", "frames", (span - C("frames")).alias("missing"), (C("s") / C("frames") * span).alias("estimated_total"))
 
 
 @query("x02_run_comparison", """WITH w AS (SELECT drive_id, count(*) n, max(x)-min(x) sx FROM points WHERE z<=4.9 GROUP BY 1), u AS (SELECT drive_id, count(*) n, (max(x)-min(x))/CASE WHEN drive_id%3=0 THEN 8 ELSE 1 END sx FROM points WHERE drive_id%2=0 OR z<=4.9 GROUP BY 1)
@@ -176,7 +174,10 @@ def _(c):
  SELECT sp.frame_id, coalesce(a.n,0) AS candidates, coalesce(d.n,0) AS detections, coalesce(p.n,0) AS points, round(a.conf,6) AS best_conf, round(d.s,6) AS best_score, t.k AS support FROM sp LEFT JOIN a USING (frame_id) LEFT JOIN d USING (frame_id) LEFT JOIN p USING (frame_id) LEFT JOIN t USING (frame_id)""")
 def _(c):
     top = c.candidates.agg(F.max("frame_id").alias("m"))  # one row
-    spine = top.select(F.explode(F.sequence(F.lit(0).cast("long"), C("m"))).alias("frame_id"))
+    # chunk numbers first, then their members after a shuffle, so that many tasks make the spine
+    size = 4096
+    chunks = top.select("m", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"m div {size}"))).alias("chunk")).repartition("chunk")
+    spine = chunks.select(F.explode(F.sequence(C("chunk") * size, F.least(C("m"), C("chunk") * size + (size - 1)))).alias("frame_id"))
     a = c.candidates.groupBy("frame_id").agg(N().alias("a_n"), F.max("conf").alias("best_conf"))
     d = c.detections.groupBy("frame_id").agg(N().alias("d_n"), F.max("score").alias("best_score"))
     p = c.points.groupBy("frame_id").agg(N().alias("p_n"))
