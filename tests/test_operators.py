@@ -105,6 +105,25 @@ def test_greedy_keep_splits_big_groups(spark, monkeypatch):
         assert a["g"] != b["g"] or math.hypot(a["x"] - b["x"], a["y"] - b["y"]) > 6
 
 
+def test_distance_links_of_crowded_cells(spark):
+    """Two crowded neighbouring cells, just apart and just linked; a wide scatter against brute force."""
+    eps = 1.0
+    for shift in (1.31, 1.28):
+        pts = [(i, rnd.random() * 0.3, rnd.random() * 0.6) for i in range(3000)] + [(3000 + i, shift + rnd.random() * 0.3, rnd.random() * 0.6) for i in range(3000)]
+        pts += [(6000, 0.3, 0.3), (6001, shift, 0.3)]
+        out = components.centroid_clusters(spark.createDataFrame(pts, "id long, x double, y double"), "id", eps).select("label").distinct().count()
+        gap = min(p[1] for p in pts if p[1] > 0.7) - max(p[1] for p in pts if p[1] < 0.7)
+        assert out == (1 if gap <= eps else 2)
+    pts = [(i, rnd.random() * 12, rnd.random() * 12) for i in range(260)]
+    label = list(range(260))
+    for i, j in itertools.combinations(range(260), 2):
+        if math.hypot(pts[i][1] - pts[j][1], pts[i][2] - pts[j][2]) <= 0.8 and label[i] != label[j]:
+            lo, hi = sorted((label[i], label[j]))
+            label = [lo if v == hi else v for v in label]
+    got = {r["id"]: r["label"] for r in components.centroid_clusters(spark.createDataFrame(pts, "id long, x double, y double"), "id", 0.8).collect()}
+    assert [got[i] for i in range(260)] == label
+
+
 def test_nearest_far_and_near(spark):
     left = [(i, rnd.uniform(0, 2000), rnd.uniform(0, 30)) for i in range(200)]
     right = [(i, rnd.uniform(900, 950), rnd.uniform(0, 30)) for i in range(50)]

@@ -1,15 +1,15 @@
 """Connected components and distance-linked clusters as iterated joins.
 
 Hot cells are handled by construction: points of one small cell are linked as a star (they are
-all within eps of each other), and cell pairs are compared on their facing frontiers only, so no
-cell ever emits all of its pairs.
+all within eps of each other), and cell pairs are compared by boxes that shrink where it is undecided,
+so no cell ever emits all of its pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.session import checkpoint, checkpoint_observed
 
@@ -56,49 +56,71 @@ def _half_offsets(r: int) -> list[tuple[int, int]]:
     return [(dx, dy) for dx in range(0, r + 1) for dy in range(-r, r + 1) if dx > 0 or dy > 0]
 
 
+#: Pairs of spots that two cells may have to be compared directly; with more, the cells are halved first.
+DIRECT = 64
+
+
 def distance_links(df: DataFrame, key: str, eps: float, by: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
     """Edges whose components equal single linkage at distance <= eps.
 
-    Cells have side eps/sqrt(2): a cell is a clique and becomes a star. For two cells at offset
-    (dx, dy) with dx > 0 only the right-most point of every distinct y on the left side and the
-    left-most one on the right side can realise the smallest distance (same for dx = 0 with the
-    axes swapped), so the frontier join is exact and small.
+    Cells have side eps/sqrt(2): a cell is a clique and becomes a star. Of two cells only the boxes around their
+    points are compared: the pair is out if the boxes are more than eps apart, and linked if no two of their
+    points can be. What is left open is compared point by point if that takes at most ``DIRECT`` tests, and else
+    descends into the quarters of both cells, where the same is asked again. So no pair of cells costs more than
+    ``DIRECT`` rows a step, however many points it holds, and the result is exact.
     """
     side = eps / 2 ** 0.5 * (1 - 1e-12)
-    g = [F.col(c) for c in by]
     names = [f"_g{i}" for i in range(len(by))]
-    base = df.select(*[c.alias(n) for c, n in zip(g, names)], F.col(key).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-    cells = base.select("*", F.floor(F.col("_x") / side).cast("long").alias("_cx"), F.floor(F.col("_y") / side).cast("long").alias("_cy"))
+    at = lambda c, size: F.floor(F.col(c) / F.lit(size)).cast("long")
+    cells = df.select(*[F.col(c).alias(n) for c, n in zip(by, names)], F.col(key).alias("_id"), F.col(x).alias("_x"), F.col(y).alias("_y")).select(
+        "*", at("_x", side).alias("_cx"), at("_y", side).alias("_cy"))
     cell = [*names, "_cx", "_cy"]
-    box = cells.groupBy(*cell).agg(
-        F.min("_id").alias("rep"), F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"))
+    spots = checkpoint(cells.groupBy(*cell, "_x", "_y").agg(F.min("_id").alias("_id")))
+    box = checkpoint(spots.groupBy(*cell).agg(F.min("_id").alias("rep"), *_box()))
     star = cells.join(box.select(*cell, "rep"), cell).filter("_id <> rep").select(F.col("_id").alias("src"), F.col("rep").alias("dst"))
 
     offs = F.explode(F.array(*[F.struct(F.lit(a).cast("long").alias("dx"), F.lit(b).cast("long").alias("dy")) for a, b in _half_offsets(2)])).alias("o")
-    left = box.select("*", offs).select(
-        *names, (F.col("_cx") + F.col("o.dx")).alias("_tx"), (F.col("_cy") + F.col("o.dy")).alias("_ty"), F.col("o.dx").alias("dx"),
-        "_cx", "_cy", *[F.col(c).alias("a_" + c) for c in ("rep", "x0", "x1", "y0", "y1")])
-    right = box.select(*names, F.col("_cx").alias("_tx"), F.col("_cy").alias("_ty"), *[F.col(c).alias("b_" + c) for c in ("rep", "x0", "x1", "y0", "y1")])
-    pairs = left.join(right, [*names, "_tx", "_ty"])
+    side_of = lambda d, p: d.select(*names, F.col("_cx").alias(f"{p}_cx"), F.col("_cy").alias(f"{p}_cy"), *[F.col(c).alias(f"{p}_{c}") for c in d.columns if c not in cell])
+    left = side_of(box, "a").select("*", offs).withColumn("b_cx", F.col("a_cx") + F.col("o.dx")).withColumn("b_cy", F.col("a_cy") + F.col("o.dy")).drop("o")
+    pairs = left.join(side_of(box, "b"), [*names, "b_cx", "b_cy"])
+    links, ends = [star], [F.col("a_rep").alias("src"), F.col("b_rep").alias("dst")]
+    while True:
+        pairs, seen = checkpoint_observed(_gaps(pairs).filter(F.col("near") <= eps), open=F.count_if(F.col("wide") > eps))
+        sure = pairs.filter(F.col("wide") <= eps).select(*ends).distinct()
+        links.append(sure)
+        if not seen["open"]:
+            break
+        # a pair of cells is done once one pair of their parts is linked
+        still = pairs.filter(F.col("wide") > eps).join(sure.select(F.col("src").alias("a_rep"), F.col("dst").alias("b_rep")), ["a_rep", "b_rep"], "left_anti")
+        still = checkpoint(still.select(*names, *[f"{p}_{c}" for p in "ab" for c in ("cx", "cy", "rep", "n")]))
+        few = still.filter(F.col("a_n") * F.col("b_n") <= DIRECT)
+        now = spots.select(*names, "_x", "_y", at("_x", side).alias("_cx"), at("_y", side).alias("_cy"))
+        met = few
+        for p in "ab":
+            met = met.join(side_of(now, p), [*names, f"{p}_cx", f"{p}_cy"])
+        links.append(met.filter(F.hypot(F.col("a__x") - F.col("b__x"), F.col("a__y") - F.col("b__y")) <= eps).select(*ends).distinct())
+        side /= 2  # halving is exact, so parts nest
+        parts = checkpoint(spots.select(*names, "_x", "_y", at("_x", side).alias("_cx"), at("_y", side).alias("_cy")).groupBy(*cell).agg(*_box()))
+        pairs = still.filter(F.col("a_n") * F.col("b_n") > DIRECT).drop("a_n", "b_n")
+        for p in "ab":
+            quarter = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("o")
+            pairs = pairs.select("*", quarter).withColumn(f"{p}_cx", 2 * F.col(f"{p}_cx") + F.col("o.i")).withColumn(f"{p}_cy", 2 * F.col(f"{p}_cy") + F.col("o.j")).drop("o")
+            pairs = pairs.join(side_of(parts, p), [*names, f"{p}_cx", f"{p}_cy"])
+    out = links[0]
+    for more in links[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _box() -> list[Column]:
+    return [F.min("_x").alias("x0"), F.max("_x").alias("x1"), F.min("_y").alias("y0"), F.max("_y").alias("y1"), F.count(F.lit(1)).alias("n")]
+
+
+def _gaps(pairs: DataFrame) -> DataFrame:
+    """Adds the least and the largest distance that points of two boxes can have."""
     gap = lambda lo, hi: F.greatest(F.col("b_" + lo) - F.col("a_" + hi), F.col("a_" + lo) - F.col("b_" + hi), F.lit(0.0))
     far = lambda lo, hi: F.greatest(F.col("b_" + hi) - F.col("a_" + lo), F.col("a_" + hi) - F.col("b_" + lo))
-    pairs = pairs.withColumn("near", F.hypot(gap("x0", "x1"), gap("y0", "y1"))).withColumn("wide", F.hypot(far("x0", "x1"), far("y0", "y1")))
-    pairs = pairs.filter(F.col("near") <= eps)
-    sure = pairs.filter(F.col("wide") <= eps).select(F.col("a_rep").alias("src"), F.col("b_rep").alias("dst"))
-    open_ = pairs.filter(F.col("wide") > eps).select(*names, "_cx", "_cy", "_tx", "_ty", "dx", "a_rep", "b_rep")
-
-    rows = cells.groupBy(*cell, "_y").agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"))
-    cols = cells.groupBy(*cell, "_x").agg(F.min("_y").alias("lo"), F.max("_y").alias("hi"))
-
-    def frontier(sel: DataFrame, t: DataFrame, across: str) -> DataFrame:
-        a = t.select(*names, "_cx", "_cy", F.col(across).alias("fa"), F.col("hi").alias("ea"))
-        b = t.select(*names, F.col("_cx").alias("_tx"), F.col("_cy").alias("_ty"), F.col(across).alias("fb"), F.col("lo").alias("eb"))
-        hit = sel.join(a, [*names, "_cx", "_cy"]).join(b, [*names, "_tx", "_ty"])
-        return hit.filter(F.hypot(F.col("ea") - F.col("eb"), F.col("fa") - F.col("fb")) <= eps).select(
-            F.col("a_rep").alias("src"), F.col("b_rep").alias("dst")).distinct()
-
-    return star.unionByName(sure).unionByName(frontier(open_.filter("dx > 0"), rows, "_y")).unionByName(
-        frontier(open_.filter("dx = 0"), cols, "_x"))
+    return pairs.withColumn("near", F.hypot(gap("x0", "x1"), gap("y0", "y1"))).withColumn("wide", F.hypot(far("x0", "x1"), far("y0", "y1")))
 
 
 def centroid_clusters(df: DataFrame, key: str, eps: float, by: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
