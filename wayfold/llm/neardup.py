@@ -12,8 +12,11 @@ A pair at the threshold shares no bucket with probability (1 - 0.75^5)^45 = 5e-6
 with about 1e-6; above the threshold both fall quickly. Everything else is exact.
 
 Hot groups: copies collapse in step 1 before anything is paired; a bucket of many variants gives one pair per
-member; the members are then in one component and step 4 leaves them alone. Crowded buckets of unlike
-documents (they share a long passage) are split by a second common bucket (``CROWD``) before members are paired.
+member; the members are then in one component and step 4 leaves them alone. In crowded buckets (``CROWD``) that
+hold several components, a class is set aside if too few of its shingles occur in any other such class for a link
+to be possible: that is exact, and it clears unlike documents that only share a long passage. The others meet in
+blocks of ``BLOCK`` members, where bit counts of a long one-bit signature (``WIDE`` minima) leave pairs close to the
+threshold; no row is made for any other pair. Pairs always lead from outside a bucket's largest component.
 
 Rows: null ids, null texts and texts without words are linked with nothing (component: the own id). Rows that
 share an id are one document, represented by the row with the largest set. Other columns are ignored.
@@ -24,7 +27,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, LongType, StructField, StructType
 
 from wayfold.llm import textscan as ts
 from wayfold.llm.graph import components
@@ -37,14 +40,17 @@ BANDS, ROWS = 45, 5
 B_BITS = 2
 #: Standard deviations below the threshold at which the signature still keeps a pair.
 SLACK = 4.8
-#: Members of a bucket above which a second common bucket is asked for.
+#: Members of a bucket above which classes without enough common shingles are set aside before pairing.
 CROWD = 64
 #: Bits of the filter that spares texts without candidates the second scan; beyond its capacity it only spares less.
 FILTER_BITS = 1 << 23
+#: Minima of the one-bit signatures for crowded buckets; members of a bucket that one group of a task holds, twice at most.
+WIDE, BLOCK = 4096, 512
 
 _HASHES = BANDS * ROWS
 _FACTORS = (ts._splitmix(_HASHES, 77) >> ts.U64(32)).astype(np.uint32) | np.uint32(1)
 _LONGS = -(-_HASHES // 64)
+_WIDE_FACTORS = (ts._splitmix(WIDE, 99) >> ts.U64(32)).astype(np.uint32) | np.uint32(1)
 
 
 def shingle_sets(column: pa.Array) -> list[np.ndarray]:
@@ -74,6 +80,17 @@ def signatures(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return h.view(np.int64), np.packbits(bits, axis=-1).reshape(len(sets), -1).view(np.int64)
 
 
+def wide_signatures(sets: list[np.ndarray]) -> np.ndarray:
+    """One bit of each of WIDE minima, packed (n x WIDE / 8 bytes)."""
+    x = (np.concatenate(sets) >> ts.U64(32)).astype(np.uint32)
+    at = np.concatenate([[0], np.cumsum([len(s) for s in sets])[:-1]])
+    bits, work = np.empty((len(sets), WIDE), np.uint8), np.empty_like(x)
+    for i, f in enumerate(_WIDE_FACTORS):
+        np.multiply(x, f, out=work)
+        bits[:, i] = ts.mix(np.minimum.reduceat(work, at).astype(ts.U64)) & ts.U64(1)
+    return np.packbits(bits, axis=-1)
+
+
 def _longs(rows: np.ndarray, valid: np.ndarray, width: int) -> pa.Array:
     """One list of ``width`` numbers per valid document, else null."""
     offs = np.concatenate([[0], np.cumsum(np.where(valid, width, 0))]).astype(np.int32)
@@ -128,10 +145,10 @@ def similarity(matches: Column) -> Column:
     return (matches / F.lit(_HASHES) - F.lit(chance)) / F.lit(1 - chance)
 
 
-def _least_matches(threshold: int) -> float:
-    p = 2.0**-B_BITS
+def _least_matches(threshold: int, hashes: int = _HASHES, bits: int = B_BITS) -> float:
+    p = 2.0**-bits
     p += (1 - p) * threshold / 100
-    return _HASHES * p - SLACK * (_HASHES * p * (1 - p)) ** 0.5
+    return hashes * p - SLACK * (hashes * p * (1 - p)) ** 0.5
 
 
 class _Pairs:
@@ -147,16 +164,15 @@ class _Pairs:
         matched = pairs.join(a, "a").join(b, "b").where(sizes).withColumn("m", agreement("sa", "sb")).where(F.col("m") >= _least_matches(self.threshold))
         return matched.select("a", "b", similarity(F.col("m")).alias("estimate"))
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        """(id, n, items) of the classes in ``pairs``."""
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """(id, n, items) of the classes listed in ``ids`` (distinct), and maybe of some more."""
         bits = FILTER_BITS
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         spot = lambda seed: F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(bits))
         words = ids.select(F.explode(F.array(spot(1), spot(2))).alias("p")).groupBy(F.shiftright("p", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits"))
         got = words.toArrow()  # at most FILTER_BITS / 64 rows
         held = np.zeros(bits // 64, np.int64)
         held[got.column("w").to_numpy()] = got.column("bits").to_numpy()
-        sent = pairs.sparkSession.sparkContext.broadcast(held)
+        sent = ids.sparkSession.sparkContext.broadcast(held)
 
         rows = self.docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("id"), "text").select("id", spot(1).alias("p1"), spot(2).alias("p2"), "text")
         schema = StructType([StructField("id", LongType()), StructField("n", LongType()), StructField("items", ArrayType(LongType()))])
@@ -182,7 +198,7 @@ class _Pairs:
         pairs = checkpoint(pairs.select("a", "b"))
         if pairs.isEmpty():
             return pairs
-        sets = self._sets(pairs)
+        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct())
         b = sets.select(F.col("id").alias("b"), F.col("n").alias("nb"), F.col("items").alias("xb"))
         a = sets.select(F.col("id").alias("a"), F.col("n").alias("na"), F.col("items").alias("xa"))
         both = pairs.join(b, "b").join(a, "a").withColumn("i", F.size(F.array_intersect("xa", "xb")).cast("long"))
@@ -208,10 +224,78 @@ def _mixed(members: DataFrame, roots: DataFrame) -> DataFrame:
     return rooted.join(mixed, "bucket")
 
 
-def _met(rows: DataFrame, by: list[str]) -> DataFrame:
-    """Pairs of rows with equal ``by`` and unequal roots."""
-    other = rows.select(*by, F.col("id").alias("b"), F.col("root").alias("rb"))
-    return rows.select(*by, F.col("id").alias("a"), F.col("root").alias("ra")).join(other, by).where("a < b AND ra <> rb").select("a", "b")
+def _met(rows: DataFrame) -> DataFrame:
+    """Distinct pairs of members of one bucket with unequal roots; one of the two is outside the bucket's largest component."""
+    size = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = checkpoint(size.groupBy("bucket").agg(F.max(F.struct("c", "root")).alias("m")).select("bucket", F.col("m.root").alias("main")))
+    odd = checkpoint(rows.join(main, "bucket").where("root <> main").select("bucket", F.col("id").alias("o"), F.col("root").alias("ro")))
+    met = rows.select("bucket", "id", "root").join(odd, "bucket").where("id <> o AND root <> ro")
+    return met.select(F.least("id", "o").alias("a"), F.greatest("id", "o").alias("b")).distinct()
+
+
+def _close(crowded: DataFrame, pairs: _Pairs) -> DataFrame:
+    """Pairs of members of crowded buckets (bucket, id, root, size) with unequal roots that may well be links."""
+    ids = checkpoint(crowded.select("id").distinct())
+    none = crowded.select(F.col("id").alias("a"), F.col("id").alias("b")).limit(0)
+    if ids.isEmpty():
+        return none
+    sets = checkpoint(pairs.sets(ids).join(ids, "id", "left_semi"))
+    crowded = checkpoint(_linkable(crowded, sets, pairs.threshold))
+    left = checkpoint(crowded.select("id").distinct())
+    if left.isEmpty():
+        return none
+    schema = StructType([StructField("id", LongType()), StructField("n", LongType()), StructField("wide", BinaryType())])
+
+    def sketch(batches):
+        for part in batches:
+            for at in range(0, part.num_rows, 64):
+                some = part.slice(at, 64)
+                wide = wide_signatures([np.asarray(x).view(ts.U64) for x in some.column("items").to_numpy(zero_copy_only=False)])
+                yield pa.RecordBatch.from_arrays([some.column("id"), some.column("n"), pa.array([w.tobytes() for w in wide], pa.binary())], names=schema.names)
+
+    wide = checkpoint(sets.join(left, "id", "left_semi").mapInArrow(sketch, schema))
+    rows = crowded.join(wide, "id")
+    # each member's block meets every block of its bucket, so each pair of members meets in one group
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = rows.withColumn("own", F.pmod(F.hash("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "root", "n", "wide")
+    least, threshold = _least_matches(pairs.threshold, WIDE, 1), pairs.threshold
+
+    def compare(group: pa.Table) -> pa.Table:
+        ident, root, n, own = (group.column(c).to_numpy() for c in ("id", "root", "n", "own"))
+        bits = np.stack([np.frombuffer(w, "<u8") for w in group.column("wide").to_pylist()])
+        names, count = np.unique(root, return_counts=True)
+        main = names[np.argmax(count)]
+        two = own.min() != own.max()
+        left, right = [], []
+        for o in np.flatnonzero(root != main):
+            may = (root != root[o]) & (100 * np.minimum(n, n[o]) >= threshold * np.maximum(n, n[o])) & ((own != own[o]) | (not two))
+            other = np.flatnonzero(may)
+            near = other[WIDE - np.bitwise_count(bits[other] ^ bits[o]).sum(axis=1, dtype=np.int64) >= least]
+            left.append(np.minimum(ident[near], ident[o]))
+            right.append(np.maximum(ident[near], ident[o]))
+        both = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0) if left else np.zeros((0, 2), np.int64)
+        return pa.table({"a": pa.array(both[:, 0], pa.int64()), "b": pa.array(both[:, 1], pa.int64())})
+
+    return rows.groupBy("bucket", "p", "q").applyInArrow(compare, "a long, b long")
+
+
+def _linkable(crowded: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Members of crowded buckets but those that no other member can overlap enough.
+
+    With c shingles that occur in another class of these buckets, and partners of at least m shingles, no similarity
+    exceeds c / (n + m - c).
+    """
+    each = sets.select("id", F.explode("items").alias("s"))
+    # a shingle of one class only names that class
+    alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).where("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    sized = crowded.join(sets.select("id", "n"), "id")
+    least = checkpoint(sized.groupBy("bucket").agg(F.min("n").alias("m")))
+    partner = sized.join(least, "bucket").groupBy("id", "n").agg(F.min("m").alias("m"))
+    low = F.greatest("m", F.ceil(F.col("n") * threshold / 100))
+    c = F.col("n") - F.coalesce("u", F.lit(0))
+    able = checkpoint(partner.join(alone, "id", "left").where(100 * c >= threshold * (F.col("n") + low - c)).select("id"))
+    return crowded.join(able, "id", "left_semi")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
@@ -238,11 +322,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     roots = components(links)
 
     mixed = checkpoint(_mixed(members.select("bucket", "id"), roots))
-    crowded = mixed.where(F.col("size") > CROWD)
-    second = mixed.select("id", F.col("bucket").alias("bucket2"))
-    twice = crowded.join(second, "id").where("bucket <> bucket2").select(F.least("bucket", "bucket2").alias("bucket"), F.greatest("bucket", "bucket2").alias("bucket2"), "id", "root").distinct()
-    rest = _met(mixed.where(F.col("size") <= CROWD), ["bucket"]).unionByName(_met(twice, ["bucket", "bucket2"])).distinct()
-    late = pairs.confirmed(pairs.likely(rest))
+    few = pairs.likely(_met(mixed.where(F.col("size") <= CROWD)))
+    late = pairs.confirmed(few.select("a", "b").unionByName(_close(mixed.where(F.col("size") > CROWD), pairs)).distinct())
     if not late.isEmpty():
         roots = components(links.unionByName(late))
 
