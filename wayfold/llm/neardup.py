@@ -330,3 +330,14 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     label = copies.join(roots, "id", "left").select("doc_id", F.coalesce("root", "id").alias("component_id"))
     out = rows.select("doc_id", F.col("n").alias("n_shingles")).join(label, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def distinct_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay: one of each group. Of rows that share an id, the least one stays;
+    rows with a null id all stay."""
+    found = checkpoint(near_duplicates(docs, doc_id, text, threshold).where(F.col("doc_id").isNotNull()))
+    dropped = checkpoint(found.where(~F.col("kept")).select("doc_id").distinct()).withColumnRenamed("doc_id", doc_id)
+    again = checkpoint(found.where("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id")).withColumnRenamed("doc_id", doc_id)
+    left = docs.join(dropped, doc_id, "left_anti")
+    one = left.join(again, doc_id, "left_semi").groupBy(doc_id).agg(F.min(F.struct(*docs.columns)).alias("_row")).select("_row.*")
+    return left.join(again, doc_id, "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
