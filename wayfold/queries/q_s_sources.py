@@ -1,5 +1,6 @@
 """Scans, sinks, streams and the provider registry over the driver tables."""
 
+import math
 import uuid
 
 import numpy as np
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F, types as T
 from wayfold.plans import flows
 from wayfold.plans.registry import provider
 from wayfold.queries.catalog import C, query
+from wayfold.queries.q_p_scalars import MAT
 from wayfold.queries.q_r_grid import MASK, RAST
 from wayfold.sources import scans as S, sinks
 from wayfold.session import ensure_checkpoint_dir
@@ -127,10 +129,9 @@ def _(c):
     return S.fingerprints(c.documents, "doc_id", "text", 64).select("doc_id", "sha256", "bytes")
 
 
-@query("s16_head_fingerprints", "SELECT page_id, sha256(url) AS sha256_head FROM pages")
+@query("s16_head_fingerprints", "SELECT page_id, sha256(url) AS sha256, sha256(left(url, 16)) AS sha256_head, CAST(strlen(url) AS INTEGER) AS bytes FROM pages")
 def _(c):
-    # addresses are shorter than the head, so the head hash equals the whole hash
-    return S.fingerprints(c.pages, "page_id", "url", 4096).select("page_id", "sha256_head")
+    return S.fingerprints(c.pages, "page_id", "url", 16)
 
 
 @query("d01_d02_d03_provider_registry", f"WITH {MASK} SELECT drive_id, count(*) AS cells FROM surf GROUP BY 1")
@@ -138,10 +139,16 @@ def _(c):
     return c.points.transform(provider("surface_mask")).groupBy("drive_id").agg(N().alias("cells"))
 
 
-@query("s14_fused_points", "SELECT s.drive_id, count(*) AS n, true AS shifted FROM sweeps s JOIN poses p ON s.drive_id=p.drive_id AND s.frame_id=p.frame_id GROUP BY 1")
+SHIFT = {"dx": 455000.0, "dy": 5428000.0, "dz": 116.5, "yaw_deg": -0.53, "scale": 0.999982}
+_C, _S = (f"{v!r}::DOUBLE" for v in (math.cos(math.radians(SHIFT["yaw_deg"])), math.sin(math.radians(SHIFT["yaw_deg"]))))
+
+
+@query("s14_fused_points", f"""WITH {MAT}, w AS (SELECT drive_id, a00*x+a01*y+a02*z+px AS wx, a10*x+a11*y+a12*z+py AS wy, a20*x+a21*y+a22*z+pz AS wz FROM rm),
+ u AS (SELECT drive_id, 0.999982::DOUBLE*({_C}*wx-({_S})*wy)+455000.0::DOUBLE AS x, 0.999982::DOUBLE*(({_S})*wx+{_C}*wy)+5428000.0::DOUBLE AS y, wz+116.5::DOUBLE AS z FROM w)
+ SELECT drive_id, count(*) AS n, round(min(x),4) AS x0, round(max(x),4) AS x1, round(min(y),4) AS y0, round(max(y),4) AS y1, round(min(z),4) AS z0, round(max(z),4) AS z1 FROM u GROUP BY 1""")
 def _(c):
-    pts, _missing = flows.fuse_points(c.sweeps, c.poses, {"dx": 455000.0, "dy": 5428000.0, "dz": 116.5, "yaw_deg": -0.53, "scale": 0.999982})
-    return pts.groupBy("drive_id").agg(N().alias("n"), (F.min("x") > 100000).alias("shifted"))
+    pts, _missing = flows.fuse_points(c.sweeps, c.poses, SHIFT)
+    return pts.groupBy("drive_id").agg(N().alias("n"), *[F.round(f(k), 4).alias(f"{k}{i}") for k in "xyz" for i, f in enumerate((F.min, F.max))])
 
 
 def stream(c):
