@@ -88,7 +88,7 @@ class _Group:
 
     def occurrences(self, text: np.ndarray, raw: bytes) -> list[tuple[int, int]]:
         """(position, pattern number) of all occurrences."""
-        last = len(text) - max(self.m, 8)
+        last = len(text) - 8 - self.m  # eight bytes of padding end a slice
         if last < 0:
             return []
         eight, ahead = _eight(text), self.m - self.block
