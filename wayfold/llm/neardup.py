@@ -253,12 +253,12 @@ def _close(crowded: DataFrame, pairs: _Pairs) -> DataFrame:
                 wide = wide_signatures([np.asarray(x).view(ts.U64) for x in some.column("items").to_numpy(zero_copy_only=False)])
                 yield pa.RecordBatch.from_arrays([some.column("id"), some.column("n"), pa.array([w.tobytes() for w in wide], pa.binary())], names=schema.names)
 
-    wide = checkpoint(sets.join(left, "id", "left_semi").mapInArrow(sketch, schema))
+    wide = checkpoint(sets.join(left, "id", "left_semi").mapInArrow(sketch, schema).join(pairs.k.select("id", "bands"), "id"))
     rows = crowded.join(wide, "id")
     # each member's block meets every block of its bucket, so each pair of members meets in one group
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     rows = rows.withColumn("own", F.pmod(F.hash("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-    rows = rows.select("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "root", "n", "wide")
+    rows = rows.select("bucket", F.least("own", "other").alias("p"), F.greatest("own", "other").alias("q"), "own", "id", "root", "n", "wide", "bands")
     least, threshold = _least_matches(pairs.threshold, WIDE, 1), pairs.threshold
 
     def compare(group: pa.Table) -> pa.Table:
@@ -267,11 +267,15 @@ def _close(crowded: DataFrame, pairs: _Pairs) -> DataFrame:
         names, count = np.unique(root, return_counts=True)
         main = names[np.argmax(count)]
         two = own.min() != own.max()
+        bands = group.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        # pairs that share an earlier bucket meet there
+        bands = bands[:, : int(np.flatnonzero(bands[0] == group.column("bucket")[0].as_py())[0])]
         left, right = [], []
         for o in np.flatnonzero(root != main):
             may = (root != root[o]) & (100 * np.minimum(n, n[o]) >= threshold * np.maximum(n, n[o])) & ((own != own[o]) | (not two))
             other = np.flatnonzero(may)
             near = other[WIDE - np.bitwise_count(bits[other] ^ bits[o]).sum(axis=1, dtype=np.int64) >= least]
+            near = near[~(bands[near] == bands[o]).any(axis=1)]
             left.append(np.minimum(ident[near], ident[o]))
             right.append(np.maximum(ident[near], ident[o]))
         both = np.unique(np.stack([np.concatenate(left), np.concatenate(right)], axis=1), axis=0) if left else np.zeros((0, 2), np.int64)
@@ -286,9 +290,18 @@ def _linkable(crowded: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     With c shingles that occur in another class of these buckets, and partners of at least m shingles, no similarity
     exceeds c / (n + m - c).
     """
-    each = sets.select("id", F.explode("items").alias("s"))
+    schema = StructType([StructField("s", LongType()), StructField("k", LongType()), StructField("id", LongType())])
+
+    def counted(batches):
+        """Each shingle of a batch once, with the number of its classes and one of them."""
+        for part in batches:
+            items, n = part.column("items").flatten().to_numpy(), np.asarray(part.column("n"))
+            own, at, k = np.unique(items, return_index=True, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(k), pa.array(np.repeat(np.asarray(part.column("id")), n)[at])], names=schema.names)
+
     # a shingle of one class only names that class
-    alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("k"), F.min("id").alias("id")).where("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    once = sets.mapInArrow(counted, schema).groupBy("s").agg(F.sum("k").alias("k"), F.min("id").alias("id")).where("k = 1")
+    alone = once.groupBy("id").agg(F.count(F.lit(1)).alias("u"))
     sized = crowded.join(sets.select("id", "n"), "id")
     least = checkpoint(sized.groupBy("bucket").agg(F.min("n").alias("m")))
     partner = sized.join(least, "bucket").groupBy("id", "n").agg(F.min("m").alias("m"))
