@@ -57,7 +57,7 @@ def _half_offsets(r: int) -> list[tuple[int, int]]:
 
 
 #: Pairs of spots that two cells may have to be compared directly; with more, the cells are halved first.
-DIRECT = 64
+DIRECT = 1024
 
 
 def distance_links(df: DataFrame, key: str, eps: float, by: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
