@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from wayfold.llm.decontaminate import clean_documents
 from wayfold.llm.mixing import sample
 from wayfold.llm.neardup import distinct_documents
-from wayfold.llm.spans import without_repeats
+from wayfold.llm.spans import passage_dedup, without_repeats
 from wayfold.llm.toxicity import fit, held_out, mild_documents
 from wayfold.session import checkpoint
 
@@ -36,8 +36,9 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that hold a window of a benchmark item."""
-    return clean_documents(docs, _table(spark, sf_dir, "benchmark"))
+    """Drop documents that hold a window of a benchmark item; of those left, none keeps 50 words that an earlier one has."""
+    clean = checkpoint(clean_documents(docs, _table(spark, sf_dir, "benchmark")))
+    return passage_dedup(clean, found="_passages").withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -144,6 +144,41 @@ def test_substring_dedup(spark, docs):
         substring_dedup(docs, found="items")
 
 
+def brute_passages(rows, n=50):
+    """Texts without the words of windows of n words that stand before; rows are in order of their keys."""
+    first, out = {}, []
+    for d, (_, t) in enumerate(rows):
+        w, gone = words(t), set()
+        for i in range(len(w) - n + 1):
+            if first.setdefault(tuple(w[i : i + n]), (d, i)) != (d, i):
+                gone.update(range(i, i + n))
+        x = re.findall(r"^[\x20\x09-\x0D]+|[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", t or "")
+        lead = len(x) - len(w)
+        out.append("".join(y for i, y in enumerate(x) if i - lead not in gone) if gone else t)
+    return out
+
+
+def test_repeated_passages_inside_sentences(spark, docs):
+    """Repeats without any sentence end, at both ends of a text, within one text, of exactly and one less than the least length."""
+    from wayfold.llm.spans import passage_dedup, substring_dedup
+
+    whole = prose(700, 400).replace(".", ",").split()
+    cut = lambda a, n: " ".join(whole[a : a + n])
+    own = lambda k, n=9: prose(720 + k, n).replace(".", ";")
+    texts = [f"  {own(0)} {cut(0, 400)} end", f"{own(1)} {cut(30, 50)} {own(2)}", f"{own(3)}\n{cut(90, 49)}\t{own(4)}", cut(200, 66), f"\n {cut(300, 51)} {own(5)}", f"{own(6)} {cut(10, 75)}",
+             f"{own(7, 60)} {own(8)} {own(7, 60)}", "多 " * 70, None, "", " ", f"{cut(0, 120)} x {cut(60, 120)}"]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.doc_id: r for r in passage_dedup(df, found="f").collect()}
+    want = brute_passages(rows)
+    assert [got[i].text for i, _ in rows] == want
+    assert got[1].f.n_removed == 50 and got[2].f.n_removed == 0 and got[3].text == "" and got[4].f.n_removed == 51 and got[7].f.n_removed == 69
+    kept = {r.doc_id: r.text for r in substring_dedup(df).collect()}
+    assert kept[3] == texts[3]  # the sentence rule leaves it
+    out = passage_dedup(docs, found="f")
+    assert out.columns == [*docs.columns, "f"] and out.count() == len(odd_documents()) and passage_dedup(docs.limit(0)).count() == 0
+
+
 def test_mixing(spark, docs):
     from pyspark.sql import functions as F
 

@@ -130,6 +130,24 @@ def op2(spark, sf_dir):
     return out.select("doc_id", F.col("found.n_sentences").cast("long").alias("n_sentences"), F.size("found.removed").cast("long").alias("n_removed"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+OP2_PASSAGES_SQL = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{_WORD}[\x20\x09-\x0D]*') AS x, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w FROM documents),
+r AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d)),
+g AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1)),
+o AS (SELECT s.doc_id, count(g.p) AS n, string_agg(x, '' ORDER BY s.p) FILTER (g.p IS NULL) AS text
+      FROM (SELECT doc_id, unnest(x) AS x, generate_subscripts(x, 1) AS p FROM d) s LEFT JOIN g ON s.doc_id = g.doc_id AND s.p = g.p GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, regexp_extract(t, '^[\x20\x09-\x0D]*') || coalesce(o.text, '') AS text FROM d LEFT JOIN o USING (doc_id)
+"""
+
+
+@query("op2_repeated_passages", OP2_PASSAGES_SQL)
+def op2_passages(spark, sf_dir):
+    from wayfold.llm.spans import passage_dedup
+
+    out = passage_dedup(table(spark, sf_dir, "documents"), found="found")
+    return out.select("doc_id", F.col("found.n_words").cast("long").alias("n_words"), F.col("found.n_removed").cast("long").alias("n_removed"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 # ---------------------------------------------------------------- 7
 
 

@@ -9,6 +9,10 @@ Hot spans: the first occurrence of a span is a partial aggregate. Only repeated
 sides of that join are written tables, one of them unique by key, so adaptive execution can split a passage
 that a third of all documents share.
 
+Passages that start or end inside a sentence: ``passage_dedup`` cuts every word of ``PASSAGE`` words in a row that stand
+anywhere before, wherever sentences end. Its first scan hashes only word groups chosen by their content, at least one out of any ``PASSAGE`` words
+and the same one in every copy; all windows around the repeated ones are then compared, so none is missed.
+
 Rows: null and empty texts have no sentences and stay as they are. Rows with a null id come after all others and
 are told apart by their text. Rows that share id and text are one document and get the same text; of rows that
 share an id but not the text, each is cleaned by itself, in the order of their fingerprints. Other columns pass
@@ -20,13 +24,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StructField, StructType
 
 from wayfold.llm import textscan as ts
 from wayfold.session import checkpoint
 
 MIN_SENTENCES = 2
 MIN_WORDS = 12
+#: Words in a row that may stand only once, and the words of a group that the first scan hashes.
+PASSAGE, GROUP = 50, 20
 
 # fixed values: characters that end a sentence
 _ENDS = ts.table_of(b".!?\n")
@@ -85,10 +91,20 @@ def covered_sentences(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """(none, id, print, starts): sentence numbers, from 0, at which repeated non-first spans of a document start."""
     spans = checkpoint(_span_rows(docs, doc_id, text, min_sentences, min_words))
     flat = spans.select(F.col("key.none").alias("none"), F.col("key.id").alias("id"), F.col("key.print").alias("print"), F.posexplode("spans").alias("p", "h")).where("h <> 0")
-    place = F.struct("none", "id", "print", "p")
-    repeated = checkpoint(flat.groupBy("h").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first <> last").select("h", "first"))
-    later = flat.join(repeated, "h").where(place != F.col("first"))
-    return later.groupBy("none", "id", "print").agg(F.collect_set("p").alias("starts"))
+    return _starts(flat.join(_repeated(flat), "h").where(_place() != F.col("first")))
+
+
+def _place():
+    return F.struct("none", "id", "print", "p")
+
+
+def _repeated(flat: DataFrame) -> DataFrame:
+    """(h, first) of the hashes that stand at several places."""
+    return checkpoint(flat.groupBy("h").agg(F.min(_place()).alias("first"), F.max(_place()).alias("last")).where("first <> last").select("h", "first"))
+
+
+def _starts(flat: DataFrame) -> DataFrame:
+    return flat.groupBy("none", "id", "print").agg(F.collect_set("p").alias("starts"))
 
 
 def _cleaner(min_sentences: int, min_words: int):
@@ -117,6 +133,14 @@ def _cleaner(min_sentences: int, min_words: int):
     return clean
 
 
+def _marked(docs: DataFrame, starts: DataFrame, doc_id: str, text: str, found: str, how: str = "left") -> DataFrame:
+    """``docs`` with the starts of their document as a column ``found``."""
+    keyed = docs.withColumn(found, _key(doc_id, text))
+    marks = starts.select(F.struct("none", "id", "print").alias(found), F.col("starts").alias(f"{found}_starts"))
+    same = (keyed[found]["none"] == marks[found]["none"]) & keyed[found]["id"].eqNullSafe(marks[found]["id"]) & (keyed[found]["print"] == marks[found]["print"])
+    return keyed.join(marks, same, how).select(*[keyed[c] for c in docs.columns], F.col(f"{found}_starts").alias(found))
+
+
 def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_sentences: int = MIN_SENTENCES, min_words: int = MIN_WORDS,
                     found: str = "span_dedup") -> DataFrame:
     """``docs`` with ``text`` cleaned and a struct column ``found``: n_sentences, removed (sentence numbers).
@@ -126,11 +150,7 @@ def substring_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     if found in docs.columns:
         raise ValueError(f"column {found} exists; name another one in found=")
     starts = covered_sentences(docs, doc_id, text, min_sentences, min_words)
-    key = _key(doc_id, text)
-    keyed = docs.withColumn(found, key)
-    marks = starts.select(F.struct("none", "id", "print").alias(found), F.col("starts").alias(f"{found}_starts"))
-    same = (keyed[found]["none"] == marks[found]["none"]) & keyed[found]["id"].eqNullSafe(marks[found]["id"]) & (keyed[found]["print"] == marks[found]["print"])
-    joined = keyed.join(marks, same, "left").select(*[keyed[c] for c in docs.columns], F.col(f"{found}_starts").alias(found))
+    joined = _marked(docs, starts, doc_id, text, found)
     shape = StructType([StructField("n_sentences", IntegerType()), StructField("removed", ArrayType(IntegerType()))])
     schema = StructType([*docs.schema.fields, StructField(found, shape)])
     clean, where, names = _cleaner(min_sentences, min_words), docs.columns.index(text), docs.columns
@@ -149,3 +169,117 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     out = substring_dedup(docs, doc_id, text, found="_span_dedup")
     emptied = (F.size("_span_dedup.removed") > 0) & ~F.col(text).rlike(r"[^\x20\x09-\x0D]")
     return out.where(~emptied).drop("_span_dedup")
+
+
+def _reach(values: np.ndarray, n: int, pick, none) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) of each value and the n - 1 after it; ``none`` lies behind the end."""
+    out, have = values, 1
+    while have < n:
+        step = min(have, n - have)
+        out = pick(out, np.concatenate([out[step:], np.full(min(step, len(out)), none, out.dtype)]))
+        have += step
+    return out
+
+
+def _word_runs(w: ts.Words, prefix: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the ``n`` words from each word on, and whether they lie within its document."""
+    at = np.arange(len(w))
+    inside = at + n <= np.repeat(w.first[1:], np.diff(w.first))
+    return ts.run_hash(prefix, at, np.where(inside, at + n, at)) | ts.U64(1), inside
+
+
+def _anchors(w: ts.Words, words: int, group: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the groups that are the least of all groups in some window of ``words`` words."""
+    prefix, most = ts.run_prefix(w.hashes(ts.byte_prefix(w.data))), ts.U64(0xFFFFFFFFFFFFFFFF)
+    h, whole = _word_runs(w, prefix, group)
+    n = words - group + 1
+    inside = np.arange(len(w)) + words <= np.repeat(w.first[1:], np.diff(w.first))
+    least = np.where(inside, _reach(np.where(whole, h, most), n, np.minimum, most), ts.U64(0))  # per window
+    top = _reach(least[::-1], n, np.maximum, ts.U64(0))[::-1]  # of the windows that hold the group
+    at = np.flatnonzero(whole & (h == top))
+    return at, h[at]
+
+
+def _copies(h: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Which hashes stand earlier in the same document."""
+    order = np.lexsort((np.arange(len(h)), h, d))
+    out = np.zeros(len(h), bool)
+    out[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (d[order[1:]] == d[order[:-1]])
+    return out
+
+
+def _flat_rows(rows: DataFrame, of: str, pick) -> DataFrame:
+    """(of, p, h, again) for what ``pick`` chooses of a slice: word numbers and hashes; again: stands earlier in the document."""
+    schema = StructType([rows.schema[of], StructField("p", IntegerType()), StructField("h", LongType()), StructField("again", BooleanType())])
+
+    def emit(part: pa.RecordBatch) -> pa.RecordBatch:
+        data, offs = ts.flat(part.column("text"))
+        w = ts.Words(data, offs, ts.SPACES)
+        at, h = pick(w, part)
+        d = np.searchsorted(w.first, at, "right") - 1
+        return pa.RecordBatch.from_arrays([part.column(of).take(pa.array(d)), pa.array((at - w.first[d]).astype(np.int32)), pa.array(h.view(np.int64)), pa.array(_copies(h, d))], names=[of, "p", "h", "again"])
+
+    return checkpoint(ts.map_slices(rows, "text", emit, schema))
+
+
+def repeated_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = PASSAGE, group: int = GROUP) -> DataFrame:
+    """(none, id, print, starts): word numbers, from 0, at which ``words`` words start that stand before as well.
+
+    Only documents with repeated groups go on. They are numbered in their order, so a window travels as two numbers.
+    """
+    if not 0 < group <= words:
+        raise ValueError("group must be within 1 and words")
+    rows = docs.select(_key(doc_id, text).alias("key"), F.col(text).alias("text"))
+    anchors = _flat_rows(rows, "key", lambda w, part: _anchors(w, words, group))
+    often = checkpoint(anchors.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h"))
+    near = checkpoint(_starts(anchors.join(often, "h").select("key.none", "key.id", "key.print", "p")))
+    near = checkpoint(near.orderBy("none", "id", "print").withColumn("doc", F.monotonically_increasing_id()))
+
+    def around(w: ts.Words, part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+        h, inside = _word_runs(w, ts.run_prefix(w.hashes(ts.byte_prefix(w.data))), words)
+        own = part.column("near").field(0)
+        first = np.repeat(w.first[:-1], own.value_lengths().to_numpy(zero_copy_only=False))
+        a = own.flatten().to_numpy(zero_copy_only=False) + first
+        edges = np.zeros(len(w) + 1, np.int64)
+        np.add.at(edges, np.maximum(a - (words - group), first), 1)
+        np.add.at(edges, a + 1, -1)
+        at = np.flatnonzero((np.cumsum(edges[:-1]) > 0) & inside)
+        return at, h[at]
+
+    marks = near.select("none", "id", "print", F.struct("starts", "doc").alias("starts"))
+    marked = _marked(docs.select(doc_id, text), marks, doc_id, text, "near", "inner")
+    flat = _flat_rows(marked.select(F.col(text).alias("text"), "near", F.col("near.doc").alias("doc")), "doc", around)
+    fresh = flat.where("NOT again")
+    repeated = checkpoint(fresh.groupBy("h").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last").select("h", "first"))
+    later = fresh.join(repeated, "h").where(F.col("doc") > F.col("first")).select("doc", "p")
+    starts = later.unionByName(flat.where("again").select("doc", "p")).groupBy("doc").agg(F.collect_set("p").alias("starts"))
+    return near.drop("starts").join(starts, "doc").drop("doc")
+
+
+def passage_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = PASSAGE, found: str = "passage_dedup") -> DataFrame:
+    """``docs`` without the words, and the white space after them, of repeated windows; ``found``: n_words, n_removed."""
+    if found in docs.columns:
+        raise ValueError(f"column {found} exists; name another one in found=")
+    joined = _marked(docs, repeated_windows(docs, doc_id, text, words, min(GROUP, words)), doc_id, text, found)
+    schema = StructType([*docs.schema.fields, StructField(found, StructType([StructField("n_words", IntegerType()), StructField("n_removed", IntegerType())]))])
+    where, names = docs.columns.index(text), docs.columns
+
+    def emit(part: pa.RecordBatch) -> pa.RecordBatch:
+        column = part.column(text)
+        data, offs = ts.flat(column)
+        w = ts.Words(data, offs, ts.SPACES)
+        texts, gone = column.to_pylist(), np.zeros(len(column), np.int32)
+        for d, own in enumerate(part.column(found).to_pylist()):
+            if own:
+                a, z = w.first[d], w.first[d + 1]
+                edges = np.zeros(z - a + 1, np.int64)
+                np.add.at(edges, np.asarray(own, np.int64), 1)
+                np.add.at(edges, np.asarray(own, np.int64) + words, -1)
+                cover = np.cumsum(edges[:-1]) > 0
+                stay = np.repeat(np.concatenate([[True], ~cover]), np.diff(np.concatenate([[offs[d]], w.start[a:z], [offs[d + 1]]])))
+                texts[d], gone[d] = data[offs[d] : offs[d + 1]][stay].tobytes().decode(), cover.sum()
+        cols = [part.column(c) for c in names]
+        cols[where] = pa.array(texts, pa.string())
+        return pa.RecordBatch.from_arrays([*cols, pa.StructArray.from_arrays([pa.array(np.diff(w.first).astype(np.int32)), pa.array(gone)], names=["n_words", "n_removed"])], names=[*names, found])
+
+    return ts.map_slices(joined, text, emit, schema)
