@@ -175,6 +175,16 @@ def test_two_level_windows_cross_chunks(spark):
     assert len(h) == 600 and all(r["p"] == (None if r["i"] < 2 else float(((r["i"] - 2) * 7) % 5)) for r in h)
 
 
+def test_null_keys_stay_in_rasters_and_two_level_windows(spark):
+    rows = [(d, i, 0.3 * i, 0.0, float(i), 0.1) for d in (None, 1) for i in range(6)]
+    p = spark.createDataFrame(rows, "drive_id int, i long, x double, y double, z double, intensity double")
+    count = lambda d, n: sorted((r["drive_id"] or 0, r["ix"], r["iy"], r[n]) for r in d.collect())
+    assert count(grid.ground_rasters(p, 1.0, 9.0, ["drive_id"]), "density_all") == count(grid.cell_density(p, 1.0, ["drive_id"]), "n")
+    chunk = F.when(C("i") >= 2, F.floor(C("i") / 2))  # the first chunk is null
+    out = ordered.dense_index(ordered.running_sum(p, ["drive_id"], ["i"], chunk, C("z"), "s"), ["drive_id"], ["i"], chunk, "n").collect()
+    assert len(out) == 12 and all(r["n"] == r["i"] and r["s"] == sum(range(r["i"] + 1)) for r in out)
+
+
 def test_exact_percentiles_match_numpy(spark):
     v = [rnd.choice([0.1, 0.5, rnd.random() * 9]) for _ in range(501)]
     df = spark.createDataFrame([(1, x) for x in v], "k int, v double")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.functions.stats import cell_percentiles, exact_percentiles
 from wayfold.operators.components import cell_components
-from wayfold.operators.ordered import with_one_row
+from wayfold.operators.ordered import join_on_keys, with_one_row
 
 CELL = ("ix", "iy")
 
@@ -42,7 +42,7 @@ def height_p10(points: DataFrame, res: float, by: Sequence[str]) -> DataFrame:
 
 def with_height(points: DataFrame, res: float, by: Sequence[str]) -> DataFrame:
     """Points with their cell's p10 height."""
-    return with_cell(points, res).join(height_p10(points, res, by), [*by, *CELL])
+    return join_on_keys(with_cell(points, res), height_p10(points, res, by), [*by, *CELL])
 
 
 def ground_rasters(points: DataFrame, res: float, dz: float, by: Sequence[str]) -> DataFrame:

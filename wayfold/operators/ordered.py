@@ -21,6 +21,15 @@ def with_one_row(df: DataFrame, one: DataFrame) -> DataFrame:
     return df.withColumn("_one", s).select(*df.columns, *[F.col("_one")[c].alias(c) for c in one.columns])
 
 
+def join_on_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Inner join on equal keys where null equals null; the keys come from ``left``."""
+    named = right.select(*[F.col(k).alias(f"_r_{k}") if k in keys else F.col(k) for k in right.columns])
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(named, same).drop(*[f"_r_{k}" for k in keys])
+
+
 def _offsets(df: DataFrame, keys: Sequence[str], total: Column) -> DataFrame:
     """Exclusive prefix totals of the chunks: one row per (key, chunk), a tiny fraction of the rows."""
     w = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
@@ -36,8 +45,7 @@ def dense_index(
     base = _offsets(d, keys, F.count(F.lit(1)))
     w = W.partitionBy(*keys, "_chunk").orderBy(*order)
     return (
-        d.withColumn("_local", F.row_number().over(w) - 1)
-        .join(base, [*keys, "_chunk"])
+        join_on_keys(d.withColumn("_local", F.row_number().over(w) - 1), base, [*keys, "_chunk"])
         .withColumn(out, (F.col("_base") + F.col("_local")).cast("long"))
         .drop("_chunk", "_local", "_base")
     )
@@ -51,8 +59,7 @@ def running_sum(
     base = _offsets(d, keys, F.sum("_v"))
     w = W.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return (
-        d.withColumn("_local", F.sum("_v").over(w))
-        .join(base, [*keys, "_chunk"])
+        join_on_keys(d.withColumn("_local", F.sum("_v").over(w)), base, [*keys, "_chunk"])
         .withColumn(out, F.col("_base") + F.col("_local"))
         .drop("_chunk", "_local", "_base", "_v")
     )
