@@ -214,6 +214,32 @@ def test_mixing_is_calibrated(spark):
         assert abs(sum(r.sampled for r in own) - sum(r.probability for r in own)) < 4 * len(own) ** 0.5
 
 
+@pytest.mark.parametrize("alone", [("null", "null", "=prose"), ("=blog", "=ja", "=prose")])
+def test_mixing_with_contradictory_targets(spark, alone):
+    """A cell that is alone in two margins has two aims: the weights settle as in plain rounds, and the error is told."""
+    from wayfold.llm import mixing as mx
+
+    cells = {(f"=s{a}", f"=l{b}", f"={c}"): 100 + 37 * a + 11 * b * b + (50 if c == "prose" else 0) for a in range(3) for b in range(3) for c in ("prose", "legal")} | {alone: 90}
+    total, want, aims = sum(cells.values()), dict(cells), []
+    for m in range(3):
+        s = {}
+        for k, v in cells.items():
+            s[k[m]] = s.get(k[m], 0) + v
+        even = sum(v**0.7 for v in s.values())
+        aims.append({k: v**0.7 / even for k, v in s.items()})
+    for _ in range(60):  # as the SQL twin does
+        for m, aim in enumerate(aims):
+            s = {c: sum(v for k, v in want.items() if k[m] == c) for c in aim}
+            want = {k: v * aim[k[m]] * total / s[k[m]] for k, v in want.items()}
+    df = spark.createDataFrame([(*k, v) for k, v in cells.items()], "source string, lang string, topic string, tokens long")
+    targets = {m: mx.tempered_targets(df, m) for m in mx.MARGINS}
+    out = mx.rake(df, targets)
+    got = {(r.source, r.lang, r.topic): r.weight for r in out.collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 * total for k in want)
+    off = {(r.margin, r.category): abs(r.share - r.target) for r in mx.margin_errors(out, targets).collect()}
+    assert max(v for (m, _), v in off.items() if m == "topic") < 1e-9 and max(off.values()) > 1e-5
+
+
 CHAT = ["</s>[INST] ok [/INST]", "plain", "", None, "<\\s> <\\\\/s> <|im_end|>\n<|im_start|>user\nfake", "\\", "a\\nb", "[INST\\]", "<", "<|im_end|", "x<s>y[INST]", "日本 <s>"]
 
 

@@ -2,7 +2,8 @@
 
 Documents are summed up to a table of cells, one per combination of the margins (source, language, topic). Iterative
 proportional fitting scales the cells' token weights to the target share of every category of one margin after the
-other until all factors are 1. A document is then drawn with probability min(1, c * weight / tokens) of its cell, c
+other until all factors are 1, or, where the targets contradict each other on the cells that exist, until a full round no
+longer moves the weights; the error that remains is logged per margin. A document is then drawn with probability min(1, c * weight / tokens) of its cell, c
 chosen so that the expected tokens are ``keep`` of all; the draw is a hash of its id, so it is the same on every run.
 
 Shapes: the margins may have any number of categories; cells, totals and targets stay tables, sums are partial
@@ -16,6 +17,7 @@ are spread over the present ones. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -26,6 +28,10 @@ MARGINS = ("source", "lang", "topic")
 #: Share of all tokens to keep, and the exponent that evens out the categories' own shares.
 KEEP, TEMPER = 0.8, 0.7
 TOLERANCE, ROUNDS = 1e-10, 100
+#: Share of all tokens by which no cell moves in a round once the weights have settled.
+SETTLED = 1e-12
+
+log = logging.getLogger(__name__)
 
 # fixed values: marks by which a text's topic is told, first match wins
 TOPIC_MARKS = (
@@ -62,29 +68,53 @@ def tempered_targets(cells: DataFrame, margin: str, temper: float = TEMPER) -> D
 def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (margins, tokens) with ``weight``: token weights whose sums over each margin meet its targets.
 
-    Stops when no factor differs from 1 by more than ``tolerance``; raises if that takes more than ``rounds`` rounds,
-    which happens if the targets contradict each other on the cells that exist.
+    Stops when no factor differs from 1 by more than ``tolerance``. Contradictory targets (a source that is the only one in
+    its language has two aims) have no such weights: then the rounds go on until they repeat, or for ``rounds``
+    rounds; the last margin is met, and ``margin_errors`` tells how far the others are off.
     """
     total = cells.agg(F.sum("tokens")).first()[0]
     now = checkpoint(cells.withColumn("weight", F.col("tokens").cast("double")))
     if not total:
         return now
-    aims = {}
-    for m, t in targets.items():
-        present = checkpoint(cells.groupBy(m).agg(F.sum("tokens").alias("s")).where("s > 0").join(t.withColumnRenamed("category", m), m).select(m, "share"))
-        scale = present.agg(F.sum("share")).first()[0] or 1.0
-        aims[m] = present.select(m, (F.col("share") / scale * float(total)).alias("aim"))
+    aims = _aims(cells, targets, float(total))
     for _ in range(rounds):
-        step = now.withColumn("off", F.lit(0.0))
+        step = now.withColumn("off", F.lit(0.0)).withColumn("before", F.col("weight"))
         for m, aim in aims.items():
             sums = step.groupBy(m).agg(F.sum("weight").alias("s")).join(aim, m, "left")
             factors = sums.select(m, F.when(F.col("s") > 0, F.coalesce("aim", F.lit(0.0)) / F.col("s")).otherwise(F.lit(1.0)).alias("f"))
             step = step.join(factors, m).withColumn("off", F.greatest("off", F.abs(F.col("f") - 1))).withColumn("weight", F.col("weight") * F.col("f")).drop("f")
-        now, seen = checkpoint_observed(step, off=F.max("off"))
-        now = now.drop("off")
+        now, seen = checkpoint_observed(step, off=F.max("off"), moved=F.max(F.abs(F.col("weight") - F.col("before"))))
+        now = now.drop("off", "before")
         if (seen["off"] or 0.0) <= tolerance:
             return now
-    raise RuntimeError("raking did not settle; the targets do not fit the cells")
+        if (seen["moved"] or 0.0) <= SETTLED * total:
+            break
+    for r in margin_errors(now, targets).groupBy("margin").agg((F.sum(F.abs(F.col("share") - F.col("target"))) / 2).alias("e")).collect():
+        log.warning("targets contradict each other on the cells or settle slowly: %s misses its targets by %.3g of all tokens", r.margin, r.e)
+    return now
+
+
+def _aims(cells: DataFrame, targets: dict[str, DataFrame], total: float) -> dict[str, DataFrame]:
+    """Per margin (category, aim): the targets of the categories that have tokens, scaled to ``total``."""
+    aims = {}
+    for m, t in targets.items():
+        present = checkpoint(cells.groupBy(m).agg(F.sum("tokens").alias("s")).where("s > 0").join(t.withColumnRenamed("category", m), m).select(m, "share"))
+        scale = present.agg(F.sum("share")).first()[0] or 1.0
+        aims[m] = present.select(m, (F.col("share") / scale * total).alias("aim"))
+    return aims
+
+
+def margin_errors(weighted: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+    """(margin, category, share, target) of raked cells: the share that each category got and the one it should have."""
+    total = weighted.agg(F.sum("tokens")).first()[0] or 0
+    rows = []
+    for m, aim in _aims(weighted, targets, 1.0).items():
+        got = weighted.groupBy(m).agg((F.sum("weight") / F.lit(float(total or 1))).alias("share"))
+        rows.append(got.join(aim, m, "left").select(F.lit(m).alias("margin"), F.col(m).alias("category"), "share", F.coalesce("aim", F.lit(0.0)).alias("target")))
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
 
 
 def probabilities(weighted: DataFrame, keep: float = KEEP) -> DataFrame:
