@@ -175,6 +175,20 @@ def test_two_level_windows_cross_chunks(spark):
     assert len(h) == 600 and all(r["p"] == (None if r["i"] < 2 else float(((r["i"] - 2) * 7) % 5)) for r in h)
 
 
+def test_points_without_trajectory_keep_a_part(spark):
+    from types import SimpleNamespace
+
+    from wayfold.queries.q_g_clusters import cut_parts, refined
+
+    poses = spark.createDataFrame([(1, k, 10.0 * k, 0.0) for k in range(70)], "drive_id int, frame_id long, x double, y double")
+    points = spark.createDataFrame([(d, 45.0 * k, 3.0) for d in (1, 2, None) for k in range(15)], "drive_id int, x double, y double")
+    c = SimpleNamespace(poses=poses, points=points)
+    for parts in (cut_parts(c), refined(c, 60.0)):
+        got = parts.collect()
+        assert len(got) == 45 and all((r["part"] == -1) == (r["drive_id"] != 1) for r in got)
+        assert len({r["part"] for r in got if r["drive_id"] == 1}) == 3
+
+
 def test_null_keys_stay_in_rasters_and_two_level_windows(spark):
     rows = [(d, i, 0.3 * i, 0.0, float(i), 0.1) for d in (None, 1) for i in range(6)]
     p = spark.createDataFrame(rows, "drive_id int, i long, x double, y double, z double, intensity double")

@@ -206,15 +206,15 @@ BND = f"""{LINE}, fb AS (SELECT drive_id, CAST(floor(s/300) AS BIGINT) AS k, min
 
 
 def cut_parts(c):
-    """Points with the spatial-cut part of their nearest trajectory vertex, and the boundary array of their drive."""
+    """Points with the spatial-cut part of their nearest trajectory vertex, and the boundary array of their drive; -1: there is no trajectory."""
     line = L.arc_length(c.poses.select("drive_id", C("frame_id").alias("idx"), "x", "y"), ["drive_id"], "idx")
     t = L.tangents(line, ["drive_id"], "idx")
     first = line.groupBy("drive_id", F.floor(C("s") / 300).alias("k")).agg(F.min("idx").alias("idx")).filter("k >= 1")
     b = t.join(first, ["drive_id", "idx"]).groupBy("drive_id").agg(F.array_sort(F.collect_list(F.struct("k", "s", "x", "y", "tx", "ty"))).alias("b"))
     near_ = J.nearest(c.points.select("drive_id", "x", "y"), line.select("drive_id", C("idx").alias("frame_id"), "s", "x", "y"), ["frame_id", "s"], ["drive_id"], 32.0)
-    p = near_.filter("near_s is not null").join(b, "drive_id", "left")
+    p = near_.join(b, "drive_id", "left")
     s = F.transform(F.coalesce("b", F.lit(None)), lambda v: v["s"])
-    return p.withColumn("part", F.coalesce(J.part_of(C("near_s"), s), F.lit(0)).cast("int"))
+    return p.withColumn("part", F.when(C("near_s").isNull(), -1).otherwise(F.coalesce(J.part_of(C("near_s"), s), F.lit(0))).cast("int"))
 
 
 @query("g10_spatial_cut", f"WITH {BND} SELECT drive_id, CAST(part AS INTEGER) AS part, count(*) AS n FROM p0 GROUP BY 1,2")
@@ -238,7 +238,8 @@ def refined(c, band):
     z = F.lit(0)
     start = F.struct(z.alias("i"), C("part").alias("part"), z.alias("checked"), z.alias("flipped"))
     p = cut_parts(c).withColumn("r", F.when(C("b").isNull(), start).otherwise(F.aggregate("b", start, step)))
-    return p.select("drive_id", "x", "y", F.least(F.greatest(C("r.part"), z), F.coalesce(F.size("b"), z)).alias("part"), C("r.checked").alias("checked"), C("r.flipped").alias("flipped"))
+    part = F.when(C("part") < 0, C("part")).otherwise(F.least(F.greatest(C("r.part"), z), F.coalesce(F.size("b"), z)))
+    return p.select("drive_id", "x", "y", part.alias("part"), C("r.checked").alias("checked"), C("r.flipped").alias("flipped"))
 
 
 CUT = f"""{BND}, st AS (SELECT drive_id, x, y, 0 AS i, part, 0 AS checked, 0 AS flipped FROM p0 UNION ALL SELECT drive_id, x, y, i+1, CASE WHEN m=i+1 AND nr AND NOT ah THEN m-1 ELSE m END, checked+(CASE WHEN part=i AND nr THEN 1 ELSE 0 END)+(CASE WHEN m=i+1 AND nr THEN 1 ELSE 0 END), flipped+(CASE WHEN part=i AND nr AND ah THEN 1 ELSE 0 END)+(CASE WHEN m=i+1 AND nr AND NOT ah THEN 1 ELSE 0 END)
