@@ -303,6 +303,16 @@ def test_url_templates(spark):
     assert abs(out[1000].purity - 92 / 94) < 1e-12
 
 
+def test_url_labels_of_a_sample(spark):
+    """Labels on a third of a bad template reject it, a few labels do not."""
+    from wayfold.llm.urls import judge_urls
+
+    urls = [(k, f"http://h.x/spam/{k}") for k in range(60)] + [(100 + k, f"http://g.x/rare/{k}") for k in range(60)]
+    labels = [(k, 1) for k in range(20)] + [(100 + k, 1) for k in range(5)]
+    out = {r.page_id: r.verdict for r in judge_urls(spark.createDataFrame(urls, "page_id long, url string"), [], spark.createDataFrame(labels, "page_id long, bad int")).collect()}
+    assert {out[k] for k in range(60)} == {"block"} and {out[100 + k] for k in range(60)} == {"allow"}
+
+
 def test_pipeline_stages(spark):
     """Every stage on its own input, at the smallest scale, against the operators and brute force."""
     import corpus_pipeline as cp

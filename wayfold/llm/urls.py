@@ -4,7 +4,7 @@ Every path becomes a template. Segments that look like numbers, dates or ids tur
 level by level, the segments below one parent turn into a wildcard if they are many and each has few pages. Sibling
 branches with the same templates below them are sorted by their share of bad labels and merged while the next one's
 share does not differ (two-proportion test at ``Z``); branches without labels merge only with each other. A template is rejected if its smoothed share of bad labels reaches
-``REJECT`` and labels cover at least ``COVER`` of its pages; a template nobody labelled says nothing about its pages.
+``REJECT``, however few of its pages are labelled, since the prior outweighs few labels; a template nobody labelled says nothing about its pages.
 
 Pages are summed up by (host, template) before anything else, so a host with a third of all pages is a few rows.
 Verdicts come back through one join on a table that is unique by key, which adaptive execution can split.
@@ -28,7 +28,7 @@ LEVELS = 8
 Z = 2.58
 #: Weight and value of the neutral prior of a template.
 PRIOR_WEIGHT, PRIOR = 4.0, 0.5
-REJECT, COVER = 0.8, 0.5
+REJECT = 0.8
 
 # fixed values: forms of segments that vary from page to page, most special first
 FORMS = (
@@ -97,7 +97,7 @@ def template_tree(pages: DataFrame) -> DataFrame:
         seg = F.try_element_at("segments", F.lit(k))
         now = checkpoint(_similar(checkpoint(_variable(now.withColumn("seg", seg))), k))
     final = now.groupBy("host", "prefix").agg(*_sums).withColumn("purity", (F.col("bad") + PRIOR_WEIGHT * PRIOR) / (F.col("labelled") + PRIOR_WEIGHT))
-    final = final.withColumn("reject", (F.col("purity") >= REJECT) & (F.col("labelled") >= COVER * F.col("pages")))
+    final = final.withColumn("reject", F.col("purity") >= REJECT)
     return checkpoint(now.select("host", "segments", "prefix").join(checkpoint(final), ["host", "prefix"]).withColumnRenamed("prefix", "template"))
 
 
