@@ -300,3 +300,47 @@ def op11(spark, sf_dir):
 
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+# ---------------------------------------------------------------- 12
+
+OP12_SQL = rf"""
+WITH c AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS w,
+                  coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda b: CAST(ascii(b) AS BIGINT))),
+                                  lambda s, b: list_reduce(list_prepend(xor(s, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda a, z: xor(a >> 1, 3988292384 * (a & 1)))), 4294967295), 1) AS h FROM documents),
+d AS (SELECT doc_id, w, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS planted, h // 10 % greatest(len(w), 1) AS a, 1 + (len(w) - h // 10 % greatest(len(w), 1)) // (3 + h // 10 % 8) AS p FROM c),
+x AS (SELECT doc_id, n, i, w[1 + CASE WHEN planted AND i >= a THEN a + (i - a) % p ELSE i END] AS word FROM (SELECT *, unnest(range(n)) AS i FROM d)),
+e AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM x JOIN x AS y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+s AS (SELECT doc_id, q, min(i) AS start, count(*) + q AS length FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM e) GROUP BY doc_id, q, k HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT doc_id, start, length, min(q) AS period FROM s GROUP BY ALL),
+b AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length / period DESC, start, period) = 1),
+l AS (SELECT doc_id, count(*) AS n_runs, string_agg(concat(start, ',', length, ',', period, chr(10)), '' ORDER BY start, period) AS t FROM r GROUP BY 1),
+g AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM r),
+k AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.i) AS t FROM x LEFT JOIN g ON x.doc_id = g.doc_id AND x.i = g.i WHERE g.i IS NULL GROUP BY 1)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, start, length, period, CAST(1000 * length // period AS BIGINT) AS exponent_milli, sha256(coalesce(l.t, '')) AS runs_sha256, sha256(coalesce(k.t, '')) AS collapsed_sha256
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN l USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+
+def repeated_tail(doc_id, words: list) -> list:
+    """Every tenth document, by the crc32 of its id, repeats a stretch of its own words from some word on."""
+    from zlib import crc32
+
+    h = crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + [words[a + i % p] for i in range(n - a)]
+
+
+@query("op12_periodic_runs", OP12_SQL)
+def op12(spark, sf_dir):
+    from wayfold.llm.periodic import periodic_runs
+
+    out = periodic_runs(table(spark, sf_dir, "documents"), rewrite=repeated_tail)
+    listed = F.array_join(F.transform("runs", lambda r: F.concat_ws("", F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    best = F.col("strongest")
+    return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+                      F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
