@@ -344,3 +344,17 @@ def op12(spark, sf_dir):
     best = F.col("strongest")
     return out.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
                       F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"), F.sha2(listed, 256).alias("runs_sha256"), F.sha2("text", 256).alias("collapsed_sha256"))
+
+
+# ---------------------------------------------------------------- 13
+
+
+@query("op13_secret_scan")
+def op13(spark, sf_dir):
+    from wayfold.llm.secretscan import KINDS, fit, secret_spans
+
+    docs = table(spark, sf_dir, "documents")
+    spans = secret_spans(docs, fit(docs)).withColumn("base", F.filter("spans", lambda s: s["kind"] != KINDS[-1]))
+    listed = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return spans.select("doc_id", *[count(k) for k in KINDS[:-1]], F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
