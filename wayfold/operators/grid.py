@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from wayfold.functions.stats import cell_percentiles, exact_percentiles
 from wayfold.operators.components import cell_components
 from wayfold.operators.ordered import join_on_keys, with_one_row
+from wayfold.operators.rowruns import cells_of, group_key, hole_runs
 
 CELL = ("ix", "iy")
 
@@ -349,36 +350,24 @@ def close_in_corridor(mask: DataFrame, corridor: DataFrame, r: int, by: Sequence
     return close_mask(inside, r, by).join(corridor.select(*k).distinct(), k, "left_semi")
 
 
-def frame_box(mask: DataFrame, by: Sequence[str], pad: int = 1) -> DataFrame:
-    """All cells of each key's padded bounding box (used for hole analysis)."""
-    b = mask.groupBy(*by).agg(*[f(c).alias(f"_{n}_{c}") for c in CELL for n, f in (("lo", F.min), ("hi", F.max))])
-    seq = lambda c: F.explode(F.sequence(F.col(f"_lo_{c}") - pad, F.col(f"_hi_{c}") + pad)).alias(c)
-    return b.select("*", seq("ix")).select("*", seq("iy"))
-
-
 def holes(mask: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Cells of complement components (4-neighbour) that do not reach the padded frame; adds label and size."""
-    k = [*by, *CELL]
-    box = frame_box(mask, by)
-    edge = (F.col("ix") == F.col("_lo_ix") - 1) | (F.col("ix") == F.col("_hi_ix") + 1) | (F.col("iy") == F.col("_lo_iy") - 1) | (F.col("iy") == F.col("_hi_iy") + 1)
-    gap = box.withColumn("_edge", edge).select(*k, "_edge").join(mask.select(*k).distinct(), k, "left_anti")
-    lab = cell_components(gap, by, diagonal=False)
-    inner = lab.groupBy(*by, "label").agg(F.max("_edge").alias("_edge"), F.count(F.lit(1)).alias("hole_cells")).filter(~F.col("_edge"))
-    return lab.drop("_edge").join(inner.drop("_edge"), [*by, "label"])
+    """Cells of complement components (4-neighbour) that do not reach the outside; adds label and size."""
+    return cells_of(hole_runs(mask, by)).select(*by, *CELL, "label", "hole_cells")
 
 
 def fill_small_holes(mask: DataFrame, corridor: DataFrame | None, max_cells: int, by: Sequence[str]) -> DataFrame:
     """Add holes of at most ``max_cells`` cells; with a corridor only holes that touch it."""
-    k = [*by, *CELL]
-    h = holes(mask, by).filter(F.col("hole_cells") <= max_cells)
+    small = cells_of(hole_runs(mask, by).filter(F.col("hole_cells") <= max_cells)).select(*by, *CELL, group_key([*by, "label"]).alias("_hole"))
     if corridor is not None:
-        near = h.join(corridor.select(*k).distinct(), k, "left_semi").select(*by, "label").distinct()
-        h = h.join(near, [*by, "label"], "left_semi")
-    return mask.select(*k).distinct().unionByName(h.select(*k))
+        met = corridor.select(group_key([*by, *CELL]).alias("_cell")).distinct()
+        near = small.withColumn("_cell", group_key([*by, *CELL])).join(met, "_cell", "left_semi").select("_hole").distinct()
+        small = small.join(near, "_hole", "left_semi")
+    k = [*by, *CELL]
+    return mask.select(*k).distinct().unionByName(small.select(*k))
 
 
 def hole_stats(mask: DataFrame, res: float, by: Sequence[str]) -> DataFrame:
-    h = holes(mask, by).groupBy(*by, "label").agg(F.max("hole_cells").alias("c"))
+    h = hole_runs(mask, by).groupBy(*by, "label").agg(F.max("hole_cells").alias("c"))
     return h.groupBy(*by).agg(F.count(F.lit(1)).alias("holes"), (F.sum("c") * res * res).alias("hole_area_m2"),
                               (F.max("c") * res * res).alias("largest_hole_m2"))
 

@@ -8,7 +8,7 @@ lag/lead/moving window needs into the neighbouring chunk, so windows run per (ke
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
@@ -65,6 +65,19 @@ def running_sum(
     )
 
 
+def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Mapping[str, Column]) -> DataFrame:
+    """Add the last value that is not null at or before each row of its key, in two levels; ``order`` tells all rows of a key apart, keys are not null."""
+    names = list(values)
+    d = df.withColumn("_chunk", chunk).select("*", *[v.alias(n) for n, v in values.items()])
+    at = F.struct(*order)
+    ends = d.groupBy(*keys, "_chunk").agg(*[F.max_by(n, F.when(F.col(n).isNotNull(), at)).alias(n) for n in names])
+    before = W.partitionBy(*keys).orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    ends = ends.select(*keys, "_chunk", *[F.last(n, ignorenulls=True).over(before).alias(f"_b_{n}") for n in names])
+    inside = W.partitionBy(*keys, "_chunk").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    d = d.select(*[c for c in d.columns if c not in names], *[F.last(n, ignorenulls=True).over(inside).alias(n) for n in names])
+    return d.join(ends, [*keys, "_chunk"]).select(*df.columns, *[F.coalesce(n, f"_b_{n}").alias(n) for n in names])
+
+
 def with_halo(df: DataFrame, index: str, k: int, size: int = CHUNK) -> DataFrame:
     """Copy rows within ``k`` of a chunk border into the next chunk (``_chunk``).
 
