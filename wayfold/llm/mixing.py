@@ -6,9 +6,9 @@ other until all factors are 1, or, where the targets contradict each other on th
 longer moves the weights; the error that remains is logged per margin. A document is then drawn with probability min(1, c * weight / tokens) of its cell, c
 chosen so that the expected tokens are ``keep`` of all; the draw is a hash of its id, so it is the same on every run.
 
-Shapes: the margins may have any number of categories; cells, totals and targets stay tables, sums are partial
-aggregates, and the joins are by category against tables that are unique by it. Only scalars (errors, c) reach
-the driver. Documents are read twice, for the cells and for the draw, and shuffled only if cells outgrow a broadcast.
+Shapes: the margins may have any number of categories; cells, totals and targets stay tables, documents are summed to
+cells by partial aggregates, and a round of fitting is three windows over the cells. Only scalars (errors, c, one sum per
+margin) reach the driver. Documents are read twice, for the cells and for the draw, and shuffled only if cells outgrow a broadcast.
 
 Rows: null categories are categories of their own. Null or empty texts have no tokens; a cell without tokens is never
 drawn. Rows that share an id share the draw. A category without a target gets weight 0; targets of absent categories
@@ -20,7 +20,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wayfold.session import checkpoint, checkpoint_observed
 
@@ -28,6 +28,8 @@ MARGINS = ("source", "lang", "topic")
 #: Share of all tokens to keep, and the exponent that evens out the categories' own shares.
 KEEP, TEMPER = 0.8, 0.7
 TOLERANCE, ROUNDS = 1e-10, 100
+#: Rounds of raking that one job makes between two looks at the errors.
+ROUNDS_PER_JOB = 4
 #: Share of all tokens by which no cell moves in a round once the weights have settled.
 SETTLED = 1e-12
 
@@ -65,56 +67,73 @@ def tempered_targets(cells: DataFrame, margin: str, temper: float = TEMPER) -> D
     return sums.select("category", (F.col("s") / total).alias("share"))
 
 
-def rake(cells: DataFrame, targets: dict[str, DataFrame], tolerance: float = TOLERANCE, rounds: int = ROUNDS) -> DataFrame:
+def _categories(cells: DataFrame, targets: dict[str, DataFrame] | None, temper: float, total: float) -> DataFrame:
+    """(margin, category, aim) of the categories that have tokens: their targets, scaled so that each margin adds up to ``total``."""
+    own = F.explode(F.array(*[F.struct(F.lit(m).alias("margin"), F.col(m).alias("category")) for m in MARGINS])).alias("c")
+    found = cells.select(own, "tokens").groupBy("c.margin", "c.category").agg(F.sum("tokens").alias("t")).where("t > 0")
+    if targets is None:
+        found = found.withColumn("share", F.pow("t", F.lit(temper)))
+    else:
+        wanted = None
+        for m, t in targets.items():
+            t = t.select(F.lit(m).alias("margin"), "category", "share")
+            wanted = t if wanted is None else wanted.unionByName(t)
+        found = found.join(wanted.hint("merge"), ["margin", "category"])
+    found = checkpoint(found.select("margin", "category", "share"))
+    whole = F.lit(1.0)
+    for r in found.groupBy("margin").agg(F.sum("share").alias("s")).collect():  # one row per margin
+        whole = F.when(F.col("margin") == r.margin, F.lit(float(r.s or 1.0))).otherwise(whole)
+    return found.select("margin", "category", (F.col("share") / whole * F.lit(total)).alias("aim"))
+
+
+def _aim_of(aims: DataFrame, margin: str, name: str) -> DataFrame:
+    return aims.where(F.col("margin") == margin).select(F.col("category").alias(margin), F.col("aim").alias(name)).hint("merge")
+
+
+def rake(cells: DataFrame, targets: dict[str, DataFrame] | None = None, tolerance: float = TOLERANCE, rounds: int = ROUNDS, temper: float = TEMPER) -> DataFrame:
     """``cells`` (margins, tokens) with ``weight``: token weights whose sums over each margin meet its targets.
 
     Stops when no factor differs from 1 by more than ``tolerance``. Contradictory targets (a source that is the only one in
     its language has two aims) have no such weights: then the rounds go on until they repeat, or for ``rounds``
-    rounds; the last margin is met, and ``margin_errors`` tells how far the others are off.
+    rounds; the last margin is met, and ``margin_errors`` tells how far the others are off. Without ``targets`` the
+    categories' own shares are tempered. A round is three windows over the cells, so a plan of several rounds stays small; a
+    task sums the cells of a category, never its documents.
     """
     total = cells.agg(F.sum("tokens")).first()[0]
-    now = checkpoint(cells.withColumn("weight", F.col("tokens").cast("double")))
     if not total:
-        return now
-    aims = _aims(cells, targets, float(total))
-    for _ in range(rounds):
-        step = now.withColumn("off", F.lit(0.0)).withColumn("before", F.col("weight"))
-        for m, aim in aims.items():
-            sums = step.groupBy(m).agg(F.sum("weight").alias("s")).join(aim, m, "left")
-            factors = sums.select(m, F.when(F.col("s") > 0, F.coalesce("aim", F.lit(0.0)) / F.col("s")).otherwise(F.lit(1.0)).alias("f"))
-            step = step.join(factors, m).withColumn("off", F.greatest("off", F.abs(F.col("f") - 1))).withColumn("weight", F.col("weight") * F.col("f")).drop("f")
+        return checkpoint(cells.withColumn("weight", F.col("tokens").cast("double")))
+    aims, now = _categories(cells, targets, temper, float(total)), cells.withColumn("weight", F.col("tokens").cast("double"))
+    for m in MARGINS:
+        now = now.join(_aim_of(aims, m, f"aim_{m}"), m, "left")
+    now = checkpoint(now)
+    done, settled = 0, False
+    while done < rounds and not settled:
+        step, per = now, min(ROUNDS_PER_JOB, rounds - done)
+        for k in range(per):
+            step = step.withColumn("off", F.lit(0.0)).withColumn("before", F.col("weight"))
+            for m in MARGINS:
+                own = F.sum("weight").over(Window.partitionBy(m))
+                step = step.withColumn("f", F.when(own > 0, F.coalesce(f"aim_{m}", F.lit(0.0)) / own).otherwise(F.lit(1.0)))
+                step = step.withColumn("off", F.greatest("off", F.abs(F.col("f") - 1))).withColumn("weight", F.col("weight") * F.col("f")).drop("f")
         now, seen = checkpoint_observed(step, off=F.max("off"), moved=F.max(F.abs(F.col("weight") - F.col("before"))))
-        now = now.drop("off", "before")
-        if (seen["off"] or 0.0) <= tolerance:
-            return now
+        now, done = now.drop("off", "before"), done + per
+        settled = (seen["off"] or 0.0) <= tolerance
         if (seen["moved"] or 0.0) <= SETTLED * total:
             break
-    for r in margin_errors(now, targets).groupBy("margin").agg((F.sum(F.abs(F.col("share") - F.col("target"))) / 2).alias("e")).collect():
-        log.warning("targets contradict each other on the cells or settle slowly: %s misses its targets by %.3g of all tokens", r.margin, r.e)
+    now = now.select(*cells.columns, "weight")
+    if not settled:
+        for r in margin_errors(now, targets, temper).groupBy("margin").agg((F.sum(F.abs(F.col("share") - F.col("target"))) / 2).alias("e")).collect():
+            log.warning("targets contradict each other on the cells or settle slowly: %s misses its targets by %.3g of all tokens", r.margin, r.e)
     return now
 
 
-def _aims(cells: DataFrame, targets: dict[str, DataFrame], total: float) -> dict[str, DataFrame]:
-    """Per margin (category, aim): the targets of the categories that have tokens, scaled to ``total``."""
-    aims = {}
-    for m, t in targets.items():
-        present = checkpoint(cells.groupBy(m).agg(F.sum("tokens").alias("s")).where("s > 0").join(t.withColumnRenamed("category", m), m).select(m, "share"))
-        scale = present.agg(F.sum("share")).first()[0] or 1.0
-        aims[m] = present.select(m, (F.col("share") / scale * total).alias("aim"))
-    return aims
-
-
-def margin_errors(weighted: DataFrame, targets: dict[str, DataFrame]) -> DataFrame:
+def margin_errors(weighted: DataFrame, targets: dict[str, DataFrame] | None = None, temper: float = TEMPER) -> DataFrame:
     """(margin, category, share, target) of raked cells: the share that each category got and the one it should have."""
-    total = weighted.agg(F.sum("tokens")).first()[0] or 0
-    rows = []
-    for m, aim in _aims(weighted, targets, 1.0).items():
-        got = weighted.groupBy(m).agg((F.sum("weight") / F.lit(float(total or 1))).alias("share"))
-        rows.append(got.join(aim, m, "left").select(F.lit(m).alias("margin"), F.col(m).alias("category"), "share", F.coalesce("aim", F.lit(0.0)).alias("target")))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+    total = float(weighted.agg(F.sum("tokens")).first()[0] or 0)
+    own = F.explode(F.array(*[F.struct(F.lit(m).alias("margin"), F.col(m).alias("category")) for m in MARGINS])).alias("c")
+    got = weighted.select(own, "weight").groupBy("c.margin", "c.category").agg((F.sum("weight") / F.lit(total or 1.0)).alias("share"))
+    aims = _categories(weighted, targets, temper, 1.0)
+    return got.join(aims.hint("merge"), ["margin", "category"], "left").select("margin", "category", "share", F.coalesce("aim", F.lit(0.0)).alias("target"))
 
 
 def probabilities(weighted: DataFrame, keep: float = KEEP) -> DataFrame:
@@ -153,8 +172,7 @@ def mixed(docs: DataFrame, targets: dict[str, DataFrame] | None = None, doc_id:
     keyed = docs.select(F.struct(_key(source).alias("source"), _key(lang).alias("lang"), F.coalesce(F.concat(F.lit("="), told), F.lit("null")).alias("topic"), word_tokens(F.col(text)).alias("tokens")).alias(found), *docs.columns)
     part = lambda c: F.col(f"{found}.{c}")
     cells = checkpoint(keyed.select(*[part(c).alias(c) for c in (*MARGINS, "tokens")]).groupBy(*MARGINS).agg(F.sum("tokens").alias("tokens")))
-    targets = targets or {m: tempered_targets(cells, m, temper) for m in MARGINS}
-    odds = checkpoint(probabilities(rake(cells, targets), keep).select(*[F.col(m).alias(f"_mix_{m}") for m in MARGINS], F.col("probability").alias("_mix_p")))
+    odds = checkpoint(probabilities(rake(cells, targets, temper=temper), keep).select(*[F.col(m).alias(f"_mix_{m}") for m in MARGINS], F.col("probability").alias("_mix_p")))
     same: Sequence[Column] = [part(m) == F.col(f"_mix_{m}") for m in MARGINS]
     out = keyed.join(odds, list(same), "left")
     p = F.coalesce("_mix_p", F.lit(0.0))
