@@ -1,12 +1,10 @@
 """Ordered sequences, ranking and top-k."""
 
-import math
-
 from pyspark.sql import functions as F
 
 from wayfold.functions import geometry as E, transforms as T
 from wayfold.functions.stats import exact_percentiles, top_per_group
-from wayfold.operators import components as CC, greedy as GR, lines as L, ordered as O
+from wayfold.operators import chains as CH, components as CC, greedy as GR, lines as L, ordered as O
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_e_geometry import LINE, sample_sql
 from wayfold.queries.q_p_scalars import pose12
@@ -44,13 +42,7 @@ def _(c):
  f AS (SELECT drive_id, r, idx, true AS keep, x AS lx, y AS ly FROM t WHERE r=1 UNION ALL SELECT t.drive_id, t.r, t.idx, sqrt(pow(t.x-lx,2)+pow(t.y-ly,2))>=40, CASE WHEN sqrt(pow(t.x-lx,2)+pow(t.y-ly,2))>=40 THEN t.x ELSE lx END, CASE WHEN sqrt(pow(t.x-lx,2)+pow(t.y-ly,2))>=40 THEN t.y ELSE ly END FROM f JOIN t ON t.drive_id=f.drive_id AND t.r=f.r+1)
  SELECT drive_id, idx FROM f WHERE keep""")
 def _(c):
-    def step(last, row):
-        if not last or math.hypot(row.x - last[0], row.y - last[1]) >= 40.0:
-            last[:] = [row.x, row.y]
-            return row.drive_id, row.idx
-        return None
-
-    return GR.ordered_fold(turns(c, 1.4), ["drive_id"], ["idx"], list, step, "drive_id long, idx long")
+    return CH.spaced(turns(c, 1.4), ["drive_id"], "idx", 40.0).select("drive_id", "idx")
 
 
 @query("w03_road_heading", """WITH m AS (SELECT drive_id, max(frame_id) AS m FROM poses GROUP BY 1) SELECT p.drive_id, p.frame_id AS idx, round(CASE WHEN a.frame_id<>b.frame_id AND (abs(b.x-a.x)>1e-3 OR abs(b.y-a.y)>1e-3) THEN degrees(atan2(b.y-a.y,b.x-a.x)) ELSE degrees(p.yaw) END,6)+0.0 AS heading
@@ -144,29 +136,10 @@ DRIFT = """q AS (SELECT user_id AS seed, event_id, row_number() OVER (PARTITION
    CASE WHEN q.area<2 OR (last IS NOT NULL AND (q.area/last<0.25 OR q.area/last>4)) THEN consec+1 ELSE 0 END, CASE WHEN q.area<2 OR (last IS NOT NULL AND (q.area/last<0.25 OR q.area/last>4)) THEN consec+1 ELSE 0 END >= 3 FROM f JOIN q ON q.seed=f.seed AND q.r=f.r+1 WHERE NOT stop)"""
 
 
-def drift_state():
-    return {"last": None, "consec": 0, "stop": False}
-
-
-def drift_step(state, row):
-    """Area drift against the last accepted row; three drifts in a row end the propagation."""
-    if state["stop"]:
-        return None
-    ratio = row.area / state["last"] if state["last"] else None
-    drift = row.area < 2 or (ratio is not None and not 0.25 <= ratio <= 4)
-    state["consec"] = state["consec"] + 1 if drift else 0
-    if not drift:
-        state["last"] = row.area
-    if state["consec"] >= 3:
-        state["stop"] = True
-        return None
-    return row.seed, row.event_id, bool(drift)
-
-
 @query("w10_drift_stop", f"WITH RECURSIVE {DRIFT} SELECT seed, event_id, drift FROM f WHERE NOT stop")
 def _(c):
     d = c.events.select(C("user_id").alias("seed"), "event_id", C("value").alias("area"))
-    return GR.ordered_fold(d, ["seed"], ["event_id"], drift_state, drift_step, "seed long, event_id long, drift boolean")
+    return CH.drift_stop(d, ["seed"], "event_id", "area", least=2, low=0.25, high=4, stop=3).select("seed", "event_id", "drift")
 
 
 @query("w11_frame_windows", """WITH k AS (SELECT *, row_number() OVER (PARTITION BY drive_id ORDER BY conf DESC, cand_id) AS r FROM candidates), w AS (SELECT drive_id, UNNEST(range(greatest(0,frame_id-4), frame_id+5)) AS frame_id FROM k WHERE r<=20) SELECT DISTINCT drive_id, CAST(frame_id AS BIGINT) AS frame_id FROM w""")
@@ -204,15 +177,8 @@ def _(c):
 @query("w15_byte_boundaries", """WITH RECURSIVE q AS (SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS r, event_id, CAST(round(value*100) AS BIGINT) AS b FROM events),
  f AS (SELECT user_id, r, event_id, CASE WHEN b>=20000 THEN 0 ELSE b END AS acc, b>=20000 AS cut FROM q WHERE r=1 UNION ALL SELECT q.user_id, q.r, q.event_id, CASE WHEN acc+b>=20000 THEN 0 ELSE acc+b END, acc+b>=20000 FROM f JOIN q ON q.user_id=f.user_id AND q.r=f.r+1) SELECT user_id AS drive_id, event_id FROM f WHERE cut""")
 def _(c):
-    def step(acc, row):
-        acc[0] += row.b
-        if acc[0] >= 20000:
-            acc[0] = 0
-            return row.drive_id, row.event_id
-        return None
-
     d = c.events.select(C("user_id").alias("drive_id"), "event_id", F.round(C("value") * 100).cast("long").alias("b"))
-    return GR.ordered_fold(d, ["drive_id"], ["event_id"], lambda: [0], step, "drive_id long, event_id long")
+    return CH.budget_cuts(d, ["drive_id"], "event_id", C("b"), 20000).select("drive_id", "event_id")
 
 
 @query("w16_tangents", f"""WITH {LINE}, d AS (SELECT drive_id, frame_id AS idx, coalesce(nx,x)-coalesce(px,x) dx, coalesce(ny,y)-coalesce(py,y) dy FROM vt) SELECT drive_id, idx, round(CASE WHEN dx=0 AND dy=0 THEN 1 ELSE dx/sqrt(dx*dx+dy*dy) END,6)+0.0 AS tx, round(CASE WHEN dx=0 AND dy=0 THEN 0 ELSE dy/sqrt(dx*dx+dy*dy) END,6)+0.0 AS ty FROM d""")
