@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfold.session import checkpoint
+from wayfold.session import checkpoint, checkpoint_observed
 
 
 def _cell(v: str | Column, size) -> Column:
@@ -112,6 +112,38 @@ def near_segments(points: DataFrame, segments: DataFrame, dist: float, by: Seque
     return j.withColumn("dist", d).filter(F.col("dist") <= dist)
 
 
+def nearest_segment(points: DataFrame, segments: DataFrame, by: Sequence[str], start: float) -> DataFrame:
+    """Points with ``dist``, the distance to the nearest segment (ax, ay, bx, by_) of their key, however far; keys without segments drop out.
+
+    Rings of doubling reach: only points that found nothing within one reach look farther, where nothing nearer is left
+    to meet. Segments are cut to the reach and dealt to cells along their way, so a long one never fills its box.
+    """
+    from wayfold.functions.geometry import segment_distance
+
+    by, key = list(by), F.struct(F.lit(0).alias("_0"), *by)
+    line = checkpoint(segments.select(key.alias("_k"), "ax", "ay", "bx", "by_").filter("ax is not null and ay is not null and bx is not null and by_ is not null"))
+    todo = points.withColumn("_k", key).join(line.select("_k").distinct(), "_k", "left_semi").withColumn("_id", F.struct("x", "y"))
+    spots = checkpoint(todo.select("_k", "_id", "x", "y").distinct())
+    left, reach, found = spots, float(start), None
+    while True:
+        pieces = F.greatest(F.ceil(F.hypot(F.col("bx") - F.col("ax"), F.col("by_") - F.col("ay")) / reach), F.lit(1)).cast("long")
+        at = lambda a, b, f: F.col(a) + (F.col(b) - F.col(a)) * f
+        cut = line.withColumn("_n", pieces).withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)))
+        mid = (F.col("_i") + 0.5) / F.col("_n")
+        # a piece is at most one reach long: what is within reach of it has its middle within 1.5 cells of twice the reach
+        cells = cut.select("_k", "ax", "ay", "bx", "by_", at("ax", "bx", mid).alias("mx"), at("ay", "by_", mid).alias("my"))
+        cells = around(cells, 2 * reach, "mx", "my").select("_k", "_gx", "_gy", "ax", "ay", "bx", "by_").distinct()
+        met = left.withColumn("_gx", _cell("x", 2 * reach)).withColumn("_gy", _cell("y", 2 * reach)).join(cells, ["_k", "_gx", "_gy"])
+        d = segment_distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
+        done = checkpoint(met.withColumn("dist", d).filter(F.col("dist") <= reach).groupBy("_k", "_id").agg(F.min("dist").alias("dist")))
+        found = done if found is None else found.unionByName(done)
+        left, seen = checkpoint_observed(left.join(done, ["_k", "_id"], "left_anti"), n=F.count(F.lit(1)))
+        if not seen["n"]:
+            break
+        reach *= 2
+    return todo.join(found, ["_k", "_id"]).drop("_k", "_id")
+
+
 def attach_pose(points: DataFrame, poses: DataFrame) -> DataFrame:
     """Points with their frame's pose (p_x .. p_yaw); rows without a pose drop out."""
     p = poses.select("drive_id", "frame_id", *[F.col(c).alias("p_" + c) for c in ("x", "y", "z", "roll", "pitch", "yaw")])

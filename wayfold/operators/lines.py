@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.operators import ordered as O
-from wayfold.operators.joins import _cell
+from wayfold.operators.joins import _cell, nearest_segment
 from wayfold.session import checkpoint, checkpoint_observed
 
 
@@ -118,6 +118,49 @@ def box_walls(boxes: DataFrame) -> DataFrame:
                                           side("maxx", "maxy", "minx", "maxy"), side("minx", "maxy", "minx", "miny"))).alias("w")).select("w.*")
 
 
+def wall_cuts(v: DataFrame, by: Sequence[str], idx: str, walls: DataFrame, cell: float) -> DataFrame:
+    """(by, idx, t): where segments cross wall segments (ax, ay, bx, by_), as a share of the segment; ends of segments are no cuts."""
+    seg = segments(v, by, idx).select(F.struct(*by, idx).alias("_s"), "x", "y", "n_x", "n_y")
+    span = lambda d, a, b, g: d.withColumn(g, F.explode(F.sequence(_cell(F.least(a, b), cell), _cell(F.greatest(a, b), cell))))
+    s = span(span(seg, F.col("x"), F.col("n_x"), "_gx"), F.col("y"), F.col("n_y"), "_gy")
+    w = span(span(walls, F.col("ax"), F.col("bx"), "_gx"), F.col("ay"), F.col("by_"), "_gy")
+    dx, dy, sx, sy = F.col("n_x") - F.col("x"), F.col("n_y") - F.col("y"), F.col("bx") - F.col("ax"), F.col("by_") - F.col("ay")
+    den = dx * sy - dy * sx
+    ox, oy = F.col("ax") - F.col("x"), F.col("ay") - F.col("y")
+    t, u = F.when(den != 0, (ox * sy - oy * sx) / den), F.when(den != 0, (ox * dy - oy * dx) / den)
+    hits = s.join(w, ["_gx", "_gy"]).select("_s", F.round(t, 9).alias("t"), u.alias("u")).filter((F.col("t") > 0) & (F.col("t") < 1) & F.col("u").between(0, 1))
+    return hits.select("_s", "t").distinct().select("_s.*", "t")
+
+
+def split(v: DataFrame, by: Sequence[str], idx: str, cuts: DataFrame) -> DataFrame:
+    """Vertices of the pieces that ``cuts`` (by, idx, t) leave of each line: (by, piece, idx, t, x, y, step).
+
+    A cut ends one piece and starts the next; pieces are numbered along the line by a running count in two levels.
+    ``step`` is the distance from the vertex before in the same piece (null at its start), so a line's steps add up to its length.
+    """
+    key = F.struct(F.lit(0).alias("_0"), *by)
+    corner = neighbours(v, by, idx, ["x", "y"]).select(key.alias("_k"), F.col(idx).alias("idx"), "x", "y", "n_x", "n_y")
+    marks = cuts.select(key.alias("_k"), F.col(idx).alias("idx"), F.col("t").cast("double").alias("t"))
+    along = lambda c: (F.col(c) + (F.col("n_" + c) - F.col(c)) * F.col("t")).alias(c)
+    inner = marks.join(corner, ["_k", "idx"]).select("_k", "idx", "t", along("x"), along("y"), F.lit(1).alias("cut"))
+    every = corner.select("_k", "idx", F.lit(0.0).alias("t"), "x", "y", F.lit(0).alias("cut")).unionByName(inner)
+    chunk = F.floor(F.col("idx") / O.CHUNK)
+    every = O.running_sum(every, ["_k"], ["idx", "t"], chunk, F.col("cut"), "piece")
+    # the vertex before, over chunk borders as well
+    here = F.struct("x", "y")
+    every = O.previous(every, ["_k"], ["idx", "t"], chunk, {"_p": here})
+    gone = F.hypot(F.col("x") - F.col("_p.x"), F.col("y") - F.col("_p.y"))
+    starts = F.filter(F.array(F.struct((F.col("piece") - F.col("cut")).alias("piece"), gone.alias("step")), F.when(F.col("cut") == 1, F.struct("piece", F.lit(None).cast("double").alias("step")))), lambda s: s.isNotNull())
+    return every.select("_k", "idx", "t", "x", "y", F.explode(starts).alias("_s")).select(*[F.col("_k")[c].alias(c) for c in by], "_s.piece", F.col("idx").alias(idx), "t", "x", "y", "_s.step")
+
+
+def separation(a: DataFrame, b: DataFrame, by: Sequence[str], idx: str, step: float) -> DataFrame:
+    """Mean distance of even samples of line ``a`` from line ``b`` of the same key, at any distance."""
+    pts = sample(a, by, idx, step)
+    seg = segments(b, by, idx).select(*by, F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("n_x").alias("bx"), F.col("n_y").alias("by_"))
+    return nearest_segment(pts, seg, by, step).groupBy(*by).agg(F.avg("dist").alias("separation"))
+
+
 def simplified(vertices: DataFrame, by: Sequence[str], order: str, tol: float) -> DataFrame:
     """Douglas-Peucker on whole lines of any length: the vertices (by, order, x, y) that stay.
 

@@ -78,6 +78,18 @@ def fill_forward(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk
     return d.join(ends, [*keys, "_chunk"]).select(*df.columns, *[F.coalesce(n, f"_b_{n}").alias(n) for n in names])
 
 
+def previous(df: DataFrame, keys: Sequence[str], order: Sequence[str], chunk: Column, values: Mapping[str, Column]) -> DataFrame:
+    """Add the values of the row before each row of its key (null for the first), in two levels; ``order`` tells all rows of a key apart, keys are not null."""
+    names, at = list(values), F.struct(*order)
+    d = df.withColumn("_chunk", chunk).select("*", *[v.alias(f"_v_{n}") for n, v in values.items()])
+    ends = d.groupBy(*keys, "_chunk").agg(*[F.max_by(f"_v_{n}", at).alias(f"_e_{n}") for n in names])
+    ends = ends.select(*keys, "_chunk", *[F.lag(f"_e_{n}").over(W.partitionBy(*keys).orderBy("_chunk")).alias(f"_b_{n}") for n in names])
+    inside = W.partitionBy(*keys, "_chunk").orderBy(*order)
+    first = F.row_number().over(inside) == 1
+    d = d.select(*d.columns, first.alias("_first"), *[F.lag(f"_v_{n}").over(inside).alias(f"_l_{n}") for n in names])
+    return d.join(ends, [*keys, "_chunk"]).select(*df.columns, *[F.when(F.col("_first"), F.col(f"_b_{n}")).otherwise(F.col(f"_l_{n}")).alias(n) for n in names])
+
+
 def with_halo(df: DataFrame, index: str, k: int, size: int = CHUNK) -> DataFrame:
     """Copy rows within ``k`` of a chunk border into the next chunk (``_chunk``).
 

@@ -320,6 +320,22 @@ def _(c):
     return cuts.groupBy(C("sid.drive_id").alias("drive_id")).agg(N().alias("cuts"), F.round(F.sum("t"), 5).alias("t_sum"))
 
 
+@query("g15_cut_lines", f"""WITH {LINE}, {WALLS}, h AS (SELECT drive_id, frame_id, s, ns, ((ax-x)*(by_-ay)-(ay-y)*(bx-ax))/nullif((nx-x)*(by_-ay)-(ny-y)*(bx-ax),0) AS t, ((ax-x)*(ny-y)-(ay-y)*(nx-x))/nullif((nx-x)*(by_-ay)-(ny-y)*(bx-ax),0) AS u FROM sg JOIN w ON nx IS NOT NULL AND least(x,nx)<=greatest(ax,bx) AND greatest(x,nx)>=least(ax,bx) AND least(y,ny)<=greatest(ay,by_) AND greatest(y,ny)>=least(ay,by_)),
+ k AS (SELECT DISTINCT drive_id, frame_id, round(t,9) AS t FROM h WHERE t>0 AND t<1 AND u BETWEEN 0 AND 1),
+ ev AS (SELECT drive_id, frame_id, 0.0::DOUBLE AS t, false AS cut FROM vt UNION ALL SELECT drive_id, frame_id, t, true FROM k),
+ nu AS (SELECT ev.*, count(*) FILTER (cut) OVER (PARTITION BY drive_id ORDER BY frame_id, t ROWS UNBOUNDED PRECEDING) AS c FROM ev),
+ pt AS (SELECT nu.drive_id, nu.frame_id, nu.t, cut, c, x+(coalesce(nx,x)-x)*t AS x, y+(coalesce(ny,y)-y)*t AS y FROM nu JOIN sg ON sg.drive_id=nu.drive_id AND sg.frame_id=nu.frame_id),
+ pc AS (SELECT drive_id, c AS piece, frame_id, t, x, y FROM pt UNION ALL SELECT drive_id, c-1, frame_id, t, x, y FROM pt WHERE cut),
+ ll AS (SELECT *, sqrt(pow(x-lag(x) OVER w,2)+pow(y-lag(y) OVER w,2)) AS d FROM pc WINDOW w AS (PARTITION BY drive_id, piece ORDER BY frame_id, t))
+ SELECT drive_id, piece, count(*) AS vertices, round(sum(d),4) AS length_m, round(arg_min(x, frame_id+t)+1.3e-7::DOUBLE,4) AS x0, round(arg_min(y, frame_id+t)+1.3e-7::DOUBLE,4) AS y0, round(arg_max(x, frame_id+t)+1.3e-7::DOUBLE,4) AS x1, round(arg_max(y, frame_id+t)+1.3e-7::DOUBLE,4) AS y1 FROM ll GROUP BY 1,2""")
+def _(c):
+    v = c.poses.select("drive_id", C("frame_id").alias("idx"), "x", "y")
+    p = L.split(v, ["drive_id"], "idx", L.wall_cuts(v, ["drive_id"], "idx", L.box_walls(c.priors), 32.0))
+    at = F.struct("idx", "t")
+    ends = lambda v, f, n: F.round(f(v, at) + 1.3e-7, 4).alias(n)
+    return p.groupBy("drive_id", "piece").agg(N().alias("vertices"), F.round(F.sum("step"), 4).alias("length_m"), ends("x", F.min_by, "x0"), ends("y", F.min_by, "y0"), ends("x", F.max_by, "x1"), ends("y", F.max_by, "y1"))
+
+
 DEG = "dg AS (SELECT n AS node_id, count(*) AS degree FROM (SELECT UNNEST([from_node, to_node]) AS n FROM edges) GROUP BY 1)"
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import geometry as E, records as R
 from wayfold.functions.stats import exact_percentiles, top_per_group
-from wayfold.operators import clusters as K, components as CC, gates as V, greedy as GR, grid as G, joins as J, lines as L, ordered as O, shapes as S
+from wayfold.operators import clusters as K, components as CC, gates as V, greedy as GR, grid as G, joins as J, junctions as JN, lines as L, ordered as O, shapes as S
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_a_aggregates import PLANE
 from wayfold.queries.q_e_geometry import CELLSET, INSIDE, LINE, SEGD, ringed, sample_sql
@@ -53,6 +53,31 @@ def _(c):
     return ln.join(r, "drive_id")
 
 
+@query("a33_dual_ratio_separation", f"""WITH {LINE}, mode AS (SELECT n_nationkey AS drive_id FROM nation WHERE n_regionkey<>0),
+ nb AS (SELECT *, sqrt(pow(x-px,2)+pow(y-py,2)) AS lp, sqrt(pow(nx-x,2)+pow(ny-y,2)) AS ln_ FROM vt),
+ nv AS (SELECT drive_id, frame_id, x, y, nx, px, CASE WHEN lp=0 THEN 0 ELSE -(y-py)/lp END AS ax, CASE WHEN lp=0 THEN 0 ELSE (x-px)/lp END AS ay, CASE WHEN ln_=0 THEN 0 ELSE -(ny-y)/ln_ END AS bx, CASE WHEN ln_=0 THEN 0 ELSE (nx-x)/ln_ END AS by_ FROM nb),
+ ov AS (SELECT drive_id, frame_id, x, y, CASE WHEN px IS NULL THEN bx WHEN nx IS NULL THEN ax WHEN sqrt(pow(ax+bx,2)+pow(ay+by_,2))<>0 THEN (ax+bx)/sqrt(pow(ax+bx,2)+pow(ay+by_,2)) ELSE bx END AS ux, CASE WHEN px IS NULL THEN by_ WHEN nx IS NULL THEN ay WHEN sqrt(pow(ax+bx,2)+pow(ay+by_,2))<>0 THEN (ay+by_)/sqrt(pow(ax+bx,2)+pow(ay+by_,2)) ELSE by_ END AS uy FROM nv WHERE px IS NOT NULL OR nx IS NOT NULL),
+ li AS (SELECT drive_id, frame_id, side, x+ux*side*3.5::DOUBLE AS x, y+uy*side*3.5::DOUBLE AS y FROM ov JOIN mode USING (drive_id), (SELECT UNNEST([1, -1]) AS side)),
+ ls AS (SELECT *, lead(x) OVER w AS nx, lead(y) OVER w AS ny FROM li WINDOW w AS (PARTITION BY drive_id, side ORDER BY frame_id)),
+ lc AS (SELECT *, sqrt(pow(nx-x,2)+pow(ny-y,2)) AS l, sum(coalesce(sqrt(pow(nx-x,2)+pow(ny-y,2)),0)) OVER (PARTITION BY drive_id, side ORDER BY frame_id) - coalesce(sqrt(pow(nx-x,2)+pow(ny-y,2)),0) AS s FROM ls),
+ tl AS (SELECT drive_id, side, sum(l) AS len FROM lc GROUP BY 1,2), nn AS (SELECT drive_id, len, CAST(greatest(2, ceil(len/25.0)+1) AS BIGINT) AS n FROM tl WHERE side=1),
+ ii AS (SELECT drive_id, n, len, UNNEST(range(n)) AS i FROM nn), sp AS (SELECT drive_id, i, arg_max(x+(nx-x)*least(1,(i*len/(n-1)-s)/l), s) AS x, arg_max(y+(ny-y)*least(1,(i*len/(n-1)-s)/l), s) AS y FROM ii JOIN lc USING (drive_id) WHERE side=1 AND l>0 AND s<=i*len/(n-1) GROUP BY 1,2),
+ dd AS (SELECT sp.drive_id, sp.i, min(sqrt(pow(sp.x-(r.x+least(greatest(((sp.x-r.x)*(r.nx-r.x)+(sp.y-r.y)*(r.ny-r.y))/(r.l*r.l),0),1)*(r.nx-r.x)),2)+pow(sp.y-(r.y+least(greatest(((sp.x-r.x)*(r.nx-r.x)+(sp.y-r.y)*(r.ny-r.y))/(r.l*r.l),0),1)*(r.ny-r.y)),2))) AS d FROM sp JOIN lc r ON r.drive_id=sp.drive_id AND r.side=-1 AND r.l>0 GROUP BY 1,2)
+ SELECT ln.drive_id, CASE WHEN m.drive_id IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS dual_ratio, round(sep,5) AS dual_sep_m, round(coalesce(two, ln.len),4) AS total_m FROM ln LEFT JOIN mode m ON m.drive_id=ln.drive_id LEFT JOIN (SELECT drive_id, avg(d) AS sep FROM dd GROUP BY 1) q ON q.drive_id=ln.drive_id LEFT JOIN (SELECT drive_id, sum(len) AS two FROM tl GROUP BY 1) t ON t.drive_id=ln.drive_id""")
+def _(c):
+    v = c.poses.select("drive_id", C("frame_id").alias("idx"), "x", "y")
+    split = c.nation.filter("n_regionkey <> 0").select(C("n_nationkey").cast("long").alias("drive_id"))
+    dual = v.join(split, "drive_id", "left_semi")
+    sides = {m: L.offset(dual, ["drive_id"], "idx", d) for m, d in (("dual_left", 3.5), ("dual_right", -3.5))}
+    lines = v.join(split, "drive_id", "left_anti").withColumn("lane_mode", F.lit("single"))
+    for m, side in sides.items():
+        lines = lines.unionByName(side.withColumn("lane_mode", F.lit(m)))
+    length = L.arc_length(lines, ["drive_id", "lane_mode"], "idx").groupBy("drive_id", "lane_mode").agg(F.max("s").alias("length_m"))
+    ratio = length.groupBy("drive_id").agg((F.sum(F.when(C("lane_mode") != "single", C("length_m")).otherwise(0.0)) / F.sum("length_m")).alias("dual_ratio"), F.round(F.sum("length_m"), 4).alias("total_m"))
+    sep = L.separation(sides["dual_left"], sides["dual_right"], ["drive_id"], "idx", 25.0)
+    return ratio.join(sep, "drive_id", "left").select("drive_id", "dual_ratio", F.round("separation", 5).alias("dual_sep_m"), "total_m")
+
+
 @query("x01_frame_gaps", """WITH f AS (SELECT DISTINCT drive_id, frame_id//3 AS f FROM trace), b AS (SELECT drive_id, min(f) lo, max(f) hi, count(*) n FROM f GROUP BY 1) SELECT drive_id, lo AS min_frame, hi AS max_frame, n AS frames, hi-lo+1-n AS missing, round((SELECT count(*) FROM trace t WHERE t.drive_id=b.drive_id)/CAST(n AS DOUBLE)*(hi-lo+1),6) AS estimated_total FROM b""")
 def _(c):
     f = c.trace.select("drive_id", F.expr("frame_id div 3").alias("f"))
@@ -420,6 +445,48 @@ def _(c):
                     R.first_reason([("good", k >= 3), ("weak", k >= 2)], "poor").alias("quality"))
 
 
+SHAPES = """sd AS (SELECT prior_id AS seed, (minx+maxx)/2 AS px, (miny+maxy)/2 AS py FROM priors),
+ road AS (SELECT ix, iy, (ix+0.5::DOUBLE)*4.0::DOUBLE AS x, (iy+0.5::DOUBLE)*4.0::DOUBLE AS y FROM (SELECT DISTINCT CAST(floor(x/4.0) AS BIGINT) ix, CAST(floor(y/4.0) AS BIGINT) iy FROM points WHERE z>=4.9 AND x>=100)),
+ sat AS (SELECT ix, iy, (ix+0.5::DOUBLE)*4.0::DOUBLE AS x, (iy+0.5::DOUBLE)*4.0::DOUBLE AS y FROM (SELECT DISTINCT CAST(floor(x/4.0) AS BIGINT) ix, CAST(floor(y/4.0) AS BIGINT) iy FROM points WHERE z<0.3 AND x<85)),
+ rd AS (SELECT seed, px, py, ix, iy, x, y, sqrt(pow(x-px,2)+pow(y-py,2)) AS d FROM sd, road WHERE sqrt(pow(x-px,2)+pow(y-py,2))<=30),
+ rr AS (SELECT seed, CASE WHEN min(d)<=9 THEN 9.0::DOUBLE WHEN min(d)<=14 THEN 14.0::DOUBLE ELSE 30.0::DOUBLE END AS radius FROM rd GROUP BY 1 HAVING min(d)<=20),
+ st AS (SELECT seed, ix, iy FROM sd, sat WHERE seed NOT IN (SELECT seed FROM rr) AND sqrt(pow(x-px,2)+pow(y-py,2))<=30),
+ gx AS (SELECT *, UNNEST(range(CAST(floor(px/4.0) AS BIGINT)-2, CAST(floor(px/4.0) AS BIGINT)+3)) AS ix FROM sd WHERE seed NOT IN (SELECT seed FROM rr) AND seed NOT IN (SELECT seed FROM st)),
+ ci AS (SELECT seed, ix, iy FROM (SELECT *, UNNEST(range(CAST(floor(py/4.0) AS BIGINT)-2, CAST(floor(py/4.0) AS BIGINT)+3)) AS iy FROM gx) WHERE sqrt(pow((ix+0.5)*4.0-px,2)+pow((iy+0.5)*4.0-py,2))<=5),
+ loc AS (SELECT rd.seed, ix, iy, 'road_polygon' AS src, CASE radius WHEN 9 THEN 0 WHEN 14 THEN 1 ELSE 2 END AS step, radius FROM rd JOIN rr USING (seed) WHERE d<=radius
+  UNION ALL SELECT seed, ix, iy, 'sat_fill', 2, 30.0::DOUBLE FROM st UNION ALL SELECT seed, ix, iy, 'seed_circle', 2, 5.0::DOUBLE FROM ci),
+ atx AS (SELECT rd.seed, ix, iy, d, rd.x AS cx, rd.y AS cy, rd.px, rd.py, g.x AS ax, g.y AS ay, nx-g.x AS dx, ny-g.y AS dy FROM rd JOIN sg g ON g.nx IS NOT NULL AND rd.d<=9),
+ ar AS (SELECT seed, ix, iy, d, CAST(floor((atan2(cy-py,cx-px)/(2*pi())+1)*8) AS BIGINT)%8 AS sector, min(sqrt(pow(cx-(ax+t*dx),2)+pow(cy-(ay+t*dy),2))) AS off
+  FROM (SELECT *, CASE WHEN dx*dx+dy*dy>0 THEN least(greatest(((cx-ax)*dx+(cy-ay)*dy)/(dx*dx+dy*dy),0),1) ELSE 0 END AS t FROM atx) GROUP BY ALL),
+ aw AS (SELECT * FROM ar WHERE off<=2.5),
+ ce AS (SELECT seed, ix, iy, bool_or(l) AS l, bool_or(c) AS c, bool_or(a) AS a, bool_or(w) AS w FROM (SELECT seed, ix, iy, true AS l, src<>'road_polygon' AS c, false AS a, false AS w FROM loc UNION ALL SELECT seed, ix, iy, false, true, false, false FROM rd JOIN rr USING (seed) WHERE d<=5.4
+  UNION ALL SELECT seed, ix, iy, false, false, off<=1, true FROM aw) GROUP BY 1,2,3),
+ cs AS (SELECT seed, count(*) FILTER (l) AS nl, count(*) FILTER (l AND (c OR a))/CAST(count(*) FILTER (l) AS DOUBLE) AS cp, count(*) FILTER (l AND (c OR w))/CAST(count(*) FILTER (l) AS DOUBLE) AS cw, bool_or(a) AS ha FROM ce GROUP BY 1),
+ na AS (SELECT seed, count(DISTINCT sector) AS arms FROM aw WHERE off<=1 AND d>=5.4 GROUP BY 1),
+ us AS (SELECT cs.*, coalesce(arms,0) AS arms, CASE WHEN cp<0.8 AND coalesce(arms,0)>=2 AND cw>=0.8 THEN 'wide' WHEN cp<0.8 THEN 'local' ELSE 'plain' END AS use FROM cs LEFT JOIN na USING (seed)),
+ sh AS (SELECT seed, ix, iy FROM ce JOIN us USING (seed) WHERE CASE use WHEN 'local' THEN l WHEN 'wide' THEN c OR w ELSE c OR a END)"""
+SHAPE_RULES = JN.ShapeRules(cap=9.0, retries=(14.0, 30.0), max_offset=20.0, sat_reach=30.0, circle=5.0, core=(2.0, 22.0), arm=1.0, arm_add=1.5, coverage=0.8, min_arms=2)
+
+
+def junction_shapes(c):
+    seeds = c.priors.select(C("prior_id").alias("seed"), ((C("minx") + C("maxx")) / 2).alias("sx"), ((C("miny") + C("maxy")) / 2).alias("sy"))
+    seg = L.segments(c.poses.select("drive_id", C("frame_id").alias("idx"), "x", "y"), ["drive_id"], "idx").select(C("x").alias("ax"), C("y").alias("ay"), C("n_x").alias("bx"), C("n_y").alias("by_"))
+    return JN.seed_shapes(seeds, G.with_cell(c.points.filter("z >= 4.9 and x >= 100"), 4.0), seg, G.with_cell(c.points.filter("z < 0.3 and x < 85"), 4.0), SHAPE_RULES)
+
+
+@query("x40_intersection_shape", f"""WITH {LINE}, {SHAPES} SELECT us.seed, any_value(src) AS src, CAST(any_value(step) AS INTEGER) AS retries, round(any_value(radius),6) AS radius, CAST(any_value(arms) AS INTEGER) AS arms,
+ CASE WHEN any_value(use)='wide' THEN 'coverage_retry' WHEN any_value(use)='local' THEN 'coverage_fallback_road_local' WHEN any_value(src)='sat_fill' THEN 'sat_fill_fallback' WHEN any_value(src)='seed_circle' THEN 'seed_circle_fallback' WHEN any_value(ha) THEN 'refined_arms' ELSE 'core_only' END AS reason,
+ round(CASE any_value(use) WHEN 'wide' THEN any_value(cw) WHEN 'local' THEN 1 ELSE any_value(cp) END,6) AS coverage, CASE WHEN any_value(src)='seed_circle' THEN 'very_low' WHEN any_value(use)='local' THEN 'low' ELSE 'ok' END AS quality,
+ any_value(n) AS cells, round(any_value(n)*16.0::DOUBLE,6) AS area_m2 FROM us JOIN loc USING (seed) JOIN (SELECT seed, count(*) AS n FROM sh GROUP BY 1) USING (seed) GROUP BY 1""")
+def _(c):
+    return junction_shapes(c)[1]
+
+
+@query("x40_shape_cells", f"WITH {LINE}, {SHAPES} SELECT * FROM sh")
+def _(c):
+    return junction_shapes(c)[0]
+
+
 SEEDQ = """sq AS (SELECT cand_id, CASE class WHEN '1-URGENT' THEN 'osm' WHEN '2-HIGH' THEN 'traj' WHEN '3-MEDIUM' THEN 'geom' ELSE 'sat' END AS src_seed, x, y, frame_id//4 AS tile, sqrt(rect_l*rect_w/pi()) AS radius FROM candidates),
  o AS (SELECT *, row_number() OVER (PARTITION BY tile ORDER BY CASE src_seed WHEN 'osm' THEN 0 WHEN 'traj' THEN 1 WHEN 'geom' THEN 2 ELSE 3 END, cand_id) AS r FROM sq),
  f AS (SELECT tile, r, cand_id, true AS keep, [{'x': x, 'y': y}] AS ks FROM o WHERE r=1 UNION ALL SELECT tile, r, cand_id, NOT hit, CASE WHEN hit THEN ks ELSE list_append(ks, {'x': x, 'y': y}) END FROM (SELECT o.*, ks, len(list_filter(ks, lambda k: sqrt(pow(k.x-o.x,2)+pow(k.y-o.y,2))<=25))>0 AS hit FROM f JOIN o ON o.tile=f.tile AND o.r=f.r+1))"""
