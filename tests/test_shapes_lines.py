@@ -6,7 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wayfold.operators import joins, junctions, lines, ordered
+from wayfold.functions import geometry as E
+from wayfold.operators import clusters, joins, junctions, lines, ordered
 
 C = F.col
 
@@ -91,3 +92,40 @@ def test_seed_shapes_against_plain_sets(spark):
     want = {i: shape_brute((x, y), road, segs, sat, r) for i, x, y in seeds}
     assert got == {i: s for i, (s, _) in want.items()} and {i: w.reason for i, w in why.items()} == {i: reason for i, (_, reason) in want.items()}
     assert len({w.reason for w in why.values()}) >= 5 and all(w.area_m2 == len(got[i]) * 4.0 for i, w in why.items())
+
+
+def merged(rows, radius):
+    """{(group, id): first id of its cluster}, by a walk over all open clusters."""
+    out, open_ = {}, {}
+    for g, i, x, y in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        for c in open_.setdefault(g, []):
+            if math.hypot(c[0] - x, c[1] - y) <= radius:
+                c[2] += 1
+                c[0], c[1] = (c[0] * (c[2] - 1) + x) / c[2], (c[1] * (c[2] - 1) + y) / c[2]
+                out[g, i] = c[3]
+                break
+        else:
+            open_[g].append([x, y, 1, i])
+            out[g, i] = i
+    return out
+
+
+def test_merge_instances_against_walk(spark):
+    rnd = random.Random(10)
+    rows = [(g, 1000 * k + i, rnd.uniform(0, 60), rnd.uniform(0, 60)) for k, g in enumerate(("a", "b")) for i in range(250)]
+    df = spark.createDataFrame(rows, "g string, id long, x double, y double")
+    got = {(r.g, r.id): r.cluster for r in clusters.merge_instances(df, "id", ["g"], "id", 6.0).collect()}
+    assert got == merged(rows, 6.0) and 20 < len(set(got.values())) < 200
+
+
+def test_many_open_centres_in_one_component(spark):
+    n, step = 100_000, 1.5
+    df = spark.range(n).select("id", F.lit("a").alias("g"), ((C("id") % 400) * step).alias("x"), (F.floor(C("id") / 400) * step).cast("double").alias("y"))
+    out = clusters.merge_instances(df, "id", ["g"], "id", 1.0)
+    assert out.where("cluster = id").count() == n
+
+
+def test_centroid_of_ring(spark):
+    ring = [{"x": x, "y": y} for x, y in [(2.0, 1.0), (6.0, 1.0), (6.0, 3.0), (2.0, 3.0), (2.0, 1.0)]]
+    df = spark.createDataFrame([(ring,), (ring[::-1],), ([ring[0], ring[1], ring[0]],)], "r array<struct<x double, y double>>")
+    assert [tuple(r.c) for r in df.select(E.centroid(C("r")).alias("c")).collect()] == [(4.0, 2.0), (4.0, 2.0), (None, None)]

@@ -45,6 +45,14 @@ def area(ring: Column) -> Column:
     return F.abs(signed_area(ring))
 
 
+def centroid(ring: Column) -> Column:
+    """Centre of gravity of a ring's area (null without area)."""
+    cross = lambda a, b: a["x"] * b["y"] - b["x"] * a["y"]
+    six = 6 * signed_area(ring)
+    at = lambda c: F.when(six != 0, total(pairs(ring, lambda a, b: (a[c] + b[c]) * cross(a, b))) / six)
+    return xy(at("x"), at("y"))
+
+
 def bbox(v: Column) -> Column:
     xs, ys = F.transform(v, lambda p: p["x"]), F.transform(v, lambda p: p["y"])
     return F.struct(F.array_min(xs).alias("minx"), F.array_min(ys).alias("miny"), F.array_max(xs).alias("maxx"), F.array_max(ys).alias("maxy"))

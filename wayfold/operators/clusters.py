@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wayfold.functions import geometry as E
+from wayfold.functions.stats import top_per_group
 from wayfold.operators import components as CC, greedy as GR
 from wayfold.operators.audits import distinct_steps
 from wayfold.operators.joins import within
+from wayfold.operators.rowruns import group_key
+from wayfold.operators.shapes import hull_of
 from wayfold.session import checkpoint
 
 
@@ -50,35 +55,120 @@ def predicate_components(df: DataFrame, key: str, by: Sequence[str], reach: floa
     return lab.join(top, "label", "left").withColumn("label", F.coalesce("_top", "label")).drop("_top", "_cx", "_cy")
 
 
+class _Centre:
+    __slots__ = ("x", "y", "name", "rank", "n")
+
+    def __init__(self, x, y, name, rank):
+        self.x, self.y, self.name, self.rank, self.n = x, y, name, rank, 1
+
+
+class _Centres:
+    """Open centres by cell: a row looks at the nine cells around its own, however many centres are open."""
+
+    def __init__(self, size: float):
+        self.size, self.cells, self.opened = size, {}, 0
+
+    def _cell(self, x: float, y: float) -> tuple[int, int]:
+        return math.floor(x / self.size), math.floor(y / self.size)
+
+    def around(self, x: float, y: float):
+        """(distance, centre) of the centres in the nine cells; none farther than ``size`` can be left out by mistake."""
+        cx, cy = self._cell(x, y)
+        for a in (cx - 1, cx, cx + 1):
+            for b in (cy - 1, cy, cy + 1):
+                for c in self.cells.get((a, b), ()):
+                    yield math.hypot(c.x - x, c.y - y), c
+
+    def nearest(self, x: float, y: float):
+        return min(self.around(x, y), key=lambda p: (p[0], p[1].rank), default=None)
+
+    def first(self, x: float, y: float):
+        """The centre opened first of those within ``size``."""
+        return min((c for d, c in self.around(x, y) if d <= self.size), key=lambda c: c.rank, default=None)
+
+    def open(self, x: float, y: float, name) -> None:
+        self.cells.setdefault(self._cell(x, y), []).append(_Centre(x, y, name, self.opened))
+        self.opened += 1
+
+    def move(self, c: _Centre, x: float, y: float) -> None:
+        was, now = self._cell(c.x, c.y), self._cell(x, y)
+        c.x, c.y = x, y
+        if was != now:
+            self.cells[was].remove(c)
+            self.cells.setdefault(now, []).append(c)
+
+
+def merge_instances(df: DataFrame, key: str, by: Sequence[str], order: str, radius: float) -> DataFrame:
+    """``df`` with ``cluster``: rows in the order of ``order`` join the first open cluster of their group whose mean lies within ``radius``, else open one.
+
+    A cluster's mean is within the radius of its latest member, so rows that are not linked at 2 * radius never meet: the
+    fold runs per linked component. ``cluster`` is the key of the row that opened it.
+    """
+    # groups with null parts are groups like any other
+    base = df.select(group_key(by).alias("g"), F.col(order).alias("o"), F.col(key).alias("k"), F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    lab = CC.centroid_clusters(base, "k", 2 * radius, ["g"])
+
+    def step(centres, row):
+        c = centres.first(row.x, row.y)
+        if c is None:
+            centres.open(row.x, row.y, row.k)
+            return row.k, row.k
+        c.n += 1
+        centres.move(c, (c.x * (c.n - 1) + row.x) / c.n, (c.y * (c.n - 1) + row.y) / c.n)
+        return row.k, c.name
+
+    t = lab.schema["k"].dataType.simpleString()
+    src = lab.select(F.xxhash64("g", "label").alias("part"), F.to_json("g").alias("g"), F.to_json(F.struct("label")).alias("label"), "o", "k", "x", "y")
+    out = GR.ordered_fold(src, ["part", "g", "label"], ["o", "k"], lambda: _Centres(radius), step, f"k {t}, cluster {t}")
+    return df.join(out.withColumnRenamed("k", key), key)
+
+
+def dense_cell_instances(points: DataFrame, by: Sequence[str], frame: str, size: float, min_points: int, labels: int, min_area: float) -> DataFrame:
+    """One instance per label and frame: the k-th densest cell of a frame's points is label k (ties: the lower cell).
+
+    Gives (by, frame, label, points, hull, area_m2, x, y), the hull's centroid; hulls under ``min_area`` drop out.
+    """
+    k = [*by, frame]
+    p = points.select(*k, "x", "y", F.floor(F.col("x") / size).cast("long").alias("gx"), F.floor(F.col("y") / size).cast("long").alias("gy"))
+    cells = p.groupBy(*k, "gx", "gy").agg(F.count(F.lit(1)).alias("points")).filter(F.col("points") >= min_points)
+    top = top_per_group(cells, k, [F.desc("points"), F.col("gx"), F.col("gy")], labels).select(*k, "gx", "gy", "points", F.col("rank").alias("label"))
+    hulls = hull_of(p.join(top, [*k, "gx", "gy"]).select(*k, "label", "x", "y"), [*k, "label"])
+    out = top.join(hulls, [*k, "label"]).withColumn("area_m2", E.area(F.col("hull"))).filter(F.col("area_m2") >= min_area)
+    return out.withColumn("_c", E.centroid(F.col("hull"))).select(*k, "label", "points", "hull", "area_m2", F.col("_c.x").alias("x"), F.col("_c.y").alias("y"))
+
+
+def merged_instances(instances: DataFrame, by: Sequence[str], frame: str, radius: float, min_frames: int) -> DataFrame:
+    """Instances of one label merged over frames by ``radius``; clusters seen in fewer than ``min_frames`` frames drop out."""
+    group = [*by, "label"]
+    one = instances.withColumn("_id", F.to_json(F.struct(*group, frame)))
+    c = merge_instances(one.select(*group, frame, "_id", "x", "y"), "_id", group, frame, radius).select("_id", "cluster")
+    j = one.join(c, "_id").groupBy(*group, "cluster")
+    return j.agg(F.min(frame).alias("first_frame"), F.count_distinct(frame).alias("frames_hit"), F.sum("points").alias("points"), F.avg("x").alias("x"), F.avg("y").alias("y"), F.sum("area_m2").alias("area_m2")).filter(F.col("frames_hit") >= min_frames).drop("cluster")
+
+
 def running_centroids(df: DataFrame, key: str, by: Sequence[str], order: str, tol: str, max_tol: float) -> DataFrame:
     """Greedy clusters with a moving centre, in the order of ``order``.
 
     A row joins the nearest centre within its ``tol`` and pulls it half way, else it opens a centre
     of its own. A centre is never further than tol/2 from its latest member, so rows of different
     single-linkage components at 2 * max_tol cannot meet: the fold runs per component, streamed
-    from a sorted shuffle, and keeps the open centres as its only state.
+    from a sorted shuffle, and keeps the open centres as its only state, by cells of ``max_tol``.
     """
     by = list(by)
     lab = CC.centroid_clusters(df, key, 2 * max_tol, by).select(*by, "label", F.col(order).alias("_o"), F.col(key).alias("_key"), "x", "y", F.col(tol).alias("_tol"))
-    from math import hypot
-
     def step(centres, row):
-        x, y, t = row.x, row.y, row.t
-        best, gap = None, None
-        for c in centres:
-            d = hypot(c[0] - x, c[1] - y)
-            if gap is None or d < gap:
-                best, gap = c, d
-        if best is not None and gap <= t:
-            best[0], best[1] = (best[0] + x) / 2, (best[1] + y) / 2
-            return row.k, best[2], gap
-        centres.append([x, y, row.k])
+        near = centres.nearest(row.x, row.y)
+        if near is not None and near[0] <= row.t:
+            gap, c = near
+            centres.move(c, (c.x + row.x) / 2, (c.y + row.y) / 2)
+            return row.k, c.name, gap
+        centres.open(row.x, row.y, row.k)
         return row.k, row.k, 0.0
 
     part = [f"g{i}" for i in range(len(by))]
     src = lab.select(*[F.col(b).alias(p) for b, p in zip(by, part)], "label", F.col("_o").alias("o"), F.col("_key").alias("k"), "x", "y", F.col("_tol").alias("t"))
     t = src.schema["k"].dataType.simpleString()
-    out = GR.ordered_fold(src, [*part, "label"], ["o", "k"], list, step, f"k {t}, centre {t}, snap double")
+    out = GR.ordered_fold(src, [*part, "label"], ["o", "k"], lambda: _Centres(max_tol), step, f"k {t}, centre {t}, snap double")
     return df.join(out.withColumnRenamed("k", key), key)
 
 

@@ -362,6 +362,32 @@ def _(c):
     return top_per_group(g, ["drive_id", "frame_id"], [F.desc("n"), C("gx"), C("gy")], 3).filter("a >= 1").select("drive_id", "frame_id", "rank", "n", "x", "y")
 
 
+INSTANCES = """c AS (SELECT drive_id, frame_id//5 AS frame_id, CAST(floor(x/100.0) AS BIGINT) gx, CAST(floor(y/100.0) AS BIGINT) gy, x, y FROM points WHERE z BETWEEN 0.3 AND 4.5), r AS (SELECT *, row_number() OVER (PARTITION BY drive_id, frame_id ORDER BY n DESC, gx, gy) AS label FROM (SELECT drive_id, frame_id, gx, gy, count(*) AS n FROM c GROUP BY ALL HAVING count(*)>=3)),
+ pt AS (SELECT DISTINCT drive_id, frame_id, label, n, x, y FROM c JOIN r USING (drive_id, frame_id, gx, gy) WHERE label<=3),
+ he AS (SELECT a.drive_id, a.frame_id, a.label, a.n, a.x AS ax, a.y AS ay, b.x AS bx, b.y AS by_ FROM pt a JOIN pt b ON a.drive_id=b.drive_id AND a.frame_id=b.frame_id AND a.label=b.label AND (a.x<>b.x OR a.y<>b.y) WHERE NOT EXISTS (SELECT 1 FROM pt p WHERE p.drive_id=a.drive_id AND p.frame_id=a.frame_id AND p.label=a.label AND ((b.x-a.x)*(p.y-a.y)-(b.y-a.y)*(p.x-a.x)<0 OR ((b.x-a.x)*(p.y-a.y)-(b.y-a.y)*(p.x-a.x)=0 AND ((p.x-a.x)*(p.x-b.x)+(p.y-a.y)*(p.y-b.y))>0)))),
+ hu AS (SELECT drive_id, frame_id, label, n, sum(ax*by_-bx*ay)/2 AS area, sum((ax+bx)*(ax*by_-bx*ay))/(3*sum(ax*by_-bx*ay)) AS x, sum((ay+by_)*(ax*by_-bx*ay))/(3*sum(ax*by_-bx*ay)) AS y FROM he GROUP BY 1,2,3,4 HAVING sum(ax*by_-bx*ay)/2>=1)"""
+
+
+def instances(c):
+    p = c.points.filter(C("z").between(0.3, 4.5)).withColumn("frame_id", F.expr("frame_id div 5"))
+    return K.dense_cell_instances(p, ["drive_id"], "frame_id", 100.0, 3, 3, 1.0)
+
+
+@query("x31_frame_instances", f"WITH {INSTANCES} SELECT drive_id, frame_id, CAST(label AS INTEGER) AS label, n AS points, round(area,6) AS area_m2, round(x,5) AS x, round(y,5) AS y FROM hu")
+def _(c):
+    return instances(c).select("drive_id", "frame_id", "label", "points", "area_m2", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"))
+
+
+@query("x31_merged_instances", f"""WITH RECURSIVE {INSTANCES}, o AS (SELECT *, row_number() OVER (PARTITION BY drive_id, label ORDER BY frame_id) AS r FROM hu),
+ f AS (SELECT drive_id, label, r, frame_id, frame_id AS first_frame, [{{'k': frame_id, 'x': x, 'y': y, 'n': 1}}] AS cs FROM o WHERE r=1
+  UNION ALL SELECT drive_id, label, r, frame_id, coalesce(h, frame_id), CASE WHEN h IS NULL THEN list_append(cs, {{'k': frame_id, 'x': x, 'y': y, 'n': 1}}) ELSE list_transform(cs, lambda k: CASE WHEN k.k=h THEN {{'k': k.k, 'x': (k.x*k.n+x)/(k.n+1), 'y': (k.y*k.n+y)/(k.n+1), 'n': k.n+1}} ELSE k END) END
+  FROM (SELECT o.*, f.cs, list_filter(f.cs, lambda k: sqrt(pow(k.x-o.x,2)+pow(k.y-o.y,2))<=18)[1].k AS h FROM f JOIN o ON o.drive_id=f.drive_id AND o.label=f.label AND o.r=f.r+1))
+ SELECT drive_id, CAST(label AS INTEGER) AS label, first_frame, count(DISTINCT frame_id) AS frames_hit, CAST(sum(n) AS BIGINT) AS points, round(avg(x),5) AS x, round(avg(y),5) AS y, round(sum(area),4) AS area_m2 FROM f JOIN hu USING (drive_id, label, frame_id) GROUP BY 1,2,3 HAVING count(DISTINCT frame_id)>=3""")
+def _(c):
+    m = K.merged_instances(instances(c), ["drive_id"], "frame_id", 18.0, 3)
+    return m.select("drive_id", "label", "first_frame", "frames_hit", "points", F.round("x", 5).alias("x"), F.round("y", 5).alias("y"), F.round("area_m2", 4).alias("area_m2"))
+
+
 @query("x32_pixel_road_mask", f"""WITH RECURSIVE px AS (SELECT l_suppkey%8 AS drive_id, CAST(floor(l_partkey*0.25::DOUBLE/10.0) AS BIGINT) AS ix, CAST(floor((l_orderkey%997)*0.25::DOUBLE/10.0) AS BIGINT) AS iy, avg(l_discount) AS s, avg(l_tax) AS v FROM lineitem GROUP BY 1,2,3), mk AS (SELECT drive_id, ix, iy FROM px WHERE s<=0.0613 AND v BETWEEN 0.0213 AND 0.0613), o AS (SELECT UNNEST(range(-1,2)) AS d), dl AS (SELECT DISTINCT drive_id, ix+a.d AS ix, iy+b.d AS iy FROM mk, o a, o b), cl AS (SELECT b.drive_id, b.ix, b.iy {near('dl', 'b.drive_id, b.ix, b.iy', 1)} HAVING count(*)=9),
  {cc_sql('cl')}, z AS (SELECT drive_id, label, count(*) AS n FROM msk JOIN cc USING (id) GROUP BY 1,2) SELECT drive_id, count(*) AS parts, CAST(sum(n) AS BIGINT) AS cells FROM z WHERE n>=4 GROUP BY 1""")
 def _(c):
