@@ -12,7 +12,9 @@ from wayfold.plans.registry import provider
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_p_scalars import MAT
 from wayfold.queries.q_r_grid import MASK, RAST
-from wayfold.sources import scans as S, sinks
+from wayfold.operators import graph
+from wayfold.queries.q_g_clusters import BND, cut_parts
+from wayfold.sources import files as FL, scans as S, sinks
 from wayfold.session import ensure_checkpoint_dir
 from wayfold.streaming import streams as ST
 
@@ -57,6 +59,102 @@ def _(c):
     return S.parse_calibration(lines, "value")
 
 
+def shared_folder(c):
+    """A new folder where driver and executors both look."""
+    ensure_checkpoint_dir(c.spark)
+    return f"{c.spark.sparkContext.getCheckpointDir().rstrip('/')}/files-{uuid.uuid4().hex}"
+
+
+def filed(c, df, content, frames=True):
+    """Write ``content`` of each drive and frame (0-based numbers) to files named by them; returns the folder."""
+    folder = shared_folder(c)
+    drive = F.concat(F.lit("2013_05_28_drive_"), F.lpad(C("d").cast("string"), 4, "0"), F.lit("_sync")).alias("drive")
+    keys = [drive] + ([F.lpad(C("f").cast("string"), 10, "0").alias("frame")] if frames else [])
+    out = df.select(*keys, content.alias("value"))
+    names = ["drive", "frame"] if frames else ["drive"]
+    out.repartition(*names).write.partitionBy(*names).text(folder)
+    return folder
+
+
+DRIVES = ("2013_05_28_drive_0001_sync", "2013_05_28_drive_0003_sync")
+EV = "ev AS (SELECT event_id, user_id, value, user_id%5 AS d, event_id//400 AS f FROM events), sel AS (SELECT *, '2013_05_28_drive_' || lpad(CAST(d AS VARCHAR),4,'0') || '_sync' AS drive_id FROM ev WHERE d IN (1,3))"
+
+
+def drive_events(c):
+    return c.events.select("event_id", "user_id", "value", (C("user_id") % 5).alias("d"), F.expr("event_id div 400").alias("f"))
+
+
+@query("s01_sweep_files", "WITH sw AS (SELECT '2013_05_28_drive_' || lpad(CAST(drive_id%5 AS VARCHAR),4,'0') || '_sync' AS drive_id, frame_id//16 AS frame_id, x, z FROM sweeps WHERE drive_id%5 IN (1,3) AND frame_id//16 BETWEEN 1 AND 3) SELECT drive_id, frame_id, count(*) AS n, round(sum(CAST(x AS FLOAT)::DOUBLE),4) AS sx, round(sum(CAST(z AS FLOAT)::DOUBLE),4) AS sz FROM sw GROUP BY 1,2")
+def _(c):
+    @F.pandas_udf(T.StringType())
+    def pack(v: pd.Series) -> pd.Series:  # bytes as text of one byte per character, so that Spark can write any file
+        return v.map(lambda a: np.asarray(a, dtype="<f4").tobytes().hex() + "000102")  # a cut record at the end
+
+    g = c.sweeps.groupBy((C("drive_id") % 5).alias("d"), F.expr("frame_id div 16").alias("f")).agg(F.flatten(F.collect_list(F.array("x", "y", "z", "intensity"))).alias("v"))
+    folder = filed(c, g, pack("v"))
+    hexed = FL.survey_files(c.spark, "text", folder, "*.txt", DRIVES, (1, 3)).select("drive_id", "frame_id", F.unhex("value").alias("content"))
+    d = S.decode_sweeps(hexed, ["drive_id", "frame_id"])
+    return d.groupBy("drive_id", "frame_id").agg(N().alias("n"), F.round(F.sum("x"), 4).alias("sx"), F.round(F.sum("z"), 4).alias("sz"))
+
+
+@query("s02_pose_files", f"WITH {EV} SELECT drive_id, f AS frame_id, count(*) AS n, round(sum(48+value/1000),6) AS lat, round(sum(value),6) AS alt, CAST(sum(user_id) AS DOUBLE) AS yaw FROM sel WHERE event_id%5<>0 AND event_id%7<>0 AND f BETWEEN 3 AND 17 GROUP BY 1,2")
+def _(c):
+    i = C("event_id")
+    full = F.concat_ws("  ", (48 + C("value") / 1000).cast("string"), F.lit("8.0"), C("value").cast("string"), F.lit("0.1 0.2"), C("user_id").cast("string"), F.lit("99"))
+    line = F.when(i % 5 == 0, "1.0 2.0").when(i % 7 == 0, "48.0 8.0 x 0 0 0").otherwise(full)
+    p = FL.read_poses(c.spark, filed(c, drive_events(c), line), DRIVES, (3, 17))
+    return p.groupBy("drive_id", "frame_id").agg(N().alias("n"), F.sum("lat").alias("lat"), F.sum("alt").alias("alt"), F.sum("yaw").alias("yaw"))
+
+
+@query("s03_pose_matrix_files", f"WITH {EV} SELECT drive_id, event_id AS frame_id, CAST(user_id AS DOUBLE) AS m0, value AS m3 FROM sel WHERE event_id%4<>3 AND event_id BETWEEN 100 AND 5000")
+def _(c):
+    i = C("event_id").cast("string")
+    row = F.concat_ws(" ", C("user_id").cast("string"), F.lit("0 0"), C("value").cast("string"), F.lit("0 1 0 5 0 0 1 6"))
+    line = F.when(C("event_id") % 4 == 3, F.concat_ws(" ", i, F.lit("1 2 3"))).when(C("event_id") % 2 == 0, F.concat_ws(" ", i, row, F.lit("0 0 0 1"))).otherwise(F.concat_ws(" ", i, row))
+    m = FL.read_pose_matrices(c.spark, filed(c, drive_events(c), line, frames=False), DRIVES, (100, 5000))
+    return m.select("drive_id", "frame_id", F.get("m", 0).alias("m0"), F.get("m", 3).alias("m3"))
+
+
+@query("s04_calibration_files", """SELECT '2013_05_28_drive_' || lpad(CAST(s_nationkey AS VARCHAR),4,'0') || '_sync' AS drive_id, CASE WHEN s_suppkey%2=0 THEN 'P_rect_' ELSE 'R_rect_' END || CAST(s_suppkey AS VARCHAR) AS name, CASE WHEN s_suppkey%2=0 THEN 4 ELSE 3 END AS cols, s_acctbal AS v0, CAST(s_nationkey AS DOUBLE) AS v8 FROM supplier WHERE s_suppkey%9<>0""")
+def _(c):
+    n = C("s_suppkey")
+    tail = F.when(n % 2 == 0, " 9 10 11").otherwise("")
+    nums = F.concat(C("s_acctbal").cast("string"), F.lit(" 1 2 3 4 5 6 7 "), C("s_nationkey").cast("string"), F.when(n % 9 == 0, F.lit(" oops")).otherwise(tail))
+    name = F.concat(F.when(n % 2 == 0, "P_rect_").otherwise("R_rect_"), n.cast("string"))
+    lines = c.supplier.select(C("s_nationkey").alias("d"), F.explode(F.array(F.concat(name, F.lit(": "), nums), F.lit("calib_time 09-Jan"), F.concat(F.lit("K_"), n.cast("string"), F.lit(": 1 2")))).alias("t"))
+    k = FL.read_calibration(c.spark, filed(c, lines, C("t"), frames=False))
+    return k.select("drive_id", "name", "cols", F.get("values", 0).alias("v0"), F.get("values", 8).alias("v8"))
+
+
+@query("s09_layer_files", "SELECT '2013_05_28_drive_' || lpad(CAST(drive_id AS VARCHAR),4,'0') || '_sync' AS drive_id, frame_id//300 AS frame_id, CASE WHEN cand_id%6=0 THEN 'unknown' ELSE class END AS class, count(*) AS n, round(sum(conf),6) AS conf, round(max(x),6) AS max_x FROM candidates WHERE drive_id IN (1,3) GROUP BY 1,2,3")
+def _(c):
+    props = F.map_filter(F.create_map(F.lit("class"), F.when(C("cand_id") % 6 != 0, C("class")), F.lit("conf"), C("conf").cast("string")), lambda k, v: v.isNotNull())
+    geo = F.struct(F.lit("LineString").alias("type"), F.array(F.array(C("x") - 1, C("y")), F.array(C("x"), C("y"))).alias("coordinates"))
+    docs = c.candidates.groupBy(C("drive_id").alias("d"), F.expr("frame_id div 300").alias("f")).agg(F.to_json(F.struct(F.collect_list(F.struct(props.alias("properties"), geo.alias("geometry"))).alias("features"))).alias("doc"))
+    f = FL.read_layers(c.spark, filed(c, docs, C("doc")), DRIVES, glob=None)
+    return f.groupBy("drive_id", "frame_id", "class").agg(N().alias("n"), F.sum("conf").alias("conf"), F.max(F.get("geom", 1)["x"]).alias("max_x"))
+
+
+@query("s09_detection_files", "SELECT frame_id//50 AS frame_id, class, count(*) AS n, round(sum(score),6) AS score, round(max(x1),6) AS max_x FROM detections GROUP BY 1,2")
+def _(c):
+    d = c.detections.withColumn("f", F.expr("frame_id div 50"))
+    box = F.struct(C("class"), C("score"), F.array("x0", "y0", "x1", "y1").alias("bbox"))
+    docs = d.groupBy(F.lit(0).alias("d"), "f").agg(F.collect_list(box).alias("b")).select("d", "f", F.when(C("f") % 2 == 0, F.to_json("b")).otherwise(F.to_json(F.struct(C("b").alias("detections")))).alias("t"))
+    r = FL.read_detections(c.spark, filed(c, docs, C("t")), glob=None)
+    return r.groupBy("frame_id", "class").agg(N().alias("n"), F.sum("score").alias("score"), F.max("maxx").alias("max_x"))
+
+
+@query("s10_json_line_files", "SELECT event_id%10 AS part, count(*) AS n, count(*) FILTER (event_id%11=0) AS bad, CAST(sum(CASE WHEN event_id%11<>0 THEN CAST(json_extract_string(props,'$.k') AS BIGINT) END) AS BIGINT) AS k FROM events GROUP BY 1")
+def _(c):
+    # a cut line still names its part behind the break, so that the twin can count it
+    line = F.when(C("event_id") % 11 == 0, F.concat(F.lit('{"k": '), (C("event_id") % 10).cast("string"), F.lit(', "p'))).otherwise(F.concat(F.expr("substring(props, 1, length(props) - 1)"), F.lit(', "p": '), (C("event_id") % 10).cast("string"), F.lit("}")))
+    folder = shared_folder(c)
+    c.events.select(line.alias("value")).write.text(folder)
+    r = S.parse_jsonl(c.spark.read.text(folder).withColumn("raw", C("value")), "value", "k long, p long")
+    part = F.when(C("bad"), F.regexp_extract("raw", r"(\d+), \"p$", 1).cast("long")).otherwise(C("p"))
+    return r.groupBy(part.alias("part")).agg(N().alias("n"), F.count_if("bad").alias("bad"), F.sum(F.when(~C("bad"), C("k"))).alias("k"))
+
+
 IDX = """l AS (SELECT DISTINCT user_id AS d, event_id//3 AS f FROM events WHERE event_type<>'error'), im AS (SELECT DISTINCT user_id AS d, event_id//3 AS f FROM events WHERE event_type IN ('click','view')), ps AS (SELECT DISTINCT user_id AS d, event_id//3 AS f FROM events WHERE value>150),
  ix AS (SELECT l.d AS drive_id, count(*) AS lidar_count, count(im.d) AS img_any_match, count(ps.d) AS pose_match FROM l LEFT JOIN im ON im.d=l.d AND im.f=l.f LEFT JOIN ps ON ps.d=l.d AND ps.f=l.f GROUP BY 1)"""
 
@@ -124,6 +222,38 @@ def _(c):
     return p.groupBy("drive_id", "part").agg(N().alias("points"), F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame"))
 
 
+@query("s14_sized_parts_written", """WITH f AS (SELECT drive_id, frame_id, count(*)*16 AS b FROM points GROUP BY 1,2), u AS (SELECT *, sum(b) OVER (PARTITION BY drive_id ORDER BY frame_id) - b AS before FROM f)
+ SELECT drive_id, CAST(before//20000 AS BIGINT) AS part, CAST(sum(b)//16 AS BIGINT) AS points, min(frame_id) AS first_frame, max(frame_id) AS last_frame FROM u GROUP BY 1,2""")
+def _(c):
+    folder = shared_folder(c)
+    sinks.write_committed(sinks.sized_parts(c.points, ["drive_id"], "frame_id", 20000), folder, ["drive_id", "part"])
+    r = sinks.read_committed(c.spark, folder)
+    return r.groupBy(C("drive_id").cast("long").alias("drive_id"), C("part").cast("long").alias("part")).agg(N().alias("points"), F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame"))
+
+
+@query("s14_spatial_parts_written", f"""WITH {BND}, lost AS (SELECT drive_id, -1 AS part, count(*) AS n FROM points WHERE drive_id NOT IN (SELECT drive_id FROM sl) GROUP BY 1), a AS (SELECT drive_id, part, count(*) AS n FROM p0 GROUP BY 1,2 UNION ALL SELECT * FROM lost)
+ SELECT drive_id, CAST(part AS INTEGER) AS part, n, CAST(sum(n) OVER () AS BIGINT) AS total FROM a""")
+def _(c):
+    folder = shared_folder(c)
+    parts = cut_parts(c).select("drive_id", "x", "y", "part")
+    total = sinks.write_committed(parts, folder, ["drive_id", "part"])
+    r = sinks.read_committed(c.spark, folder)
+    return r.groupBy(C("drive_id").cast("long").alias("drive_id"), C("part").cast("int").alias("part")).agg(N().alias("n")).withColumn("total", F.lit(total).cast("long"))
+
+
+@query("s15_report_files", "SELECT 'issues' AS kind, CAST(count(*) AS BIGINT) AS n, CAST(sum(edge_id) AS BIGINT) AS ids FROM edges WHERE length_m<9.0 UNION ALL SELECT 'trace', count(*), CAST(sum(frame_id) AS BIGINT) FROM trace")
+def _(c):
+    folder = shared_folder(c)
+    removed = c.edges.filter("length_m < 9.0")
+    issues, _actions = graph.removal_records(removed, 9.0)
+    sinks.write_jsonl(issues, f"{folder}/issues")
+    sinks.write_trace(c.trace.select("frame_id", "drive_id", "reject_reasons"), f"{folder}/trace")
+    i = S.read_jsonl(c.spark, f"{folder}/issues", "issue_id string, involved_edges array<long>").filter("not bad")
+    t = c.spark.read.option("header", "true").schema("frame_id long, drive_id long, reject_reasons string").csv(f"{folder}/trace")
+    one = lambda d, name, v: d.agg(N().alias("n"), F.sum(v).alias("ids")).select(F.lit(name).alias("kind"), "n", "ids")
+    return one(i, "issues", F.get("involved_edges", 0)).unionByName(one(t, "trace", C("frame_id")))
+
+
 @query("s16_fingerprints", "SELECT doc_id, sha256(text) AS sha256, CAST(octet_length(encode(text)) AS INTEGER) AS bytes FROM documents")
 def _(c):
     return S.fingerprints(c.documents, "doc_id", "text", 64).select("doc_id", "sha256", "bytes")

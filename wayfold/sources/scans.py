@@ -61,7 +61,7 @@ def parse_pose_matrices(lines: DataFrame, text: str) -> DataFrame:
 def parse_calibration(lines: DataFrame, text: str) -> DataFrame:
     """``NAME: n1 n2 ...`` lines to (name, values)."""
     p = F.split(F.col(text), ":", 2)
-    return lines.filter(F.col(text).contains(":")).select(F.trim(F.get(p, 0)).alias("name"), numbers(F.get(p, 1)).alias("values"))
+    return lines.filter(F.col(text).contains(":")).select(*[c for c in lines.columns if c != text], F.trim(F.get(p, 0)).alias("name"), numbers(F.get(p, 1)).alias("values"))
 
 
 def parse_geojson(docs: DataFrame, text: str) -> DataFrame:

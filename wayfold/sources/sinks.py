@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from wayfold.operators import ordered as O
 
@@ -31,6 +32,54 @@ def write_parts(points: DataFrame, path: str, *keys: str) -> None:
     points.repartition(*[F.col(k) for k in keys], F.col("frame_id")).write.mode("overwrite").partitionBy(*keys).parquet(path)
 
 
+def sized_parts(points: DataFrame, by: Sequence[str], frame: str, target_bytes: int, record: int = 16) -> DataFrame:
+    """Points with ``part``: frames in order, a new part wherever the bytes before reach another ``target_bytes``.
+
+    A part holds at most the target and one frame more, and there are as many parts as the points need.
+    """
+    key = F.struct(F.lit(0).alias("_0"), *by)
+    frames = points.groupBy(key.alias("_k"), F.col(frame).alias("_f")).agg((F.count(F.lit(1)) * record).alias("_b"))
+    frames = O.running_sum(frames, ["_k"], ["_f"], F.floor(F.col("_f") / O.CHUNK), F.col("_b"), "_upto")
+    part = frames.select("_k", "_f", F.floor((F.col("_upto") - F.col("_b")) / target_bytes).cast("long").alias("part"))
+    joined = points.withColumn("_k", key).withColumn("_f", F.col(frame)).join(part, ["_k", "_f"])
+    return joined.select(*points.columns, "part")
+
+
+MANIFEST = "version long, attempt string, rows long"
+
+
+def write_committed(df: DataFrame, path: str, keys: Sequence[str] = ()) -> int:
+    """Write a new version of the table at ``path``; it counts once its line in the manifest stands, and not before.
+
+    Every attempt has a folder of its own. An attempt that was killed leaves a folder that no line names, so readers never
+    see a part of it, and the next attempt repeats nothing. The line is written last, by one task. Returns the rows.
+    """
+    spark, root, attempt, seen = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex, Observation()
+    spread = df.repartition(*[F.col(k) for k in keys], F.pmod(F.xxhash64(*df.columns), F.lit(16))) if keys else df
+    w = spread.observe(seen, F.count(F.lit(1)).alias("n")).write
+    (w.partitionBy(*keys) if keys else w).parquet(f"{root}/attempts/{attempt}")
+    rows = seen.get["n"]
+    spark.createDataFrame([(_latest(spark, root)[0] + 1, attempt, rows)], MANIFEST).coalesce(1).write.mode("append").json(f"{root}/manifest")
+    return rows
+
+
+def _latest(spark: SparkSession, root: str) -> tuple[int, str | None, int]:
+    try:
+        last = spark.read.schema(MANIFEST).json(f"{root}/manifest").agg(F.max(F.struct("version", "attempt", "rows")).alias("m")).first()["m"]
+    except AnalysisException:  # no version yet
+        last = None
+    return (last.version, last.attempt, last.rows) if last else (0, None, 0)
+
+
+def read_committed(spark: SparkSession, path: str) -> DataFrame:
+    """The last version that was committed."""
+    root = path.rstrip("/")
+    _, attempt, _ = _latest(spark, root)
+    if attempt is None:
+        raise FileNotFoundError(f"no committed version at {path}")
+    return spark.read.parquet(f"{root}/attempts/{attempt}")
+
+
 def input_signature(df: DataFrame) -> str:
     """Hash over path, length and modification time of every file that ``df`` reads."""
     files = df.inputFiles()
