@@ -129,3 +129,25 @@ def test_centroid_of_ring(spark):
     ring = [{"x": x, "y": y} for x, y in [(2.0, 1.0), (6.0, 1.0), (6.0, 3.0), (2.0, 3.0), (2.0, 1.0)]]
     df = spark.createDataFrame([(ring,), (ring[::-1],), ([ring[0], ring[1], ring[0]],)], "r array<struct<x double, y double>>")
     assert [tuple(r.c) for r in df.select(E.centroid(C("r")).alias("c")).collect()] == [(4.0, 2.0), (4.0, 2.0), (None, None)]
+
+
+def test_nearest_splits_cells_with_long_lists(spark, monkeypatch):
+    seen = []
+    inner = joins.nearest
+
+    def counted(left, right, fields, by=(), cell=16.0, prefix="near_"):
+        seen.append((cell, right.count()))
+        return inner(left, right, fields, by, cell, prefix)
+
+    monkeypatch.setattr(joins, "nearest", counted)
+    n = 1_000_000  # all in one cell of 16 m
+    right = spark.range(n).select(C("id"), ((C("id") % 1000) * 0.0159).alias("x"), (F.floor(C("id") / 1000) * 0.0159).alias("y"))
+    rnd = random.Random(12)
+    pts = [(i, rnd.uniform(0, 16), rnd.uniform(0, 16)) for i in range(60)] + [(90, 400.0, -300.0), (91, 0.0, 0.0)]
+    got = joins.nearest(spark.createDataFrame(pts, "i long, x double, y double"), right, ["id"]).collect()
+    assert len(got) == len(pts) and len(seen) >= 3
+    for i, x, y in pts:
+        a, b = (min(max(round(v / 0.0159), 0), 999) for v in (x, y))
+        near = [(math.hypot(p * 0.0159 - x, q * 0.0159 - y), p + 1000 * q) for p in range(max(a - 1, 0), min(a + 2, 1000)) for q in range(max(b - 1, 0), min(b + 2, 1000))]
+        row = next(r for r in got if r.i == i)
+        assert row.near_dist == pytest.approx(min(near)[0]) and row.near_id == min(near)[1]

@@ -36,14 +36,19 @@ def within(left: DataFrame, right: DataFrame, dist: float, by: Sequence[str] = (
         F.col("dist") <= dist).drop("_gx", "_gy")
 
 
+#: Candidates that a cell's points choose from; cells with more are split. Cells are not split below the finest size.
+LIST, FINEST = 64, 1e-3
+
+
 def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequence[str] = (), cell: float = 16.0, prefix: str = "near_") -> DataFrame:
     """Nearest right row per left row (ties: smallest first field); keeps every left row.
 
     The heavy left side is never copied, sorted or made distinct. Its occupied cells are few: each
     of them finds the finest level of a grid pyramid (sizes 2*cell*4^l) whose 3x3 block holds a right
     row. That bounds the distance by 2*sqrt(2) level cells, so all possible winners of the cell's
-    points lie in the 3x3 block one level up. The exact candidates travel as a small array and the
-    winner is picked by an expression. The pyramid is as high as the extent of both sides asks for.
+    points lie in the 3x3 block one level up. The exact candidates travel as an array of at most ``LIST``
+    rows and the winner is picked by an expression; where the right side is denser, the cell is split until that holds
+    (more rows than that at one distance from one spot stay together). The pyramid is as high as the extent of both sides asks for.
     """
     by = list(by)
     half = cell * 2 ** 0.5 / 2
@@ -67,11 +72,22 @@ def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequen
     pairs = block(at(found, "cx", "cy")).join(at(ref.select("*", F.explode(F.sequence(F.lit(1), F.lit(top + 1))).alias("_l")), "rx", "ry"), [*by, "_l", "_gx", "_gy"])
     pairs = pairs.select(*k, "rx", "ry", "_f", F.hypot(F.col("rx") - F.col("cx"), F.col("ry") - F.col("cy")).alias("dist"))
     near = pairs.groupBy(*k).agg(F.min("dist").alias("_d"))
-    cand = pairs.join(near, k).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9).groupBy(*k).agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c"))
-    j = left.withColumn("_ix", _cell("x", cell)).withColumn("_iy", _cell("y", cell)).join(cand, k, "left")
+    close = checkpoint(pairs.join(near, k).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9).select(*k, "rx", "ry", "_f"))
+    long, seen = checkpoint_observed(close.groupBy(*k).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LIST).select(*k), n=F.count(F.lit(1)))
+    placed = left.withColumn("_ix", _cell("x", cell)).withColumn("_iy", _cell("y", cell))
     d2 = lambda v: (v["rx"] - F.col("x")) * (v["rx"] - F.col("x")) + (v["ry"] - F.col("y")) * (v["ry"] - F.col("y"))
-    j = j.withColumn("_b", F.array_min(F.transform("_c", lambda v: F.struct(d2(v).alias("d2"), v["_f"].alias("f")))))
-    return j.select(*left.columns, F.sqrt("_b.d2").alias(prefix + "dist"), *[F.col(f"_b.f._f_{f}").alias(prefix + f) for f in fields])
+
+    def pick(rows: DataFrame, close: DataFrame) -> DataFrame:
+        cand = close.groupBy(*k).agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c"))
+        j = rows.join(cand, k, "left").withColumn("_b", F.array_min(F.transform("_c", lambda v: F.struct(d2(v).alias("d2"), v["_f"].alias("f")))))
+        return j.select(*left.columns, F.sqrt("_b.d2").alias(prefix + "dist"), *[F.col(f"_b.f._f_{f}").alias(prefix + f) for f in fields])
+
+    if not seen["n"] or cell < FINEST:
+        return pick(placed, close)
+    # cells with a long list: their points look again, from cells an eighth as wide and among those rows only
+    rest = close.join(long, k, "left_semi").select(*by, F.col("rx").alias("x"), F.col("ry").alias("y"), *[F.col(f"_f._f_{f}").alias(f) for f in fields]).distinct()
+    again = nearest(placed.join(long, k, "left_semi").select(*left.columns), checkpoint(rest), fields, by, cell / 8, prefix)
+    return pick(placed.join(long, k, "left_anti"), close.join(long, k, "left_anti")).unionByName(again)
 
 
 def in_boxes(points: DataFrame, boxes: DataFrame, cell: float, by: Sequence[str] = ()) -> DataFrame:

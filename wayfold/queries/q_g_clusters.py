@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import geometry as E, records as R
 from wayfold.functions.stats import exact_percentiles, top_per_group
-from wayfold.operators import clusters as K, components as CC, graph as GR, greedy, grid as G, joins as J, lines as L, shapes as S
+from wayfold.operators import clusters as K, components as CC, graph as GR, greedy, grid as G, joins as J, lines as L, ordered as O, shapes as S
 from wayfold.operators.ordered import with_one_row
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_e_geometry import INSIDE, LINE, RING
@@ -199,22 +199,37 @@ def _(c):
     return j.drop("k").filter("frames_hit >= 2")
 
 
-BND = f"""{LINE}, fb AS (SELECT drive_id, CAST(floor(s/300) AS BIGINT) AS k, min(frame_id) AS f FROM sl GROUP BY 1,2), tg AS (SELECT drive_id, frame_id, s, x, y, coalesce(nx,x)-coalesce(px,x) dx, coalesce(ny,y)-coalesce(py,y) dy FROM sl),
+# drive 5 has no trajectory here
+BND = f"""{LINE.replace("FROM poses WINDOW", "FROM poses WHERE drive_id<>5 WINDOW")}, fb AS (SELECT drive_id, CAST(floor(s/300) AS BIGINT) AS k, min(frame_id) AS f FROM sl GROUP BY 1,2), tg AS (SELECT drive_id, frame_id, s, x, y, coalesce(nx,x)-coalesce(px,x) dx, coalesce(ny,y)-coalesce(py,y) dy FROM sl),
  bd AS (SELECT fb.drive_id, row_number() OVER (PARTITION BY fb.drive_id ORDER BY k)-1 AS b, s AS bs, x AS bx, y AS by_, dx/sqrt(dx*dx+dy*dy) AS vx, dy/sqrt(dx*dx+dy*dy) AS vy FROM fb JOIN tg ON tg.drive_id=fb.drive_id AND tg.frame_id=fb.f WHERE k>=1),
  ns AS (SELECT p.drive_id, p.x, p.y, q.s AS s FROM points p, LATERAL (SELECT s FROM sl WHERE sl.drive_id=p.drive_id ORDER BY (sl.x-p.x)*(sl.x-p.x)+(sl.y-p.y)*(sl.y-p.y), frame_id LIMIT 1) q),
- p0 AS (SELECT ns.*, (SELECT count(*) FROM bd WHERE bd.drive_id=ns.drive_id AND bs<=ns.s) AS part FROM ns)"""
+ p0 AS (SELECT ns.*, (SELECT count(*) FROM bd WHERE bd.drive_id=ns.drive_id AND bs<=ns.s) AS part FROM ns UNION ALL SELECT drive_id, x, y, NULL, -1 FROM points WHERE drive_id NOT IN (SELECT drive_id FROM sl))"""
+
+
+def cut_line(c):
+    """Trajectory vertices with the part they lie in, and the boundaries between parts, numbered along each drive.
+
+    A part starts at the first vertex of every 300 m that has one, so a vertex's part is the rank of its stretch: no vertex
+    meets more than its own boundary.
+    """
+    line = L.arc_length(c.poses.filter("drive_id <> 5").select("drive_id", C("frame_id").alias("idx"), "x", "y"), ["drive_id"], "idx").withColumn("k", F.floor(C("s") / 300).cast("long"))
+    first = line.groupBy("drive_id", "k").agg(F.min("idx").alias("idx"))
+    ranked = checkpoint(O.dense_index(first.filter("k >= 1"), ["drive_id"], ["k"], F.floor(C("k") / O.CHUNK), "b"))
+    last = ranked.groupBy("drive_id").agg((F.max("b") + 1).alias("parts"))
+    line = checkpoint(line.join(ranked.select("drive_id", "k", "b"), ["drive_id", "k"], "left").join(last, "drive_id", "left")
+                      .select("drive_id", "idx", "x", "y", F.coalesce(C("b") + 1, F.lit(0)).alias("part"), F.coalesce("parts", F.lit(0)).alias("parts")))
+    bounds = L.tangents(line.select("drive_id", "idx", "x", "y"), ["drive_id"], "idx").join(ranked.select("drive_id", "idx", "b"), ["drive_id", "idx"])
+    return line, checkpoint(bounds.select("drive_id", "b", "x", "y", "tx", "ty"))
+
+
+def parted(c, line):
+    near_ = J.nearest(c.points.select("drive_id", "x", "y"), line.withColumnRenamed("idx", "frame_id"), ["frame_id", "part", "parts"], ["drive_id"], 32.0)
+    return near_.select("drive_id", "x", "y", F.coalesce("near_part", F.lit(-1)).cast("int").alias("part"), C("near_parts").cast("int").alias("parts"))
 
 
 def cut_parts(c):
-    """Points with the spatial-cut part of their nearest trajectory vertex, and the boundary array of their drive; -1: there is no trajectory."""
-    line = L.arc_length(c.poses.select("drive_id", C("frame_id").alias("idx"), "x", "y"), ["drive_id"], "idx")
-    t = L.tangents(line, ["drive_id"], "idx")
-    first = line.groupBy("drive_id", F.floor(C("s") / 300).alias("k")).agg(F.min("idx").alias("idx")).filter("k >= 1")
-    b = t.join(first, ["drive_id", "idx"]).groupBy("drive_id").agg(F.array_sort(F.collect_list(F.struct("k", "s", "x", "y", "tx", "ty"))).alias("b"))
-    near_ = J.nearest(c.points.select("drive_id", "x", "y"), line.select("drive_id", C("idx").alias("frame_id"), "s", "x", "y"), ["frame_id", "s"], ["drive_id"], 32.0)
-    p = near_.join(b, "drive_id", "left")
-    s = F.transform(F.coalesce("b", F.lit(None)), lambda v: v["s"])
-    return p.withColumn("part", F.when(C("near_s").isNull(), -1).otherwise(F.coalesce(J.part_of(C("near_s"), s), F.lit(0))).cast("int"))
+    """Points with the spatial-cut part of their nearest trajectory vertex; -1: there is no trajectory."""
+    return parted(c, cut_line(c)[0])
 
 
 @query("g10_spatial_cut", f"WITH {BND} SELECT drive_id, CAST(part AS INTEGER) AS part, count(*) AS n FROM p0 GROUP BY 1,2")
@@ -223,22 +238,23 @@ def _(c):
 
 
 def refined(c, band):
-    """Walk the boundaries in order; inside the band the half-plane of each boundary decides."""
+    """Inside the band of a boundary its half-plane decides, boundary by boundary; a point meets those of the cells around it."""
     def step(a, b):
         near_ = F.hypot(C("x") - b["x"], C("y") - b["y"]) < band
         ahead = (C("x") - b["x"]) * b["tx"] + (C("y") - b["y"]) * b["ty"] >= 0
-        i = a["i"]
         one = lambda cond: F.when(cond, 1).otherwise(0)
-        at_b = (a["part"] == i) & near_
+        at_b = (a["part"] == b["b"]) & near_
         mid = a["part"] + one(at_b & ahead)
-        at_f = (mid == i + 1) & near_
-        return F.struct((i + 1).alias("i"), (mid - one(at_f & ~ahead)).alias("part"), (a["checked"] + one(at_b) + one(at_f)).alias("checked"),
-                        (a["flipped"] + one(at_b & ahead) + one(at_f & ~ahead)).alias("flipped"))
+        at_f = (mid == b["b"] + 1) & near_
+        return F.struct((mid - one(at_f & ~ahead)).alias("part"), (a["checked"] + one(at_b) + one(at_f)).alias("checked"), (a["flipped"] + one(at_b & ahead) + one(at_f & ~ahead)).alias("flipped"))
 
+    line, bounds = cut_line(c)
+    near_ = J.around(bounds.withColumn("b", C("b").cast("int")), band).groupBy("drive_id", "_gx", "_gy").agg(F.array_sort(F.collect_list(F.struct("b", "x", "y", "tx", "ty"))).alias("near"))
     z = F.lit(0)
-    start = F.struct(z.alias("i"), C("part").alias("part"), z.alias("checked"), z.alias("flipped"))
-    p = cut_parts(c).withColumn("r", F.when(C("b").isNull(), start).otherwise(F.aggregate("b", start, step)))
-    part = F.when(C("part") < 0, C("part")).otherwise(F.least(F.greatest(C("r.part"), z), F.coalesce(F.size("b"), z)))
+    start = F.struct(C("part").alias("part"), z.alias("checked"), z.alias("flipped"))
+    p = parted(c, line).withColumn("_gx", J._cell("x", band)).withColumn("_gy", J._cell("y", band)).join(near_, ["drive_id", "_gx", "_gy"], "left")
+    p = p.withColumn("r", F.when(C("near").isNull(), start).otherwise(F.aggregate("near", start, step)))
+    part = F.when(C("part") < 0, C("part")).otherwise(F.least(F.greatest(C("r.part"), z), C("parts")))
     return p.select("drive_id", "x", "y", part.alias("part"), C("r.checked").alias("checked"), C("r.flipped").alias("flipped"))
 
 

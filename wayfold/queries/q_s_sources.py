@@ -231,7 +231,7 @@ def _(c):
     return r.groupBy(C("drive_id").cast("long").alias("drive_id"), C("part").cast("long").alias("part")).agg(N().alias("points"), F.min("frame_id").alias("first_frame"), F.max("frame_id").alias("last_frame"))
 
 
-@query("s14_spatial_parts_written", f"""WITH {BND}, lost AS (SELECT drive_id, -1 AS part, count(*) AS n FROM points WHERE drive_id NOT IN (SELECT drive_id FROM sl) GROUP BY 1), a AS (SELECT drive_id, part, count(*) AS n FROM p0 GROUP BY 1,2 UNION ALL SELECT * FROM lost)
+@query("s14_spatial_parts_written", f"""WITH {BND}, a AS (SELECT drive_id, part, count(*) AS n FROM p0 GROUP BY 1,2)
  SELECT drive_id, CAST(part AS INTEGER) AS part, n, CAST(sum(n) OVER () AS BIGINT) AS total FROM a""")
 def _(c):
     folder = shared_folder(c)
