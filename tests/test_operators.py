@@ -403,3 +403,48 @@ def test_provider_registry(spark):
     assert df.transform(provider("test_double", k=4)).first()["v"] == 12
     with pytest.raises(KeyError):
         provider("absent")
+
+
+def test_null_groups_are_groups_like_any_other(spark):
+    r = random.Random(21)
+    base = [(i, r.uniform(0, 40), r.uniform(0, 40), r.uniform(0, 3), r.random()) for i in range(300)]
+    rows = [(d, k, x, y, z, v) for k, d in ((0, None), (1, 7)) for _, x, y, z, v in base]
+    df = spark.createDataFrame(rows, "drive_id long, copy int, x double, y double, z double, intensity double")
+    by = ["drive_id"]
+
+    def same(out):
+        got = {}
+        for row in out.collect():
+            d = row.asDict()
+            got.setdefault(d.pop("drive_id"), []).append(tuple(round(v, 6) if isinstance(v, float) else v for _, v in sorted(d.items()) if not isinstance(v, tuple)))
+        assert set(got) == {None, 7} and sorted(got[None], key=str) == sorted(got[7], key=str)
+
+    base_z = grid.min_height(df, 4.0, by)
+    same(grid.ground_rasters(df, 4.0, 0.5, by))
+    same(grid.slope(base_z, "z_base", 4.0, by))
+    same(grid.bev_tiles(df, 1.0, 8, by))
+    same(grid.road_points(df, 4.0, 0.5, 1, 9.0, by).drop("copy"))
+    same(grid.marking_score(grid.road_points(df, 4.0, 0.5, 1, 9.0, by), 0.9, by, 0.01))
+    same(grid.surface_points(df, base_z, base_z.filter("z_base < 1"), 4.0, 0.5, by).drop("copy"))
+    same(grid.box_window(base_z, "z_base", 1, by))
+    ids = spark.createDataFrame([(d, i + 1000 * k, x, y, v) for k, d in ((0, None), (1, 7)) for i, x, y, _, v in base], "drive_id long, id long, x double, y double, q double")
+    strip = lambda out, *cols: out.select("drive_id", *[(C(c) % 1000).alias(c) for c in cols])
+    same(strip(components.centroid_clusters(ids, "id", 2.0, by), "id", "label"))
+    for small in (512, 20):
+        greedy.SMALL, was = small, greedy.SMALL
+        try:
+            kept = greedy.greedy_keep(ids, "id", by, [C("q"), -(C("id") % 1000)], 3.0, lambda a, b: F.hypot(a("x") - b("x"), a("y") - b("y")) <= 3)
+            assert kept.columns[: len(ids.columns)] == ids.columns and kept.count() == 600
+            same(strip(kept, "id", "owner"))
+        finally:
+            greedy.SMALL = was
+
+
+def test_ground_rasters_shuffle_once_per_key(spark):
+    df = spark.range(100).select((C("id") % 3).alias("drive_id"), (C("id") * 1.0).alias("x"), (C("id") * 1.0).alias("y"), (C("id") * 0.1).alias("z"), C("id").cast("double").alias("intensity"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = grid.ground_rasters(df, 4.0, 0.5, ["drive_id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert plan.count("Exchange hashpartitioning") <= 3

@@ -243,3 +243,19 @@ def subset_stats(df: DataFrame, subsets: Mapping[str, Column], metrics: Mapping[
         q = exact_percentiles(d, ["subset"], m, {f"{m}_p{int(round(p * 100))}": p for p in ps}, width).drop("n")
         out = out.join(q, "subset", "left")
     return out
+
+
+def effect_sizes(df: DataFrame, by: Sequence[str], value: str, flag: Column) -> DataFrame:
+    """Effect size per key between flag and not-flag rows by pooled population variance: (by, n_in, n_bg, d); no spread: 0."""
+    a, b = F.when(flag, F.col(value)), F.when(~flag, F.col(value))
+    g = df.groupBy(*by).agg(F.count(a).alias("n_in"), F.count(b).alias("n_bg"), F.avg(a).alias("_ma"), F.avg(b).alias("_mb"), F.var_pop(a).alias("_va"), F.var_pop(b).alias("_vb"))
+    pooled = ((F.col("n_in") - 1) * F.col("_va") + (F.col("n_bg") - 1) * F.col("_vb"))
+    free = F.col("n_in") + F.col("n_bg") - 2
+    d = F.when((free > 0) & (pooled > 0), (F.col("_ma") - F.col("_mb")) / F.sqrt(pooled / free)).otherwise(0.0)
+    return g.select(*by, "n_in", "n_bg", d.alias("d"))
+
+
+def objective(auc: Column, d: Column, band_ratio: Column) -> Column:
+    """Combined objective of an alignment: 2 for the ranking, up to 1.5 for the effect size, up to 1 for energy in the stripe band."""
+    unit = lambda v: F.greatest(F.lit(0.0), F.least(v, F.lit(1.0)))
+    return 2 * auc + 1.5 * unit(d / 2) + unit(F.log(F.greatest(band_ratio, F.lit(1e-6))) / F.log(F.lit(5.0)))

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.operators.ordered import CHUNK, dense_index, drop_halo, fill_forward, halo_window, running_sum, with_halo
-from wayfold.operators.rowruns import group_key
+from wayfold.operators.groups import group_key
 from wayfold.session import checkpoint, checkpoint_observed
 
 STRIDE = 4096

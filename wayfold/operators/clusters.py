@@ -12,7 +12,7 @@ from wayfold.functions.stats import top_per_group
 from wayfold.operators import components as CC, greedy as GR
 from wayfold.operators.audits import distinct_steps
 from wayfold.operators.joins import within
-from wayfold.operators.rowruns import group_key
+from wayfold.operators.groups import group_key
 from wayfold.operators.shapes import hull_of
 from wayfold.session import checkpoint
 

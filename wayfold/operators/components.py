@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wayfold.operators.groups import null_groups
 from wayfold.session import checkpoint, checkpoint_observed
 
 
@@ -60,6 +61,7 @@ def _half_offsets(r: int) -> list[tuple[int, int]]:
 DIRECT = 1024
 
 
+@null_groups
 def distance_links(df: DataFrame, key: str, eps: float, by: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
     """Edges whose components equal single linkage at distance <= eps.
 
@@ -123,11 +125,13 @@ def _gaps(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("near", F.hypot(gap("x0", "x1"), gap("y0", "y1"))).withColumn("wide", F.hypot(far("x0", "x1"), far("y0", "y1")))
 
 
+@null_groups
 def centroid_clusters(df: DataFrame, key: str, eps: float, by: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
     """Single-linkage clusters (order-independent); label = smallest member key."""
     return label_all(df, key, distance_links(df, key, eps, by, x, y))
 
 
+@null_groups
 def cell_components(cells: DataFrame, by: Sequence[str] = (), diagonal: bool = True, ix: str = "ix", iy: str = "iy") -> DataFrame:
     """Connected components of occupied grid cells (8- or 4-neighbour); adds ``label``.
 
@@ -144,6 +148,7 @@ def cell_components(cells: DataFrame, by: Sequence[str] = (), diagonal: bool = T
     return label_all(c, "_node", edges).drop("_node")
 
 
+@null_groups
 def dbscan(df: DataFrame, key: str, eps: float, min_pts: int, by: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
     """DBSCAN: (key, is_core, label); noise has label NULL. A border point joins the smallest core label.
 

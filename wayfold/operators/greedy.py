@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wayfold.operators.groups import null_groups
 from wayfold.session import checkpoint
 
 Pair = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
@@ -15,6 +16,7 @@ Pair = Callable[[Callable[[str], Column], Callable[[str], Column]], Column]
 SMALL = 512
 
 
+@null_groups
 def greedy_keep(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[Column], reach: float | Column, conflict: Pair) -> DataFrame:
     """Walk the rows of each group by descending priority; keep a row unless a kept one conflicts with it.
 
@@ -47,6 +49,7 @@ def greedy_keep(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[C
     return out.unionByName(greedy_rounds(df.join(big.select(*by), by, "left_semi"), key, by, priority, reach, conflict).select(*out.columns))
 
 
+@null_groups
 def greedy_rounds(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[Column], reach: float, conflict: Pair, max_rounds: int = 100_000) -> DataFrame:
     """Walk the rows of each group by descending priority; keep a row unless a kept one conflicts with it.
 

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.functions.stats import cell_percentiles, exact_percentiles
 from wayfold.operators.components import cell_components
-from wayfold.operators.ordered import join_on_keys, with_one_row
-from wayfold.operators.rowruns import cells_of, group_key, hole_runs
+from wayfold.operators.groups import group_key, null_groups
+from wayfold.operators.ordered import with_one_row
+from wayfold.operators.rowruns import cells_of, hole_runs
 
 CELL = ("ix", "iy")
 
@@ -41,11 +42,13 @@ def height_p10(points: DataFrame, res: float, by: Sequence[str]) -> DataFrame:
     return cell_percentiles(with_cell(points, res), [*by, *CELL], "z", {"height_p10": 0.1}).withColumnRenamed("n", "density_all")
 
 
+@null_groups
 def with_height(points: DataFrame, res: float, by: Sequence[str]) -> DataFrame:
     """Points with their cell's p10 height."""
-    return join_on_keys(with_cell(points, res), height_p10(points, res, by), [*by, *CELL])
+    return with_cell(points, res).join(height_p10(points, res, by), [*by, *CELL])
 
 
+@null_groups
 def ground_rasters(points: DataFrame, res: float, dz: float, by: Sequence[str]) -> DataFrame:
     """p10 height and density of all points, then density, max intensity and roughness of the ground band."""
     p = with_height(points, res, by)
@@ -56,12 +59,14 @@ def ground_rasters(points: DataFrame, res: float, dz: float, by: Sequence[str])
         F.count(g("z")).alias("density"), F.max(g("intensity")).alias("intensity_max"), F.stddev_pop(g("z")).alias("roughness"))
 
 
+@null_groups
 def height_and_intensity(points: DataFrame, res: float, by: Sequence[str]) -> DataFrame:
     c = with_cell(points, res)
     return cell_percentiles(c, [*by, *CELL], "z", {"height_p10": 0.1}).drop("n").join(
         c.groupBy(*by, *CELL).agg(F.avg("intensity").alias("intensity_mean")), [*by, *CELL])
 
 
+@null_groups
 def height_stats(points: DataFrame, res: float, min_points: int, by: Sequence[str]) -> DataFrame:
     """mean / p10 / p95 height; cells under ``min_points`` read 0."""
     c = with_cell(points, res)
@@ -77,6 +82,7 @@ def _spread(cells: DataFrame, axis: str, r: int) -> DataFrame:
     return cells.select("*", offs).withColumn(axis, F.col(axis) + F.col("_o")).drop("_o")
 
 
+@null_groups
 def box_window(cells: DataFrame, value: str, r: int, by: Sequence[str], own_only: bool = True) -> DataFrame:
     """Square-window count/sum/sum of squares/mean/std over cells, as two one-axis passes.
 
@@ -98,12 +104,14 @@ def _window_values(cells: DataFrame, value: str, r: int, by: Sequence[str]) -> D
     return _spread(_spread(s, "ix", r), "iy", r)
 
 
+@null_groups
 def window_median(cells: DataFrame, value: str, r: int, by: Sequence[str], own_only: bool = True) -> DataFrame:
     k = [*by, *CELL]
     m = _window_values(cells, value, r, by).groupBy(*k).agg(F.percentile("_v", F.lit(0.5)).alias("win_median"))
     return cells.join(m, k) if own_only else m
 
 
+@null_groups
 def window_mad(cells: DataFrame, value: str, r: int, by: Sequence[str]) -> DataFrame:
     """Median and median absolute deviation of the window around each cell."""
     k = [*by, *CELL]
@@ -117,6 +125,7 @@ def min_height(points: DataFrame, res: float, by: Sequence[str]) -> DataFrame:
     return with_cell(points, res).groupBy(*by, *CELL).agg(F.min("z").alias("z_base"))
 
 
+@null_groups
 def candidate_stats(points: DataFrame, base: DataFrame, res: float, dz: float, by: Sequence[str]) -> DataFrame:
     """Points within ``dz`` over the base surface: count, sums, max intensity."""
     p = with_cell(points, res).join(base, [*by, *CELL]).filter(F.col("z") - F.col("z_base") <= dz)
@@ -130,6 +139,7 @@ def moment_std(n: Column, s: Column, q: Column) -> Column:
     return F.when(n > 0, F.sqrt(F.greatest(q / n - (s / n) * (s / n), F.lit(0.0)))).otherwise(F.lit(0.0))
 
 
+@null_groups
 def slope(cells: DataFrame, value: str, res: float, by: Sequence[str]) -> DataFrame:
     """Gradient length: central differences, one-sided at the grid border, NULL next to a gap.
 
@@ -152,6 +162,7 @@ def slope(cells: DataFrame, value: str, res: float, by: Sequence[str]) -> DataFr
     return j.select(*k, me.alias(value), F.hypot(diff("ix", F.col("_w"), F.col("_e")), diff("iy", F.col("_s"), F.col("_n"))).alias("slope"))
 
 
+@null_groups
 def surface_mask(stats: DataFrame, slopes: DataFrame, min_pts: int, rough_max: float, slope_max: float, by: Sequence[str]) -> DataFrame:
     std = moment_std(F.col("cand_n"), F.col("sum_z"), F.col("sum_z2"))
     return (stats.join(slopes, [*by, *CELL]).withColumn("z_std", std)
@@ -163,6 +174,7 @@ def reference_surface(points: DataFrame, res: float, q_low: float, min_pts: int,
     return cell_percentiles(with_cell(points, res), [*by, *CELL], "z", {"z_ref": q_low}).filter(F.col("n") >= min_pts)
 
 
+@null_groups
 def smooth_and_fill(cells: DataFrame, value: str, r: int, by: Sequence[str]) -> DataFrame:
     """Window mean wherever the window sees data, then window median of the means one ring further out."""
     k = [*by, *CELL]
@@ -172,6 +184,7 @@ def smooth_and_fill(cells: DataFrame, value: str, r: int, by: Sequence[str]) ->
         fill.select(*k, F.col("win_median").alias("z_smooth"), F.lit(True).alias("filled")))
 
 
+@null_groups
 def terrain_grid(points: DataFrame, res: float, min_pts: int, by: Sequence[str]) -> DataFrame:
     c = with_cell(points, res)
     med = cell_percentiles(c, [*by, *CELL], "z", {"z_median": 0.5})
@@ -179,6 +192,7 @@ def terrain_grid(points: DataFrame, res: float, min_pts: int, by: Sequence[str])
     return med.join(std, [*by, *CELL]).filter(F.col("n") >= min_pts)
 
 
+@null_groups
 def bev_tiles(points: DataFrame, res: float, tile_px: int, by: Sequence[str]) -> DataFrame:
     """Max intensity and density by tile/row/col, rows counted from the top edge of each key's extent."""
     b = points.groupBy(*by).agg(F.min("x").alias("_x0"), F.max("y").alias("_y1"))
@@ -197,6 +211,7 @@ def tile_summary(tiles: DataFrame, res: float, min_area: float, by: Sequence[str
                                 F.avg((F.col("area") < min_area).cast("double")).alias("empty_ratio"))
 
 
+@null_groups
 def marking_contrast(points: DataFrame, res: float, dz: float, r: int, by: Sequence[str]) -> DataFrame:
     """p95 of ground-band intensity per cell minus its window mean, floored at 0."""
     g = with_height(points, res, by).filter(F.col("z") <= F.col("height_p10") + dz)
@@ -205,6 +220,7 @@ def marking_contrast(points: DataFrame, res: float, dz: float, r: int, by: Seque
     return w.select(*by, *CELL, "p95", F.greatest(F.col("p95") - F.col("win_mean"), F.lit(0.0)).alias("contrast"))
 
 
+@null_groups
 def road_points(points: DataFrame, res: float, dz: float, min_density: int, rough_max: float, by: Sequence[str]) -> DataFrame:
     """Ground-band points on road cells, with the cell statistics."""
     road = road_cells(ground_rasters(points, res, dz, by), min_density, rough_max)
@@ -216,6 +232,7 @@ def road_cells(rasters: DataFrame, min_density: int, rough_max: float) -> DataFr
                           & (F.col("roughness").isNull() | (F.col("roughness") <= rough_max)))
 
 
+@null_groups
 def marking_score(road_pts: DataFrame, pctl: float, by: Sequence[str], width: float) -> DataFrame:
     """Per road cell: share of points at or over the road-wide intensity percentile of their key."""
     thr = exact_percentiles(road_pts, by, "intensity", {"thr": pctl}, width).drop("n")
@@ -224,6 +241,7 @@ def marking_score(road_pts: DataFrame, pctl: float, by: Sequence[str], width: fl
     return p.groupBy(*by, *CELL).agg((hit / F.greatest(F.count(F.lit(1)), F.lit(1))).alias("score"), F.max("thr").alias("thr"))
 
 
+@null_groups
 def ratio_threshold(scores: DataFrame, value: str, lo: float, hi: float, by: Sequence[str], width: float) -> DataFrame:
     """Score threshold whose selected share lies in [lo, hi]: try the middle, then the violated bound."""
     mid = max(1e-6, min((lo + hi) * 0.5, 0.999))
@@ -241,6 +259,7 @@ def area_components(mask: DataFrame, res: float, by: Sequence[str], diagonal: bo
     return lab.groupBy(*by, "label").agg(F.count(F.lit(1)).alias("cells"), (F.count(F.lit(1)) * res * res).alias("area_m2"))
 
 
+@null_groups
 def seeded_components(mask: DataFrame, seed: DataFrame, top_k: int, by: Sequence[str]) -> DataFrame:
     """Mask cells of the ``top_k`` largest components that touch a seed cell (ties: smaller label)."""
     k = [*by, *CELL]
@@ -252,6 +271,7 @@ def seeded_components(mask: DataFrame, seed: DataFrame, top_k: int, by: Sequence
     return lab.join(keep.select(*by, "label", "cells"), [*by, "label"])
 
 
+@null_groups
 def flood_from_seed(mask: DataFrame, seed: DataFrame, by: Sequence[str]) -> DataFrame:
     """Mask cells connected to a seed cell; a key without any seed on its mask keeps its whole mask."""
     k = [*by, *CELL]
@@ -287,6 +307,7 @@ def coverage(mask: DataFrame, roi: DataFrame, corridor: DataFrame, res: float, b
                     d("mask", "roi").alias("mask_coverage"), d("inside", "corridor").alias("corridor_coverage"), d("outside", "roi").alias("outside_ratio"))
 
 
+@null_groups
 def surface_points(points: DataFrame, base: DataFrame, mask: DataFrame, res: float, dz: float, by: Sequence[str]) -> DataFrame:
     k = [*by, *CELL]
     p = with_cell(points, res).join(mask.select(*k), k, "left_semi").join(base.select(*k, "z_base"), k)

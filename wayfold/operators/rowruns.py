@@ -12,15 +12,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.operators.components import connected_components
+from wayfold.operators.groups import group_key
 from wayfold.operators.ordered import CHUNK, fill_forward
 from wayfold.session import checkpoint
 
 
-def group_key(by: Sequence[str]) -> Column:
-    """One key for a group; it is never null, so rows with null parts meet each other."""
-    return F.struct(F.lit(0).alias("_0"), *[F.col(c) for c in by])
-
-
 def _parts(by: Sequence[str]) -> list[Column]:
     return [F.col("_k")[c].alias(c) for c in by]
 

@@ -357,6 +357,25 @@ def _(c):
     return A.band_energy(prof(c), ["drive_id", "frame_id"], 0.1, 40, 1.25, 2.857).withColumn("band_ratio", F.round("band_ratio", 5))
 
 
+@query("x45_combined_objective", f"""WITH {PROF}, c AS (SELECT drive_id, frame_id, bin, v-avg(v) OVER (PARTITION BY drive_id, frame_id) AS v FROM pv), f AS (SELECT drive_id, frame_id, k, sum(v*cos({2 * 3.141592653589793!r}::DOUBLE/40*k*bin)) re, sum(v*sin({2 * 3.141592653589793!r}::DOUBLE/40*k*bin)) im FROM c, (SELECT UNNEST(range(21)) AS k) GROUP BY 1,2,3),
+ br AS (SELECT drive_id, frame_id, coalesce(sum(re*re+im*im) FILTER (k/CAST(40*0.1 AS DOUBLE) BETWEEN 1.25 AND 2.857),0)/sum(re*re+im*im) AS band FROM f GROUP BY 1,2),
+ hit AS (SELECT drive_id, frame_id, intensity, CASE WHEN EXISTS (SELECT 1 FROM priors WHERE x BETWEEN minx AND maxx AND y BETWEEN miny AND maxy) THEN 1 ELSE 0 END AS y FROM points),
+ r AS (SELECT *, (2*rank() OVER (PARTITION BY drive_id, frame_id ORDER BY intensity) + count(*) OVER (PARTITION BY drive_id, frame_id, intensity) - 1)/2.0::DOUBLE AS k FROM hit),
+ m AS (SELECT drive_id, frame_id, count(*) FILTER (y=1) AS n1, count(*) FILTER (y=0) AS n0, CAST(sum(k) FILTER (y=1) AS DOUBLE) AS s1, avg(intensity) FILTER (y=1) AS m1, avg(intensity) FILTER (y=0) AS m0, var_pop(intensity) FILTER (y=1) AS v1, var_pop(intensity) FILTER (y=0) AS v0 FROM r GROUP BY 1,2),
+ q AS (SELECT drive_id, frame_id, n1>0 AND n0>0 AS bo, (s1-n1*(n1+1)/2.0::DOUBLE)/nullif(n1*CAST(n0 AS DOUBLE),0) AS auc, CASE WHEN n1+n0>2 AND ((n1-1)*v1+(n0-1)*v0)>0 THEN (m1-m0)/sqrt(((n1-1)*v1+(n0-1)*v0)/(n1+n0-2)) ELSE 0 END AS d FROM m)
+ SELECT drive_id, frame_id, round(CASE WHEN bo THEN auc ELSE 0 END,5) AS auc, round(CASE WHEN bo THEN d ELSE 0 END,4) AS d, round(CASE WHEN bo THEN 2*auc+1.5::DOUBLE*greatest(0,least(d/2,1))+greatest(0,least(ln(greatest(band,1e-6::DOUBLE))/ln(5),1)) ELSE 0 END,4) AS objective FROM q JOIN br USING (drive_id, frame_id)""")
+def _(c):
+    k = ["drive_id", "frame_id"]
+    inside = J.in_boxes(c.points.select("x", "y").distinct(), c.priors, 32.0).select("x", "y").distinct().withColumn("in", F.lit(1))
+    p = c.points.select(*k, "x", "y", "intensity").join(inside, ["x", "y"], "left").select(*k, "intensity", F.coalesce("in", F.lit(0)).alias("y"))
+    auc = rank_auc(p, k, "intensity", "y", 0.05).select(*k, "auc")
+    band = A.band_energy(prof(c), k, 0.1, 40, 1.25, 2.857)
+    j = A.effect_sizes(p, k, "intensity", C("y") == 1).join(auc, k).join(band, k)
+    both = (C("n_in") > 0) & (C("n_bg") > 0)
+    return j.select(*k, F.round(F.when(both, C("auc")).otherwise(0.0), 5).alias("auc"), F.round(F.when(both, C("d")).otherwise(0.0), 4).alias("d"),
+                    F.round(F.when(both, A.objective(C("auc"), C("d"), C("band_ratio"))).otherwise(0.0), 4).alias("objective"))
+
+
 @query("a38_periodic_snr")
 def _(c):
     cells = G.with_cell(c.points, 4.0).groupBy("drive_id", "ix", "iy").agg(F.max("intensity").alias("v"))
