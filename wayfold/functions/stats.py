@@ -6,37 +6,39 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from wayfold.operators.groups import group_key
 from wayfold.operators.ordered import running_sum, with_one_row
+from wayfold.session import checkpoint
 
 
 def counted(df: DataFrame, keys: Sequence[str], value: str, width: float, weight: str | None = None) -> DataFrame:
-    """Value-level histogram with its running count: (keys, value, _c, _cum) in two levels."""
+    """Value-level histogram with its running count: (keys, value, _c, _cum) in two levels; written once, so ``df`` is read once."""
     n = F.sum(weight) if weight else F.count(F.lit(1))
-    h = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_c"))
+    h = checkpoint(df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(n.alias("_c")))
     return running_sum(h, keys, [value], F.floor(F.col(value) / width), F.col("_c"), "_cum")
 
 
 def exact_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mapping[str, float], width: float, weight: str | None = None) -> DataFrame:
-    """Linear-interpolation percentiles from value counts; no group is ever buffered whole.
+    """Linear-interpolation percentiles from value counts; no group is ever buffered whole. Null keys are a group like any other.
 
     ``width`` is the value step of one chunk of the running count (pick about range/1000).
     """
     keys = list(keys)
-    h = counted(df, keys, value, width, weight)
-    n = h.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    j = h.join(n, keys) if keys else with_one_row(h, n)
+    h = counted(df.select(group_key(keys).alias("_k"), value, *([weight] if weight else [])), ["_k"], value, width, weight)
+    n = h.groupBy("_k").agg(F.sum("_c").alias("_n"))
+    j = h.join(n, "_k") if keys else with_one_row(h, n.select("_n"))
     at = lambda r: F.max(F.when((F.col("_cum") > r) & (F.col("_cum") - F.col("_c") <= r), F.col(value)))
     aggs = [F.max("_n").alias("n")]
     for name, p in ps.items():
         r = (F.col("_n") - 1) * F.lit(float(p))
         aggs += [at(F.floor(r)).alias(f"_{name}_lo"), at(F.ceil(r)).alias(f"_{name}_hi")]
-    out = j.groupBy(*keys).agg(*aggs)
+    out = j.groupBy("_k").agg(*aggs) if keys else j.agg(*aggs)
     cols = []
     for name, p in ps.items():
         r = (F.col("n") - 1) * F.lit(float(p))
         lo, hi = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         cols.append((lo + (hi - lo) * (r - F.floor(r))).alias(name))
-    return out.select(*keys, "n", *cols)
+    return out.select(*[F.col("_k")[k].alias(k) for k in keys], "n", *cols)
 
 
 def cell_percentiles(df: DataFrame, keys: Sequence[str], value: str, ps: Mapping[str, float]) -> DataFrame:
