@@ -348,7 +348,7 @@ def test_registered_queries_match_their_sql(spark):
 
     sf = os.environ.get("WAYFOLD_TEST_SF", "/root/testdata/sf0.001")
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels", "conversations"):
+    for t in ("documents", "pages", "benchmark", "labels", "conversations", "embeddings"):
         con.execute(f"create view {t} as select * from read_parquet('{sf}/{t}.parquet')")
     for name, sql in ORACLE.items():
         df = QUERIES[name](spark, sf)
