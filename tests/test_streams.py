@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-import pytest
 from pyspark.sql import functions as F
 
 from wayfold.streaming import streams

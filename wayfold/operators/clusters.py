@@ -216,13 +216,3 @@ def disc_cells(seeds: DataFrame, key: Sequence[str], radius: Column, res: float)
     d = seeds.withColumn("_r", radius).select("*", seq("x").alias("ix")).select("*", seq("y").alias("iy"))
     dist = F.hypot((F.col("ix") + 0.5) * res - F.col("x"), (F.col("iy") + 0.5) * res - F.col("y"))
     return d.withColumn("cell_dist", dist).filter(F.col("cell_dist") <= F.col("_r")).select(*key, "ix", "iy", "cell_dist")
-
-
-def largest_part(cells: DataFrame, key: Sequence[str], min_cells: int) -> DataFrame:
-    """Biggest 4-connected part per key (ties: smaller label) if it has at least ``min_cells`` cells."""
-    key = list(key)
-    lab = CC.cell_components(cells.select(*key, "ix", "iy").distinct(), key, diagonal=False)
-    n = lab.groupBy(*key, "label").agg(F.count(F.lit(1)).alias("n"))
-    best = n.groupBy(*key).agg(F.max("n").alias("n")).filter(F.col("n") >= min_cells)
-    tie = n.join(best, [*key, "n"]).groupBy(*key).agg(F.min("label").alias("label"))
-    return lab.join(tie, [*key, "label"]).drop("label")

@@ -407,7 +407,9 @@ def _(c):
     return GR.degrees(c.edges).groupBy("degree").agg(N().alias("n")).withColumn("over_merged", C("degree") > 5)
 
 
-@query("v07_graph_checks", """SELECT 'edge_ids_unique' AS "check", true AS ok, 0::BIGINT AS detail UNION ALL SELECT 'degree_sum', true, 2*count(*) FROM edges UNION ALL SELECT 'edge_nodes_exist', true, 0 UNION ALL SELECT 'actions_reference_issues', true, 0""")
+@query("v07_graph_checks", f"""WITH {SPUR}, ds AS (SELECT sum(degree) AS s FROM dg), nd AS (SELECT DISTINCT UNNEST([from_node, to_node]) AS n FROM edges), iss AS (SELECT 'spur_' || CAST(edge_id AS VARCHAR) AS i FROM sp WHERE spur), act AS (SELECT 'act_spur_' || CAST(edge_id AS VARCHAR) AS a, 'spur_' || CAST(edge_id AS VARCHAR) AS i FROM sp WHERE spur)
+ SELECT 'edge_ids_unique' AS "check", count(*)=count(DISTINCT edge_id) AS ok, count(*)-count(DISTINCT edge_id) AS detail FROM edges UNION ALL SELECT 'degree_sum', (SELECT s FROM ds)=2*count(*), CAST((SELECT s FROM ds) AS BIGINT) FROM edges
+ UNION ALL SELECT 'edge_nodes_exist', count(*) FILTER (k=0)=0, count(*) FILTER (k=0) FROM (SELECT n, (SELECT count(*) FROM dg WHERE dg.node_id=nd.n) AS k FROM nd) UNION ALL SELECT 'actions_reference_issues', count(*)=0, count(*) FROM act ANTI JOIN iss USING (i)""")
 def _(c):
     issues, actions = GR.removal_records(spurs(c).filter("spur"), 9.0)
     return GR.checks(nodes(c), c.edges, issues, actions)

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from wayfold.functions import geometry as E, transforms as T
 from wayfold.functions.stats import exact_percentiles, top_per_group
-from wayfold.operators import chains as CH, components as CC, greedy as GR, lines as L, ordered as O
+from wayfold.operators import chains as CH, greedy as GR, lines as L, ordered as O
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_e_geometry import LINE, sample_sql
 from wayfold.queries.q_p_scalars import pose12
