@@ -35,7 +35,7 @@ SETTLED = 1e-12
 
 log = logging.getLogger(__name__)
 
-# fixed values: marks by which a text's topic is told, first match wins
+# marks by which a text's topic is told, first match wins
 TOPIC_MARKS = (
     ("legal", r"[Ll]icen[cs]e|[Cc]opyright"),
     ("contact", r"[A-Za-z0-9]@[A-Za-z0-9]|https?://"),

@@ -20,7 +20,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from wayfold.llm import textscan as ts
 
-# fixed values: characters that may end a line, symbols, separators of navigation bars, boilerplate phrases
+# characters that may end a line, symbols (the contract's), separators of navigation bars, boilerplate phrases
 TERMINAL = ".!?:;\"')…”»。！？"
 SYMBOLS = "#*$%&|<>"
 BARS = "|>"
