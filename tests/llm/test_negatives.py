@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from wayfold.llm import negatives
 
+C = F.col
 SCHEMA = "vec_id long, embedding array<float>, label int, score double, id string, slot int, limits string"
 
 
@@ -67,6 +68,13 @@ def test_against_brute_force(spark, monkeypatch, tile):
         assert mined(rows, spark, positives=3, negatives=4, low=0, high=100) == brute(rows, 3, 4, 0, 100)
 
 
+def test_ids_that_are_no_numbers_take_no_part(spark):
+    rows = [("100", [0.5], 1), ("x", [0.5], 1), ("1", [0.25], 1), ("2", [0.125], 2), ("", [0.125], 2)]
+    df = spark.createDataFrame(rows, "vec_id string, embedding array<double>, label int")
+    got = negatives.hard_negatives(df, C("vec_id").isin("100", "x")).collect()
+    assert [tuple(r) for r in got] == [(100, 1, 1, 2, 128 * 64, 128 * 32)]
+
+
 def test_empty_and_lonely(spark):
     assert mined([row(1, [0.5], 1)], spark) == []
     assert mined([row(100, [0.5], 1), row(1, [0.5], 2)], spark) == []

@@ -18,7 +18,8 @@ A tile's memory is its anchors (``ANCHORS``), what they keep, and one batch of r
 vector, so neither a frequent label nor equal vectors make a hot task. Each row is sent once for every ``ANCHORS``
 anchors, each anchor once for every ``ROWS`` rows.
 
-Rows: those with a null id, label or vector, or with a null or non-finite component, take no part. Of rows that share
+Rows: those with a null id, label or vector, or with a null or non-finite component, take no part, nor do ids that are not
+whole numbers. Of rows that share
 an id the least one by label, then vector, takes part, once. A vector that is shorter than another one counts as zero
 where it ends. Anchors without positives, or whose windows hold no row, return nothing. Other columns are ignored.
 """
@@ -46,8 +47,9 @@ _FOUND = StructType([StructField("anchor_id", LongType()), StructField("slot", I
 def usable(rows: DataFrame, vec_id: str, label: str, vector: str) -> DataFrame:
     """(id, label, vec) of the rows that take part; ids may still repeat."""
     sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
-    return rows.where(F.col(vec_id).isNotNull() & F.col(label).isNotNull() & F.col(vector).isNotNull() & sound).select(
-        F.col(vec_id).cast("long").alias("id"), F.col(label).alias("label"), F.col(vector).alias("vec"))
+    number = F.col(vec_id).try_cast("long")
+    return rows.where(number.isNotNull() & F.col(label).isNotNull() & F.col(vector).isNotNull() & sound).select(
+        number.alias("id"), F.col(label).alias("label"), F.col(vector).alias("vec"))
 
 
 class _Best:
