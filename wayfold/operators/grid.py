@@ -11,6 +11,7 @@ from wayfold.operators.components import cell_components
 from wayfold.operators.groups import group_key, null_groups
 from wayfold.operators.ordered import with_one_row
 from wayfold.operators.rowruns import cells_of, hole_runs
+from wayfold.session import shuffled
 
 CELL = ("ix", "iy")
 
@@ -397,7 +398,7 @@ def cell_set_overlap(a: DataFrame, b: DataFrame, key_a: str, key_b: str, by: Seq
     """IoU, overlap and inside ratio of rasterised shapes from one cell join plus two counts."""
     na = a.groupBy(*by, key_a).agg(F.count(F.lit(1)).alias("n_a"))
     nb = b.groupBy(*by, key_b).agg(F.count(F.lit(1)).alias("n_b"))
-    both = a.join(b, [*by, *CELL]).groupBy(*by, key_a, key_b).agg(F.count(F.lit(1)).alias("n_ab"))
-    j = both.join(na, [*by, key_a]).join(nb, [*by, key_b])
+    both = a.join(shuffled(b), [*by, *CELL]).groupBy(*by, key_a, key_b).agg(F.count(F.lit(1)).alias("n_ab"))
+    j = both.join(shuffled(na), [*by, key_a]).join(shuffled(nb), [*by, key_b])
     n, x, y = F.col("n_ab"), F.col("n_a"), F.col("n_b")
     return j.select(*by, key_a, key_b, n, (n / (x + y - n)).alias("iou"), (n / F.least(x, y)).alias("overlap"), (n / x).alias("inside_ratio"))

@@ -40,6 +40,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-wayfold-ckpt-", dir="/tmp"))
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a join side that is never broadcast: rows that were copied to cells, or come from a packed file, are many
+    more bytes than the planner takes them for, and would fill the driver."""
+    return df.hint("merge")
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage by writing a table under the shared checkpoint folder and reading it back.
 
