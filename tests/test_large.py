@@ -23,3 +23,8 @@ def test_copied_cells_are_not_broadcast(spark, tmp_path, capsys):
     cells = d.select("id", F.explode(F.sequence(F.lit(0), F.lit(50))).alias("ix"), F.lit(0).alias("iy"))
     overlap = G.cell_set_overlap(cells.withColumnRenamed("id", "a"), cells.withColumnRenamed("id", "b"), "a", "b")
     assert "BroadcastHashJoin" not in plan_of(overlap, capsys)
+
+
+def test_dbscan_is_not_broadcast(spark, tmp_path, capsys):
+    d = spots(spark, str(tmp_path / "d"))
+    assert "BroadcastHashJoin" not in plan_of(CC.dbscan(d, "id", 5.0, 3), capsys)

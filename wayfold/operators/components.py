@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.operators.groups import null_groups
-from wayfold.session import checkpoint, checkpoint_observed
+from wayfold.session import checkpoint, checkpoint_observed, shuffled
 
 
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", max_rounds: int = 60) -> DataFrame:
@@ -32,11 +32,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
         both = e.select(turn).select("p.u", "p.v")
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         # every node hands its larger neighbours to its smallest one (repeats are merged below)
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
+        large = both.filter("v > u").join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
         low2 = large.groupBy("u").agg(F.min("v").alias("m"))
         star = F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
                                  F.struct(F.col("u").alias("u"), F.col("m").alias("v"))))
-        small = large.join(low2, "u").select(star.alias("p")).select("p.u", "p.v").filter("u <> v").distinct()
+        small = large.join(shuffled(low2), "u").select(star.alias("p")).select("p.u", "p.v").filter("u <> v").distinct()
         e, after = checkpoint_observed(small, **mark)
         if after == before:
             break
@@ -50,7 +50,7 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst", m
 def label_all(nodes: DataFrame, key: str, edges: DataFrame) -> DataFrame:
     """Attach ``label`` to every node; isolated nodes label themselves."""
     cc = connected_components(edges)
-    return nodes.join(cc.withColumnRenamed("id", key), key, "left").withColumn("label", F.coalesce("label", F.col(key)))
+    return nodes.join(shuffled(cc.withColumnRenamed("id", key)), key, "left").withColumn("label", F.coalesce("label", F.col(key)))
 
 
 def _half_offsets(r: int) -> list[tuple[int, int]]:
@@ -79,12 +79,12 @@ def distance_links(df: DataFrame, key: str, eps: float, by: Sequence[str] = (),
     cell = [*names, "_cx", "_cy"]
     spots = checkpoint(cells.groupBy(*cell, "_x", "_y").agg(F.min("_id").alias("_id")))
     box = checkpoint(spots.groupBy(*cell).agg(F.min("_id").alias("rep"), *_box()))
-    star = cells.join(box.select(*cell, "rep"), cell).filter("_id <> rep").select(F.col("_id").alias("src"), F.col("rep").alias("dst"))
+    star = cells.join(shuffled(box.select(*cell, "rep")), cell).filter("_id <> rep").select(F.col("_id").alias("src"), F.col("rep").alias("dst"))
 
     offs = F.explode(F.array(*[F.struct(F.lit(a).cast("long").alias("dx"), F.lit(b).cast("long").alias("dy")) for a, b in _half_offsets(2)])).alias("o")
     side_of = lambda d, p: d.select(*names, F.col("_cx").alias(f"{p}_cx"), F.col("_cy").alias(f"{p}_cy"), *[F.col(c).alias(f"{p}_{c}") for c in d.columns if c not in cell])
     left = side_of(box, "a").select("*", offs).withColumn("b_cx", F.col("a_cx") + F.col("o.dx")).withColumn("b_cy", F.col("a_cy") + F.col("o.dy")).drop("o")
-    pairs = left.join(side_of(box, "b"), [*names, "b_cx", "b_cy"])
+    pairs = left.join(shuffled(side_of(box, "b")), [*names, "b_cx", "b_cy"])
     links, ends = [star], [F.col("a_rep").alias("src"), F.col("b_rep").alias("dst")]
     while True:
         pairs, seen = checkpoint_observed(_gaps(pairs).filter(F.col("near") <= eps), open=F.count_if(F.col("wide") > eps))
@@ -93,13 +93,13 @@ def distance_links(df: DataFrame, key: str, eps: float, by: Sequence[str] = (),
         if not seen["open"]:
             break
         # a pair of cells is done once one pair of their parts is linked
-        still = pairs.filter(F.col("wide") > eps).join(sure.select(F.col("src").alias("a_rep"), F.col("dst").alias("b_rep")), ["a_rep", "b_rep"], "left_anti")
+        still = pairs.filter(F.col("wide") > eps).join(shuffled(sure.select(F.col("src").alias("a_rep"), F.col("dst").alias("b_rep"))), ["a_rep", "b_rep"], "left_anti")
         still = checkpoint(still.select(*names, *[f"{p}_{c}" for p in "ab" for c in ("cx", "cy", "rep", "n")]))
         few = still.filter(F.col("a_n") * F.col("b_n") <= DIRECT)
         now = spots.select(*names, "_x", "_y", at("_x", side).alias("_cx"), at("_y", side).alias("_cy"))
         met = few
         for p in "ab":
-            met = met.join(side_of(now, p), [*names, f"{p}_cx", f"{p}_cy"])
+            met = met.join(shuffled(side_of(now, p)), [*names, f"{p}_cx", f"{p}_cy"])
         links.append(met.filter(F.hypot(F.col("a__x") - F.col("b__x"), F.col("a__y") - F.col("b__y")) <= eps).select(*ends).distinct())
         side /= 2  # halving is exact, so parts nest
         parts = checkpoint(spots.select(*names, "_x", "_y", at("_x", side).alias("_cx"), at("_y", side).alias("_cy")).groupBy(*cell).agg(*_box()))
@@ -107,7 +107,7 @@ def distance_links(df: DataFrame, key: str, eps: float, by: Sequence[str] = (),
         for p in "ab":
             quarter = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("o")
             pairs = pairs.select("*", quarter).withColumn(f"{p}_cx", 2 * F.col(f"{p}_cx") + F.col("o.i")).withColumn(f"{p}_cy", 2 * F.col(f"{p}_cy") + F.col("o.j")).drop("o")
-            pairs = pairs.join(side_of(parts, p), [*names, f"{p}_cx", f"{p}_cy"])
+            pairs = pairs.join(shuffled(side_of(parts, p)), [*names, f"{p}_cx", f"{p}_cy"])
     out = links[0]
     for more in links[1:]:
         out = out.unionByName(more)
@@ -144,7 +144,7 @@ def cell_components(cells: DataFrame, by: Sequence[str] = (), diagonal: bool = T
     left = c.select(*by, "_node", o, ix, iy).select(
         *by, F.col("_node").alias("src"), (F.col(ix) + F.col("o.dx")).alias(ix), (F.col(iy) + F.col("o.dy")).alias(iy))
     right = c.select(*by, ix, iy, F.col("_node").alias("dst"))
-    edges = left.join(right, [*by, ix, iy]).select("src", "dst")
+    edges = left.join(shuffled(right), [*by, ix, iy]).select("src", "dst")
     return label_all(c, "_node", edges).drop("_node")
 
 
@@ -161,7 +161,7 @@ def dbscan(df: DataFrame, key: str, eps: float, min_pts: int, by: Sequence[str]
     c = c.withColumn("_cx", F.floor(F.col("_x") / side).cast("long")).withColumn("_cy", F.floor(F.col("_y") / side).cast("long"))
     cell = [*by, "_cx", "_cy"]
     size = c.groupBy(*cell).agg(F.count(F.lit(1)).alias("_n"))
-    c = c.join(size, cell)
+    c = c.join(shuffled(size), cell)
     # copies of one coordinate count once with a weight, so a pile of copies is a single join row
     spots = c.groupBy(*cell, "_x", "_y").agg(F.count(F.lit(1)).alias("_w"))
     near = F.explode(F.array(*[F.struct(F.lit(a).cast("long").alias("dx"), F.lit(b).cast("long").alias("dy"))
@@ -170,16 +170,16 @@ def dbscan(df: DataFrame, key: str, eps: float, min_pts: int, by: Sequence[str]
     def around(points: DataFrame, others: DataFrame) -> DataFrame:
         p = points.select(*by, "_id", F.col("_x").alias("px"), F.col("_y").alias("py"), "_cx", "_cy", near)
         p = p.select(*by, "_id", "px", "py", (F.col("_cx") + F.col("o.dx")).alias("_cx"), (F.col("_cy") + F.col("o.dy")).alias("_cy"))
-        return p.join(others, cell).filter(F.hypot(F.col("px") - F.col("_x"), F.col("py") - F.col("_y")) <= eps)
+        return p.join(shuffled(others), cell).filter(F.hypot(F.col("px") - F.col("_x"), F.col("py") - F.col("_y")) <= eps)
 
     sparse = c.filter(F.col("_n") < min_pts)
     counts = around(sparse, spots).groupBy("_id").agg(F.sum("_w").alias("_k")).filter(F.col("_k") >= min_pts).select("_id")
     core_ids = c.filter(F.col("_n") >= min_pts).select("_id").unionByName(counts)
-    core = checkpoint(c.join(core_ids, "_id", "left_semi"))
+    core = checkpoint(c.join(shuffled(core_ids), "_id", "left_semi"))
     core_lab = centroid_clusters(core, "_id", eps, by, "_x", "_y").select(*cell, "_id", "_x", "_y", "label")
     # border points live in sparse cells only; each core cell carries one label (it is a clique)
     core_spots = core_lab.groupBy(*cell, "_x", "_y").agg(F.min("label").alias("label"))
-    rest = sparse.join(core_ids, "_id", "left_anti")
+    rest = sparse.join(shuffled(core_ids), "_id", "left_anti")
     border = around(rest, core_spots).groupBy("_id").agg(F.min("label").alias("label")).withColumn("is_core", F.lit(False))
     found = core_lab.select("_id", "label").withColumn("is_core", F.lit(True)).unionByName(border)
-    return df.join(found.withColumnRenamed("_id", key), key, "left").withColumn("is_core", F.coalesce("is_core", F.lit(False)))
+    return df.join(shuffled(found.withColumnRenamed("_id", key)), key, "left").withColumn("is_core", F.coalesce("is_core", F.lit(False)))
