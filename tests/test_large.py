@@ -25,6 +25,23 @@ def test_copied_cells_are_not_broadcast(spark, tmp_path, capsys):
     assert "BroadcastHashJoin" not in plan_of(overlap, capsys)
 
 
+def test_pairs_within_are_not_broadcast(spark, tmp_path, capsys):
+    d = spots(spark, str(tmp_path / "d"))
+    near = J.within(d, d.select(F.col("id").alias("other"), F.col("x").alias("rx"), F.col("y").alias("ry")), 5.0)
+    assert "BroadcastHashJoin" not in plan_of(near, capsys)
+    rows = d.collect()
+    assert near.count() == sum((a.x - b.x) ** 2 + (a.y - b.y) ** 2 <= 25 for a in rows for b in rows)
+
+
 def test_dbscan_is_not_broadcast(spark, tmp_path, capsys):
     d = spots(spark, str(tmp_path / "d"))
     assert "BroadcastHashJoin" not in plan_of(CC.dbscan(d, "id", 5.0, 3), capsys)
+
+
+def test_nearest_shuffles_many_candidates(spark, tmp_path, capsys, monkeypatch):
+    d = spots(spark, str(tmp_path / "d"))
+    want = {r.id: (r.near_dist, r.near_id) for r in J.nearest(d, d.filter("id % 3 = 0"), ["id"]).collect()}
+    monkeypatch.setattr(J, "FEW", 0)
+    near = J.nearest(d, d.filter("id % 3 = 0"), ["id"])
+    assert "BroadcastHashJoin" not in plan_of(near, capsys)
+    assert {r.id: (r.near_dist, r.near_id) for r in near.collect()} == want

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wayfold.session import checkpoint, checkpoint_observed
+from wayfold.session import checkpoint, checkpoint_observed, shuffled
 
 
 def _cell(v: str | Column, size) -> Column:
@@ -32,13 +32,16 @@ def within(left: DataFrame, right: DataFrame, dist: float, by: Sequence[str] = (
     """
     l = left.withColumn("_gx", _cell("x", dist)).withColumn("_gy", _cell("y", dist))
     r = around(right, dist, rx, ry)
-    return l.join(r, [*by, "_gx", "_gy"]).withColumn("dist", F.hypot(F.col("x") - F.col(rx), F.col("y") - F.col(ry))).filter(
+    return l.join(shuffled(r), [*by, "_gx", "_gy"]).withColumn("dist", F.hypot(F.col("x") - F.col(rx), F.col("y") - F.col(ry))).filter(
         F.col("dist") <= dist).drop("_gx", "_gy")
 
 
 #: Candidates that a cell's points choose from; cells with more are split. Cells are not split below the finest size.
 LIST, FINEST = 64, 1e-3
 
+#: With more candidate rows than this, left rows are shuffled to them instead of leaving that to the planner.
+FEW = 65_536
+
 
 def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequence[str] = (), cell: float = 16.0, prefix: str = "near_") -> DataFrame:
     """Nearest right row per left row (ties: smallest first field); keeps every left row.
@@ -67,19 +70,20 @@ def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequen
     every = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_l")
     block = lambda d: d.select("*", _ring()).withColumn("_gx", F.col("_gx") + F.col("_o.dx")).withColumn("_gy", F.col("_gy") + F.col("_o.dy")).drop("_o")
     filled = block(at(ref.select(*by, "rx", "ry", every), "rx", "ry").select(*by, "_l", "_gx", "_gy").distinct()).distinct()
-    found = at(cells.select("*", every), "cx", "cy").join(filled, [*by, "_l", "_gx", "_gy"]).groupBy(*k, "cx", "cy").agg((F.min("_l") + 1).alias("_l"))
+    found = at(cells.select("*", every), "cx", "cy").join(shuffled(filled), [*by, "_l", "_gx", "_gy"]).groupBy(*k, "cx", "cy").agg((F.min("_l") + 1).alias("_l"))
     # only the levels in use are built on the right side
-    pairs = block(at(found, "cx", "cy")).join(at(ref.select("*", F.explode(F.sequence(F.lit(1), F.lit(top + 1))).alias("_l")), "rx", "ry"), [*by, "_l", "_gx", "_gy"])
+    pairs = block(at(found, "cx", "cy")).join(shuffled(at(ref.select("*", F.explode(F.sequence(F.lit(1), F.lit(top + 1))).alias("_l")), "rx", "ry")), [*by, "_l", "_gx", "_gy"])
     pairs = pairs.select(*k, "rx", "ry", "_f", F.hypot(F.col("rx") - F.col("cx"), F.col("ry") - F.col("cy")).alias("dist"))
     near = pairs.groupBy(*k).agg(F.min("dist").alias("_d"))
-    close = checkpoint(pairs.join(near, k).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9).select(*k, "rx", "ry", "_f"))
+    close, met = checkpoint_observed(pairs.join(shuffled(near), k).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9).select(*k, "rx", "ry", "_f"), n=F.count(F.lit(1)))
+    side = shuffled if met["n"] > FEW else lambda d: d
     long, seen = checkpoint_observed(close.groupBy(*k).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LIST).select(*k), n=F.count(F.lit(1)))
     placed = left.withColumn("_ix", _cell("x", cell)).withColumn("_iy", _cell("y", cell))
     d2 = lambda v: (v["rx"] - F.col("x")) * (v["rx"] - F.col("x")) + (v["ry"] - F.col("y")) * (v["ry"] - F.col("y"))
 
     def pick(rows: DataFrame, close: DataFrame) -> DataFrame:
         cand = close.groupBy(*k).agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c"))
-        j = rows.join(cand, k, "left").withColumn("_b", F.array_min(F.transform("_c", lambda v: F.struct(d2(v).alias("d2"), v["_f"].alias("f")))))
+        j = rows.join(side(cand), k, "left").withColumn("_b", F.array_min(F.transform("_c", lambda v: F.struct(d2(v).alias("d2"), v["_f"].alias("f")))))
         return j.select(*left.columns, F.sqrt("_b.d2").alias(prefix + "dist"), *[F.col(f"_b.f._f_{f}").alias(prefix + f) for f in fields])
 
     if not seen["n"] or cell < FINEST:
@@ -108,7 +112,7 @@ def boxes_overlapping(a: DataFrame, b: DataFrame, cell: float, by: Sequence[str]
         span = lambda lo, hi: F.explode(F.sequence(_cell(p + lo, cell), _cell(p + hi, cell)))
         return d.withColumn("_gx", span("minx", "maxx")).withColumn("_gy", span("miny", "maxy"))
 
-    j = spread(a, "a_").join(spread(b, "b_"), [*by, "_gx", "_gy"])
+    j = spread(a, "a_").join(shuffled(spread(b, "b_")), [*by, "_gx", "_gy"])
     low = lambda c: _cell(F.greatest(F.col("a_" + c), F.col("b_" + c)), cell)
     meet = ((F.col("a_maxx") >= F.col("b_minx")) & (F.col("a_minx") <= F.col("b_maxx"))
             & (F.col("a_maxy") >= F.col("b_miny")) & (F.col("a_miny") <= F.col("b_maxy")))
@@ -123,7 +127,7 @@ def near_segments(points: DataFrame, segments: DataFrame, dist: float, by: Seque
     span = lambda a, b: F.explode(F.sequence(_cell(lo(F.col(a), F.col(b)), dist), _cell(hi(F.col(a), F.col(b)), dist)))
     s = segments.withColumn("_gx", span("ax", "bx")).withColumn("_gy", span("ay", "by_"))
     p = points.withColumn("_gx", _cell("x", dist)).withColumn("_gy", _cell("y", dist))
-    j = p.join(s, [*by, "_gx", "_gy"]).drop("_gx", "_gy")
+    j = p.join(shuffled(s), [*by, "_gx", "_gy"]).drop("_gx", "_gy")
     d = segment_distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
     return j.withColumn("dist", d).filter(F.col("dist") <= dist)
 
@@ -149,7 +153,7 @@ def nearest_segment(points: DataFrame, segments: DataFrame, by: Sequence[str], s
         # a piece is at most one reach long: what is within reach of it has its middle within 1.5 cells of twice the reach
         cells = cut.select("_k", "ax", "ay", "bx", "by_", at("ax", "bx", mid).alias("mx"), at("ay", "by_", mid).alias("my"))
         cells = around(cells, 2 * reach, "mx", "my").select("_k", "_gx", "_gy", "ax", "ay", "bx", "by_").distinct()
-        met = left.withColumn("_gx", _cell("x", 2 * reach)).withColumn("_gy", _cell("y", 2 * reach)).join(cells, ["_k", "_gx", "_gy"])
+        met = left.withColumn("_gx", _cell("x", 2 * reach)).withColumn("_gy", _cell("y", 2 * reach)).join(shuffled(cells), ["_k", "_gx", "_gy"])
         d = segment_distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
         done = checkpoint(met.withColumn("dist", d).filter(F.col("dist") <= reach).groupBy("_k", "_id").agg(F.min("dist").alias("dist")))
         found = done if found is None else found.unionByName(done)
