@@ -14,7 +14,7 @@ from wayfold.operators.audits import distinct_steps
 from wayfold.operators.joins import within
 from wayfold.operators.groups import group_key
 from wayfold.operators.shapes import hull_of
-from wayfold.session import checkpoint
+from wayfold.session import checkpoint, shuffled
 
 
 def predicate_components(df: DataFrame, key: str, by: Sequence[str], reach: float, test: GR.Pair, leaders: int = 2) -> DataFrame:
@@ -39,20 +39,20 @@ def predicate_components(df: DataFrame, key: str, by: Sequence[str], reach: floa
     for _ in range(leaders):
         row = F.struct(key, *[c for c in cols if c not in (key, *k)])
         lead = rest.groupBy(*k).agg(F.min(row).alias("_m")).select(*k, "_m.*").select(*cols)
-        hit = base.join(move(lead_of(lead), False), k).filter(same | test(lambda c: F.col("_r_" + c), lambda c: F.col(c)))
+        hit = base.join(shuffled(move(lead_of(lead), False)), k).filter(same | test(lambda c: F.col("_r_" + c), lambda c: F.col(c)))
         e = checkpoint(hit.select(F.col(key).alias("src"), F.col("_r_" + key).alias("dst")))
         edges = e if edges is None else edges.unionByName(e)
         rest = rest.join(e.select(F.col("src").alias(key)).distinct(), key, "left_anti")
     lab = checkpoint(CC.label_all(base, key, edges))
     groups = lab.select(*k, "label").distinct()
     other = move(groups.withColumnRenamed("label", "_l2").withColumn("_hx", F.col("_cx")).withColumn("_hy", F.col("_cy")), True)
-    gp = groups.join(other, k).filter(F.col("label") != F.col("_l2"))
-    left = gp.join(lab, [*k, "label"])
+    gp = groups.join(shuffled(other), k).filter(F.col("label") != F.col("_l2"))
+    left = gp.join(shuffled(lab), [*k, "label"])
     right = lab.select(*by, *[F.col(c).alias("_r_" + c) for c in cols if c not in by], F.col("label").alias("_l2"), F.col("_cx").alias("_hx"), F.col("_cy").alias("_hy"))
-    more = left.join(right, [*by, "_hx", "_hy", "_l2"]).filter(test(lambda c: F.col("_r_" + c), lambda c: F.col(c)))
+    more = left.join(shuffled(right), [*by, "_hx", "_hy", "_l2"]).filter(test(lambda c: F.col("_r_" + c), lambda c: F.col(c)))
     more = more.select(F.col("label").alias("src"), F.col("_l2").alias("dst")).distinct()
     top = CC.connected_components(more).select(F.col("id").alias("label"), F.col("label").alias("_top"))
-    return lab.join(top, "label", "left").withColumn("label", F.coalesce("_top", "label")).drop("_top", "_cx", "_cy")
+    return lab.join(shuffled(top), "label", "left").withColumn("label", F.coalesce("_top", "label")).drop("_top", "_cx", "_cy")
 
 
 class _Centre:

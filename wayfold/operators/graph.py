@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from wayfold.operators import components as CC, greedy as GR
 from wayfold.operators.joins import within
 from wayfold.operators.ordered import with_one_row
+from wayfold.session import shuffled
 
 
 def endpoints(lines: DataFrame) -> DataFrame:
@@ -51,7 +52,7 @@ def with_degrees(edges: DataFrame) -> DataFrame:
     d = degrees(edges)
     f = d.select(F.col("node_id").alias("from_node"), F.col("degree").alias("deg_from"))
     t = d.select(F.col("node_id").alias("to_node"), F.col("degree").alias("deg_to"))
-    return edges.join(f, "from_node").join(t, "to_node")
+    return edges.join(shuffled(f), "from_node").join(shuffled(t), "to_node")
 
 
 def spur_flag(edges: DataFrame, spur_len: float) -> DataFrame:
@@ -80,7 +81,7 @@ def merge_dangling(edges: DataFrame, nodes: DataFrame, spur_len: float, merge_to
     """
     d = with_degrees(edges).filter((F.col("length_m") >= spur_len) & ((F.col("deg_from") == 1) | (F.col("deg_to") == 1)))
     ends = d.select("edge_id", F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.col(n).alias("node_id"), F.col(g).alias("deg")) for s, n, g in ((0, "from_node", "deg_from"), (1, "to_node", "deg_to"))])).alias("e")).select("edge_id", "e.*").filter("deg = 1")
-    here = ends.join(nodes, "node_id")
+    here = ends.join(shuffled(nodes), "node_id")
     there = nodes.select(bucket, F.col("node_id").alias("target"), F.col("x").alias("rx"), F.col("y").alias("ry"))
     near = within(here, there, merge_tol, [bucket]).filter("node_id <> target")
     best = near.groupBy("edge_id", "side", "node_id").agg(F.min(F.struct("dist", "target")).alias("m")).select("edge_id", "side", "node_id", F.col("m.target").alias("target"), F.col("m.dist").alias("dist"))
