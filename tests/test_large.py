@@ -45,3 +45,16 @@ def test_nearest_shuffles_many_candidates(spark, tmp_path, capsys, monkeypatch):
     near = J.nearest(d, d.filter("id % 3 = 0"), ["id"])
     assert "BroadcastHashJoin" not in plan_of(near, capsys)
     assert {r.id: (r.near_dist, r.near_id) for r in near.collect()} == want
+
+
+def test_drift_stop_passes_zeros(spark):
+    values = [5.0, 0.0, 6.0, 0.0, 0.0, 7.0, 40.0, 8.0, 0.0, 0.0, 0.0, 9.0]
+    d = spark.createDataFrame([(1, i, v) for i, v in enumerate(values)], "k long, i long, v double")
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many keys: all ratios are written before a join
+    try:
+        got = [(r.i, r.drift) for r in CH.drift_stop(d, ["k"], "i", "v", 2, 0.25, 4, 3).orderBy("i").collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    drifts = {1, 3, 4, 6, 8, 9}
+    assert got == [(i, i in drifts) for i in range(10)]

@@ -113,7 +113,8 @@ def drift_stop(df: DataFrame, by: Sequence[str], order: str, value: str, least:
     d = checkpoint(_numbered(df, by, order))
     ahead = with_halo(d.select("_k", "pos", F.col(value).alias("v")), "pos", stop)
     w = halo_window(["_k"], "pos")
-    fits = [(F.lead("v", k).over(w) >= least) & (F.lead("v", k).over(w) / F.col("v")).between(low, high) for k in range(1, stop + 1)]
+    # a value of zero is under ``least`` and never the last accepted one: its ratios are asked for but not used
+    fits = [(F.lead("v", k).over(w) >= least) & F.try_divide(F.lead("v", k).over(w), F.col("v")).between(low, high) for k in range(1, stop + 1)]
     to = F.coalesce(*[F.when(f, F.col("pos") + k) for k, f in enumerate(fits, 1)])
     links = drop_halo(ahead.withColumn("to", to), "pos")
     first = links.where((F.col("v") >= least) & (F.col("pos") < stop)).groupBy("_k").agg(F.min("pos").alias("_first"))
