@@ -1,10 +1,13 @@
-"""What only shows on larger tables: join sides that outgrow their estimate, zero values, long ids."""
+"""What only shows on larger tables: join sides that outgrow their estimate, zero values, long ids, many parts."""
+
+import os
 
 from pyspark.sql import functions as F
 
 from wayfold.operators import chains as CH, components as CC, grid as G, joins as J
 from wayfold.queries import load_all
 from wayfold.queries.catalog import QUERIES
+from wayfold.sources import sinks
 
 
 def plan_of(df, capsys):
@@ -67,3 +70,14 @@ def test_long_ids_read_like_the_twins(spark, tmp_path):
     row = QUERIES["p19_frame_ids"](spark, str(tmp_path)).first()
     assert (row.label, row.num, row.kept) == ("1234567890", 123456789098765, "click")
     assert QUERIES["s04_calibration_text"](spark, str(tmp_path)).first().name == "P_12"
+
+
+def test_small_parts_are_one_file_each(spark, tmp_path, monkeypatch):
+    load_all()
+    seen = {}
+    write = sinks.write_committed
+    monkeypatch.setattr(sinks, "write_committed", lambda df, path, *a, **b: seen.update(path=path) or write(df, path, *a, **b))
+    spark.sql("SELECT id AS l_orderkey, 1 AS l_linenumber, 3L AS l_suppkey, id % 7 AS l_partkey, 1D AS l_quantity, 1D AS l_discount, 1D AS l_extendedprice FROM range(5000)").write.parquet(str(tmp_path / "lineitem.parquet"))
+    got = QUERIES["s14_sized_parts_written"](spark, str(tmp_path)).collect()
+    files = [f for _, _, names in os.walk(seen["path"].removeprefix("file:") + "/attempts") for f in names if f.endswith(".parquet")]
+    assert len(got) == 4 and sum(r.points for r in got) == 5000 and len(files) == len(got)

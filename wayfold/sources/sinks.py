@@ -48,14 +48,15 @@ def sized_parts(points: DataFrame, by: Sequence[str], frame: str, target_bytes:
 MANIFEST = "version long, attempt string, rows long"
 
 
-def write_committed(df: DataFrame, path: str, keys: Sequence[str] = ()) -> int:
+def write_committed(df: DataFrame, path: str, keys: Sequence[str] = (), writers: int = 16) -> int:
     """Write a new version of the table at ``path``; it counts once its line in the manifest stands, and not before.
 
     Every attempt has a folder of its own. An attempt that was killed leaves a folder that no line names, so readers never
     see a part of it, and the next attempt repeats nothing. The line is written last, by one task. Returns the rows.
+    A key goes to up to ``writers`` files; one is enough where keys are small, as those of ``sized_parts``.
     """
     spark, root, attempt, seen = df.sparkSession, path.rstrip("/"), uuid.uuid4().hex, Observation()
-    spread = df.repartition(*[F.col(k) for k in keys], F.pmod(F.xxhash64(*df.columns), F.lit(16))) if keys else df
+    spread = df.repartition(*[F.col(k) for k in keys], F.pmod(F.xxhash64(*df.columns), F.lit(writers))) if keys else df
     w = spread.observe(seen, F.count(F.lit(1)).alias("n")).write
     (w.partitionBy(*keys) if keys else w).parquet(f"{root}/attempts/{attempt}")
     rows = seen.get["n"]
