@@ -448,3 +448,24 @@ def test_ground_rasters_shuffle_once_per_key(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     assert plan.count("Exchange hashpartitioning") <= 3
+
+
+@pytest.mark.parametrize("diagonal", [True, False])
+def test_cell_components_link_only_across_tiles(spark, monkeypatch, diagonal):
+    """A solid block of cells over several tiles becomes a graph of its tiles, and cells without a place stay alone."""
+    block = [(g, x, y) for g in (None, 1) for x in range(-70, 70) for y in range(-70, 70)] + [(1, 300, 300), (1, 301, 301), (1, None, 4)]
+    met = []
+    plain = components.connected_components
+
+    def seen(edges, *args, **kwargs):
+        met.append(edges.count())
+        return plain(edges, *args, **kwargs)
+
+    monkeypatch.setattr(components, "connected_components", seen)
+    cells = spark.createDataFrame(block, "g long, ix long, iy long")
+    n = grid.area_components(cells, 1.0, ["g"], diagonal).groupBy("g", "cells").count()
+    got = {(r["g"], r["cells"]): r["count"] for r in n.collect()}
+    assert got == ({(None, 19600): 1, (1, 19600): 1, (1, 2): 1, (1, 1): 1} if diagonal else {(None, 19600): 1, (1, 19600): 1, (1, 1): 3})
+    assert sum(met) < 8000
+    lab = components.cell_components(cells, ["g"], diagonal).filter("ix < 100").groupBy("g", "label").count().collect()
+    assert {(r["g"], r["label"]["ix"], r["label"]["iy"], r["count"]) for r in lab} == {(None, -70, -70, 19600), (1, -70, -70, 19600)}

@@ -7,8 +7,11 @@ so no cell ever emits all of its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.operators.groups import null_groups
@@ -131,21 +134,119 @@ def centroid_clusters(df: DataFrame, key: str, eps: float, by: Sequence[str] = (
     return label_all(df, key, distance_links(df, key, eps, by, x, y))
 
 
+#: Side of a tile in cells: a tile is labelled whole inside a task, so it holds at most TILE * TILE distinct cells.
+TILE = 64
+
+
+def _tile_parts(at: np.ndarray, ix: np.ndarray, iy: np.ndarray, there: np.ndarray, offs: Sequence[tuple[int, int]]) -> np.ndarray:
+    """Position of the first cell of its part, for every cell; rows come by tile (``at``), ix, iy, and parts stay inside tiles."""
+    lx, ly = ix % TILE, iy % TILE
+    code = (at * TILE + lx) * (2 * TILE) + ly  # a row is as wide again as a tile, so no step reaches the next one
+    code = np.where(there, code, -1)
+    pos = np.flatnonzero(there)
+    own = code[pos]
+    lab = np.arange(len(code))
+    a, b = [], []
+    if len(pos) > 1:  # copies of a cell
+        same = own[1:] == own[:-1]
+        a.append(pos[1:][same]), b.append(pos[:-1][same])
+    for dx, dy in offs:
+        inside = pos[(lx[pos] + dx < TILE) & (ly[pos] + dy >= 0) & (ly[pos] + dy < TILE)]
+        want = code[inside] + dx * 2 * TILE + dy
+        hit = np.searchsorted(own, want)
+        met = hit < len(own)
+        met[met] = own[hit[met]] == want[met]
+        a.append(inside[met]), b.append(pos[hit[met]])
+    a, b = np.concatenate(a) if a else pos[:0], np.concatenate(b) if b else pos[:0]
+    while len(a):
+        low, high = np.minimum(lab[a], lab[b]), np.maximum(lab[a], lab[b])
+        np.minimum.at(lab, high, low)
+        while True:
+            up = lab[lab]
+            if np.array_equal(up, lab):
+                break
+            lab = up
+        open_ = lab[a] != lab[b]
+        a, b = a[open_], b[open_]
+    return lab
+
+
+def _tiles(cells: DataFrame, by: Sequence[str], offs: Sequence[tuple[int, int]], ix: str, iy: str) -> DataFrame:
+    """One row per tile: (by, cells, at, open). ``at`` is the place of the smallest cell of each cell's part, ``open`` tells if the part reaches the border."""
+    rest = [c for c in cells.columns if c not in (*by, ix, iy)]
+    tile = [F.floor(F.col(c) / F.lit(TILE)).alias(t) for c, t in ((ix, "_tx"), (iy, "_ty"))]
+    rows = F.sort_array(F.collect_list(F.struct(F.col(ix).cast("long").alias("ix"), F.col(iy).cast("long").alias("iy"), *[F.col(c) for c in rest])))
+    lists = cells.select("*", *tile).groupBy(*by, "_tx", "_ty").agg(rows.alias("cells")).drop("_tx", "_ty")
+    schema = lists.select("*", F.lit(None).cast("array<int>").alias("at"), F.lit(None).cast("array<boolean>").alias("open")).schema
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            many = batch.column("cells")
+            ends = many.offsets.to_numpy()
+            flat = many.flatten()
+            x, y = flat.field("ix"), flat.field("iy")
+            there = pc.and_(pc.is_valid(x), pc.is_valid(y)).to_numpy(zero_copy_only=False)
+            num = lambda v: pc.fill_null(v, 0).to_numpy(zero_copy_only=False)
+            sizes = np.diff(ends)
+            got = _tile_parts(np.repeat(np.arange(len(sizes)), sizes), num(x), num(y), there, offs)
+            rim = there & (np.isin(num(x) % TILE, (0, TILE - 1)) | np.isin(num(y) % TILE, (0, TILE - 1)))
+            reach = np.zeros(len(got), bool)
+            reach[got[rim]] = True
+            listed = lambda v, t: pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), pa.array(v, t))
+            new = [listed(got - np.repeat(ends[:-1] - ends[0], sizes), pa.int32()), listed(reach[got], pa.bool_())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=[*batch.schema.names, "at", "open"])
+
+    return checkpoint(lists.mapInArrow(label, schema))
+
+
+def _cell_parts(cells: DataFrame, by: Sequence[str], diagonal: bool, ix: str, iy: str) -> tuple[DataFrame, DataFrame]:
+    """Cells with ``_part``, the smallest cell of their tile that they are linked to, and ``_open``: the part reaches a tile's
+    border; and (_part, label) of the parts that are linked across borders."""
+    offs = [(1, 0), (0, 1)] + ([(1, 1), (1, -1)] if diagonal else [])
+    tiles = _tiles(cells, by, offs, ix, iy)
+    node = lambda c: F.struct(*[F.col(b) for b in by], c["ix"].alias(ix), c["iy"].alias(iy))
+    edge = lambda c: c["ix"].isNotNull() & c["iy"].isNotNull() & (F.pmod(c["ix"], F.lit(TILE)).isin(0, TILE - 1) | F.pmod(c["iy"], F.lit(TILE)).isin(0, TILE - 1))
+    cell = F.col("e.cells")
+    one = tiles.select(*by, F.explode(F.arrays_zip("cells", F.transform("at", lambda i: F.get("cells", i)).alias("first"), "open")).alias("e"))
+    names = [f.name for f in tiles.schema["cells"].dataType.elementType.fields]
+    lab = one.select(*by, *[cell[n].alias({"ix": ix, "iy": iy}.get(n, n)) for n in names], node(F.col("e.first")).alias("_part"), F.col("e.open").alias("_open"))
+    # links over a border: of the cells on it only
+    met = lambda c, a: F.struct(c["ix"].alias("ix"), c["iy"].alias("iy"), F.get("cells", a)["ix"].alias("px"), F.get("cells", a)["iy"].alias("py"))
+    rim = tiles.select(*by, F.explode(F.filter(F.transform(F.arrays_zip("cells", "at"), lambda z: F.when(edge(z["cells"]), met(z["cells"], z["at"]))), lambda z: z.isNotNull())).alias("c"))
+    rim = checkpoint(rim.select(*by, "c.*").distinct())
+    part = lambda n: F.struct(*[F.col(b) for b in by], F.col("px").alias(ix), F.col("py").alias(iy)).alias(n)
+    o = F.explode(F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in offs])).alias("o")
+    tile = lambda c: F.floor(c / F.lit(TILE))
+    left = rim.select(*by, part("src"), "ix", "iy", o).select(*by, "src", (F.col("ix") + F.col("o.dx")).alias("_nx"), (F.col("iy") + F.col("o.dy")).alias("_ny"), "ix", "iy")
+    left = left.filter((tile(F.col("ix")) != tile(F.col("_nx"))) | (tile(F.col("iy")) != tile(F.col("_ny")))).drop("ix", "iy")
+    right = rim.select(*by, F.col("ix").alias("_nx"), F.col("iy").alias("_ny"), part("dst"))
+    cc = connected_components(left.join(shuffled(right), [*by, "_nx", "_ny"]).select("src", "dst"))
+    return lab, checkpoint(cc.withColumnRenamed("id", "_part"))
+
+
 @null_groups
 def cell_components(cells: DataFrame, by: Sequence[str] = (), diagonal: bool = True, ix: str = "ix", iy: str = "iy") -> DataFrame:
-    """Connected components of occupied grid cells (8- or 4-neighbour); adds ``label``.
+    """Connected components of occupied grid cells (8- or 4-neighbour); adds ``label``, the smallest cell of the component.
 
-    The node id is the (by, ix, iy) struct itself, so it stays unique at any grid size.
+    The node id is the (by, ix, iy) struct itself, so it stays unique at any grid size. Tiles are labelled inside tasks; only
+    their parts that meet across a border become edges of a graph, so its size follows the borders and not the cells.
     """
-    offs = [(1, 0), (0, 1)] + ([(1, 1), (1, -1)] if diagonal else [])
-    node = F.struct(*[F.col(c) for c in by], F.col(ix), F.col(iy))
-    c = checkpoint(cells.withColumn("_node", node))
-    o = F.explode(F.array(*[F.struct(F.lit(a).alias("dx"), F.lit(b).alias("dy")) for a, b in offs])).alias("o")
-    left = c.select(*by, "_node", o, ix, iy).select(
-        *by, F.col("_node").alias("src"), (F.col(ix) + F.col("o.dx")).alias(ix), (F.col(iy) + F.col("o.dy")).alias(iy))
-    right = c.select(*by, ix, iy, F.col("_node").alias("dst"))
-    edges = left.join(shuffled(right), [*by, ix, iy]).select("src", "dst")
-    return label_all(c, "_node", edges).drop("_node")
+    lab, cc = _cell_parts(cells, by, diagonal, ix, iy)
+    closed = lab.filter(~F.col("_open")).withColumn("label", F.col("_part"))
+    crossing = lab.filter("_open").join(shuffled(cc), "_part", "left").withColumn("label", F.coalesce("label", F.col("_part")))
+    names = [*cells.columns, "label"]
+    return closed.select(*names).unionByName(crossing.select(*names))
+
+
+@null_groups
+def cell_component_sizes(cells: DataFrame, by: Sequence[str] = (), diagonal: bool = True, ix: str = "ix", iy: str = "iy") -> DataFrame:
+    """(by, label, cells) of ``cell_components``; parts of tiles are counted before their labels are looked up."""
+    lab, cc = _cell_parts(cells.select(*by, ix, iy), by, diagonal, ix, iy)
+    n = lab.groupBy(*by, "_part", "_open").agg(F.count(F.lit(1)).alias("cells"))
+    n = checkpoint(n)
+    closed = n.filter(~F.col("_open")).select(*by, F.col("_part").alias("label"), "cells")
+    crossing = n.filter("_open").join(shuffled(cc), "_part", "left").groupBy(*by, F.coalesce("label", F.col("_part")).alias("label")).agg(F.sum("cells").alias("cells"))
+    return closed.unionByName(crossing.select(*closed.columns))
 
 
 @null_groups

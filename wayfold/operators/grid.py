@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.functions.stats import cell_percentiles, exact_percentiles
-from wayfold.operators.components import cell_components
+from wayfold.operators.components import cell_component_sizes, cell_components
 from wayfold.operators.groups import group_key, null_groups
 from wayfold.operators.ordered import with_one_row
 from wayfold.operators.rowruns import cells_of, hole_runs
@@ -256,8 +256,7 @@ def ratio_threshold(scores: DataFrame, value: str, lo: float, hi: float, by: Seq
 
 def area_components(mask: DataFrame, res: float, by: Sequence[str], diagonal: bool) -> DataFrame:
     """Component sizes of a cell mask; the label is its smallest cell."""
-    lab = cell_components(mask, by, diagonal)
-    return lab.groupBy(*by, "label").agg(F.count(F.lit(1)).alias("cells"), (F.count(F.lit(1)) * res * res).alias("area_m2"))
+    return cell_component_sizes(mask, by, diagonal).withColumn("area_m2", F.col("cells") * res * res)
 
 
 @null_groups
