@@ -469,3 +469,11 @@ def test_cell_components_link_only_across_tiles(spark, monkeypatch, diagonal):
     assert sum(met) < 8000
     lab = components.cell_components(cells, ["g"], diagonal).filter("ix < 100").groupBy("g", "label").count().collect()
     assert {(r["g"], r["label"]["ix"], r["label"]["iy"], r["count"]) for r in lab} == {(None, -70, -70, 19600), (1, -70, -70, 19600)}
+
+
+def test_closest_frame_looks_back_in_both_directions(spark):
+    frames = spark.createDataFrame([(1, f) for f in (5, 400, 1000, 5000)], "d long, frame_id long")
+    targets = spark.createDataFrame([(1, t) for t in (0, 200, 203, 702, 3000, 9000)], "d long, target long")
+    out = joins.closest_frame(targets, frames, ["d"], 64)
+    assert {r["target"]: r["frame_id"] for r in out.collect()} == {0: 5, 200: 5, 203: 400, 702: 1000, 3000: 1000, 9000: 5000}
+    assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()

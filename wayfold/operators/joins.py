@@ -198,9 +198,9 @@ def closest_frame(targets: DataFrame, frames: DataFrame, by: Sequence[str], widt
 
     edge = f.groupBy(*by, "_b").agg(F.min("frame_id").alias("_lo"), F.max("frame_id").alias("_hi"))
     need = t.select(*by, "_b").distinct().join(edge, [*by, "_b"], "full")
-    w = W.partitionBy(*by).orderBy("_b")
-    need = need.withColumn("_prev", F.max("_hi").over(w.rowsBetween(W.unboundedPreceding, -1))).withColumn(
-        "_next", F.min("_lo").over(w.rowsBetween(1, W.unboundedFollowing)))
+    # both directions look back from a row: a frame that runs to the end of its partition is summed up anew for every row
+    before = lambda order: W.partitionBy(*by).orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    need = need.withColumn("_prev", F.max("_hi").over(before(F.asc("_b")))).withColumn("_next", F.min("_lo").over(before(F.desc("_b"))))
     outer = t.join(need.select(*by, "_b", "_prev", "_next"), [*by, "_b"]).select(
         *t.columns, F.explode(F.array("_prev", "_next")).alias("frame_id")).filter("frame_id is not null")
     cand = t.join(f, [*by, "_b"]).select(*t.columns, "frame_id").unionByName(outer)
