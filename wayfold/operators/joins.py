@@ -99,7 +99,7 @@ def in_boxes(points: DataFrame, boxes: DataFrame, cell: float, by: Sequence[str]
     span = lambda lo, hi: F.explode(F.sequence(_cell(lo, cell), _cell(hi, cell)))
     b = boxes.withColumn("_gx", span("minx", "maxx")).withColumn("_gy", span("miny", "maxy"))
     p = points.withColumn("_gx", _cell("x", cell)).withColumn("_gy", _cell("y", cell))
-    j = p.join(b, [*by, "_gx", "_gy"]).drop("_gx", "_gy")
+    j = p.join(shuffled(b), [*by, "_gx", "_gy"]).drop("_gx", "_gy")
     return j.filter(F.col("x").between(F.col("minx"), F.col("maxx")) & F.col("y").between(F.col("miny"), F.col("maxy")))
 
 
