@@ -477,3 +477,11 @@ def test_closest_frame_looks_back_in_both_directions(spark):
     out = joins.closest_frame(targets, frames, ["d"], 64)
     assert {r["target"]: r["frame_id"] for r in out.collect()} == {0: 5, 200: 5, 203: 400, 702: 1000, 3000: 1000, 9000: 5000}
     assert "unboundedfollowing" not in out._jdf.queryExecution().optimizedPlan().toString().lower()
+
+
+def test_greedy_small_groups_are_cut_where_nothing_is_in_reach(spark):
+    """As in the rounds for large groups, rows farther apart than the reach never meet, whatever the test says."""
+    rows = [(i, 1, 100.0 * (i % 3) + 0.1 * i, 0.0) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, g long, x double, y double")
+    small = greedy.greedy_keep(df, "id", ["g"], [-C("id")], 10.0, lambda a, b: F.lit(True))
+    assert {r["id"]: r["owner"] for r in small.collect()} == {i: i % 3 for i in range(30)}

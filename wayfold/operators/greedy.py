@@ -27,12 +27,21 @@ def greedy_keep(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[C
     boxes pass the side as a column, and the reach is the largest side in ``df``.
     """
     by = list(by)
+    if isinstance(reach, Column):
+        reach = float(df.agg(F.max(reach)).first()[0] or 1.0)
     d = df.withColumn("_p", F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)]))
     n = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     big = n.filter(F.col("_n") > SMALL)
     small = d.join(n.filter(F.col("_n") <= SMALL).select(*by), by, "left_semi")
     row = F.struct("_p", *df.columns)
     g = small.groupBy(*by).agg(F.sort_array(F.collect_list(row), asc=False).alias("r"))
+    # rows farther apart than the reach never meet: a group is walked in pieces, cut where a strip of two reaches is empty
+    strip = lambda r: F.coalesce(F.floor(r["x"] / F.lit(2.0 * reach)), F.lit(0))
+    g = g.withColumn("_s", F.array_sort(F.array_distinct(F.transform("r", strip))))
+    g = g.withColumn("_cut", F.filter("_s", lambda s, i: (i == 0) | (s - F.get("_s", i - 1) > 1)))
+    last = lambda i: F.coalesce(F.get("_cut", i + 1) - 1, F.array_max("_s"))
+    pieces = F.when(F.size("_cut") == 1, F.array("r")).otherwise(F.transform("_cut", lambda c, i: F.filter("r", lambda r: strip(r).between(c, last(i)))))
+    g = g.select(F.explode(pieces).alias("r"))
     entry = lambda b, owner: F.struct(b.alias("b"), owner.alias("owner"))
 
     def add(acc: Column, b: Column) -> Column:
@@ -44,8 +53,6 @@ def greedy_keep(df: DataFrame, key: str, by: Sequence[str], priority: Sequence[C
     out = out.withColumn("kept", F.col("owner") == F.col(key))
     if big.isEmpty():
         return out
-    if isinstance(reach, Column):
-        reach = float(df.agg(F.max(reach)).first()[0] or 1.0)
     return out.unionByName(greedy_rounds(df.join(big.select(*by), by, "left_semi"), key, by, priority, reach, conflict).select(*out.columns))
 
 
