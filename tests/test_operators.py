@@ -485,3 +485,13 @@ def test_greedy_small_groups_are_cut_where_nothing_is_in_reach(spark):
     df = spark.createDataFrame(rows, "id long, g long, x double, y double")
     small = greedy.greedy_keep(df, "id", ["g"], [-C("id")], 10.0, lambda a, b: F.lit(True))
     assert {r["id"]: r["owner"] for r in small.collect()} == {i: i % 3 for i in range(30)}
+
+
+def test_raster_blocks_count_the_cells_of_rasterise(spark):
+    rings = [(i, [(x + a, y + b) for a, b in ((0, 0), (7.3, 2.1), (5.2, 8.4), (-3.1, 4.4))]) for i, (x, y) in enumerate([(0.0, 0.0), (-20.3, -7.7), (100.9, 3.3)])]
+    df = spark.createDataFrame(rings, "id long, ring array<struct<x:double,y:double>>")
+    b = shapes.raster_blocks(df, "id", "ring", 0.5, 4)
+    got = {(r["id"], r["jx"], r["jy"]): r["n"] for r in b.groupBy("id", "jx", "jy").agg(F.sum("n").alias("n")).collect()}
+    cells = shapes.rasterise(df, "id", "ring", 0.5).withColumn("jx", F.floor(C("ix") / 4)).withColumn("jy", F.floor(C("iy") / 4))
+    assert got == {(r["id"], r["jx"], r["jy"]): r["n"] for r in cells.groupBy("id", "jx", "jy").agg(F.count("*").alias("n")).collect()}
+    assert b.count() * 2 < cells.count()

@@ -10,8 +10,8 @@ from wayfold.functions import geometry as E
 from wayfold.operators.grid import floor_div
 
 
-def rasterise(shapes: DataFrame, key: str, ring: str, res: float, by: Sequence[str] = ()) -> DataFrame:
-    """Cells whose centre lies inside each ring: (by, key, ix, iy).
+def raster_spans(shapes: DataFrame, key: str, ring: str, res: float, by: Sequence[str] = ()) -> DataFrame:
+    """Runs a..b of cells whose centre lies inside each ring: (by, key, iy, a, b).
 
     Works by scan line: every cell row of a shape gets its sorted edge crossings, and the cells
     between each pair of crossings follow as a range.
@@ -24,8 +24,23 @@ def rasterise(shapes: DataFrame, key: str, ring: str, res: float, by: Sequence[s
     first = lambda v: F.ceil(v / res - 0.5).cast("long")
     spans = F.transform(F.sequence(F.lit(0), F.floor(F.size("_x") / 2).cast("int") - 1),
                         lambda i: F.struct(first(F.get("_x", 2 * i)).alias("a"), (first(F.get("_x", 2 * i + 1)) - 1).alias("b")))
-    g = g.select(*by, key, "iy", F.explode(spans).alias("_s")).filter("_s.a <= _s.b")
-    return g.select(*by, key, F.explode(F.sequence("_s.a", "_s.b")).alias("ix"), "iy")
+    return g.select(*by, key, "iy", F.explode(spans).alias("_s")).filter("_s.a <= _s.b").select(*by, key, "iy", "_s.a", "_s.b")
+
+
+def rasterise(shapes: DataFrame, key: str, ring: str, res: float, by: Sequence[str] = ()) -> DataFrame:
+    """Cells whose centre lies inside each ring: (by, key, ix, iy)."""
+    return raster_spans(shapes, key, ring, res, by).select(*by, key, F.explode(F.sequence("a", "b")).alias("ix"), "iy")
+
+
+def raster_blocks(shapes: DataFrame, key: str, ring: str, res: float, side: int, by: Sequence[str] = ()) -> DataFrame:
+    """Cells of each ring counted by blocks of side x side cells: (by, key, jx, jy, n), a row for each cell row of a block.
+
+    No row is made for a single cell, so a join with blocks meets a fraction of the rows.
+    """
+    block = lambda c: F.floor(F.col(c) / F.lit(side)).cast("long")
+    s = raster_spans(shapes, key, ring, res, by).select(*by, key, "a", "b", block("iy").alias("jy"), F.explode(F.sequence(block("a"), block("b"))).alias("jx"))
+    n = F.least("b", F.col("jx") * side + side - 1) - F.greatest("a", F.col("jx") * side) + 1
+    return s.select(*by, key, "jx", "jy", n.alias("n"))
 
 
 def hull_of(points: DataFrame, by: Sequence[str], bucket: int = 4096) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from wayfold.functions import geometry as E, records as R
 from wayfold.operators import grid as G, joins as J, lines as L, ordered as O, shapes as S
 from wayfold.queries.catalog import C, query
+from wayfold.session import shuffled
 
 
 def RING():
@@ -194,10 +195,10 @@ def _(c):
 @query("e21_road_clip", f"""WITH {CELLSET}, rd AS (SELECT DISTINCT CAST(floor(x/2.0) AS BIGINT) AS ix, CAST(floor(y/2.0) AS BIGINT) AS iy FROM points), r AS (SELECT cs.cand_id, avg(CASE WHEN rd.ix IS NULL THEN 0.0 ELSE 1.0 END) AS ratio FROM cs LEFT JOIN rd ON rd.ix=CAST(floor(cs.ix/4.0) AS BIGINT) AND rd.iy=CAST(floor(cs.iy/4.0) AS BIGINT) GROUP BY 1)
  SELECT cand_id, round(ratio,6) AS ratio FROM r WHERE ratio>=0.3117""")
 def _(c):
-    cs = S.rasterise(c.candidates.withColumn("ring", RING()), "cand_id", "ring", 0.5)
-    road = c.points.select(G.floor_div(C("x"), 2.0).alias("jx"), G.floor_div(C("y"), 2.0).alias("jy")).distinct().withColumn("r", F.lit(1.0))
-    j = cs.withColumn("jx", F.floor(C("ix") / 4)).withColumn("jy", F.floor(C("iy") / 4)).join(road, ["jx", "jy"], "left")
-    return j.groupBy("cand_id").agg(F.avg(F.coalesce("r", F.lit(0.0))).alias("ratio")).filter("ratio >= 0.3117")
+    cs = S.raster_blocks(c.candidates.withColumn("ring", RING()), "cand_id", "ring", 0.5, 4)
+    road = c.points.select(G.floor_div(C("x"), 2.0).alias("jx"), G.floor_div(C("y"), 2.0).alias("jy")).distinct().withColumn("r", F.lit(1))
+    j = cs.join(shuffled(road), ["jx", "jy"], "left")
+    return j.groupBy("cand_id").agg((F.sum(C("n") * F.coalesce("r", F.lit(0))) / F.sum("n")).alias("ratio")).filter("ratio >= 0.3117")
 
 
 @query("e22_ring_signature", "SELECT count(*) AS shapes, count(DISTINCT (x, y, rect_l, rect_w, angle)) AS signatures FROM candidates")

@@ -13,6 +13,7 @@ from wayfold.queries.q_j_joins import SUP, support
 from wayfold.queries.q_p_scalars import MAT, pose12, posed
 from wayfold.queries.q_r_grid import BASE, BY, CELLS, MASK, RAST, RES, SEED, cc_sql, near, seeds, surface
 from wayfold.functions import transforms as T
+from wayfold.session import shuffled
 
 
 def N():
@@ -255,9 +256,9 @@ def _(c):
 @query("x19_evidence_cleaning", f"""WITH {CELLSET}, road AS (SELECT DISTINCT CAST(floor(x/2.0) AS BIGINT) AS jx, CAST(floor(y/2.0) AS BIGINT) AS jy FROM points), o AS (SELECT cs.cand_id, count(*) n, count(jx) k FROM cs LEFT JOIN road ON jx=CAST(floor(ix/4.0) AS BIGINT) AND jy=CAST(floor(iy/4.0) AS BIGINT) GROUP BY 1), cl AS (SELECT cand_id, n, k FROM o WHERE k/CAST(n AS DOUBLE)>=0.2137 AND k*0.25>=2)
  SELECT class, count(*) AS before_n, count(cl.cand_id) AS after_n, round(coalesce(sum(cl.k),0)*0.25::DOUBLE,6) AS area_after FROM candidates c LEFT JOIN cl ON cl.cand_id=c.cand_id GROUP BY 1""")
 def _(c):
-    cs = S.rasterise(ringed(c), "cand_id", "ring", 0.5)
+    cs = S.raster_blocks(ringed(c), "cand_id", "ring", 0.5, 4)
     road = c.points.select(G.floor_div(C("x"), 2.0).alias("jx"), G.floor_div(C("y"), 2.0).alias("jy")).distinct().withColumn("r", F.lit(1))
-    o = cs.withColumn("jx", F.floor(C("ix") / 4)).withColumn("jy", F.floor(C("iy") / 4)).join(road, ["jx", "jy"], "left").groupBy("cand_id").agg(N().alias("n"), F.count("r").alias("k"))
+    o = cs.join(shuffled(road), ["jx", "jy"], "left").groupBy("cand_id").agg(F.sum("n").alias("n"), F.sum(C("n") * F.coalesce("r", F.lit(0))).alias("k"))
     keep = o.filter((C("k") / C("n") >= 0.2137) & (C("k") * 0.25 >= 2)).select("cand_id", "k")
     return c.candidates.select("cand_id", "class").join(keep, "cand_id", "left").groupBy("class").agg(N().alias("before_n"), F.count("k").alias("after_n"), (F.coalesce(F.sum("k"), F.lit(0)) * 0.25).alias("area_after"))
 
