@@ -495,3 +495,11 @@ def test_raster_blocks_count_the_cells_of_rasterise(spark):
     cells = shapes.rasterise(df, "id", "ring", 0.5).withColumn("jx", F.floor(C("ix") / 4)).withColumn("jy", F.floor(C("iy") / 4))
     assert got == {(r["id"], r["jx"], r["jy"]): r["n"] for r in cells.groupBy("id", "jx", "jy").agg(F.count("*").alias("n")).collect()}
     assert b.count() * 2 < cells.count()
+
+
+def test_marking_score_reads_its_points_once(spark, monkeypatch):
+    kept, plain = [], grid.checkpoint
+    monkeypatch.setattr(grid, "checkpoint", lambda df: kept.append(df.columns) or plain(df))
+    pts = spark.createDataFrame([(1, i % 3, 0, i / 10) for i in range(12)], "g long, ix long, iy long, intensity double")
+    s = {r["ix"]: r["score"] for r in grid.marking_score(pts, 0.75, ["g"], 0.1).collect()}
+    assert s == {0: 0.25, 1: 0.25, 2: 0.25} and len(kept) == 1

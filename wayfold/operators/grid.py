@@ -11,7 +11,7 @@ from wayfold.operators.components import cell_component_sizes, cell_components
 from wayfold.operators.groups import group_key, null_groups
 from wayfold.operators.ordered import with_one_row
 from wayfold.operators.rowruns import cells_of, hole_runs
-from wayfold.session import shuffled
+from wayfold.session import checkpoint, shuffled
 
 CELL = ("ix", "iy")
 
@@ -236,6 +236,7 @@ def road_cells(rasters: DataFrame, min_density: int, rough_max: float) -> DataFr
 @null_groups
 def marking_score(road_pts: DataFrame, pctl: float, by: Sequence[str], width: float) -> DataFrame:
     """Per road cell: share of points at or over the road-wide intensity percentile of their key."""
+    road_pts = checkpoint(road_pts.select(*by, *CELL, "intensity"))
     thr = exact_percentiles(road_pts, by, "intensity", {"thr": pctl}, width).drop("n")
     p = road_pts.join(thr, list(by))
     hit = F.count_if(F.col("intensity") >= F.col("thr"))
@@ -246,6 +247,7 @@ def marking_score(road_pts: DataFrame, pctl: float, by: Sequence[str], width: fl
 def ratio_threshold(scores: DataFrame, value: str, lo: float, hi: float, by: Sequence[str], width: float) -> DataFrame:
     """Score threshold whose selected share lies in [lo, hi]: try the middle, then the violated bound."""
     mid = max(1e-6, min((lo + hi) * 0.5, 0.999))
+    scores = checkpoint(scores.select(*by, value))
     t = exact_percentiles(scores, by, value, {"t_mid": 1 - mid, "t_lo": 1 - lo, "t_hi": 1 - hi}, width)
     j = scores.join(t, list(by)) if by else with_one_row(scores, t.drop("n"))
     share = lambda c: F.avg((F.col(value) >= F.col(c)).cast("double"))
