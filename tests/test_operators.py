@@ -503,3 +503,11 @@ def test_marking_score_reads_its_points_once(spark, monkeypatch):
     pts = spark.createDataFrame([(1, i % 3, 0, i / 10) for i in range(12)], "g long, ix long, iy long, intensity double")
     s = {r["ix"]: r["score"] for r in grid.marking_score(pts, 0.75, ["g"], 0.1).collect()}
     assert s == {0: 0.25, 1: 0.25, 2: 0.25} and len(kept) == 1
+
+
+def test_ransac_draws_are_the_same_in_parts(spark, monkeypatch):
+    pts = spark.createDataFrame([(1, float(i % 7), float(i % 11), 0.1 * (i % 3)) for i in range(200)], "g long, x double, y double, z double")
+    fit = lambda: [r.asDict() for r in audits.ransac_plane(pts, ["g"], 4, 0.4, 0.5).collect()]
+    whole = fit()
+    monkeypatch.setattr(audits, "DRAWN", 8)
+    assert whole == fit() and whole[0]["n"] == 200

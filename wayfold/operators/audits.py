@@ -110,6 +110,10 @@ def plane_distance() -> Column:
     return F.abs(a * F.col("x") + b * F.col("y") + F.col("c") - F.col("z")) / F.sqrt(a * a + b * b + 1)
 
 
+#: Points that one row of draws is made from.
+DRAWN = 65_536
+
+
 def ransac_plane(points: DataFrame, by: Sequence[str], iters: int, tol: float, min_nz: float) -> DataFrame:
     """Best of ``iters`` planes through three random points per key, re-fitted on its inliers.
 
@@ -119,7 +123,12 @@ def ransac_plane(points: DataFrame, by: Sequence[str], iters: int, tol: float, m
     """
     by = list(by)
     drawn = lambda t, k: F.min(F.struct(F.xxhash64(F.lit(t), F.lit(k), "x", "y", "z").alias("h"), "x", "y", "z")).alias(f"_{t}_{k}")
-    picks = points.groupBy(*by).agg(*[drawn(t, k) for t in range(iters) for k in range(3)])
+    draws = [drawn(t, k) for t in range(iters) for k in range(3)]
+    # a row of draws is far wider than a point: points are brought together first, a huge key in parts, so that it is shuffled once a part
+    n = points.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    part = F.pmod(F.xxhash64("x", "y", "z"), F.ceil(F.col("_n") / F.lit(DRAWN))).alias("_part")
+    parts = points.select(*by, "x", "y", "z").join(n, by).select(*by, "x", "y", "z", part).repartition(*by, "_part")
+    picks = parts.groupBy(*by, "_part").agg(*draws).groupBy(*by).agg(*[F.min(f"_{t}_{k}").alias(f"_{t}_{k}") for t in range(iters) for k in range(3)])
     trial = F.array(*[F.struct(F.lit(t).alias("trial"), *[F.col(f"_{t}_{k}").alias(n) for k, n in enumerate("ABD")]) for t in range(iters)])
     t = picks.select(*by, F.explode(trial).alias("_t")).select(*by, "_t.*")
     v = lambda q, c: F.col(f"{q}.{c}") - F.col(f"A.{c}")
