@@ -7,6 +7,7 @@ from wayfold.operators import grid as G, joins as J, lines as L, shapes as S
 from wayfold.operators.ordered import with_one_row
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_e_geometry import CELLSET, LINE, SEGD, cells_of
+from wayfold.session import shuffled
 
 NEAR = """nn AS (SELECT q.*, p.frame_id AS nf, p.yaw AS nyaw, p.z AS nz, p.dx AS ndist FROM {src} q, LATERAL (SELECT frame_id, yaw, z, (poses.x-q.x)*(poses.x-q.x)+(poses.y-q.y)*(poses.y-q.y) AS dx FROM poses WHERE poses.drive_id=q.drive_id ORDER BY dx, frame_id LIMIT 1) p)"""
 
@@ -69,7 +70,7 @@ BOXD = "sqrt(pow(greatest(minx-x,0,x-maxx),2)+pow(greatest(miny-y,0,y-maxy),2))"
  SELECT cand_id, prior_id, round(d,6) AS dist FROM (SELECT cand_id FROM candidates) LEFT JOIN (SELECT * FROM d WHERE r=1 AND d<=60) USING (cand_id)""")
 def _(c):
     wide = c.priors.select("prior_id", *[(C(k) - 60).alias(k) for k in ("minx", "miny")], *[(C(k) + 60).alias(k) for k in ("maxx", "maxy")])
-    j = J.in_boxes(c.candidates.select("cand_id", "x", "y"), wide, 128.0)
+    j = J.in_boxes(c.candidates.select("cand_id", "x", "y"), shuffled(wide), 128.0)
     box = E.make_box(C("minx") + 60, C("miny") + 60, C("maxx") - 60, C("maxy") - 60)
     j = j.select("cand_id", F.struct(E.box_distance(box, C("x"), C("y")).alias("d"), "prior_id").alias("m"))
     near = j.groupBy("cand_id").agg(F.min("m").alias("m")).select("cand_id", "m.prior_id", C("m.d").alias("dist")).filter("dist <= 60")
