@@ -511,3 +511,45 @@ def test_ransac_draws_are_the_same_in_parts(spark, monkeypatch):
     whole = fit()
     monkeypatch.setattr(audits, "DRAWN", 8)
     assert whole == fit() and whole[0]["n"] == 200
+
+
+def _linked(rows, near):
+    """Smallest id reachable over ``near``, by brute force."""
+    label = {r[0]: r[0] for r in rows}
+    while True:
+        new = {a[0]: min([label[a[0]], *[label[b[0]] for b in rows if near(a, b)]]) for a in rows}
+        if new == label:
+            return label
+        label = new
+
+
+@pytest.mark.parametrize("side, crowd, dense", [(64, 4096, 64), (4, 4096, 64), (4, 20, 64), (2, 4096, 2)])
+def test_clusters_and_snapped_ends_by_tiles(spark, monkeypatch, side, crowd, dense):
+    from wayfold.operators import graph, tiles
+    for name, v in (("SIDE", side), ("CROWD", crowd), ("DENSE", dense)):
+        monkeypatch.setattr(tiles, name, v)
+    rng = np.random.default_rng(5)
+    pts = [(i, float(a), float(b)) for i, (a, b) in enumerate(np.round(rng.uniform(-30, 30, (220, 2)) * 2) / 2)]
+    near = lambda a, b: np.hypot(a[1] - b[1], a[2] - b[2]) <= 2.5
+    odd = [(1000, float("nan"), 1.0), (1001, None, 2.0), (1002, float("inf"), 2.0)]
+    df = spark.createDataFrame(pts + odd, "end_id long, x double, y double")
+    want = _linked(pts, near) | {o[0]: o[0] for o in odd}
+    assert {r["end_id"]: r["label"] for r in components.centroid_clusters(df, "end_id", 2.5).collect()} == want
+    owner = {}
+    for p in pts:
+        owner[p[0]] = next((q[0] for q in pts[:p[0]] if owner[q[0]] == q[0] and near(p, q)), p[0])
+    got = {r["end_id"]: r["node_id"] for r in graph.snap_endpoints(df, 2.5).collect()}
+    assert got == owner | {o[0]: o[0] for o in odd}
+
+
+def test_only_rows_near_a_border_are_linked_by_joins(spark, monkeypatch):
+    links, seen = components.distance_links, []
+
+    def counted(df, *args, **kwargs):
+        seen.append(df.count())
+        return links(df, *args, **kwargs)
+
+    monkeypatch.setattr(components, "distance_links", counted)
+    df = spark.range(1000).selectExpr("id", "id * 0.4 + 1000 as x", "pmod(id * 7, 40) + 100.0 as y")
+    assert components.centroid_clusters(df, "id", 1.0).count() == 1000
+    assert sum(seen) < 200  # all 1000 before

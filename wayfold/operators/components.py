@@ -14,6 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from wayfold.operators import tiles as T
 from wayfold.operators.groups import null_groups
 from wayfold.session import checkpoint, checkpoint_observed, shuffled
 
@@ -130,8 +131,27 @@ def _gaps(pairs: DataFrame) -> DataFrame:
 
 @null_groups
 def centroid_clusters(df: DataFrame, key: str, eps: float, by: Sequence[str] = (), x: str = "x", y: str = "y") -> DataFrame:
-    """Single-linkage clusters (order-independent); label = smallest member key."""
-    return label_all(df, key, distance_links(df, key, eps, by, x, y))
+    """Single-linkage clusters (order-independent); label = smallest member key.
+
+    Tiles are labelled inside tasks; only rows near a tile's border or in a crowded tile are linked by joins, so what is
+    shuffled again follows the borders. Rows with a null key or a place that is no number stay alone.
+    """
+    rows, hot, alone = T.tiled(df, key, eps, by, x, y)
+    out, names = whole_parts(T.linked_parts(rows, key, eps, x, y), hot, key, eps, by, x, y), [*df.columns, "label"]
+    return out.select(*names).unionByName(alone.withColumn("label", F.col(key)).select(*names))
+
+
+def whole_parts(parts: DataFrame, hot: DataFrame | None, key: str, eps: float, by: Sequence[str], x: str, y: str) -> DataFrame:
+    """Parts of tiles, linked across their borders: adds ``label``."""
+    lab = checkpoint(parts)
+    rim = lab.filter("_rim").select(*by, "_part", x, y)
+    if hot is not None:
+        hot = checkpoint(hot.withColumn("_part", F.col(key)))
+        rim = rim.unionByName(hot.select(*rim.columns))
+        lab = lab.unionByName(hot.withColumns({"_rim": F.lit(True), "_open": F.lit(True)}), allowMissingColumns=True)
+    cc = connected_components(distance_links(rim, "_part", eps, by, x, y)).withColumnRenamed("id", "_part")
+    crossing = lab.filter("_open").join(shuffled(cc), "_part", "left").withColumn("label", F.coalesce("label", F.col("_part")))
+    return lab.filter("not _open").withColumn("label", F.col("_part")).unionByName(crossing)
 
 
 #: Side of a tile in cells: a tile is labelled whole inside a task, so it holds at most TILE * TILE distinct cells.
@@ -158,17 +178,7 @@ def _tile_parts(at: np.ndarray, ix: np.ndarray, iy: np.ndarray, there: np.ndarra
         met[met] = own[hit[met]] == want[met]
         a.append(inside[met]), b.append(pos[hit[met]])
     a, b = np.concatenate(a) if a else pos[:0], np.concatenate(b) if b else pos[:0]
-    while len(a):
-        low, high = np.minimum(lab[a], lab[b]), np.maximum(lab[a], lab[b])
-        np.minimum.at(lab, high, low)
-        while True:
-            up = lab[lab]
-            if np.array_equal(up, lab):
-                break
-            lab = up
-        open_ = lab[a] != lab[b]
-        a, b = a[open_], b[open_]
-    return lab
+    return T.join_up(lab, a, b)
 
 
 def _tiles(cells: DataFrame, by: Sequence[str], offs: Sequence[tuple[int, int]], ix: str, iy: str) -> DataFrame:

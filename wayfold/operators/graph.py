@@ -6,10 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from wayfold.operators import components as CC, greedy as GR
+from wayfold.operators import components as CC, greedy as GR, tiles as T
 from wayfold.operators.joins import within
 from wayfold.operators.ordered import with_one_row
-from wayfold.session import shuffled
+from wayfold.session import checkpoint, shuffled
 
 
 def endpoints(lines: DataFrame) -> DataFrame:
@@ -22,12 +22,16 @@ def endpoints(lines: DataFrame) -> DataFrame:
 def snap_endpoints(ends: DataFrame, snap_m: float) -> DataFrame:
     """First-come nodes: an endpoint takes the earliest node within ``snap_m``, else it becomes a node.
 
-    Endpoints further apart than a chain of snap distances never interact, so the walk runs per
-    single-linkage component.
+    Endpoints further apart than a chain of snap distances never interact, so components that lie inside a tile are walked
+    there, by the task that finds them, and only those that cross a border or lie in a crowded tile per component.
     """
-    lab = CC.centroid_clusters(ends, "end_id", snap_m).withColumnRenamed("label", "_grp")
+    rows, hot, alone = T.tiled(ends, "end_id", snap_m, [], "x", "y")
+    lab = CC.whole_parts(T.linked_parts(rows, "end_id", snap_m, "x", "y", owners=True), hot, "end_id", snap_m, [], "x", "y")
+    names = ends.columns
     near = lambda a, b: F.hypot(a("x") - b("x"), a("y") - b("y")) <= snap_m
-    return GR.greedy_keep(lab, "end_id", ["_grp"], [-F.col("end_id")], snap_m, near).withColumnRenamed("owner", "node_id").drop("_grp", "kept")
+    open_ = checkpoint(lab.filter("_open").select(*names, F.col("label").alias("_grp")))
+    walked = GR.greedy_keep(open_, "end_id", ["_grp"], [-F.col("end_id")], snap_m, near).withColumnRenamed("owner", "node_id").select(*names, "node_id")
+    return lab.filter("not _open").select(*names, F.col("_owner").alias("node_id")).unionByName(walked).unionByName(alone.withColumn("node_id", F.col("end_id")))
 
 
 def node_pairs(snapped: DataFrame) -> DataFrame:
