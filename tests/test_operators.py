@@ -553,3 +553,21 @@ def test_only_rows_near_a_border_are_linked_by_joins(spark, monkeypatch):
     df = spark.range(1000).selectExpr("id", "id * 0.4 + 1000 as x", "pmod(id * 7, 40) + 100.0 as y")
     assert components.centroid_clusters(df, "id", 1.0).count() == 1000
     assert sum(seen) < 200  # all 1000 before
+
+
+@pytest.mark.parametrize("side, crowd, dense", [(64, 4096, 64), (4, 20, 64), (2, 4096, 2)])
+def test_pair_components_by_tiles(spark, monkeypatch, side, crowd, dense):
+    from wayfold.operators import tiles
+    for name, v in (("SIDE", side), ("CROWD", crowd), ("DENSE", dense)):
+        monkeypatch.setattr(tiles, name, v)
+    pruned, seen = clusters._pruned_components, []
+    monkeypatch.setattr(clusters, "_pruned_components", lambda df, *a, **k: seen.append(df.count()) or pruned(df, *a, **k))
+    rng = np.random.default_rng(6)
+    pts = [(i, float(a), float(b), i % 7, 0) for i, (a, b) in enumerate(np.round(rng.uniform(10, 70, (220, 2)) * 2) / 2)]
+    near = lambda a, b: abs(a[1] - b[1]) <= 2 and abs(a[2] - b[2]) <= 2 and abs(a[3] - b[3]) <= 2
+    test = lambda a, b: (F.abs(a("x") - b("x")) <= 2) & (F.abs(a("y") - b("y")) <= 2) & (F.abs(a("w") - b("w")) <= 2)
+    odd = [(1000, float("nan"), 1.0, 1, 0), (1001, None, 2.0, 1, 0), (1002, 20.0, 20.0, 1, None)]
+    df = spark.createDataFrame(pts + odd, "id long, x double, y double, w int, g int")
+    got = {r["id"]: r["label"] for r in clusters.predicate_components(df, "id", ["g"], 2.0, test).collect()}
+    assert got == _linked(pts, near) | {o[0]: o[0] for o in odd}
+    assert side < 64 or seen == [0]  # all rows before

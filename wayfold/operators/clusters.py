@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from wayfold.functions import geometry as E
 from wayfold.functions.stats import top_per_group
-from wayfold.operators import components as CC, greedy as GR
+from wayfold.operators import components as CC, greedy as GR, tiles as T
 from wayfold.operators.audits import distinct_steps
 from wayfold.operators.joins import within
 from wayfold.operators.groups import group_key
@@ -20,6 +20,32 @@ from wayfold.session import checkpoint, shuffled
 def predicate_components(df: DataFrame, key: str, by: Sequence[str], reach: float, test: GR.Pair, leaders: int = 2) -> DataFrame:
     """Connected components of a symmetric pair test whose rows are at most ``reach`` apart on both axes.
 
+    Pairs inside a tile are made, tested and joined up by one task. Rows near a tile's border or in a crowded tile go
+    through ``_pruned_components``, and what they link joins parts of tiles. Rows with a null in ``by`` stay alone.
+    """
+    by = list(by)
+    grouped = F.lit(True)
+    for c in by:
+        grouped = grouped & F.col(c).isNotNull()
+    rows, hot, alone = T.tiled(df.filter(grouped), key, reach, by, "x", "y")
+    lab = checkpoint(T.tested_parts(rows, key, reach, "x", "y", lambda d: test(lambda c: F.col("_r_" + c), lambda c: F.col(c))))
+    rim = lab.filter("_rim").drop("_rim", "_open")
+    if hot is not None:
+        hot = checkpoint(hot.withColumn("_part", F.col(key)))
+        rim = rim.unionByName(hot)
+        lab = lab.unionByName(hot.withColumns({"_rim": F.lit(True), "_open": F.lit(True)}))
+    met = _pruned_components(rim.drop("_part"), key, by, reach, test, leaders).select(key, "label")
+    links = rim.select(key, "_part").join(shuffled(met), key).select(F.col("_part").alias("src"), F.col("label").alias("dst"))
+    cc = CC.connected_components(links).select(F.col("id").alias("_part"), "label")
+    crossing = lab.filter("_open").join(shuffled(cc), "_part", "left").withColumn("label", F.coalesce("label", F.col("_part")))
+    names = [*df.columns, "label"]
+    out = lab.filter("not _open").withColumn("label", F.col("_part")).select(*names).unionByName(crossing.select(*names))
+    return out.unionByName(alone.unionByName(df.filter(~grouped)).withColumn("label", F.col(key)).select(*names))
+
+
+def _pruned_components(df: DataFrame, key: str, by: Sequence[str], reach: float, test: GR.Pair, leaders: int = 2) -> DataFrame:
+    """``predicate_components`` by joins.
+
     Pairs are pruned by component: first a few leader rows per cell are tested against their 3x3
     neighbourhood and joined up; then only (cell, component) groups with different components are
     paired. A crowded cell usually is one component after the first step and is never paired with
