@@ -571,3 +571,12 @@ def test_pair_components_by_tiles(spark, monkeypatch, side, crowd, dense):
     got = {r["id"]: r["label"] for r in clusters.predicate_components(df, "id", ["g"], 2.0, test).collect()}
     assert got == _linked(pts, near) | {o[0]: o[0] for o in odd}
     assert side < 64 or seen == [0]  # all rows before
+
+
+def test_trial_at_its_limit_does_not_depend_on_the_order_of_rows(spark):
+    from types import SimpleNamespace
+
+    from wayfold.queries.q_w_sequences import trials
+    rows = [(i, "a", 0.5, v / 100, 1.0, 0.0) for i, p in enumerate(itertools.permutations([78, 91, 92, 93, 96])) for v in p]
+    runs = spark.createDataFrame(rows, "drive_id long, arm string, c_ratio double, b_rough double, dangling_per_km double, conflict_rate double").coalesce(1)
+    assert [r["ok"] for r in trials(SimpleNamespace(runs=runs)).collect()] == [True] * 120

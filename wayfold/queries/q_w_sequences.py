@@ -287,8 +287,10 @@ TRIAL = """tr AS (SELECT o_custkey AS trial, o_orderpriority AS arm, avg(o_total
 
 
 def trials(c):
-    t = c.runs.groupBy(C("drive_id").alias("trial"), "arm").agg(F.avg("c_ratio").alias("c"), F.avg("b_rough").alias("b"), F.avg("dangling_per_km").alias("a"), F.avg("conflict_rate").alias("k"))
-    return t.groupBy("trial").agg(F.every((C("c") >= 0.2) & (C("b") <= 0.9) & (C("a") <= 9)).alias("ok"), F.sum(C("c") - 0.25 * C("b") - 0.01 * C("a") - 0.5 * C("k")).alias("score"), F.min("a").alias("tie"))
+    # shares have two digits and their mean may lie at the limit: they are summed as whole hundredths, so that no order of rows matters
+    b = F.sum(F.round(C("b_rough") * 100).cast("long"))
+    t = c.runs.groupBy(C("drive_id").alias("trial"), "arm").agg(F.avg("c_ratio").alias("c"), (b / F.count("b_rough") / 100).alias("b"), (b <= 90 * F.count("b_rough")).alias("b_ok"), F.avg("dangling_per_km").alias("a"), F.avg("conflict_rate").alias("k"))
+    return t.groupBy("trial").agg(F.every((C("c") >= 0.2) & C("b_ok") & (C("a") <= 9)).alias("ok"), F.sum(C("c") - 0.25 * C("b") - 0.01 * C("a") - 0.5 * C("k")).alias("score"), F.min("a").alias("tie"))
 
 
 @query("k10_leaderboard", f"WITH {TRIAL} SELECT trial, round(score,6) AS score, round(tie,6) AS tie FROM sc WHERE ok ORDER BY sc.score DESC, sc.tie, trial LIMIT 20")
