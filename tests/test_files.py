@@ -2,6 +2,7 @@
 
 import json
 import os
+import time
 
 import numpy as np
 import pytest
@@ -97,3 +98,50 @@ def test_sized_parts_are_bounded(spark):
         order = [min(frames[f]) for f in sorted(frames)]
         assert order == sorted(order) and max(order) > 8
         assert max(sum(r.part == p for r in own) for p in set(order)) * 16 <= 160 + 5 * 16
+
+
+def test_named_files_stand_side_by_side(spark, tmp_path):
+    rows = [(d, f"{f:010d}", f"{48 + i} 8 {f} 0.1 0.2 {i}") for d in (A, B) for f in range(40) for i in range(f % 3 + 1)]
+    sinks.write_named(spark.createDataFrame([*rows, (A, "0000000050", None), (A, "none", "1 2 3 4 5 6")], "folder string, name string, value string"), f"file:{tmp_path}/t")
+    assert sorted(os.listdir(tmp_path / "t")) == [A, B]
+    assert sorted(os.listdir(tmp_path / "t" / B)) == [f"{f:010d}.txt" for f in range(40)]
+    assert (tmp_path / "t" / A / "0000000050.txt").read_bytes() == b"\n"
+    assert sorted((tmp_path / "t" / A / "0000000005.txt").read_text().splitlines()) == [v for d, f, v in rows if d == A and f == "0000000005"]
+    (tmp_path / "t" / A / "_killed").write_text("1 2 3 4 5 6\n")
+    got = files.read_poses(spark, str(tmp_path / "t"), glob=None).collect()
+    assert sorted((r.drive_id, r.frame_id, r.lat) for r in got if r.frame_id is not None) == sorted((d, int(f), float(v.split()[0])) for d, f, v in rows)
+    assert [(r.drive_id, r.lat) for r in got if r.frame_id is None] == [(A, 1.0)]
+
+
+def test_named_files_on_other_stores(spark, tmp_path):
+    rows = [(d, f"{f:010d}", f"{48 + f} 8 1 0 0 0") for d in (A, B) for f in range(3)]
+    sinks.write_named(spark.createDataFrame([*rows, (A, "none", "1 2 3 4 5 6")], "folder string, name string, value string"), str(tmp_path / "t"))  # no scheme: any store
+    got = {(r.drive_id, r.frame_id, r.lat) for r in files.read_poses(spark, str(tmp_path / "t")).collect()}
+    assert got == {(d, int(f), float(v.split()[0])) for d, f, v in rows} | {(A, None, 1.0)}
+
+
+def test_place_is_linear_in_the_path(spark):
+    long = "x" * 60_000
+    paths = [(f"file:/1111111111/{A}/0000000003.txt",), (f"file:/1111111111/{A}/data/notes.txt",), (f"file:/{A}/{long}/{long}/0000000004.txt",)]
+    df = spark.createDataFrame(paths, "p string").select(*(c.alias(n) for c, n in zip(files._place(F.col("p")), files.KEYS)))
+    df.limit(1).collect()
+    start = time.monotonic()
+    assert [tuple(r) for r in df.collect()] == [(A, 3), (A, None), (A, 4)]
+    assert time.monotonic() - start < 5  # half a minute and more with a pattern that starts at each character
+
+
+def test_filed_frames_are_listed_without_a_job(spark):
+    from wayfold.queries import q_s_sources as Q
+    from wayfold.queries.catalog import Catalog
+
+    df = spark.createDataFrame([(d, f) for d in (1, 2) for f in range(40)] + [(None, 7), (1, None)], "d long, f long")
+    folder = Q.filed(Catalog(spark, ""), df, F.lit("48 8 110 0 0 0"))
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        poses = files.read_poses(spark, folder)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("listing")  # a folder per frame takes a task each
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = poses.collect()
+    assert sorted((r.drive_id, r.frame_id) for r in got if r.drive_id and r.frame_id is not None) == [(d, f) for d in ("2013_05_28_drive_0001_sync", "2013_05_28_drive_0002_sync") for f in range(40)]
+    assert sorted((r.drive_id, r.frame_id) for r in got if not r.drive_id or r.frame_id is None) == [("", 7), ("2013_05_28_drive_0001_sync", None)]

@@ -17,10 +17,12 @@ from wayfold.sources import scans
 KEYS = ("drive_id", "frame_id")
 
 
-def _place() -> tuple[Column, Column]:
-    """Drive and frame by the last two parts of the path that name them; parts further up may hold any digits."""
-    path = F.col("_metadata.file_path")
-    tail = F.regexp_extract(path, r"[^/]*/[^/]*$", 0)
+def _place(path: Column) -> tuple[Column, Column]:
+    """Drive and frame by the last two parts of the path that name them; parts further up may hold any digits.
+
+    The driver works this out for every listed file, so it takes no pattern that is tried again from each character.
+    """
+    tail = F.substring_index(path, "/", -2)
     return drive_of(path), F.nullif(frame_of(tail), F.lit("")).cast("long")
 
 
@@ -29,7 +31,7 @@ def survey_files(spark: SparkSession, kind: str, path: str, glob: str | None, dr
     r = spark.read.format(kind).option("recursiveFileLookup", "true")
     for k, v in options.items():
         r = r.option(k, v)
-    drive, frame = _place()
+    drive, frame = _place(F.col("_metadata.file_path"))
     df = (r.option("pathGlobFilter", glob) if glob else r).load(path)
     if drives is not None:
         df = df.where(drive.isin(list(drives)))

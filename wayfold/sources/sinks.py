@@ -1,12 +1,16 @@
-"""Sinks: partitioned parts, keyed caches, report files."""
+"""Sinks: partitioned parts, named files, keyed caches, report files."""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import os
 import uuid
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from itertools import groupby
+from operator import itemgetter
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
@@ -45,6 +49,36 @@ def sized_parts(points: DataFrame, by: Sequence[str], frame: str, target_bytes:
     return joined.select(*points.columns, "part")
 
 
+def write_named(lines: DataFrame, path: str) -> None:
+    """The lines (folder, name, value) as text files ``path/folder/name.txt``, all of a folder side by side in it.
+
+    ``partitionBy`` makes a folder per file, which costs a reader one listing task each, and on a local or mounted store
+    Hadoop starts six processes for every such file. So tasks write the files themselves there, a line at a time; each takes its
+    name once it is whole, so a killed attempt leaves nothing that a reader sees. Other stores keep ``partitionBy``.
+    """
+    spread = lines.select("folder", "name", "value").repartition("folder", "name")
+    if not path.startswith("file:"):
+        spread.write.partitionBy("folder", "name").text(path)
+        return
+    root = path.removeprefix("file:").removeprefix("//")
+    os.makedirs(root)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        n = 0
+        for (folder, name), own in groupby(rows, itemgetter(0, 1)):
+            os.makedirs(f"{root}/{folder}", exist_ok=True)
+            hidden = f"{root}/{folder}/_{uuid.uuid4().hex}"
+            with open(hidden, "wb") as f:
+                f.writelines((v or b"") + b"\n" for _, _, v in own)
+            os.replace(hidden, f"{root}/{folder}/{name}.txt")
+            n += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([n], pa.int64())})
+
+    ordered = spread.withColumn("value", F.col("value").cast("binary")).sortWithinPartitions("folder", "name")
+    ordered.mapInArrow(write, "files long").agg(F.sum("files")).first()
+
+
 MANIFEST = "version long, attempt string, rows long"
 
 
