@@ -4,6 +4,8 @@ import os
 
 from pyspark.sql import functions as F
 
+from wayfold import session
+from wayfold.functions import stats
 from wayfold.operators import chains as CH, components as CC, grid as G, joins as J
 from wayfold.queries import load_all
 from wayfold.queries.catalog import QUERIES
@@ -81,3 +83,32 @@ def test_small_parts_are_one_file_each(spark, tmp_path, monkeypatch):
     got = QUERIES["s14_sized_parts_written"](spark, str(tmp_path)).collect()
     files = [f for _, _, names in os.walk(seen["path"].removeprefix("file:") + "/attempts") for f in names if f.endswith(".parquet")]
     assert len(got) == 4 and sum(r.points for r in got) == 5000 and len(files) == len(got)
+
+
+def quantile(values, p):
+    values, r = sorted(values), (len(values) - 1) * p
+    lo, hi = values[int(r)], values[min(int(r) + 1, len(values) - 1)]
+    return lo + (hi - lo) * (r - int(r))
+
+
+def test_labellings_rank_like_brute_force(spark):
+    rows = [((i * 37 % 50) / 8, i * 13 % 9) for i in range(400)] + [(None, 8), (1.0, 0)]
+    got = {r.i: r for r in stats.rank_labellings(spark.createDataFrame(rows, "v double, c long"), "v", "c", 3, 0.25, .95).collect()}
+    assert sorted(got) == [0, 1]  # no row has a third digit
+    for i, r in got.items():
+        pos, neg = ([v for v, c in rows if v is not None and c // 3 ** i % 3 == k] for k in (2, 1))
+        wins = sum((a > b) + (a == b) / 2 for a in pos for b in neg)
+        assert (r.n_pos, r.n_neg) == (len(pos), len(neg)) and abs(r.auc - wins / len(pos) / len(neg)) < 1e-12
+        assert abs(r.pos_p - quantile(pos, .95)) < 1e-12 and abs(r.neg_p - quantile(neg, .95)) < 1e-12
+
+
+def test_shift_grid_writes_a_hit_once(spark, tmp_path, monkeypatch):
+    load_all()
+    spark.sql("SELECT id AS l_orderkey, 1 AS l_linenumber, 0L AS l_suppkey, id * 7 % 200 AS l_partkey, 1D AS l_quantity, 0.01D AS l_discount, id * 10D AS l_extendedprice FROM range(3000)").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("SELECT id AS s_suppkey, 1D AS s_acctbal, id % 3 AS s_nationkey FROM range(8)").write.parquet(str(tmp_path / "supplier.parquet"))
+    hits = sum(5 * b - 7 <= i * 7 % 200 / 4 <= 5 * b + 19 + b % 3 and 8 * (b % 3) - 7 <= i % 997 / 4 <= 8 * (b % 3) + 47 for i in range(3000) for b in range(8))
+    written, write = [], session._write_table
+    monkeypatch.setattr(session, "_write_table", lambda df, schema: written.append(write(df, schema)) or written[-1])
+    assert QUERIES["a23_shift_grid"](spark, str(tmp_path)).count() == 9
+    big = [n for n in (d.count() for d in written) if n >= hits]
+    assert hits > 1000 and big == [hits]

@@ -63,6 +63,47 @@ def rank_auc(df: DataFrame, keys: Sequence[str], score: str, label: str, width:
         (F.col("r") - np_ * (np_ + 1) * 0.5) / (np_ * nn)).alias("auc"))
 
 
+def rank_labellings(df: DataFrame, score: str, code: str, count: int, width: float, p: float) -> DataFrame:
+    """ROC-AUC and the ``p`` percentile of either class for ``count`` labellings (at most 39) of the same rows.
+
+    ``code`` holds a row's labels as the ternary digits of a long, first labelling lowest: 2 positive, 1 negative, 0 none. Rows (``i``, ``n_pos``,
+    ``n_neg``, ``auc``, ``pos_p``, ``neg_p``), one per labelling that has rows. Rows are written, shuffled and sorted once and not once per labelling:
+    by value chunks of ``width`` (pick about range/1000), whose totals are then added up.
+    """
+    m = range(count)
+    rows = checkpoint(df.select(F.col(score).alias("_s"), F.col(code).cast("long").alias("_code"))).filter("_s is not null and _code > 0")
+    rows = rows.withColumn("_chunk", F.floor(F.col("_s") / width))
+    digit = lambda unit: F.expr(f"_code div {unit} % 3")
+    # sorted as they are: the columns of the labellings would fill the shuffle
+    flags = rows.repartition("_chunk").sortWithinPartitions("_chunk", "_s").select(
+        "_chunk", "_s", *[(digit(f"{3 ** i}L") == 2).cast("long").alias(f"_p{i}") for i in m], *[(digit(f"{3 ** i}L") == 1).cast("long").alias(f"_n{i}") for i in m])
+    upto = W.partitionBy("_chunk").orderBy("_s").rangeBetween(W.unboundedPreceding, W.currentRow)
+    runs = flags.select("*", *[F.sum(f"_{c}{i}").over(upto).alias(f"_{c}_upto{i}") for i in m for c in "pn"])
+    # negatives up to each positive less positives up to each negative: ties cancel, twice the wins are this plus all pairs
+    lead = lambda i: F.sum(F.col(f"_p{i}") * F.col(f"_n_upto{i}") - F.col(f"_n{i}") * F.col(f"_p_upto{i}"))
+    chunks = runs.groupBy("_chunk").agg(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(3 ** i).cast("long").alias("_unit"), lead(i).alias("_lead"),
+                                                           F.sum(f"_p{i}").alias("_p"), F.sum(f"_n{i}").alias("_n")) for i in m]).alias("_all"))
+    chunks = checkpoint(chunks.select("_chunk", F.explode("_all").alias("_one")).select("_chunk", "_one.*"))
+    all_, below = W.partitionBy("i"), W.partitionBy("i").orderBy("_chunk").rowsBetween(W.unboundedPreceding, -1)
+    t = chunks.select("*", *[F.sum(c).over(all_).alias(f"{c}_all") for c in ("_p", "_n")], *[F.coalesce(F.sum(c).over(below), F.lit(0)).alias(f"{c}_below") for c in ("_p", "_n")])
+    d = lambda c: F.col(c).cast("double")
+    auc = t.groupBy("i").agg(F.sum("_p").alias("n_pos"), F.sum("_n").alias("n_neg"), F.sum((d("_lead") + d("_p") * d("_n")) / 2 + d("_p") * d("_n_below")).alias("_u"))
+    none = (F.col("n_pos") == 0) | (F.col("n_neg") == 0)
+    auc = auc.filter("n_pos + n_neg > 0").select("i", "n_pos", "n_neg", F.when(none, 0.5).otherwise(F.col("_u") / d("n_pos") / d("n_neg")).alias("auc"))
+    # a percentile looks again at the chunks alone that hold its two ranks
+    r = F.col("_sum") - 1
+    ranks = t.select("i", "_unit", "_chunk", F.explode(F.array(*[F.struct(F.lit(k).alias("_lab"), F.col(c).alias("_in"), F.col(f"{c}_below").alias("_base"), F.col(f"{c}_all").alias("_sum")) for k, c in ((2, "_p"), (1, "_n"))])).alias("_one"))
+    ranks = ranks.select("i", "_unit", "_chunk", "_one.*").withColumn("_r", r * F.lit(float(p))).filter((F.col("_base") <= F.ceil("_r")) & (F.col("_base") + F.col("_in") > F.floor("_r")) & (F.col("_in") > 0))
+    k = ["i", "_lab", "_r", "_chunk", "_base"]
+    met = rows.join(ranks, "_chunk").filter(digit("_unit") == F.col("_lab")).groupBy(*k, "_s").agg(F.count(F.lit(1)).alias("_c"))
+    met = met.withColumn("_cum", F.col("_base") + F.sum("_c").over(W.partitionBy(*k).orderBy("_s").rowsBetween(W.unboundedPreceding, 0)))
+    at = lambda rank: F.max(F.when((F.col("_cum") > rank) & (F.col("_cum") - F.col("_c") <= rank), F.col("_s")))
+    q = met.groupBy("i", "_lab", "_r").agg(at(F.floor("_r")).alias("_lo"), at(F.ceil("_r")).alias("_hi"))
+    q = q.withColumn("_v", F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_r") - F.floor("_r")))
+    q = q.groupBy("i").agg(*[F.max(F.when(F.col("_lab") == lab, F.col("_v"))).alias(n) for n, lab in (("pos_p", 2), ("neg_p", 1))])
+    return auc.join(q, "i")
+
+
 def ordinal_auc(df: DataFrame, score: str, tie: str, label: str, width: float) -> DataFrame:
     """ROC-AUC on plain sort positions; ties are ordered by ``tie``; 0 if a class is empty."""
     d = running_sum(df, [], [score, tie], F.floor(F.col(score) / width), F.lit(1).cast("long"), "_r")

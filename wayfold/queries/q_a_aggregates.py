@@ -3,13 +3,13 @@
 from pyspark.sql import functions as F
 
 from wayfold.functions import geometry as E, records as R
-from wayfold.functions.stats import cohen_d, discrete_percentile, exact_percentiles, ordinal_auc, rank_auc, rank_value, top_per_group
+from wayfold.functions.stats import cohen_d, discrete_percentile, exact_percentiles, ordinal_auc, rank_auc, rank_labellings, rank_value, top_per_group
 from wayfold.operators import audits as A, grid as G, joins as J, lines as L, ordered as O
 from wayfold.queries.catalog import C, query
 from wayfold.queries.q_e_geometry import LINE, model_pairs
 from wayfold.queries.q_p_scalars import CX, CY, FX, HEIGHT, P_RECT, PIX, WIDTH, posed, rectified
 from wayfold.functions import transforms as T
-from wayfold.session import checkpoint
+from wayfold.session import shuffled
 
 def N():
     return F.count(F.lit(1))
@@ -212,23 +212,22 @@ SHIFT = """sh AS (SELECT * FROM (SELECT UNNEST([-2.0::DOUBLE,0,2]) AS dx), (SELE
 @query("a23_shift_grid", f"""WITH {SHIFT}, r AS (SELECT dx, dy, y, (2*rank() OVER (PARTITION BY dx,dy ORDER BY intensity) + count(*) OVER (PARTITION BY dx,dy,intensity) - 1)/2.0 AS k, intensity FROM hit)
  SELECT dx, dy, count(*) FILTER (y=1) n_pos, count(*) FILTER (y=0) n_neg, round((CAST(sum(k) FILTER (y=1) AS DOUBLE)-count(*) FILTER (y=1)*(count(*) FILTER (y=1)+1)*0.5)/(count(*) FILTER (y=1)*CAST(count(*) FILTER (y=0) AS DOUBLE)),6) AS auc, round(quantile_cont(intensity,0.95) FILTER (y=1),6) AS inside_p95, round(quantile_cont(intensity,0.95) FILTER (y=0),6) AS bg_p95 FROM r GROUP BY ALL""")
 def _(c):
-    # a point meets every box once; where it lies to the shifted box is told per axis, and only the counts of each case are spread over the shifts
+    # a point meets every box once; where it lies to the shifted box is told per axis, and its cases under all shifts stay in one row
     steps, pad = (-2.0, 0.0, 2.0), 7
     b = c.priors.select(*[(C(k) + o).alias(k) for k, o in (("minx", -pad), ("miny", -pad), ("maxx", pad), ("maxy", pad))])
-    j = J.in_boxes(c.points.select("x", "y", "intensity"), b, 32.0)
-
-    def side(p, lo, hi, d):
-        lo, hi = C(lo) + pad + d, C(hi) - pad + d
-        return F.when(C(p).between(lo, hi), 2).when(C(p).between(lo - 5, hi + 5), 1).otherwise(0)
-
-    cases = [side(p, lo, hi, d).alias(f"{p}{i}") for p, lo, hi in (("x", "minx", "maxx"), ("y", "miny", "maxy")) for i, d in enumerate(steps)]
-    n = j.select("intensity", *cases).groupBy("intensity", *[f"{p}{i}" for p in "xy" for i in range(3)]).agg(N().alias("n"))
-    at = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"), F.least(f"x{i}", f"y{k}").alias("at")) for i, dx in enumerate(steps) for k, dy in enumerate(steps)])).alias("s")
-    h = n.select("intensity", "n", at).filter("s.at > 0").groupBy("s.dx", "s.dy", (C("s.at") - 1).alias("lab"), "intensity").agg(F.sum("n").alias("n"))
-    h = checkpoint(h)
-    q = exact_percentiles(h, ["dx", "dy", "lab"], "intensity", {"p95": .95}, 0.0005, "n")
-    q = q.groupBy("dx", "dy").agg(F.max(F.when(C("lab") == 1, C("p95"))).alias("inside_p95"), F.max(F.when(C("lab") == 0, C("p95"))).alias("bg_p95"))
-    return rank_auc(h, ["dx", "dy"], "intensity", "lab", 0.0005, "n").join(q, ["dx", "dy"])
+    j = J.in_boxes(c.points.select("x", "y", "intensity"), shuffled(b), 32.0)
+
+    def sides(p, lo, hi):
+        inside = lambda d, more: C(p).between(C(lo) + pad + d - more, C(hi) - pad + d + more).cast("int")
+        return sum(((inside(d, 0) + inside(d, 5)) * 3 ** i for i, d in enumerate(steps)), F.lit(0))
+
+    shifts = [(i, k) for i in range(3) for k in range(3)]
+    label = lambda x, y: sum(min(x // 3 ** i % 3, y // 3 ** k % 3) * 3 ** n for n, (i, k) in enumerate(shifts))
+    codes = F.array(*[F.lit(label(x, y)) for x in range(27) for y in range(27)])
+    j = j.select("intensity", F.get(codes, sides("x", "minx", "maxx") * 27 + sides("y", "miny", "maxy")).alias("code"))
+    s = rank_labellings(j, "intensity", "code", len(shifts), 0.0001, .95)
+    of = lambda n: F.get(F.array(*[F.lit(steps[s[n]]) for s in shifts]), C("i"))
+    return s.select(of(0).alias("dx"), of(1).alias("dy"), "n_pos", "n_neg", "auc", C("pos_p").alias("inside_p95"), C("neg_p").alias("bg_p95"))
 
 
 @query("a24_dominant_mode", """WITH g AS (SELECT drive_id, frame_id, z FROM points), l AS (SELECT drive_id, frame_id, min(z) lo, max(z) hi, count(*) n FROM g GROUP BY 1,2), b AS (SELECT drive_id, frame_id, CAST(floor((z-lo)/0.4137) AS BIGINT) bn, count(*) k FROM g JOIN l USING (drive_id, frame_id) GROUP BY ALL),
