@@ -112,3 +112,16 @@ def test_shift_grid_writes_a_hit_once(spark, tmp_path, monkeypatch):
     assert QUERIES["a23_shift_grid"](spark, str(tmp_path)).count() == 9
     big = [n for n in (d.count() for d in written) if n >= hits]
     assert hits > 1000 and big == [hits]
+
+
+def test_support_on_the_radius_is_told_by_squares(spark, tmp_path):
+    load_all()
+    spark.sql("SELECT * FROM VALUES (32L, 22), (96L, 31), (40L, 22) AS t(p_partkey, p_size)").write.parquet(str(tmp_path / "part.parquet"))
+    spark.sql("SELECT id AS event_id, id AS user_id, timestamp'2024-01-01' AS ts, IF(id = 0, 64D, 458D) AS value, 'click' AS event_type, '{}' AS props FROM range(2)").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r.p_partkey: r.traj_support for r in QUERIES["g36_sat_candidates"](spark, str(tmp_path)).collect()}
+    assert got == {32: 0, 96: 0, 40: 0}  # 8² + 19.2² and 24² + 4.4² come out above 20.8² and 24.4², their roots do not
+
+
+def test_pairs_within_compare_squares(spark):
+    a, b = spark.sql("SELECT 24D AS x, 4.4D AS y"), spark.sql("SELECT 0D AS rx, 0D AS ry")
+    assert J.within(a, b, 24.4).count() == 0 and J.within(a, b, 24.4, root=True).count() == 1

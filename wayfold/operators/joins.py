@@ -25,15 +25,17 @@ def around(df: DataFrame, size, x: str = "x", y: str = "y") -> DataFrame:
     return df.select("*", _ring()).withColumn("_gx", _cell(x, size) + F.col("_o.dx")).withColumn("_gy", _cell(y, size) + F.col("_o.dy")).drop("_o")
 
 
-def within(left: DataFrame, right: DataFrame, dist: float, by: Sequence[str] = (), rx: str = "rx", ry: str = "ry") -> DataFrame:
+def within(left: DataFrame, right: DataFrame, dist: float, by: Sequence[str] = (), rx: str = "rx", ry: str = "ry", root: bool = False) -> DataFrame:
     """All (left, right) pairs at most ``dist`` apart; the right side is the one copied to nine cells.
 
-    Right coordinates are ``rx``/``ry``; adds ``dist``. Merge copies before calling if only counts matter.
+    Right coordinates are ``rx``/``ry``; adds ``dist``. Squares are compared, with ``root`` the rounded root, which may let in a pair
+    just beyond ``dist``. Merge copies before calling if only counts matter.
     """
     l = left.withColumn("_gx", _cell("x", dist)).withColumn("_gy", _cell("y", dist))
     r = around(right, dist, rx, ry)
-    return l.join(shuffled(r), [*by, "_gx", "_gy"]).withColumn("dist", F.hypot(F.col("x") - F.col(rx), F.col("y") - F.col(ry))).filter(
-        F.col("dist") <= dist).drop("_gx", "_gy")
+    dx, dy = F.col("x") - F.col(rx), F.col("y") - F.col(ry)
+    near = F.col("dist") <= dist if root else dx * dx + dy * dy <= F.lit(float(dist) * float(dist))
+    return l.join(shuffled(r), [*by, "_gx", "_gy"]).withColumn("dist", F.hypot(dx, dy)).filter(near).drop("_gx", "_gy")
 
 
 #: Candidates that a cell's points choose from; cells with more are split. Cells are not split below the finest size.

@@ -49,7 +49,7 @@ def local_cells(seeds: DataFrame, road: DataFrame, sat: DataFrame | None, r: Sha
     """(seed, ix, iy, dist, src, step, radius): the local road of every seed (seed, sx, sy)."""
     pending, found = seeds, []
     for step, radius in enumerate((r.cap, *r.retries)):
-        got = within(road, pending, radius, rx="sx", ry="sy").select("seed", *CELLS, "dist", F.lit("road_polygon").alias("src"), F.lit(step).alias("step"), F.lit(radius).alias("radius"))
+        got = within(road, pending, radius, rx="sx", ry="sy", root=True).select("seed", *CELLS, "dist", F.lit("road_polygon").alias("src"), F.lit(step).alias("step"), F.lit(radius).alias("radius"))
         found.append(checkpoint(got))
         pending = checkpoint(pending.join(found[-1].select("seed").distinct(), "seed", "left_anti"))
     out = found[0]
@@ -59,7 +59,7 @@ def local_cells(seeds: DataFrame, road: DataFrame, sat: DataFrame | None, r: Sha
     out = out.join(near.select("seed"), "seed", "left_semi")
     left, last = seeds.join(near.select("seed"), "seed", "left_anti"), F.lit(len(r.retries))
     if sat is not None:
-        fill = checkpoint(within(sat, left, r.sat_reach, rx="sx", ry="sy").select("seed", *CELLS, "dist", F.lit("sat_fill").alias("src"), last.alias("step"), F.lit(r.sat_reach).alias("radius")))
+        fill = checkpoint(within(sat, left, r.sat_reach, rx="sx", ry="sy", root=True).select("seed", *CELLS, "dist", F.lit("sat_fill").alias("src"), last.alias("step"), F.lit(r.sat_reach).alias("radius")))
         out, left = out.unionByName(fill), left.join(fill.select("seed").distinct(), "seed", "left_anti")
     circle = disc_cells(left.select("seed", F.col("sx").alias("x"), F.col("sy").alias("y")), ["seed"], F.lit(r.circle), r.res)
     return out.unionByName(circle.select("seed", *CELLS, F.col("cell_dist").alias("dist"), F.lit("seed_circle").alias("src"), last.alias("step"), F.lit(r.circle).alias("radius")))
@@ -70,7 +70,7 @@ def arm_cells(seeds: DataFrame, road: DataFrame, segments: DataFrame, r: ShapeRu
     wide = r.arm + r.arm_add
     # lines matter near seeds only: a segment is tried if it comes as close as a cell of it can lie
     close = near_segments(seeds.select("seed", F.col("sx").alias("x"), F.col("sy").alias("y")), segments, r.cap + wide).select("seed", F.col("x").alias("sx"), F.col("y").alias("sy"), "ax", "ay", "bx", "by_")
-    cells = within(road, seeds, r.cap, rx="sx", ry="sy").select("seed", *CELLS, "x", "y", "dist")
+    cells = within(road, seeds, r.cap, rx="sx", ry="sy", root=True).select("seed", *CELLS, "x", "y", "dist")
     off = segment_distance(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by_"))
     near = close.join(cells, "seed").withColumn("off", off).where(F.col("off") <= wide)
     sector = F.pmod(F.floor((F.atan2(F.col("y") - F.col("sy"), F.col("x") - F.col("sx")) / (2 * F.pi()) + 1) * 8), F.lit(8)).cast("int")
@@ -91,7 +91,7 @@ def seed_shapes(seeds: DataFrame, road: DataFrame, segments: DataFrame, sat: Dat
 
     # every cell that may belong to a shape, once, with what it is
     is_core = F.when(F.col("src") == "road_polygon", F.col("dist") <= r.core_radius).otherwise(F.lit(True))
-    road_core = within(road, seeds, r.core_radius, rx="sx", ry="sy").join(local.where("src = 'road_polygon'").select("seed").distinct(), "seed", "left_semi")
+    road_core = within(road, seeds, r.core_radius, rx="sx", ry="sy", root=True).join(local.where("src = 'road_polygon'").select("seed").distinct(), "seed", "left_semi")
     mark = lambda d, **flags: d.select(*key, *[flags.get(n, F.lit(False)).alias(n) for n in ("local", "core", "arm", "arm_wide")])
     parts = mark(local, local=F.lit(True), core=is_core).unionByName(mark(road_core, core=F.lit(True))).unionByName(mark(arms, arm=F.col("off") <= r.arm, arm_wide=F.lit(True)))
     cells = checkpoint(parts.groupBy(*key).agg(*[F.max(n).alias(n) for n in ("local", "core", "arm", "arm_wide")]))

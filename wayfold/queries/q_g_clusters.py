@@ -584,7 +584,8 @@ def _(c):
  SELECT p_partkey, round(12+20*conf,6) AS radius, round(conf,6) AS sat_confidence, coalesce(k,0) AS traj_support, round(pi()*pow(12+20*conf,2),4) AS area_m2 FROM s LEFT JOIN t USING (p_partkey)""")
 def _(c):
     s = c.part.select("p_partkey", (C("p_partkey") * F.lit(0.25)).alias("rx"), (100 + C("p_partkey") % 97).cast("double").alias("ry"), (C("p_size") % 50 / F.lit(50.0)).alias("conf")).filter("conf >= 0.3").withColumn("radius", 12 + 20 * C("conf"))
-    k = J.within(c.poses.select("x", "y"), s, 32.0).filter(C("dist") <= C("radius")).groupBy("p_partkey").agg(N().alias("k"))
+    dx, dy = C("rx") - C("x"), C("ry") - C("y")  # squares are compared, as in the SQL: a root may round a pair onto the radius
+    k = J.within(c.poses.select("x", "y"), s, 32.0).filter(dx * dx + dy * dy <= C("radius") * C("radius")).groupBy("p_partkey").agg(N().alias("k"))
     return s.join(k, "p_partkey", "left").select("p_partkey", "radius", C("conf").alias("sat_confidence"), F.coalesce("k", F.lit(0)).alias("traj_support"), F.round(F.pi() * C("radius") ** 2, 4).alias("area_m2"))
 
 

@@ -29,7 +29,7 @@ def med(v):
 def _(c):
     s = L.sample(c.poses.select("drive_id", C("frame_id").alias("idx"), "x", "y"), ["drive_id"], "idx", 20.0, whole_steps=True)
     ref = c.candidates.select(C("x").alias("rx"), C("y").alias("ry")).distinct()
-    d = J.within(s, ref, 40.0).groupBy("drive_id", "i").agg(F.min("dist").alias("d"))
+    d = J.within(s, ref, 40.0, root=True).groupBy("drive_id", "i").agg(F.min("dist").alias("d"))
     j = s.join(d, ["drive_id", "i"], "left")
     q = exact_percentiles(j, ["drive_id"], "d", {"dist_p50": .5, "dist_p95": .95}, 1.0).drop("n")
     a = j.groupBy("drive_id").agg(N().alias("samples"), F.bround(F.count_if(C("d") <= 10) / N(), 4).alias("match_ratio"))
