@@ -125,3 +125,17 @@ def test_support_on_the_radius_is_told_by_squares(spark, tmp_path):
 def test_pairs_within_compare_squares(spark):
     a, b = spark.sql("SELECT 24D AS x, 4.4D AS y"), spark.sql("SELECT 0D AS rx, 0D AS ry")
     assert J.within(a, b, 24.4).count() == 0 and J.within(a, b, 24.4, root=True).count() == 1
+
+
+def test_nearest_far_away_keeps_wide_cells(spark, monkeypatch):
+    left = spark.range(600).select("id", (F.col("id") % 2).alias("k"), (F.col("id") * 40.0 - 5000).alias("x"), (F.col("id") * 37 % 101).cast("double").alias("y"))
+    right = spark.range(4000).select((F.col("id") % 40).alias("k"), F.col("id").alias("rid"), (F.col("id") * 0.5).alias("x"), (F.col("id") * 7 % 113).cast("double").alias("y"))
+    want, rows = {}, right.filter("k < 2").collect()
+    for q in left.collect():
+        want[q.id] = min((((r.x - q.x) ** 2 + (r.y - q.y) ** 2), r.rid) for r in rows if r.k == q.k)[1]
+    written, write = [], session._write_table
+    monkeypatch.setattr(session, "_write_table", lambda df, schema: written.append(write(df, schema)) or written[-1])
+    near = J.nearest(left, right, ["rid"], ["k"], 4.0)
+    assert {r.id: r.near_rid for r in near.collect()} == want
+    assert [d.count() for d in written if {"rx", "_f"} <= set(d.columns) and "_ix" not in d.columns] == [200]  # rows of other keys stay out
+    assert sum(d.count() for d in written if "_c" in d.columns) < 300  # of 600 cells of the size asked for

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from wayfold.session import checkpoint, checkpoint_observed, shuffled
 
@@ -41,6 +40,9 @@ def within(left: DataFrame, right: DataFrame, dist: float, by: Sequence[str] = (
 #: Candidates that a cell's points choose from; cells with more are split. Cells are not split below the finest size.
 LIST, FINEST = 64, 1e-3
 
+#: A wider cell with more rows than this is split on while more candidates than that are left, since every row of it goes through its list.
+MANY, SHORT = 64, 8
+
 #: With more candidate rows than this, left rows are shuffled to them instead of leaving that to the planner.
 FEW = 65_536
 
@@ -48,52 +50,98 @@ FEW = 65_536
 def nearest(left: DataFrame, right: DataFrame, fields: Sequence[str], by: Sequence[str] = (), cell: float = 16.0, prefix: str = "near_") -> DataFrame:
     """Nearest right row per left row (ties: smallest first field); keeps every left row.
 
-    The heavy left side is never copied, sorted or made distinct. Its occupied cells are few: each
-    of them finds the finest level of a grid pyramid (sizes 2*cell*4^l) whose 3x3 block holds a right
-    row. That bounds the distance by 2*sqrt(2) level cells, so all possible winners of the cell's
-    points lie in the 3x3 block one level up. The exact candidates travel as an array of at most ``LIST``
-    rows and the winner is picked by an expression; where the right side is denser, the cell is split until that holds
-    (more rows than that at one distance from one spot stay together). The pyramid is as high as the extent of both sides asks for.
+    Both sides are seen as grid pyramids (sizes cell*4^l) that are walked down together from one cell each: a left cell keeps the
+    right cells that may hold the winner of one of its points, told by the least and the greatest distance between the boxes. As soon as they hold
+    at most ``LIST`` rows and few points are in the left cell it is done, however wide, so a stretch far from all right rows costs few cells; else both are split.
+    Candidates travel as an array per done cell and the winner is picked by an expression; where a cell of the size ``cell`` still has more,
+    its points look again in finer ones (more rows than that at one distance from one spot stay together).
+    The left side is never copied; of the right side only rows of a key that occurs on the left take part.
     """
-    by = list(by)
-    half = cell * 2 ** 0.5 / 2
-    ref = right.select(*by, F.col("x").alias("rx"), F.col("y").alias("ry"), *[F.col(f).alias("_f_" + f) for f in fields])
+    by, k = list(by), [*by, "_ix", "_iy"]
+    placed = left.withColumn("_ix", _cell("x", cell)).withColumn("_iy", _cell("y", cell))
+    cells = checkpoint(placed.select(*k).filter("_ix is not null and _iy is not null").groupBy(*k).agg(F.count(F.lit(1)).alias("_m")))
+    ref = right.select(*by, F.col("x").alias("rx"), F.col("y").alias("ry"), *[F.col(f).alias("_f_" + f) for f in fields]).filter("rx is not null and ry is not null")
+    ref = ref.join(cells.select(*by).distinct(), by, "left_semi") if by else ref
     # copies of one coordinate: only the one with the smallest tie-break can win
-    ref = checkpoint(ref.groupBy(*by, "rx", "ry").agg(F.min(F.struct(*["_f_" + f for f in fields])).alias("_f")))
-    size = lambda l: F.lit(2.0 * cell) * F.pow(F.lit(4.0), l)
-    at = lambda d, x, y: d.withColumn("_gx", _cell(F.col(x), size(F.col("_l")))).withColumn("_gy", _cell(F.col(y), size(F.col("_l"))))
-    k = [*by, "_ix", "_iy"]
-    cells = left.select(*by, _cell("x", cell).alias("_ix"), _cell("y", cell).alias("_iy")).distinct()
-    cells = checkpoint(cells.withColumn("cx", (F.col("_ix") + 0.5) * cell).withColumn("cy", (F.col("_iy") + 0.5) * cell))
-    wide = [cells.agg(F.min("cx"), F.max("cx"), F.min("cy"), F.max("cy")).first(), ref.agg(F.min("rx"), F.max("rx"), F.min("ry"), F.max("ry")).first()]
-    ends = lambda i, pick: pick([w[i] for w in wide if w[i] is not None], default=0.0)
-    extent = max(ends(1, max) - ends(0, min), ends(3, max) - ends(2, min), cell)
-    top = max(0, math.ceil(math.log(extent / (2 * cell), 4)))
+    ref = ref.groupBy(*by, "rx", "ry").agg(F.min(F.struct(*["_f_" + f for f in fields])).alias("_f"))
+    ref = checkpoint(ref.withColumn("_gx", _cell("rx", cell)).withColumn("_gy", _cell("ry", cell)))
+    ends = lambda d, x, y: d.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    wide = [w for w in (ends(cells, "_ix", "_iy"), ends(ref, "_gx", "_gy")) if w[0] is not None]
+    extent = max((max(w[i + 1] for w in wide) - min(w[i] for w in wide) for i in (0, 2)), default=0) if wide else 0
+    top = next(n for n in range(1, 32) if 4 ** n > extent or n == 31)
+    up = lambda d, n, names: d.select(*[F.expr(f"shiftright({c}, cast(2 * ({n}) as int))").alias(c) if c in names else c for c in d.columns])
+    # cells of level 1 are far fewer than those of level 0, the coarser ones are told from them
+    total = lambda d, *keys: checkpoint(d.groupBy(*k, *keys).agg(F.sum("_m").alias("_m")))
+    first = total(up(cells, 1, k[-2:]))
+    coarse = total(up(first.select("*", F.explode(F.sequence(F.lit(1), F.lit(top))).alias("_l")), "_l - 1", k[-2:]), "_l")
+    levels = lambda l: coarse.filter(F.col("_l") == l).drop("_l") if l else cells
     every = F.explode(F.sequence(F.lit(0), F.lit(top))).alias("_l")
-    block = lambda d: d.select("*", _ring()).withColumn("_gx", F.col("_gx") + F.col("_o.dx")).withColumn("_gy", F.col("_gy") + F.col("_o.dy")).drop("_o")
-    filled = block(at(ref.select(*by, "rx", "ry", every), "rx", "ry").select(*by, "_l", "_gx", "_gy").distinct()).distinct()
-    found = at(cells.select("*", every), "cx", "cy").join(shuffled(filled), [*by, "_l", "_gx", "_gy"]).groupBy(*k, "cx", "cy").agg((F.min("_l") + 1).alias("_l"))
-    # only the levels in use are built on the right side
-    pairs = block(at(found, "cx", "cy")).join(shuffled(at(ref.select("*", F.explode(F.sequence(F.lit(1), F.lit(top + 1))).alias("_l")), "rx", "ry")), [*by, "_l", "_gx", "_gy"])
-    pairs = pairs.select(*k, "rx", "ry", "_f", F.hypot(F.col("rx") - F.col("cx"), F.col("ry") - F.col("cy")).alias("dist"))
-    near = pairs.groupBy(*k).agg(F.min("dist").alias("_d"))
-    close, met = checkpoint_observed(pairs.join(shuffled(near), k).filter(F.col("dist") <= F.col("_d") + 2 * half + 1e-9).select(*k, "rx", "ry", "_f"), n=F.count(F.lit(1)))
+    nodes = checkpoint(up(ref.select(*by, "rx", "ry", "_gx", "_gy", every), "_l", ["_gx", "_gy"]).groupBy(*by, "_l", "_gx", "_gy").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("rx").alias("x0"), F.max("rx").alias("x1"), F.min("ry").alias("y0"), F.max("ry").alias("y1")))
+    pair = [*k, "_gx", "_gy"]
+
+    def reach(size, x0, x1, y0, y1):
+        """Least and greatest distance between a left cell of ``size`` and a box, the latter with what rounding may take."""
+        sides = [(F.col(c) * size, (F.col(c) + 1) * size, lo, hi) for c, lo, hi in (("_ix", x0, x1), ("_iy", y0, y1))]
+        least = F.hypot(*[F.greatest(lo - b, a - hi, F.lit(0.0)) for a, b, lo, hi in sides])
+        most = F.hypot(*[F.greatest(hi - a, b - lo) for a, b, lo, hi in sides])
+        return least, most * (1 + 1e-9) + 1e-5 * size
+
+    lists, done, open_ = [], None, None
+    for l in range(top, -1, -1):
+        size, here = F.lit(float(cell) * 4.0 ** l), nodes.filter(F.col("_l") == l).drop("_l")
+        if open_ is None:
+            cand, parent = levels(l).join(here, by) if by else levels(l).crossJoin(here), []
+        else:
+            below = lambda d, x, y, px, py: d.select("*", F.shiftright(x, 2).alias(px), F.shiftright(y, 2).alias(py))
+            cand = open_.join(shuffled(below(here, "_gx", "_gy", "_qx", "_qy")), [*by, "_qx", "_qy"])
+            cand, parent = cand.join(shuffled(below(levels(l), "_ix", "_iy", "_px", "_py")), [*by, "_px", "_py"]), ["_px", "_py"]
+        per = W.partitionBy(*by, *parent, "_ix", "_iy")
+        least, most = reach(size, F.col("x0"), F.col("x1"), F.col("y0"), F.col("y1"))
+        kept = cand.select(*by, *parent, "_ix", "_iy", "_gx", "_gy", "_m", "_n", least.alias("_least"), most.alias("_most")).withColumn("_most", F.min("_most").over(per))
+        kept = kept.filter("_least <= _most").withColumn("_n", F.sum("_n").over(per))
+        more = (F.col("_n") > LIST) | ((F.col("_m") > MANY) & (F.col("_n") > SHORT)) if l else F.col("_n") > LIST
+        kept, seen = checkpoint_observed(kept.select(*pair, more.alias("_open")), open=F.count_if("_open"))
+        fit = kept.filter("not _open") if l or cell >= FINEST else kept
+        fine = fit.join(shuffled(up(ref, l, ["_gx", "_gy"])), [*by, "_gx", "_gy"])
+        least, most = reach(size, *[F.col(c) for c in ("rx", "rx", "ry", "ry")])
+        lists.append(fine.select(*k, F.lit(l).alias("_l"), "rx", "ry", "_f", least.alias("_least"), most.alias("_most")))
+        if l:  # all cells of level 1 below a done one
+            ends_here = fit.select(*k).distinct().withColumn("_l", F.lit(l))
+            if done is not None:
+                inherit = levels(l).select("*", F.shiftright("_ix", 2).alias("_px"), F.shiftright("_iy", 2).alias("_py"))
+                ends_here = ends_here.unionByName(inherit.join(shuffled(done.withColumnsRenamed({"_ix": "_px", "_iy": "_py"})), [*by, "_px", "_py"]).select(*k, "_l"))
+            done = checkpoint(ends_here)
+            open_ = kept.filter("_open").select(*by, *[F.col(c).alias(n) for c, n in zip(pair[-4:], ("_px", "_py", "_qx", "_qy"))])
+        if not seen["open"]:
+            break
+    for n in range(l - 1, 0, -1):  # nothing was left open: what is done reaches down to level 1
+        inherit = levels(n).select("*", F.shiftright("_ix", 2).alias("_px"), F.shiftright("_iy", 2).alias("_py"))
+        done = checkpoint(inherit.join(shuffled(done.withColumnsRenamed({"_ix": "_px", "_iy": "_py"})), [*by, "_px", "_py"]).select(*k, "_l"))
+    rows = lists[0]
+    for more in lists[1:]:
+        rows = rows.unionByName(more)
+    rows = rows.withColumn("_most", F.min("_most").over(W.partitionBy(*k, "_l"))).filter("_least <= _most")
+    cand, met = checkpoint_observed(rows.groupBy(*k, "_l").agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c")), n=F.count(F.lit(1)))
     side = shuffled if met["n"] > FEW else lambda d: d
-    long, seen = checkpoint_observed(close.groupBy(*k).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LIST).select(*k), n=F.count(F.lit(1)))
-    placed = left.withColumn("_ix", _cell("x", cell)).withColumn("_iy", _cell("y", cell))
     d2 = lambda v: (v["rx"] - F.col("x")) * (v["rx"] - F.col("x")) + (v["ry"] - F.col("y")) * (v["ry"] - F.col("y"))
 
-    def pick(rows: DataFrame, close: DataFrame) -> DataFrame:
-        cand = close.groupBy(*k).agg(F.collect_list(F.struct("rx", "ry", "_f")).alias("_c"))
-        j = rows.join(side(cand), k, "left").withColumn("_b", F.array_min(F.transform("_c", lambda v: F.struct(d2(v).alias("d2"), v["_f"].alias("f")))))
+    def pick(rows: DataFrame) -> DataFrame:
+        level = done.select(*by, F.col("_ix").alias("_px"), F.col("_iy").alias("_py"), "_l")
+        j = rows.withColumn("_px", F.shiftright("_ix", 2)).withColumn("_py", F.shiftright("_iy", 2)).join(side(level), [*by, "_px", "_py"], "left")
+        j = up(j.withColumn("_l", F.coalesce("_l", F.lit(0))), "_l", ["_ix", "_iy"]).join(side(cand), [*k, "_l"], "left")
+        j = j.withColumn("_b", F.array_min(F.transform("_c", lambda v: F.struct(d2(v).alias("d2"), v["_f"].alias("f")))))
         return j.select(*left.columns, F.sqrt("_b.d2").alias(prefix + "dist"), *[F.col(f"_b.f._f_{f}").alias(prefix + f) for f in fields])
 
-    if not seen["n"] or cell < FINEST:
-        return pick(placed, close)
+    if l or not seen["open"] or cell < FINEST:
+        return pick(placed)
     # cells with a long list: their points look again, from cells an eighth as wide and among those rows only
-    rest = close.join(long, k, "left_semi").select(*by, F.col("rx").alias("x"), F.col("ry").alias("y"), *[F.col(f"_f._f_{f}").alias(f) for f in fields]).distinct()
+    dense = kept.filter("_open")
+    rest = ref.join(shuffled(dense.select(*by, "_gx", "_gy").distinct()), [*by, "_gx", "_gy"], "left_semi")
+    rest = rest.select(*by, F.col("rx").alias("x"), F.col("ry").alias("y"), *[F.col(f"_f._f_{f}").alias(f) for f in fields])
+    long = dense.select(*k).distinct()
     again = nearest(placed.join(long, k, "left_semi").select(*left.columns), checkpoint(rest), fields, by, cell / 8, prefix)
-    return pick(placed.join(long, k, "left_anti"), close.join(long, k, "left_anti")).unionByName(again)
+    return pick(placed.join(long, k, "left_anti")).unionByName(again)
 
 
 def in_boxes(points: DataFrame, boxes: DataFrame, cell: float, by: Sequence[str] = ()) -> DataFrame:
@@ -196,8 +244,6 @@ def closest_frame(targets: DataFrame, frames: DataFrame, by: Sequence[str], widt
     f = frames.select(*by, "frame_id").distinct().withColumn("_b", _cell("frame_id", width))
     t = targets.withColumn("_b", _cell("target", width))
     # the last frame of each filled bucket is visible to every later bucket through a running max over buckets
-    from pyspark.sql import Window as W
-
     edge = f.groupBy(*by, "_b").agg(F.min("frame_id").alias("_lo"), F.max("frame_id").alias("_hi"))
     need = t.select(*by, "_b").distinct().join(edge, [*by, "_b"], "full")
     # both directions look back from a row: a frame that runs to the end of its partition is summed up anew for every row
