@@ -103,6 +103,7 @@ def _(c):
 
 def pose_pairs(c, d):
     p = c.poses.select("drive_id", C("frame_id").alias("pose_frame"), C("x").alias("rx"), C("y").alias("ry"), "yaw")
+    p = p.join(c.candidates.select("drive_id").distinct(), "drive_id", "left_semi")  # poses of other drives would be copied to cells in vain
     return J.within(c.candidates.select("cand_id", "drive_id", "x", "y"), p, d, ["drive_id"])
 
 
